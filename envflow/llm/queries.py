@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envflow.llm import substring_dedup, url_filters
+from envflow.llm import minhash, packing, substring_dedup, url_filters
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -83,3 +83,13 @@ kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY i) AS t FROM one ANTI JOIN
 cut AS (SELECT doc_id, count(*) AS n FROM gone GROUP BY doc_id)
 SELECT doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(n, 0) AS BIGINT) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
 FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)"""
+
+
+@query
+def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return minhash.with_neighbours(table(spark, sf_dir, "documents"))
+
+
+@query
+def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(table(spark, sf_dir, "documents"))
