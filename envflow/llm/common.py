@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame, SparkSession
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: Texts are hashed in pieces of about so many bytes (whole documents), which bounds a task's memory.
 CHUNK_BYTES = 1 << 20
+FILES_PER_CORE = 8
 _MASK = (1 << 64) - 1
 
 
@@ -32,9 +33,14 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """df written once as Parquet to the shared folder and read again: cuts lineage and survives lost executors."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    """df written once as Parquet to the shared folder and read again: cuts lineage and survives lost executors.
+
+    At most FILES_PER_CORE files for each core of the cluster: a small result over many shuffle partitions would
+    otherwise be as many tiny files. Partitions that share a file are worked on one after another.
+    """
+    spark = df.sparkSession
+    path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+    df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 

@@ -204,7 +204,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, with_text: bool
     often = blocks.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor")
     again = written(blocks.join(often, "anchor"), "again")
     kinds = again.groupBy("anchor").agg((F.min("block") == F.max("block")).alias("alike"))
-    kinds = written(again.join(kinds, "anchor"), "kinds")
+    kinds = again.join(kinds, "anchor")
     # one example of each different block of an anchor, with the number of its copies
     examples = kinds.where("NOT alike").groupBy("anchor", "block").agg(F.count("*").alias("copies"), F.min(F.struct("doc", "first", "n")).alias("at"))
     asked = examples.groupBy(F.col("at.doc").alias("doc")).agg(F.collect_list(F.struct("anchor", "block", "copies", F.col("at.first").alias("first"), F.col("at.n").alias("n"))).alias("asked"))
