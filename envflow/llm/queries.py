@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envflow.llm import jaccard_join, minhash, packing, substring_dedup, url_filters
+from envflow.llm import decontamination, jaccard_join, minhash, packing, pii, quality, secrets, substring_dedup, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,31 @@ def op8_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op4_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.components(table(spark, sf_dir, "documents"), 85, 4)
+
+
+@query
+def op5_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.scan(table(spark, sf_dir, "documents")).drop("found")
+
+
+@query
+def op9_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.round_trip(table(spark, sf_dir, "pages")).drop("payload")
+
+
+@query
+def op10_secret_scans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return secrets.digests(secrets.scan(table(spark, sf_dir, "documents")))
+
+
+@query
+def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, labels = table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")
+    machine = quality.train(docs, labels, held_in=~quality.held_out())
+    scored = quality.score(docs, machine)
+    return scored.select("doc_id", quality.held_out().alias("held_out"), "score", "predicted")
+
+
+@query
+def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
