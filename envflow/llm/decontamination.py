@@ -163,6 +163,35 @@ def _passes(benchmark: DataFrame, size: int) -> Iterator[list[tuple[object, np.n
         yield held
 
 
+def _indexes(spark, benchmark: DataFrame, pass_words: int) -> Iterator:
+    """Each pass's index, sent to the executors: at most pass_words words, or one item."""
+    with np.errstate(over="ignore"):
+        for items in _passes(benchmark, pass_words):
+            groups = defaultdict(list)
+            for item, hashes in items:
+                groups[min(SHINGLE_WORDS, len(hashes))].append((item, hashes))
+            yield spark.sparkContext.broadcast([Items(k, group) for k, group in sorted(groups.items())])
+
+
+def _found(column: pa.Array, index: list[Items], threshold: float) -> Iterator[tuple[int, object, int, int, float]]:
+    """(row, item id, first word, words, similarity) of the texts of a column."""
+    with np.errstate(over="ignore"):
+        for words in words_of(column, lower=True):
+            for items in index:
+                shingles = shingle_hashes(words.hashes, items.k)
+                if not len(shingles):
+                    continue
+                places, which = items.hits(shingles)
+                row = np.searchsorted(words.bounds, places, "right") - 1
+                inside = places + items.k <= words.bounds[row + 1]
+                places, which, row = places[inside], which[inside], row[inside]
+                for r in np.unique(row).tolist():
+                    a, b = words.bounds[r : r + 2]
+                    mine = row == r
+                    for i, (near, first, n) in sorted(matches(items, shingles[a : b - items.k + 1], places[mine] - a, which[mine], int(b - a), threshold).items()):
+                        yield words.lo + r, items.ids[i], first, n, near
+
+
 def find(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, pass_words: int = PASS_WORDS) -> DataFrame:
     """One row per document and item that it holds: doc_id, item_id, first_word, n_words, similarity.
 
@@ -173,50 +202,36 @@ def find(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, pa
     small_batches(docs.sparkSession)
     kind = benchmark.schema["item_id"].dataType.simpleString()
     schema = f"doc_id bigint, item_id {kind}, first_word int, n_words int, similarity double"
-    found = []
-    with np.errstate(over="ignore"):
-        for items in _passes(benchmark, pass_words):
-            groups = defaultdict(list)
-            for item, hashes in items:
-                groups[min(SHINGLE_WORDS, len(hashes))].append((item, hashes))
-            index = docs.sparkSession.sparkContext.broadcast([Items(k, group) for k, group in sorted(groups.items())])
-            found.append(docs.select("doc_id", "text").mapInArrow(_search(index, threshold), schema))
-    if not found:
-        return docs.sparkSession.createDataFrame([], schema)
-    return reduce(DataFrame.unionAll, found)
+    names, kinds = ["doc_id", "item_id", "first_word", "n_words", "similarity"], [pa.int64(), None, pa.int32(), pa.int32(), pa.float64()]
 
-
-def _search(index, threshold: float):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        with np.errstate(over="ignore"):
+    def search(index):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             for batch in batches:
-                ids, out = batch.column("doc_id"), []
-                for words in words_of(batch.column("text"), lower=True):
-                    for items in index.value:
-                        shingles = shingle_hashes(words.hashes, items.k)
-                        if not len(shingles):
-                            continue
-                        places, which = items.hits(shingles)
-                        row = np.searchsorted(words.bounds, places, "right") - 1
-                        inside = places + items.k <= words.bounds[row + 1]
-                        places, which, row = places[inside], which[inside], row[inside]
-                        for r in np.unique(row).tolist():
-                            a, b = words.bounds[r : r + 2]
-                            mine = row == r
-                            for i, (near, first, n) in sorted(matches(items, shingles[a : b - items.k + 1], places[mine] - a, which[mine], int(b - a), threshold).items()):
-                                out.append((ids[words.lo + r].as_py(), items.ids[i], first, n, near))
-                cols = list(zip(*out, strict=True)) if out else [[]] * 5
-                names = ["doc_id", "item_id", "first_word", "n_words", "similarity"]
-                kinds = [pa.int64(), None, pa.int32(), pa.int32(), pa.float64()]
+                ids = batch.column("doc_id")
+                out = [(ids[r].as_py(), *rest) for r, *rest in _found(batch.column("text"), index.value, threshold)]
                 if out:
-                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, kinds, strict=True)], names=names)
+                    yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
+
+        return docs.select("doc_id", "text").mapInArrow(run, schema)
 
-    return run
+    found = [search(index) for index in _indexes(docs.sparkSession, benchmark, pass_words)]
+    return reduce(DataFrame.unionAll, found) if found else docs.sparkSession.createDataFrame([], schema)
+
+
+def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, pass_words: int = PASS_WORDS) -> DataFrame:
+    """docs without the rows whose text holds an item; all columns stay, and nothing is shuffled."""
+    small_batches(docs.sparkSession)
+
+    def keep(index):
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for batch in batches:
+                good = np.ones(len(batch), dtype=bool)
+                for r, *_ in _found(batch.column("text"), index.value, threshold):
+                    good[r] = False
+                yield batch.filter(pa.array(good))
 
+        return run
 
-def clean(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """docs without the rows whose text holds an item. Rows without an id are judged like any other."""
-    key = F.xxhash64("doc_id", "text")
-    marked = docs.withColumn("_key", key)
-    hit = find(marked.select(F.col("_key").alias("doc_id"), "text"), benchmark, threshold).select(F.col("doc_id").alias("_key")).distinct()
-    return marked.join(hit, "_key", "left_anti").select(*docs.columns)
+    for index in _indexes(docs.sparkSession, benchmark, pass_words):
+        docs = docs.mapInArrow(keep(index), docs.schema)
+    return docs

@@ -15,6 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -184,3 +185,22 @@ def score(docs: DataFrame, machine: Machine, keep: tuple[str, ...] = (), thresho
     given = docs.select("doc_id", *keep, F.col("text").alias("_text"), _chars(docs).alias("_chars"))
     schema = ", ".join([f"`{f.name}` {f.dataType.simpleString()}" for f in docs.select("doc_id", *keep).schema] + ["score double", "predicted int"])
     return given.mapInArrow(run, schema)
+
+
+def keep_good(docs: DataFrame, machine: Machine, threshold: float = THRESHOLD) -> DataFrame:
+    """docs without the rows that the machine rejects; all columns stay, and nothing is shuffled."""
+    small_batches(docs.sparkSession)
+    broadcast, has_length = docs.sparkSession.sparkContext.broadcast(machine), "n_chars" in docs.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        fitted = broadcast.value
+        for batch in batches:
+            texts, good = batch.column("text"), np.ones(len(batch), dtype=bool)
+            chars = pc.fill_null(pc.utf8_length(texts), 0).cast(pa.int64())
+            chars = pc.coalesce(batch.column("n_chars").cast(pa.int64()), chars) if has_length else chars
+            chars = np.maximum(chars.to_numpy(zero_copy_only=False), 0)
+            for words in words_of(texts, lower=True):
+                good[words.lo : words.hi] = fitted.score(*features(words, chars[words.lo : words.hi])) >= threshold
+            yield batch.filter(pa.array(good))
+
+    return docs.mapInArrow(run, docs.schema)

@@ -126,18 +126,24 @@ def digests(found: DataFrame) -> DataFrame:
 
 
 def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
-    """docs with every span of text replaced by mark; the other columns stay as they are. Null texts stay null.
+    """docs with every span of text replaced by mark, and n_chars, where there is one, set to the new length.
 
-    Spans that overlap or touch nothing between them are replaced as one.
+    Spans that overlap are replaced as one. Null texts and all other columns stay as they are.
     """
-    others = tuple(c for c in docs.columns if c != "doc_id")
-    found = scan(docs, others)
+    found = scan(docs.select("doc_id", "text", F.struct("*").alias("_row")), ("_row",))
+    text = F.col("_row")["text"]
 
     def step(state: Column, s: Column) -> Column:
-        gap = F.substring("text", state["at"] + F.lit(1), F.greatest(F.lit(0), s["start"] - state["at"]))
+        gap = F.substring(text, state["at"] + F.lit(1), F.greatest(F.lit(0), s["start"] - state["at"]))
         put = F.when(s["start"] >= state["at"], F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"])
         return F.struct(F.greatest(state["at"], s["stop"]).alias("at"), put.alias("out"))
 
-    whole = lambda state: F.concat(state["out"], F.substring("text", state["at"] + F.lit(1), F.length("text")))
-    clean = F.aggregate("found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, whole)
-    return found.withColumn("text", F.when(F.size("found") > 0, clean).otherwise(F.col("text"))).select(*docs.columns)
+    def whole(state: Column) -> Column:
+        return F.concat(state["out"], F.substring(text, state["at"] + F.lit(1), F.length(text)))
+
+    some = F.size("found") > 0
+    found = found.withColumn("_clean", F.when(some, F.aggregate("found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, whole)))
+    new = {"text": F.when(some, F.col("_clean")).otherwise(text)}
+    if "n_chars" in docs.columns:
+        new["n_chars"] = F.when(some, F.length("_clean")).otherwise(F.col("_row")["n_chars"])
+    return found.select(*(new[c].cast(docs.schema[c].dataType).alias(c) if c in new else F.col("_row")[c].alias(c) for c in docs.columns))
