@@ -14,6 +14,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: Texts are hashed in pieces of about so many bytes (whole documents), which bounds a task's memory.
@@ -44,6 +45,11 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def few(table: DataFrame, rows: int = 2_000_000) -> DataFrame:
+    """A written table of narrow rows, to be joined: broadcast where its count is within rows, else as it is."""
+    return F.broadcast(table) if table.count() <= rows else table
+
+
 def n_partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -9,12 +9,12 @@ among the first ``n - o(n) + j`` of either set.
    prefix. A set stays only if as many of them as any partner's j are seen in other sets. Most sets end here.
 3. The sets that stay are ordered by frequency, rare shingles first. Light sets, up to a boundary size, list all
    two-shingle subsets of their prefix; heavy sets, and light ones near the boundary, are in the inverted list of each
-   prefix shingle. The boundary is the power of two with the least cost, in subsets listed plus pairs in lists.
+   prefix shingle. The boundary is the power of two with the least cost: subsets listed, against rows in lists and comparisons of blocks.
 4. A list of n sets isn't n * n pairs. First its pivot, the set with the smallest share of shingles of its own, is
-   verified against the other members; sets that are in one component by then need no more comparisons. Lists that
-   still hold different components join their sets into groups, and a group is compared block by block, each pair of
-   blocks in a task that returns no more links than join its components. Where a group is so thin that its lists hold
-   fewer pairs than that, the pairs of its lists are verified one by one. No link between components is lost.
+   verified against the other members; sets that are in one component by then need no more comparisons. Components
+   that still meet in a list form a group, which is compared block by block, each pair of blocks in a task that returns
+   no more links than join its components. Where a group is so thin that its lists hold far fewer pairs than that, the
+   pairs of its lists are verified one by one. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import long_lists, mix, sequence_hash, shingle_hashes, signed, small_batches, stream, words_of, written
+from envflow.llm.common import few, long_lists, mix, sequence_hash, shingle_hashes, signed, small_batches, stream, words_of, written
 from envflow.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -37,6 +37,9 @@ BLOCK = 128
 COLUMNS = 1 << 14
 
 
+_WHICH = stream(52, 1)[0]
+
+
 def least_common(n, percent: int):
     """o(n), for numpy arrays and integers."""
     return -(-percent * n // 100)
@@ -80,7 +83,8 @@ def _whole(k: int):
             for batch in batches:
                 for words in words_of(batch.column("text"), lower=True):
                     sets = list(_shingles(words, k))
-                    yield pa.RecordBatch.from_arrays([batch.column("rep").slice(words.lo, len(sets)), long_lists(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))], names=["rep", "shingles"])
+                    which = np.array([mix(s ^ _WHICH).sum(dtype=np.uint64) for s in sets], dtype=np.uint64)
+                    yield pa.RecordBatch.from_arrays([batch.column("rep").slice(words.lo, len(sets)), pa.array(signed(which)), long_lists(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))], names=["rep", "which", "shingles"])
 
     return run
 
@@ -158,7 +162,7 @@ def _boundary(sets: DataFrame) -> int:
     level = F.floor(F.log2("n")).cast("int")
     by_level = {r.level: r.cost for r in sets.groupBy(level.alias("level")).agg(F.sum(F.expr("size(two) * (size(two) - 1) / 2D")).alias("cost")).collect()}
     lists = sets.select(level.alias("level"), F.explode("one").alias("token")).groupBy("level", "token").count()
-    lists = {r.level: r.cost for r in lists.groupBy("level").agg(F.sum(F.expr("count * (count - 1) / 2D + count")).alias("cost")).collect()}
+    lists = {r.level: r.cost for r in lists.groupBy("level").agg(F.sum(F.expr(f"count + count * (count - 1) / {2 * BLOCK}D")).alias("cost")).collect()}
     levels = sorted(by_level.keys() | lists.keys())
     cost = {b: sum(by_level.get(x, 0) for x in levels if x < b) + sum(lists.get(x, 0) for x in levels if x >= b) for b in range(1 + max(levels, default=0) + 1)}
     return 1 << min(cost, key=lambda b: (cost[b], b))
@@ -180,13 +184,13 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     seen = sent.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
     least = F.ceil(F.lit(percent) * F.col("n") / 100)  # the smallest partner
     need = F.greatest(F.lit(1), F.floor((least - F.ceil(F.lit(percent) * least / 100) + 1) / 2))
-    stay = sent.join(seen, "token").groupBy("rep", "n").agg(F.count("*").alias("shared")).where(F.col("shared") >= need).select("rep").distinct()
-    stay = written(stay, "stay")
-    full = docs.join(stay, docs.doc_id == stay.rep).select("rep", "text").mapInArrow(_whole(k), "rep bigint, shingles array<bigint>")
-    full = written(full.where(F.size("shingles") > 0).dropDuplicates(["rep", "shingles"]), "full")
+    shared = sent.join(seen, "token").groupBy("rep", "n").agg(F.count("*").alias("shared"))
+    stay = written(shared.where(F.col("shared") >= need).select("rep").distinct(), "stay")
+    full = docs.join(few(stay), docs.doc_id == F.col("rep")).select("rep", "text").mapInArrow(_whole(k), "rep bigint, which bigint, shingles array<bigint>")
+    full = written(full.where(F.size("shingles") > 0).dropDuplicates(["rep", "which"]), "full")
 
     # frequencies among the sets that stay; a shingle seen once is in no intersection and first in the order
-    tokens = full.select("rep", F.xxhash64("shingles").alias("which"), F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("token"))
+    tokens = full.select("rep", "which", F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("token"))
     often = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
     sets = tokens.join(often, "token").groupBy("rep", "which", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order"))
     own = F.col("n") - F.size("order")
@@ -208,20 +212,21 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     met = written(met.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct(), "pairs")
     edges = written(_verified(met, sets, percent), "links")
 
-    # lists that still hold sets of different components; sets that meet in such lists are one group
+    # components that meet in a list are compared as one group, whole
     now = connected_components(edges).withColumnRenamed("node", "rep")
+    placed = sets.select("rep", "n", "tokens").join(now, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     lists = lists.join(now, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    rest = lists.groupBy("bucket").agg((F.min("component") < F.max("component")).alias("some"), F.min("rep").alias("head"), F.count("*").alias("size")).where("some").drop("some")
-    lists = written(lists.join(rest, "bucket"), "open")
-    groups = connected_components(lists.select(F.col("rep").alias("a"), F.col("head").alias("b"))).select(F.col("node").alias("rep"), F.col("component").alias("group"))
-    lists = written(lists.join(groups, "rep"), "groups")
-    by_list = lists.where("rep = head").groupBy("group").agg(F.sum(F.expr("size * (size - 1) / 2D")).alias("in_lists"))
-    members = lists.select("group", "rep", "n", "component").distinct()
-    by_group = members.groupBy("group").agg(F.count("*").alias("sets")).join(by_list, "group")
-    by_group = by_group.select("group", "sets", (F.expr("sets * (sets - 1) / 2D") <= 2 * F.col("in_lists")).alias("dense"))
-    dense = members.join(by_group.where("dense"), "group").join(sets.select("rep", "n", "tokens"), ["rep", "n"])
-    found = _in_blocks(dense, percent)
-    thin = lists.join(by_group.where("NOT dense"), "group")
+    meet = lists.groupBy("bucket", "component").agg(F.count("*").alias("size"))
+    heads = meet.groupBy("bucket").agg(F.min("component").alias("head"), F.count("*").alias("components"), F.sum("size").alias("all")).where("components > 1")
+    meet = written(meet.select("bucket", "component").join(heads, "bucket"), "meet")
+    groups = connected_components(meet.select(F.col("component").alias("a"), F.col("head").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("group"))
+    in_lists = meet.where("component = head").join(groups, "component").groupBy("group").agg(F.sum(F.expr("all * (all - 1) / 2D")).alias("in_lists"))
+    members = written(placed.join(groups, "component"), "members")
+    by_group = members.groupBy("group").agg(F.count("*").alias("sets")).join(in_lists, "group")
+    by_group = by_group.select("group", "sets", (F.expr("sets * (sets - 1) / 2D") <= BLOCK * F.col("in_lists")).alias("dense"))
+    found = _in_blocks(members.join(by_group.where("dense"), "group"), percent)
+    thin = groups.join(by_group.where("NOT dense"), "group").select("component", "group")
+    thin = lists.join(thin, "component").join(meet.select("bucket", "component"), ["bucket", "component"])
     other = thin.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
     pairs = thin.join(other, "bucket").where("rep < b AND component <> other").where(_near_size(F.col("n"), F.col("m"), percent))
     pairs = pairs.select(F.col("rep").alias("a"), "b").distinct().join(met, ["a", "b"], "left_anti")
