@@ -1,6 +1,6 @@
-"""Registry of queries and their oracle SQL."""
+"""All registered queries and their SQL; importing the modules of plans registers them."""
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict = {}
+from envflow.plans import raster_queries, scalar_queries, stream_queries, table_queries  # noqa: F401
+from envflow.registry import ORACLES, QUERIES  # noqa: F401
