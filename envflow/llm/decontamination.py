@@ -1,6 +1,6 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
-Words are lower-cased. An item of n words is compared with windows of n consecutive words of a document (the whole
+Words are lower-cased (A-Z). An item of n words is compared with windows of n consecutive words of a document (the whole
 document where it is shorter). Shingles are five words, or all words of a shorter item. A shingle's weight is one over
 the number of items that hold it, and 1 where no item does.
 
@@ -20,13 +20,14 @@ from __future__ import annotations
 from collections import Counter, defaultdict
 from collections.abc import Iterator
 from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import shingle_hashes, small_batches, words_of
+from envflow.llm.common import long_lists, shingle_hashes, small_batches, words_of
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
@@ -71,14 +72,20 @@ class MultiIndex:
         return some[np.bitwise_count(self.prints[some] ^ value) <= self.radius]
 
 
+class Item(NamedTuple):
+    id: object
+    words: int
+    shingles: np.ndarray
+    seen: list[int]  # how many items hold each shingle, of all items and not of the pass
+
+
 class Items:
     """The items of one pass that have shingles of k words."""
 
-    def __init__(self, k: int, items: list[tuple[object, np.ndarray]]):
-        self.k, self.ids = k, [i for i, _ in items]
-        self.words = np.array([len(h) for _, h in items])
-        sets = [shingle_hashes(h, k) for _, h in items]
-        seen = Counter(s for x in sets for s in set(x.tolist()))
+    def __init__(self, k: int, items: list[Item]):
+        self.k, self.ids, sets = k, [x.id for x in items], [x.shingles for x in items]
+        self.words = np.array([x.words for x in items])
+        seen = {s: n for x in items for s, n in zip(x.shingles.tolist(), x.seen, strict=True)}
         self.keys = np.array(sorted(seen), dtype=np.uint64)
         self.weights = np.array([1 / seen[s] for s in self.keys.tolist()])
         self.counts = [dict(Counter(x.tolist())) for x in sets]
@@ -141,24 +148,28 @@ def matches(items: Items, shingles: np.ndarray, hits: np.ndarray, which: np.ndar
     return best
 
 
-def _passes(benchmark: DataFrame, size: int) -> Iterator[list[tuple[object, np.ndarray]]]:
-    """The items with words, by id, in lists of at most size words or one item."""
+def _passes(benchmark: DataFrame, size: int) -> Iterator[list[Item]]:
+    """The items with words, by id, in lists of at most size words or one item. An item that repeats counts once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for words in words_of(batch.column("text"), lower=True):
-                rows = [words.hashes[a:b].tobytes() for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("item_id").slice(words.lo, len(rows)), pa.array(rows, pa.binary())], names=["item_id", "words"])
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for words in words_of(batch.column("text"), lower=True):
+                    n = np.diff(words.bounds)
+                    sets = [shingle_hashes(words.hashes[a:b], min(SHINGLE_WORDS, b - a)) if b > a else words.hashes[:0] for a, b in zip(words.bounds[:-1], words.bounds[1:], strict=True)]
+                    yield pa.RecordBatch.from_arrays([batch.column("item_id").slice(words.lo, len(n)), pa.array(n.astype(np.int64)), long_lists(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))], names=["item_id", "words", "shingles"])
 
     kind = benchmark.schema["item_id"].dataType.simpleString()
+    items = benchmark.select("item_id", "text").mapInArrow(run, f"item_id {kind}, words bigint, shingles array<bigint>").where("words > 0").distinct()
+    seen = items.select(F.explode(F.array_distinct("shingles")).alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+    each = items.select("*", F.posexplode("shingles").alias("at", "s")).join(seen, "s").groupBy("item_id", "words", "shingles").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("seen"))
     held, words = [], 0
-    for row in benchmark.select("item_id", "text").mapInArrow(run, f"item_id {kind}, words binary").where("octet_length(words) > 0").orderBy("item_id", "words").toLocalIterator():
-        hashes = np.frombuffer(bytes(row.words), dtype=np.uint64)
-        if held and words + len(hashes) > size:
+    for row in each.orderBy("item_id", "shingles").toLocalIterator():
+        if held and words + row.words > size:
             yield held
             held, words = [], 0
-        held.append((row.item_id, hashes))
-        words += len(hashes)
+        held.append(Item(row.item_id, row.words, np.array(row.shingles, dtype=np.int64).view(np.uint64), [x.n for x in row.seen]))
+        words += row.words
     if held:
         yield held
 
@@ -168,8 +179,8 @@ def _indexes(spark, benchmark: DataFrame, pass_words: int) -> Iterator:
     with np.errstate(over="ignore"):
         for items in _passes(benchmark, pass_words):
             groups = defaultdict(list)
-            for item, hashes in items:
-                groups[min(SHINGLE_WORDS, len(hashes))].append((item, hashes))
+            for item in items:
+                groups[min(SHINGLE_WORDS, item.words)].append(item)
             yield spark.sparkContext.broadcast([Items(k, group) for k, group in sorted(groups.items())])
 
 

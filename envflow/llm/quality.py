@@ -160,7 +160,7 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, held_in=None
     flat = lambda c: found.column(c).combine_chunks().flatten().to_numpy() if len(found) else np.empty(0)
     sizes = np.array([len(x) for x in found.column("bucket")], dtype=np.int64)
     at = np.repeat(np.arange(len(found)), sizes)
-    return fit(at, flat("bucket").astype(np.int64), flat("value").astype(np.float64), flat("stats").astype(np.float64).reshape(len(found), -1), np.array(found.column("quality").to_pylist(), dtype=np.float64))
+    return fit(at, flat("bucket").astype(np.int64), flat("value").astype(np.float64), flat("stats").astype(np.float64).reshape(len(found), len(STATISTICS)), np.array(found.column("quality").to_pylist(), dtype=np.float64))
 
 
 def held_out():

@@ -35,7 +35,7 @@ NO_ID = -(1 << 63)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
-    if len(_POWERS.get(base, ())) < n:
+    if base not in _POWERS or len(_POWERS[base]) < n:
         steps = np.full(max(n, 1 << 18), base, dtype=np.uint64)
         steps[0] = 1
         _POWERS[base] = np.cumprod(steps, dtype=np.uint64)
