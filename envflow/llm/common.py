@@ -42,7 +42,17 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables that nothing still to be run reads: only what has been written from them since is used."""
+    for table in tables:
+        context = table.sparkSession.sparkContext
+        path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
+        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def few(table: DataFrame, rows: int = 2_000_000) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import written
+from envflow.llm.common import discard, written
 
 
 def _spread(edges: DataFrame) -> DataFrame:
@@ -46,5 +46,6 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if tuple(got) == mark or not got[0]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
         mark = tuple(got)
-        now = written(_small_star(_large_star(now)), "edges")
+        before, now = now, written(_small_star(_large_star(now)), "edges")
+        discard(before)
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

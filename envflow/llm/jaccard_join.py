@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import few, long_lists, mix, sequence_hash, shingle_hashes, signed, small_batches, stream, words_of, written
+from envflow.llm.common import discard, few, long_lists, mix, sequence_hash, shingle_hashes, signed, small_batches, stream, words_of, written
 from envflow.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -188,6 +188,7 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     stay = written(shared.where(F.col("shared") >= need).select("rep").distinct(), "stay")
     full = docs.join(few(stay), docs.doc_id == F.col("rep")).select("rep", "text").mapInArrow(_whole(k), "rep bigint, which bigint, shingles array<bigint>")
     full = written(full.where(F.size("shingles") > 0).dropDuplicates(["rep", "which"]), "full")
+    discard(stay)
 
     # frequencies among the sets that stay; a shingle seen once is in no intersection and first in the order
     tokens = full.select("rep", "which", F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("token"))
@@ -197,6 +198,7 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     prefix = lambda j: F.slice("order", F.lit(1), F.greatest(F.lit(0), F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + j - own).cast("int"))["token"]
     sets = sets.select("rep", "n", (own / F.col("n")).alias("alone"), F.sort_array("order.token").alias("tokens"), prefix(1).alias("one"), prefix(2).alias("two"))
     sets = written(sets.where(F.size("tokens") >= F.ceil(F.lit(percent) * F.col("n") / 100)), "prefixes")
+    discard(full)
 
     bound = _boundary(sets)
     subsets = F.expr("flatten(transform(two, (x, i) -> transform(slice(two, i + 2, size(two)), y -> xxhash64(x, y))))")

@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import mix, signed, small_batches, words_of, written
+from envflow.llm.common import discard, mix, signed, small_batches, words_of, written
 
 MIN_WORDS = 35
 _R = 0x9E3779B97F4A7C55
@@ -203,10 +203,12 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, with_text: bool
     blocks = written(docs.select("doc", "text").mapInArrow(_blocks(min_words), _BLOCKS), "blocks")
     often = blocks.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor")
     again = written(blocks.join(often, "anchor"), "again")
-    kinds = again.groupBy("anchor").agg((F.min("block") == F.max("block")).alias("alike"))
-    kinds = again.join(kinds, "anchor")
-    # one example of each different block of an anchor, with the number of its copies
-    examples = kinds.where("NOT alike").groupBy("anchor", "block").agg(F.count("*").alias("copies"), F.min(F.struct("doc", "first", "n")).alias("at"))
+    discard(blocks)
+    # one example of each different block of an anchor, with the number of its copies; copies meet in partial sums
+    different = again.groupBy("anchor", "block").agg(F.count("*").alias("copies"), F.min(F.struct("doc", "first", "n")).alias("at"))
+    alike = different.groupBy("anchor").agg((F.min("block") == F.max("block")).alias("alike"))
+    kinds = again.join(alike, "anchor")
+    examples = different.join(alike.where("NOT alike"), "anchor")
     asked = examples.groupBy(F.col("at.doc").alias("doc")).agg(F.collect_list(F.struct("anchor", "block", "copies", F.col("at.first").alias("first"), F.col("at.n").alias("n"))).alias("asked"))
     texts = docs.select("doc", "text").where("text IS NOT NULL")
     opened = texts.join(asked, "doc").mapInArrow(_windows(min_words), "anchor bigint, block bigint, copies bigint, windows array<bigint>")
