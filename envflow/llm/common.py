@@ -33,15 +33,21 @@ def shared_dir(spark: SparkSession) -> str:
     return found.rstrip("/")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """df written once as Parquet to the shared folder and read again: cuts lineage and survives lost executors.
 
-    At most FILES_PER_CORE files for each core of the cluster: a small result over many shuffle partitions would
-    otherwise be as many tiny files. Partitions that share a file are worked on one after another.
+    At most FILES_PER_CORE files for each core of the cluster, or one for each core where few rows are expected: a
+    small result over many shuffle partitions would otherwise be as many tiny files. Partitions that share a file are
+    worked on one after another.
+
+    An aggregate that is joined with its own input is written first: then both sides of the join are plain exchanges,
+    which adaptive execution can split where a key is hot. With the aggregate in the join's stage it can't.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    df.coalesce(FILES_PER_CORE * spark.sparkContext.defaultParallelism).write.parquet(path)
+    cores = spark.sparkContext.defaultParallelism
+    files = FILES_PER_CORE * cores if rows is None else min(FILES_PER_CORE * cores, max(cores, rows // 500_000))
+    df.coalesce(files).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
     return out

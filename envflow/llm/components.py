@@ -7,26 +7,28 @@ is a partial aggregate, and its join rows are split by adaptive skew handling.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from envflow.llm.common import discard, written
 
 
-def _spread(edges: DataFrame) -> DataFrame:
-    """(u, v, m): both directions of every edge with u's smallest neighbour or itself."""
-    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
-    least = both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m"))
-    return both.join(least, F.col("u") == F.col("k")).select("u", "v", "m")
+#: Edges from which on a hub's minimum is written before it is joined (see written).
+MANY = 2_000_000
 
 
-def _large_star(edges: DataFrame) -> DataFrame:
-    return _spread(edges).where("v > u AND v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
+def _large_star(edges: DataFrame, kept: Callable[[DataFrame], DataFrame]) -> DataFrame:
+    """edges: (a, b) with a > b. Every larger neighbour of a node is linked with the node's smallest neighbour or itself."""
+    both = edges.select(F.col("a").alias("u"), F.col("b").alias("v")).unionAll(edges.select(F.col("b").alias("u"), F.col("a").alias("v")))
+    least = kept(both.groupBy("u").agg(F.min("v").alias("m")).select(F.col("u").alias("k"), F.least("u", "m").alias("m")))
+    return both.join(least, F.col("u") == F.col("k")).where("v > u AND v <> m").select(F.col("v").alias("a"), F.col("m").alias("b")).distinct()
 
 
-def _small_star(edges: DataFrame) -> DataFrame:
+def _small_star(edges: DataFrame, kept: Callable[[DataFrame], DataFrame]) -> DataFrame:
     """edges: (a, b) with a > b. Every smaller neighbour, and a itself, is linked with a's smallest neighbour."""
-    least = edges.groupBy("a").agg(F.min("b").alias("m"))
+    least = kept(edges.groupBy("a").agg(F.min("b").alias("m")))
     moved = edges.join(least.withColumnRenamed("a", "k"), F.col("a") == F.col("k")).where("b <> m").select(F.col("b").alias("a"), F.col("m").alias("b"))
     return moved.unionAll(least.select("a", F.col("m").alias("b"))).where("a <> b").distinct()
 
@@ -46,6 +48,17 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         if tuple(got) == mark or not got[0]:
             return now.select(F.col("a").alias("node"), F.col("b").alias("component")).unionAll(now.select(F.col("b").alias("node"), F.col("b").alias("component"))).distinct()
         mark = tuple(got)
-        before, now = now, written(_small_star(_large_star(now)), "edges")
-        discard(before)
+        rows, passing = int(got[0]), []
+
+        def kept(table: DataFrame, rows: int = rows, passing: list = passing) -> DataFrame:
+            if rows < MANY:
+                return table
+            passing.append(written(table, "minima", rows))
+            return passing[-1]
+
+        large = _large_star(now, kept)
+        if rows >= MANY:
+            passing.append(large := written(large, "edges", rows))
+        before, now = now, written(_small_star(large, kept), "edges", rows)
+        discard(before, *passing)
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -60,7 +60,9 @@ def test_equal_words_have_equal_hashes():
     assert hashes[0] == hashes[3] and hashes[1] == hashes[4] and len(set(hashes.tolist())) == 3
 
 
-def test_components(spark):
+@pytest.mark.parametrize("many", [0, 2_000_000])
+def test_components(spark, monkeypatch, many):
+    monkeypatch.setattr(components, "MANY", many)
     rng = random.Random(3)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000, 1000 + i) for i in range(100)] + [(2000 + i, 2001 + i) for i in range(40)]
     want = roots(pairs, {x for p in pairs for x in p})
