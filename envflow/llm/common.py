@@ -19,7 +19,9 @@ from pyspark.sql import functions as F
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: Texts are hashed in pieces of about so many bytes (whole documents), which bounds a task's memory.
 CHUNK_BYTES = 1 << 20
-FILES_PER_CORE = 8
+FILES_PER_CORE = 2
+#: Input rows from which on a hot key matters: a third of fewer rows is still a fair task.
+SPLIT_ROWS = 50_000_000
 _MASK = (1 << 64) - 1
 
 
@@ -39,9 +41,6 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     At most FILES_PER_CORE files for each core of the cluster, or one for each core where few rows are expected: a
     small result over many shuffle partitions would otherwise be as many tiny files. Partitions that share a file are
     worked on one after another.
-
-    An aggregate that is joined with its own input is written first: then both sides of the join are plain exchanges,
-    which adaptive execution can split where a key is hot. With the aggregate in the join's stage it can't.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
@@ -53,9 +52,20 @@ def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     return out
 
 
+def splittable(aggregate: DataFrame, name: str, rows: int) -> DataFrame:
+    """An aggregate of a table of so many rows that is to be joined with that table, written first if they are many.
+
+    Then both sides of the join are plain exchanges, which adaptive execution can split where a key is hot; with the
+    aggregate in the join's own stage it can't.
+    """
+    return written(aggregate, name) if rows >= SPLIT_ROWS else aggregate
+
+
 def discard(*tables: DataFrame) -> None:
-    """Deletes written tables that nothing still to be run reads: only what has been written from them since is used."""
+    """Deletes written tables (others stay) that nothing reads any more: what was made of them has been written since."""
     for table in tables:
+        if not hasattr(table, "written_to"):
+            continue
         context = table.sparkSession.sparkContext
         path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
         path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)

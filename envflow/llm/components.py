@@ -12,11 +12,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import discard, written
-
-
-#: Edges from which on a hub's minimum is written before it is joined (see written).
-MANY = 2_000_000
+from envflow.llm.common import discard, splittable, written
 
 
 def _large_star(edges: DataFrame, kept: Callable[[DataFrame], DataFrame]) -> DataFrame:
@@ -51,14 +47,10 @@ def connected_components(edges: DataFrame, most_rounds: int = 60) -> DataFrame:
         rows, passing = int(got[0]), []
 
         def kept(table: DataFrame, rows: int = rows, passing: list = passing) -> DataFrame:
-            if rows < MANY:
-                return table
-            passing.append(written(table, "minima", rows))
+            passing.append(splittable(table, "minima", rows))
             return passing[-1]
 
-        large = _large_star(now, kept)
-        if rows >= MANY:
-            passing.append(large := written(large, "edges", rows))
+        large = splittable(_large_star(now, kept), "edges", rows)
         before, now = now, written(_small_star(large, kept), "edges", rows)
-        discard(before, *passing)
+        discard(before, large, *passing)
     raise RuntimeError(f"components did not settle in {most_rounds} rounds")

@@ -26,7 +26,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import discard, few, long_lists, mix, sequence_hash, shingle_hashes, signed, small_batches, stream, words_of, written
+from envflow.llm.common import discard, few, long_lists, mix, sequence_hash, shingle_hashes, signed, small_batches, splittable, stream, words_of, written
 from envflow.llm.components import connected_components
 
 SHINGLE_WORDS = 4
@@ -182,7 +182,7 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     reps = some.groupBy("same1", "same2").agg(F.min("doc_id").alias("rep"), F.first("n").alias("n"), F.first("sent").alias("sent"))
     sent = reps.select("rep", "n", F.explode("sent").alias("token"))
     seen = sent.groupBy("token").agg(F.count("*").alias("df")).where("df > 1").select("token")
-    seen = written(seen, "seen")
+    seen = splittable(seen, "seen", rows.agg(F.sum(F.size("sent"))).first()[0] or 0)
     least = F.ceil(F.lit(percent) * F.col("n") / 100)  # the smallest partner
     need = F.greatest(F.lit(1), F.floor((least - F.ceil(F.lit(percent) * least / 100) + 1) / 2))
     shared = sent.join(seen, "token").groupBy("rep", "n").agg(F.count("*").alias("shared"))
@@ -193,7 +193,7 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
 
     # frequencies among the sets that stay; a shingle seen once is in no intersection and first in the order
     tokens = full.select("rep", "which", F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("token"))
-    often = written(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "often")
+    often = splittable(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "often", full.agg(F.sum(F.size("shingles"))).first()[0] or 0)
     sets = tokens.join(often, "token").groupBy("rep", "which", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order"))
     own = F.col("n") - F.size("order")
     prefix = lambda j: F.slice("order", F.lit(1), F.greatest(F.lit(0), F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + j - own).cast("int"))["token"]
@@ -206,11 +206,11 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     light = sets.where(F.col("n") <= bound).select("rep", "n", "alone", F.explode(subsets).alias("bucket"))
     heavy = sets.where(100 * F.col("n") >= percent * (bound + 1)).select("rep", "n", "alone", F.explode("one").alias("bucket"))
     lists = light.unionAll(heavy).distinct()
-    several = written(lists.groupBy("bucket").agg((F.min("rep") < F.max("rep")).alias("some")).where("some").select("bucket"), "several")
+    several = lists.groupBy("bucket").agg((F.min("rep") < F.max("rep")).alias("some")).where("some").select("bucket")
     lists = written(lists.join(several, "bucket"), "lists")
 
     # one round of pivots: each list's most central set against its other members
-    pivots = written(lists.groupBy("bucket").agg(F.min(F.struct("alone", "rep", "n")).alias("p")), "pivots")
+    pivots = splittable(lists.groupBy("bucket").agg(F.min(F.struct("alone", "rep", "n")).alias("p")), "pivots", lists.count())
     met = lists.join(pivots, "bucket").where("rep <> p.rep").where(_near_size(F.col("n"), F.col("p.n"), percent))
     met = written(met.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct(), "pairs")
     edges = written(_verified(met, sets, percent), "links")
@@ -234,7 +234,7 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     pairs = thin.join(other, "bucket").where("rep < b AND component <> other").where(_near_size(F.col("n"), F.col("m"), percent))
     pairs = pairs.select(F.col("rep").alias("a"), "b").distinct().join(met, ["a", "b"], "left_anti")
     edges = written(edges.unionAll(found).unionAll(_verified(pairs, sets, percent)), "links")
-    same = written(reps.select("same1", "same2", "rep"), "same")
+    same = splittable(reps.select("same1", "same2", "rep"), "same", rows.count())
     out = rows.select("doc_id", "n", "same1", "same2").join(same, ["same1", "same2"], "left")
     return out.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")), edges
 

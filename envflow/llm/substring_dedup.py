@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import discard, mix, signed, small_batches, words_of, written
+from envflow.llm.common import discard, mix, signed, small_batches, splittable, words_of, written
 
 MIN_WORDS = 35
 _R = 0x9E3779B97F4A7C55
@@ -201,12 +201,13 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, with_text: bool
     small_batches(spark)
     docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
     blocks = written(docs.select("doc", "text").mapInArrow(_blocks(min_words), _BLOCKS), "blocks")
-    often = written(blocks.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor"), "often")
+    often = splittable(blocks.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor"), "often", blocks.count())
     again = written(blocks.join(often, "anchor"), "again")
     discard(blocks, often)
     # one example of each different block of an anchor, with the number of its copies; copies meet in partial sums
-    different = written(again.groupBy("anchor", "block").agg(F.count("*").alias("copies"), F.min(F.struct("doc", "first", "n")).alias("at")), "different")
-    alike = written(different.groupBy("anchor").agg((F.min("block") == F.max("block")).alias("alike")), "alike")
+    rows = again.count()
+    different = splittable(again.groupBy("anchor", "block").agg(F.count("*").alias("copies"), F.min(F.struct("doc", "first", "n")).alias("at")), "different", rows)
+    alike = splittable(different.groupBy("anchor").agg((F.min("block") == F.max("block")).alias("alike")), "alike", rows)
     kinds = again.join(alike, "anchor")
     examples = different.join(alike.where("NOT alike"), "anchor")
     asked = examples.groupBy(F.col("at.doc").alias("doc")).agg(F.collect_list(F.struct("anchor", "block", "copies", F.col("at.first").alias("first"), F.col("at.n").alias("n"))).alias("asked"))
@@ -214,9 +215,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, with_text: bool
     opened = texts.join(asked, "doc").mapInArrow(_windows(min_words), "anchor bigint, block bigint, copies bigint, windows array<bigint>")
     opened = written(opened.dropDuplicates(["anchor", "block"]), "opened")  # rows that share an id answer twice
     single = opened.select("anchor", "block", "copies", F.posexplode("windows").alias("j", "hash"))
-    twice = written(single.groupBy("anchor", "hash").agg(F.sum("copies").alias("seen")).where("seen > 1").select("anchor", "hash"), "twice")
-    masks = written(single.join(twice, ["anchor", "hash"]).groupBy("anchor", "block").agg(F.bit_or(F.expr("shiftleft(1L, j)")).alias("mask")), "masks")
-    discard(different, opened, twice)
+    twice = splittable(single.groupBy("anchor", "hash").agg(F.sum("copies").alias("seen")).where("seen > 1").select("anchor", "hash"), "twice", rows)
+    masks = splittable(single.join(twice, ["anchor", "hash"]).groupBy("anchor", "block").agg(F.bit_or(F.expr("shiftleft(1L, j)")).alias("mask")), "masks", rows)
     hits = kinds.where("alike").select("doc", "block", "first", "n", F.lit(-1).cast("bigint").alias("mask"))
     hits = hits.unionAll(kinds.where("NOT alike").join(masks, ["anchor", "block"]).select("doc", "block", "first", "n", "mask"))
     per_doc = hits.groupBy("doc").agg(F.collect_list(F.struct("block", "first", "n", "mask")).alias("hits"))

@@ -60,9 +60,9 @@ def test_equal_words_have_equal_hashes():
     assert hashes[0] == hashes[3] and hashes[1] == hashes[4] and len(set(hashes.tolist())) == 3
 
 
-@pytest.mark.parametrize("many", [0, 2_000_000])
+@pytest.mark.parametrize("many", [0, 50_000_000])
 def test_components(spark, monkeypatch, many):
-    monkeypatch.setattr(components, "MANY", many)
+    monkeypatch.setattr(common, "SPLIT_ROWS", many)
     rng = random.Random(3)
     pairs = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000, 1000 + i) for i in range(100)] + [(2000 + i, 2001 + i) for i in range(40)]
     want = roots(pairs, {x for p in pairs for x in p})
@@ -136,7 +136,14 @@ def brute_components(docs):
     return {d: (len(sets[d]), root[d]) for d in docs}
 
 
-def test_jaccard_components(spark):
+def test_repeats_of_a_very_large_input(spark, monkeypatch):
+    monkeypatch.setattr(common, "SPLIT_ROWS", 0)
+    test_oracles(spark, "op2_substring_dedup")
+
+
+@pytest.mark.parametrize("many", [0, 50_000_000])
+def test_jaccard_components(spark, monkeypatch, many):
+    monkeypatch.setattr(common, "SPLIT_ROWS", many)
     docs = texts(spark)
     got = {r.doc_id: (r.n_shingles, r.component_id) for r in queries.op4_jaccard_join(spark, DATA).collect()}
     assert got == brute_components(docs)
