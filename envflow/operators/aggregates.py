@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from envflow.functions import finite
+
 
 def exact_sum(c: Column) -> Column:
     """A sum that doesn't depend on the order of rows."""
@@ -53,3 +56,35 @@ def file_stats(files: DataFrame) -> DataFrame:
 
 def healthy(files: Column, live_nodes: Column) -> Column:
     return (F.coalesce(files, F.lit(0)) > 0) & (F.coalesce(live_nodes, F.lit(0)) > 0)
+
+
+def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str = "percentile", buckets: int = 200) -> DataFrame:
+    """(keys, name): the interpolated q-th percentile of each group's valid values, exact and without holding a group.
+
+    A sketch gives each group's bucket bounds; counts by bucket tell which bucket the wanted ranks are in; only that
+    bucket's distinct values are then put in order. A very common value is one row by then. Groups without a valid
+    value have no row.
+    """
+    good = df.where(finite(F.col(value))).select(*keys, F.col(value).cast("double").alias("_v"))
+    steps = F.array(*(F.lit(i / buckets) for i in range(1, buckets)))
+    cuts = good.groupBy(*keys).agg(F.percentile_approx("_v", steps, F.lit(10 * buckets)).alias("_cuts"), F.count("*").alias("_n"))
+
+    def same(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
+        b = b.withColumnsRenamed({k: f"_r_{k}" for k in on})
+        met = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in on), F.lit(True))
+        return a.join(b, met).drop(*(f"_r_{k}" for k in on))
+
+    bucket = F.size(F.filter("_cuts", lambda c: c <= F.col("_v"))).alias("_b")
+    placed = same(good, cuts.select(*keys, "_cuts"), keys).select(*keys, "_v", bucket)
+    counts = same(placed.groupBy(*keys, "_b").agg(F.count("*").alias("_c")), cuts.select(*keys, "_n"), keys)
+    before = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_b")) - F.col("_c")
+    at = F.lit(q) * (F.col("_n") - 1)
+    ranks = counts.select(*keys, "_b", "_c", before.alias("_before"), at.alias("_at"), F.floor(at).alias("_lo"), F.ceil(at).alias("_hi"))
+    holds = lambda start, n, rank: (F.col(start) <= F.col(rank)) & (F.col(rank) < F.col(start) + F.col(n))
+    wanted = ranks.where(holds("_before", "_c", "_lo") | holds("_before", "_c", "_hi")).drop("_c")
+    inside = same(placed, wanted, [*keys, "_b"]).groupBy(*keys, "_b", "_before", "_at", "_lo", "_hi", "_v").agg(F.count("*").alias("_c"))
+    start = F.sum("_c").over(Window.partitionBy(*keys, "_b").orderBy("_v")) - F.col("_c") + F.col("_before")
+    ends = inside.withColumn("_start", start).groupBy(*keys, "_at", "_lo").agg(
+        F.max(F.when(holds("_start", "_c", "_lo"), F.col("_v"))).alias("_low"), F.max(F.when(holds("_start", "_c", "_hi"), F.col("_v"))).alias("_high")
+    )
+    return ends.select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_at") - F.col("_lo"))).alias(name))

@@ -51,7 +51,8 @@ def raster_aod_qa(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT event_type, round(greatest(0.3, least(coalesce(quantile_cont(value / 40, 0.98), 1.5), 2.5)), 6) AS upper_limit FROM events GROUP BY 1""")
 def percentile_clamp(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return table(spark, sf_dir, "events").groupBy("event_type").agg(F.round(R.display_limit(F.col("value") / 40), 6).alias("upper_limit"))
+    cells = table(spark, sf_dir, "events").select("event_type", (F.col("value") / 40).alias("v"))
+    return R.display_limits(cells, ["event_type"], "v").withColumn("upper_limit", F.round("upper_limit", 6))
 
 
 @query("""SELECT CAST(user_id // 12 AS INTEGER) AS row, CAST(user_id % 12 AS INTEGER) AS col, arg_min(value, (event_id % 3) * 1000000000 + event_id) AS value FROM events WHERE value <> 10.0 GROUP BY ALL""")

@@ -74,4 +74,5 @@ def run(source: DataFrame, steps: Sequence[Step], path: str, checkpoint: str, pa
 def compact(spark: SparkSession, path: str, to: str, parts: Sequence[str], mb: int = 256) -> None:
     """Rewrites a partitioned table of many small files: each partition's rows together, in files of about mb megabytes."""
     rows = max(1, mb) * 10_000
-    spark.read.parquet(path).repartition(*parts, F.pmod(F.hash(F.rand(seed=1)), F.lit(8))).sortWithinPartitions(*parts).write.option("maxRecordsPerFile", rows).partitionBy(*parts).parquet(to)
+    table = spark.read.parquet(path)
+    table.repartition(*parts, F.pmod(F.xxhash64(*table.columns), F.lit(8))).sortWithinPartitions(*parts).write.option("maxRecordsPerFile", rows).partitionBy(*parts).parquet(to)

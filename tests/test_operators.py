@@ -90,3 +90,22 @@ def test_file_stats_and_health(spark):
     assert rows(A.file_stats(files)) == [(2, 30, 7)]
     assert rows(A.file_stats(files.where("length > 1000"))) == [(0, 0, None)]
     assert rows(files.limit(1).select(A.healthy(F.lit(2), F.lit(1)), A.healthy(F.lit(None).cast("int"), F.lit(1)))) == [(True, False)]
+
+
+def test_exact_percentile(spark):
+    rng = random.Random(8)
+    data = [(rng.choice(("a", "b", None)), rng.choice((1.5, rng.random() * 100))) for _ in range(3000)] + [("one", 7.0), ("bad", float("nan")), ("bad", None)]
+    df = spark.createDataFrame(data, "k string, v double")
+    want = {r.k: r.p for r in df.where("NOT isnan(v)").groupBy("k").agg(F.percentile("v", F.lit(0.98)).alias("p")).where("p IS NOT NULL").collect()}
+    got = {r.k: r.p for r in A.exact_percentile(df, ["k"], "v", 0.98, "p", buckets=20).collect()}
+    assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+
+
+def test_time_range_prunes_partitions(spark, tmp_path):
+    df = spark.range(96).select("id", F.timestamp_seconds(1735689600 + F.col("id") * 3600).cast("timestamp_ntz").alias("t"))
+    df.withColumns({"year": F.year("t"), "month": F.month("t"), "day": F.dayofmonth("t")}).write.partitionBy("year", "month", "day").parquet(f"{tmp_path}/t")
+    found = T.time_range(spark.read.parquet(f"{tmp_path}/t"), "t", "2025-01-02 05:00:00", "2025-01-03 00:00:00", ["year", "month", "day"])
+    assert sorted(r.id for r in found.collect()) == list(range(29, 49))
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [" in plan and "named_struct" in plan
+    assert len(found.inputFiles()) and "PushedFilters: [IsNotNull(t)" in plan
