@@ -38,14 +38,15 @@ def shared_dir(spark: SparkSession) -> str:
 def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """df written once as Parquet to the shared folder and read again: cuts lineage and survives lost executors.
 
-    At most FILES_PER_CORE files for each core of the cluster, or one for each core where few rows are expected: a
-    small result over many shuffle partitions would otherwise be as many tiny files. Partitions that share a file are
-    worked on one after another.
+    At most FILES_PER_CORE files for each core of the cluster (or a file for eight shuffle partitions, if that is
+    more), and one for each core where few rows are expected: a small result over many shuffle partitions would
+    otherwise be as many tiny files. Partitions that share a file are worked on one after another.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
     cores = spark.sparkContext.defaultParallelism
-    files = FILES_PER_CORE * cores if rows is None else min(FILES_PER_CORE * cores, max(cores, rows // 500_000))
+    files = max(FILES_PER_CORE * cores, n_partitions(spark) // 8)
+    files = files if rows is None else min(files, max(cores, rows // 500_000))
     df.coalesce(files).write.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
@@ -81,7 +82,7 @@ def n_partitions(spark: SparkSession, least: int = 1) -> int:
 
 
 def small_batches(spark: SparkSession, rows: int = 1000) -> None:
-    """Arrow batches of so many rows at most: texts may be long, and a batch is held in memory whole."""
+    """Arrow batches of so many rows at most (and 64 MB, Spark's own limit): a batch is held in memory whole."""
     if int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) > rows:
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 

@@ -9,7 +9,8 @@ among the first ``n - o(n) + j`` of either set.
    prefix. A set stays only if as many of them as any partner's j are seen in other sets. Most sets end here.
 3. The sets that stay are ordered by frequency, rare shingles first. Light sets, up to a boundary size, list all
    two-shingle subsets of their prefix; heavy sets, and light ones near the boundary, are in the inverted list of each
-   prefix shingle. The boundary is the power of two with the least cost: subsets listed, against rows in lists and comparisons of blocks.
+   prefix shingle. The boundary is the power of two with the least cost: subsets listed, against rows in lists and
+   comparisons of blocks.
 4. A list of n sets isn't n * n pairs. First its pivot, the set with the smallest share of shingles of its own, is
    verified against the other members; sets that are in one component by then need no more comparisons. Components
    that still meet in a list form a group, which is compared block by block, each pair of blocks in a task that returns
@@ -35,8 +36,8 @@ PERCENT = 85
 BLOCK = 128
 #: Columns of the matrices that the comparison multiplies.
 COLUMNS = 1 << 14
-
-
+#: A group is compared whole if it has at most so many pairs for each pair in its lists: a pair in a block costs far less.
+DENSE = 128
 _WHICH = stream(52, 1)[0]
 
 
@@ -226,7 +227,7 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     in_lists = meet.where("component = head").join(groups, "component").groupBy("group").agg(F.sum(F.expr("all * (all - 1) / 2D")).alias("in_lists"))
     members = written(placed.join(groups, "component"), "members")
     by_group = members.groupBy("group").agg(F.count("*").alias("sets")).join(in_lists, "group")
-    by_group = by_group.select("group", "sets", (F.expr("sets * (sets - 1) / 2D") <= BLOCK * F.col("in_lists")).alias("dense"))
+    by_group = by_group.select("group", "sets", (F.expr("sets * (sets - 1) / 2D") <= DENSE * F.col("in_lists")).alias("dense"))
     found = _in_blocks(members.join(by_group.where("dense"), "group"), percent)
     thin = groups.join(by_group.where("NOT dense"), "group").select("component", "group")
     thin = lists.join(thin, "component").join(meet.select("bucket", "component"), ["bucket", "component"])

@@ -121,7 +121,7 @@ def digits_of(part: str) -> str:
 def login_at(text: str, at: int) -> tuple[int, int] | None:
     """user:password before the at-sign of a URL whose ``://`` ends at at."""
     end = at
-    while end < len(text) and text[end] not in _URL_END and end - at < 512:
+    while end < len(text) and text[end] not in _URL_END:
         if text[end] == "@":
             return (at, end) if ":" in text[at:end] and end > at + 2 else None
         end += 1

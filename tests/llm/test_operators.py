@@ -149,10 +149,11 @@ def test_jaccard_components(spark, monkeypatch, many):
     assert got == brute_components(docs)
 
 
-@pytest.mark.parametrize("block", [4, 128])
-def test_jaccard_components_of_crowded_groups(spark, monkeypatch, block):
+@pytest.mark.parametrize("block, dense", [(4, 128), (128, 128), (128, 0)])
+def test_jaccard_components_of_crowded_groups(spark, monkeypatch, block, dense):
     """Near copies around a base, at distances around the threshold, short and long texts, and shared passages."""
     monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "DENSE", dense)
     rng = random.Random(5)
     word = lambda: "".join(rng.choices("abcdefg", k=4))
     docs, passage = {}, [word() for _ in range(30)]
