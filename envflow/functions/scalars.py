@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 __all__ = [
     "air_key", "basename", "bbox_overlap", "bbox_wkt", "blank_to_null", "change_parts", "clamp", "clean", "coverage_pct", "date_range",
     "decimal_comma", "default", "display_parameter", "finite", "iso_utc", "list_items", "masked", "nan_to_null", "parent_folder", "parse_date",
-    "parse_time", "polygon_holds", "product_key", "safe_bigint", "safe_double", "sanitized", "sinusoidal_to_lonlat", "stem", "weather_key",
+    "parse_time", "polygon_holds", "product_key", "rings_meet", "safe_bigint", "safe_double", "sanitized", "sinusoidal_to_lonlat", "stem", "weather_key",
 ]
 
 
@@ -161,6 +161,27 @@ def polygon_holds(ring: Column, x: Column, y: Column) -> Column:
     return F.aggregate(edges, F.lit(0), lambda n, e: n + crosses(e)) % 2 == 1
 
 
+def _edges(ring: Column) -> Column:
+    return F.arrays_zip(ring.alias("p"), F.concat(F.slice(ring, 2, F.size(ring)), F.slice(ring, 1, 1)).alias("q"))
+
+
+def _turn(p: Column, q: Column, r: Column) -> Column:
+    return (q[0] - p[0]) * (r[1] - p[1]) - (q[1] - p[1]) * (r[0] - p[0])
+
+
+def _cross(a: Column, b: Column) -> Column:
+    """Whether two edges have a point in common, ends included."""
+    near = lambda i: (F.least(a["p"][i], a["q"][i]) <= F.greatest(b["p"][i], b["q"][i])) & (F.least(b["p"][i], b["q"][i]) <= F.greatest(a["p"][i], a["q"][i]))
+    sides = lambda s, t: _turn(s["p"], s["q"], t["p"]) * _turn(s["p"], s["q"], t["q"]) <= 0
+    return near(0) & near(1) & sides(a, b) & sides(b, a)
+
+
+def rings_meet(a: Column, b: Column) -> Column:
+    """Whether two polygons, given by their rings of points [x, y], have a point in common, borders included."""
+    touch = F.exists(_edges(a), lambda x: F.exists(_edges(b), lambda y: _cross(x, y)))
+    return touch | polygon_holds(a, b[0][0], b[0][1]) | polygon_holds(b, a[0][0], a[0][1])
+
+
 def sinusoidal_to_lonlat(x: Column, y: Column, radius: float = 6371007.181) -> Column:
     """struct(lon, lat) in degrees of a sinusoidal projection on a sphere."""
     lat = y / radius

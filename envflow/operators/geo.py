@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envflow.functions import bbox_overlap
+from envflow.functions import bbox_overlap, rings_meet
 
 _POINT = "array<double>"
 
@@ -59,3 +59,22 @@ def overlap_join(a: DataFrame, b: DataFrame, box_a: tuple[str, str, str, str], b
     overlap = bbox_overlap(tuple(map(F.col, box_a)), tuple(map(F.col, box_b)))
     corner = lambda i: F.floor(F.greatest(F.col(box_a[i]), F.col(box_b[i])) / cell)
     return both.where(overlap & (F.col("_ax") == corner(0)) & (F.col("_ay") == corner(1))).drop("_ax", "_ay", "_bx", "_by")
+
+
+def spatial_join(a: DataFrame, b: DataFrame, ring_a: str, ring_b: str, cell: float, suffixes: tuple[str, str] = ("_left", "_right")) -> DataFrame:
+    """Pairs of rows whose polygons have a point in common; names that both sides have get a suffix.
+
+    Boxes are joined on grid cells first (see overlap_join); the exact test runs on those pairs only. Null and empty
+    rings meet nothing.
+    """
+    both = set(a.columns) & set(b.columns)
+    a, b = (df.withColumnsRenamed({c: c + suffix for c in both}) for df, suffix in ((a, suffixes[0]), (b, suffixes[1])))
+    ring_a, ring_b = (r + s if r in both else r for r, s in ((ring_a, suffixes[0]), (ring_b, suffixes[1])))
+
+    def boxed(df: DataFrame, ring: str, name: str) -> DataFrame:
+        along = lambda i: F.transform(ring, lambda p: p[i])
+        return df.withColumns({f"{name}x0": F.array_min(along(0)), f"{name}y0": F.array_min(along(1)), f"{name}x1": F.array_max(along(0)), f"{name}y1": F.array_max(along(1))})
+
+    box = lambda name: (f"{name}x0", f"{name}y0", f"{name}x1", f"{name}y1")
+    pairs = overlap_join(boxed(a, ring_a, "_l"), boxed(b, ring_b, "_m"), box("_l"), box("_m"), cell)
+    return pairs.where(rings_meet(F.col(ring_a), F.col(ring_b))).drop(*box("_l"), *box("_m"))

@@ -109,3 +109,33 @@ def test_time_range_prunes_partitions(spark, tmp_path):
     plan = found._jdf.queryExecution().executedPlan().toString()
     assert "PartitionFilters: [isnotnull(year" in plan or "PartitionFilters: [" in plan and "named_struct" in plan
     assert len(found.inputFiles()) and "PushedFilters: [IsNotNull(t)" in plan
+
+
+def test_spatial_join(spark):
+    rng = random.Random(4)
+
+    def triangle():
+        x, y = rng.randint(0, 40), rng.randint(0, 40)
+        return [[float(x + rng.randint(0, 12)), float(y + rng.randint(0, 12))] for _ in range(3)]
+
+    def area(t):
+        return (t[1][0] - t[0][0]) * (t[2][1] - t[0][1]) - (t[1][1] - t[0][1]) * (t[2][0] - t[0][0])
+
+    def apart(s, t):
+        """Convex shapes are apart if an edge's normal separates them."""
+        for ring in (s, t):
+            for i in range(3):
+                (x0, y0), (x1, y1) = ring[i], ring[(i + 1) % 3]
+                nx, ny = y1 - y0, x0 - x1
+                one, two = [nx * x + ny * y for x, y in s], [nx * x + ny * y for x, y in t]
+                if max(one) < min(two) or max(two) < min(one):
+                    return True
+        return False
+
+    shapes = [t for t in (triangle() for _ in range(160)) if area(t)]
+    a, b = list(enumerate(shapes[:70])), list(enumerate(shapes[70:]))
+    want = sorted((i, j) for i, s in a for j, t in b if not apart(s, t))
+    schema = "id int, ring array<array<double>>"
+    got = geo.spatial_join(spark.createDataFrame([*a, (900, None), (901, [])], schema), spark.createDataFrame(b, schema), "ring", "ring", 12.0)
+    assert got.columns == ["id_left", "ring_left", "id_right", "ring_right"]
+    assert sorted((r.id_left, r.id_right) for r in got.collect()) == want and want
