@@ -63,13 +63,17 @@ def splittable(aggregate: DataFrame, name: str, rows: int) -> DataFrame:
 
 
 def discard(*tables: DataFrame) -> None:
-    """Deletes written tables (others stay) that nothing reads any more: what was made of them has been written since."""
+    """Deletes written tables (others stay) that nothing reads any more: what was made of them has been written since.
+
+    The shuffle files that made them go when the driver's garbage collector finds their plans gone. It is asked to look
+    now, as otherwise the files of many steps stand on the disks at once.
+    """
     for table in tables:
-        if not hasattr(table, "written_to"):
-            continue
-        context = table.sparkSession.sparkContext
-        path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
-        path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+        if hasattr(table, "written_to"):
+            context = table.sparkSession.sparkContext
+            path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
+            path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
+    tables[0].sparkSession.sparkContext._jvm.System.gc()
 
 
 def few(table: DataFrame, rows: int = 2_000_000) -> DataFrame:

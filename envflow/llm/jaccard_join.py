@@ -188,9 +188,10 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     need = F.greatest(F.lit(1), F.floor((least - F.ceil(F.lit(percent) * least / 100) + 1) / 2))
     shared = sent.join(seen, "token").groupBy("rep", "n").agg(F.count("*").alias("shared"))
     stay = written(shared.where(F.col("shared") >= need).select("rep").distinct(), "stay")
+    discard(seen)
     full = docs.join(few(stay), docs.doc_id == F.col("rep")).select("rep", "text").mapInArrow(_whole(k), "rep bigint, which bigint, shingles array<bigint>")
     full = written(full.where(F.size("shingles") > 0).dropDuplicates(["rep", "which"]), "full")
-    discard(stay, seen)
+    discard(stay)
 
     # frequencies among the sets that stay; a shingle seen once is in no intersection and first in the order
     tokens = full.select("rep", "which", F.size("shingles").cast("bigint").alias("n"), F.explode("shingles").alias("token"))
@@ -206,7 +207,19 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     subsets = F.expr("flatten(transform(two, (x, i) -> transform(slice(two, i + 2, size(two)), y -> xxhash64(x, y))))")
     light = sets.where(F.col("n") <= bound).select("rep", "n", "alone", F.explode(subsets).alias("bucket"))
     heavy = sets.where(100 * F.col("n") >= percent * (bound + 1)).select("rep", "n", "alone", F.explode("one").alias("bucket"))
-    lists = light.unionAll(heavy).distinct()
+    edges = join_lists(light.unionAll(heavy).distinct(), sets, percent)
+    discard(sets)
+    same = splittable(reps.select("same1", "same2", "rep"), "same", rows.count())
+    out = rows.select("doc_id", "n", "same1", "same2").join(same, ["same1", "same2"], "left")
+    return out.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")), edges
+
+
+def join_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links (a, b) among the sets that share a list: enough of them to join all that link (see step 4 above).
+
+    lists: (bucket, rep, n, alone), distinct; alone orders the candidates for a pivot. sets: (rep, n, tokens), n being the size
+    of the set and tokens those that another set may hold too.
+    """
     several = lists.groupBy("bucket").agg((F.min("rep") < F.max("rep")).alias("some")).where("some").select("bucket")
     lists = written(lists.join(several, "bucket"), "lists")
 
@@ -214,10 +227,10 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     pivots = splittable(lists.groupBy("bucket").agg(F.min(F.struct("alone", "rep", "n")).alias("p")), "pivots", lists.count())
     met = lists.join(pivots, "bucket").where("rep <> p.rep").where(_near_size(F.col("n"), F.col("p.n"), percent))
     met = written(met.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct(), "pairs")
-    edges = written(_verified(met, sets, percent), "links")
+    firm = written(_verified(met, sets, percent), "links")
 
     # components that meet in a list are compared as one group, whole
-    now = connected_components(edges).withColumnRenamed("node", "rep")
+    now = connected_components(firm).withColumnRenamed("node", "rep")
     placed = sets.select("rep", "n", "tokens").join(now, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     lists = lists.join(now, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     meet = lists.groupBy("bucket", "component").agg(F.count("*").alias("size"))
@@ -234,10 +247,9 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     other = thin.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
     pairs = thin.join(other, "bucket").where("rep < b AND component <> other").where(_near_size(F.col("n"), F.col("m"), percent))
     pairs = pairs.select(F.col("rep").alias("a"), "b").distinct().join(met, ["a", "b"], "left_anti")
-    edges = written(edges.unionAll(found).unionAll(_verified(pairs, sets, percent)), "links")
-    same = splittable(reps.select("same1", "same2", "rep"), "same", rows.count())
-    out = rows.select("doc_id", "n", "same1", "same2").join(same, ["same1", "same2"], "left")
-    return out.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")), edges
+    edges = written(firm.unionAll(found).unionAll(_verified(pairs, sets, percent)), "links")
+    discard(lists, pivots, met, firm, meet, members)
+    return edges
 
 
 def components(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> DataFrame:

@@ -22,6 +22,7 @@ from pyspark.sql import functions as F
 
 from envflow.llm.common import long_lists, mix, n_partitions, sequence_hash, shingle_hashes, small_batches, stream, words_of, written
 from envflow.llm.components import connected_components
+from envflow.llm.jaccard_join import join_lists
 
 SHINGLE_WORDS = 5
 N_HASHES = 128
@@ -162,10 +163,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(doc_id, class_id) for every row of docs (doc_id, text) that has an id: classes of near duplicates.
 
     Texts with equal sets are one class from the start, so copies cost one representative. Bands of the
-    representatives' signatures are joined in Spark: within a band's bucket each member is compared with the bucket's
-    smallest id, and pairs that an exact Jaccard similarity of threshold confirms are links. class_id is the smallest
-    doc_id reachable. Texts without words are alone, each its own class. The probability to miss a link is that of the
-    bands (see BAND_HASHES) and of members that are near each other but not near the bucket's smallest.
+    representatives' signatures are joined in Spark, and an exact Jaccard similarity of threshold (in whole percent)
+    confirms links; pairs that one component holds already aren't compared again. class_id is the smallest doc_id
+    reachable. Texts without words are alone, each its own class. Only what shares no band is missed (see BAND_HASHES).
     """
     small_batches(docs.sparkSession)
 
@@ -188,12 +188,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     some = sets.where(F.size("shingles") > 0)
     members = some.groupBy("same").agg(F.min("doc_id").alias("rep"))
     reps = some.join(members, (some.same == members.same) & (some.doc_id == members.rep)).select("rep", "shingles", "bands").dropDuplicates(["rep"])
-    rows = reps.select("rep", F.explode("bands").alias("band"))
-    pivots = rows.groupBy("band").agg(F.min("rep").alias("pivot"), F.count("*").alias("n")).where("n > 1").select("band", "pivot")
-    pairs = rows.join(pivots, "band").where("rep <> pivot").select("rep", "pivot").distinct()
-    pairs = pairs.join(reps.select("rep", F.col("shingles").alias("x")), "rep").join(reps.select(F.col("rep").alias("pivot"), F.col("shingles").alias("y")), "pivot")
-    both = F.size(F.array_intersect("x", "y"))
-    links = pairs.where(both >= F.lit(threshold) * (F.size("x") + F.size("y") - both)).select(F.col("rep").alias("a"), F.col("pivot").alias("b"))
+    tokens = written(reps.select("rep", F.size("shingles").cast("bigint").alias("n"), F.col("shingles").alias("tokens")), "tokens")
+    lists = reps.select(F.explode(F.array_distinct("bands")).alias("bucket"), "rep", F.size("shingles").cast("bigint").alias("n"), F.lit(0.0).alias("alone"))
+    links = join_lists(lists, tokens, round(100 * threshold))
     classes = connected_components(links).select(F.col("node").alias("rep"), "component")
     class_of = members.join(classes, "rep", "left").select("same", F.coalesce("component", "rep").alias("class_id"))
     return sets.select("doc_id", "same", (F.size("shingles") > 0).alias("some")).join(class_of, "same", "left").select("doc_id", F.when(F.col("some"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
