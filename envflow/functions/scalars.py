@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "air_key", "basename", "bbox_overlap", "bbox_wkt", "blank_to_null", "change_parts", "clamp", "clean", "coverage_pct", "date_range",
-    "decimal_comma", "default", "display_parameter", "finite", "iso_utc", "list_items", "masked", "nan_to_null", "parent_folder", "parse_date",
+    "decimal_comma", "default", "display_parameter", "finite", "human_bytes", "iso_utc", "list_items", "masked", "nan_to_null", "parent_folder", "parse_date",
     "parse_time", "polygon_holds", "product_key", "rings_meet", "safe_bigint", "safe_double", "sanitized", "sinusoidal_to_lonlat", "stem", "weather_key",
 ]
 
@@ -97,6 +97,14 @@ def masked(value: Column, fill: Column | float | None = None, qa: Column | None
     return F.when(out.between(low, high), out) if low is not None else out
 
 
+def human_bytes(c: Column) -> Column:
+    """A size with a unit: 512 B, 1.5 KB, 2.0 MB, up to TB."""
+    out = F.format_string("%d B", c)
+    for power, unit in enumerate(("KB", "MB", "GB", "TB"), 1):
+        out = F.when(c >= 1024**power, F.format_string(f"%.1f {unit}", c / float(1024**power))).otherwise(out)
+    return F.when(c.isNotNull(), out)
+
+
 def list_items(c: Column) -> Column:
     """The items of a comma list, trimmed, without blank ones."""
     return F.filter(F.transform(F.split(c, ","), clean), lambda x: x != "")

@@ -7,8 +7,11 @@ the caller, who takes them from the environment; nothing here has a default for
 from __future__ import annotations
 
 import json
+import re
 import time
+import uuid
 from collections.abc import Callable, Iterator, Sequence
+from datetime import date, timedelta
 from urllib import error, parse, request
 
 from pyspark import cloudpickle
@@ -78,6 +81,100 @@ def catalogue_filter(collection: str, name_part: str | None, box: Sequence[float
     return " and ".join(parts)
 
 
+def day_targets(url: str, places: Sequence[str], first: str, last: str, key: str, most: int = 0) -> list[tuple[str, dict, str]]:
+    """A request target for every place and day, places first; the first most of them, or all for 0."""
+    check_period(first, last)
+    days = (date.fromisoformat(last) - date.fromisoformat(first)).days + 1
+    every = [(url, {"key": key, "q": place, "dt": str(date.fromisoformat(first) + timedelta(days=i))}, place) for place in places for i in range(days)]
+    return every[:most] if most else every
+
+
+def one_body(get: Transport, **retry) -> Callable[[str, dict], Iterator[dict]]:
+    """A walk over a single answer. A target that can't be had gives no row, so one bad day doesn't end the scan."""
+
+    def walk(url: str, params: dict) -> Iterator[dict]:
+        try:
+            body = get_with_retry(get, url, params, **retry)
+        except OSError:
+            body = None
+        if body:
+            yield body
+
+    return walk
+
+
+def password_token(post: Callable[[str, dict], dict], url: str, client: str, user: str, password: str) -> str:
+    """A token by password grant; the caller takes the credentials from the environment."""
+    return post(url, {"client_id": client, "grant_type": "password", "username": user, "password": password})["access_token"]
+
+
+REPORT = "id STRING, name STRING, product_type STRING, status STRING, file_path STRING, error STRING"
+
+
+def download(records: DataFrame, fetch: Callable[[str, str], bytes], bases: Sequence[str], folder: str, tries: int = 3) -> DataFrame:
+    """A report (REPORT) on records (id, name, product_type, online), whose files are fetched by the tasks that hold them.
+
+    fetch(base, id) gives a file's content; it raises PermissionError where nothing else is worth a try, and OSError
+    where another try or the next base is. A file that is there is not fetched again, and a file gets its name only
+    when it is whole. folder is one that all executors share.
+    """
+
+    def one(store, row) -> tuple[str, str | None, str | None]:
+        if not row["id"]:
+            return "skipped_missing_id", None, None
+        if not row["online"]:
+            return "skipped_offline", None, None
+        name = re.sub(r"[^\w\-.]", "_", row["name"] or row["id"])
+        path, error = f"{folder}/{name}", None
+        if store.exists(path):
+            return "skipped_exists", path, None
+        for base in bases:
+            for _ in range(tries):
+                try:
+                    store.put(path, fetch(base, row["id"]))
+                    return "downloaded", path, None
+                except PermissionError as e:
+                    return "failed", None, str(e)
+                except OSError as e:
+                    error = str(e)
+        return "failed", None, error
+
+    def run(frames):
+        import pandas as pd
+
+        store = Store()
+        for frame in frames:
+            rows = frame.to_dict("records")
+            yield pd.DataFrame([(r["id"], r["name"], r["product_type"], *one(store, r)) for r in rows], columns=["id", "name", "product_type", "status", "file_path", "error"])
+
+    return records.select("id", "name", "product_type", "online").mapInPandas(run, REPORT)
+
+
+class Store:
+    """Files of a shared folder, local or whatever pyarrow's file systems reach."""
+
+    @staticmethod
+    def _of(uri: str):
+        from pyarrow import fs
+
+        parts = parse.urlsplit(uri)
+        return (fs.LocalFileSystem(), parts.path) if parts.scheme in ("", "file") else fs.FileSystem.from_uri(uri)
+
+    def exists(self, uri: str) -> bool:
+        from pyarrow import fs
+
+        store, path = self._of(uri)
+        return store.get_file_info(path).type == fs.FileType.File
+
+    def put(self, uri: str, content: bytes) -> None:
+        store, path = self._of(uri)
+        store.create_dir(path.rpartition("/")[0], recursive=True)
+        part = f"{path}.{uuid.uuid4().hex}"
+        with store.open_output_stream(part, compression=None) as out:
+            out.write(content)
+        store.move(part, path)
+
+
 class Target(InputPartition):
     """One request target: its address, parameters and a tag that its rows carry."""
 

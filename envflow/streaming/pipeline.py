@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -76,3 +77,14 @@ def compact(spark: SparkSession, path: str, to: str, parts: Sequence[str], mb: i
     rows = max(1, mb) * 10_000
     table = spark.read.parquet(path)
     table.repartition(*parts, F.pmod(F.xxhash64(*table.columns), F.lit(8))).sortWithinPartitions(*parts).write.option("maxRecordsPerFile", rows).partitionBy(*parts).parquet(to)
+
+
+def end_offsets(progress: dict | None) -> int:
+    """The messages up to the end offsets of all topics and partitions that a query's progress tells."""
+    total = 0
+    for source in (progress or {}).get("sources", []):
+        end = source.get("endOffset")
+        end = json.loads(end) if isinstance(end, str) else end
+        if isinstance(end, dict):
+            total += sum(n for parts in end.values() if isinstance(parts, dict) for n in parts.values())
+    return total

@@ -49,6 +49,11 @@ def test_masks(spark):
     assert [g[0] for g in got] == [None, 5.0, 5.0, None, None, None, None]
 
 
+def test_human_bytes(spark):
+    got = of(spark, [(0,), (512,), (1536,), (2 * 1024**2,), (5 * 1024**5,), (None,)], "b bigint", X.human_bytes(F.col("b")))
+    assert [g[0] for g in got] == ["0 B", "512 B", "1.5 KB", "2.0 MB", "5120.0 TB", None]
+
+
 def test_polygon(spark):
     ring = F.array(*(F.array(F.lit(float(x)), F.lit(float(y))) for x, y in ((0, 0), (4, 0), (4, 4), (2, 2), (0, 4))))
     got = of(spark, [(1.0, 1.0), (2.0, 3.0), (3.9, 3.5), (5.0, 1.0)], "x double, y double", X.polygon_holds(ring, F.col("x"), F.col("y")))

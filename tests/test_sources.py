@@ -86,6 +86,35 @@ def test_rest_pages_in_spark(spark):
     assert sorted(map(tuple, got)) == [(t, f"{u}-{i}") for t, u in (("x", "a"), ("y", "b")) for i in range(5)]
 
 
+def test_weather_by_rest(spark):
+    def fake(url, params):
+        if params["dt"] == "2025-01-02" and params["q"] == "Hue":
+            return 500, {}, None
+        return 200, {}, {"location": {"name": params["q"]}, "forecast": {"forecastday": [{"date": params["dt"], "hour": [{"time": params["dt"] + " 00:00", "time_epoch": 1, "temp_c": 20.5}]}]}}
+
+    targets = rest.day_targets("u", ["Ha Noi", "Hue"], "2025-01-01", "2025-01-02", "key")
+    assert len(targets) == 4 and len(rest.day_targets("u", ["a"], "2025-01-01", "2025-01-05", "key", 2)) == 2
+    answers = rest.read_rest(spark, targets, rest.one_body(fake, tries=1))
+    got = sorted((r.event_id, r.temp_c) for r in N.weather(N.weather_bodies(answers), "api").collect())
+    assert got == [("Ha Noi_2025-01-01 00:00", 20.5), ("Ha Noi_2025-01-02 00:00", 20.5), ("Hue_2025-01-01 00:00", 20.5)]
+
+
+def test_download(spark, tmp_path):
+    def fetch(base, id_):
+        if id_ == "no":
+            raise PermissionError("403")
+        if base == "first" or id_ == "bad":
+            raise OSError("timeout")
+        return f"{base}:{id_}".encode()
+
+    rows = [("1", "a b.nc", "NO2", True), ("2", "c", "NO2", False), ("", "d", "NO2", True), ("no", "e", "CO", True), ("bad", "f", "CO", True), ("3", "g", "CO", None)]
+    records = spark.createDataFrame(rows, "id string, name string, product_type string, online boolean").coalesce(1)
+    report = lambda: {r.id: (r.status, r.error) for r in rest.download(records, fetch, ["first", "second"], f"file://{tmp_path}/d").collect()}
+    assert report() == {"1": ("downloaded", None), "2": ("skipped_offline", None), "": ("skipped_missing_id", None), "no": ("failed", "403"), "bad": ("failed", "timeout"), "3": ("skipped_offline", None)}
+    assert (tmp_path / "d/a_b.nc").read_bytes() == b"second:1"
+    assert report()["1"] == ("skipped_exists", None)
+
+
 def test_retries():
     answers, waits = [(429, {}, None), (500, {}, None), (200, {}, {"results": []})], []
     assert rest.get_with_retry(lambda u, p: answers.pop(0), "u", {}, wait=waits.append) == {"results": []}

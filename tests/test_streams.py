@@ -41,3 +41,8 @@ def test_messages_to_table_and_restart(spark, tmp_path):
 def test_to_messages(spark):
     got = P.to_messages(spark.createDataFrame([(1, "Hà Nội")], "id int, place string"), "id").first()
     assert (got.key, json.loads(got.value)) == ("1", {"id": 1, "place": "Hà Nội"})
+
+
+def test_end_offsets():
+    assert P.end_offsets({"sources": [{"endOffset": '{"a":{"0":5,"1":7}}'}, {"endOffset": {"b": {"0": 1}}}, {"endOffset": None}]}) == 13
+    assert P.end_offsets(None) == 0
