@@ -62,18 +62,23 @@ def splittable(aggregate: DataFrame, name: str, rows: int) -> DataFrame:
     return written(aggregate, name) if rows >= SPLIT_ROWS else aggregate
 
 
-def discard(*tables: DataFrame) -> None:
-    """Deletes written tables (others stay) that nothing reads any more: what was made of them has been written since.
+def release(spark: SparkSession) -> None:
+    """Lets the shuffle files of finished steps go.
 
-    The shuffle files that made them go when the driver's garbage collector finds their plans gone. It is asked to look
-    now, as otherwise the files of many steps stand on the disks at once.
+    They go when the driver's garbage collector finds their plans gone; it is asked to look now, as otherwise the files
+    of many steps stand on the disks at once.
     """
+    spark.sparkContext._jvm.System.gc()
+
+
+def discard(*tables: DataFrame) -> None:
+    """Deletes written tables (others stay) that nothing reads any more: what was made of them has been written since."""
     for table in tables:
         if hasattr(table, "written_to"):
             context = table.sparkSession.sparkContext
             path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-    tables[0].sparkSession.sparkContext._jvm.System.gc()
+    release(tables[0].sparkSession)
 
 
 def few(table: DataFrame, rows: int = 2_000_000) -> DataFrame:

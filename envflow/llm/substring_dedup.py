@@ -25,13 +25,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import discard, mix, signed, small_batches, splittable, words_of, written
+from envflow.llm.common import discard, mix, release, signed, small_batches, splittable, words_of, written
 
 MIN_WORDS = 35
 _R = 0x9E3779B97F4A7C55
 _R_INVERSE = pow(_R, -1, 1 << 64)
 _POWERS: dict[int, np.ndarray] = {}
-NO_ID = -(1 << 63)
 
 
 def _powers(base: int, n: int) -> np.ndarray:
@@ -195,11 +194,12 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, with_text: bool
     A word goes if a window of min_words consecutive words that covers it also starts anywhere else, in the same
     document or another one. Null and empty texts, and texts shorter than a window, keep all their words (none).
     A repeated row is another place where its windows start, so both rows lose them. Rows without an id are judged
-    too. Other columns are ignored. spans are the factors, in words of the input.
+    too, by a hash of their text. Rows that share an id don't mix: a task takes a block only where the text has it.
+    Other columns are ignored. spans are the factors, in words of the input.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select("doc_id", F.coalesce("doc_id", F.lit(NO_ID)).alias("doc"), "text")
+    docs = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("doc"), "text")
     blocks = written(docs.select("doc", "text").mapInArrow(_blocks(min_words), _BLOCKS), "blocks")
     often = splittable(blocks.groupBy("anchor").agg(F.count("*").alias("seen")).where("seen > 1").select("anchor"), "often", blocks.count())
     again = written(blocks.join(often, "anchor"), "again")
@@ -214,6 +214,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, with_text: bool
     texts = docs.select("doc", "text").where("text IS NOT NULL")
     opened = texts.join(asked, "doc").mapInArrow(_windows(min_words), "anchor bigint, block bigint, copies bigint, windows array<bigint>")
     opened = written(opened.dropDuplicates(["anchor", "block"]), "opened")  # rows that share an id answer twice
+    release(spark)
     single = opened.select("anchor", "block", "copies", F.posexplode("windows").alias("j", "hash"))
     twice = splittable(single.groupBy("anchor", "hash").agg(F.sum("copies").alias("seen")).where("seen > 1").select("anchor", "hash"), "twice", rows)
     masks = splittable(single.join(twice, ["anchor", "hash"]).groupBy("anchor", "block").agg(F.bit_or(F.expr("shiftleft(1L, j)")).alias("mask")), "masks", rows)
