@@ -107,7 +107,7 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return found.where(100 * F.col("common") >= percent * (F.col("nx") + F.col("ny") - F.col("common"))).select("a", "b").distinct()
 
 
-def _block_links(percent: int):
+def _block_links(percent: int, every: bool):
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
         rep, n, component = (table.column(c).to_numpy() for c in ("rep", "n", "component"))
@@ -127,6 +127,9 @@ def _block_links(percent: int):
             common += part @ part.T
         both = common.astype(np.int64)
         linked = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (component[:, None] != component[None, :])
+        if every:
+            i, j = np.nonzero(np.triu(linked, 1))
+            return pa.table({"a": pa.array(np.minimum(rep[i], rep[j]), pa.int64()), "b": pa.array(np.maximum(rep[i], rep[j]), pa.int64())})
         root = {c: c for c in component.tolist()}
 
         def find(x: int) -> int:
@@ -145,13 +148,16 @@ def _block_links(percent: int):
     return run
 
 
-def _in_blocks(members: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) between components in each group of members (group, rep, n, component, sets, tokens)."""
+def _in_blocks(members: DataFrame, percent: int, every: bool = False) -> DataFrame:
+    """Links (a, b) between components in each group of members (group, rep, n, component, sets, tokens).
+
+    Enough of them to join the components, or every one, then also more than once.
+    """
     blocks = F.greatest(F.lit(1), F.ceil(F.col("sets") / BLOCK)).cast("int")
     own = members.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
     dealt = own.select("group", "rep", "n", "component", "tokens", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
     dealt = dealt.withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other")).drop("own", "other")
-    return dealt.groupBy("group", "first", "second").applyInArrow(_block_links(percent), "a bigint, b bigint")
+    return dealt.groupBy("group", "first", "second").applyInArrow(_block_links(percent, every), "a bigint, b bigint")
 
 
 def _near_size(x: Column, y: Column, percent: int) -> Column:
@@ -169,12 +175,13 @@ def _boundary(sets: DataFrame) -> int:
     return 1 << min(cost, key=lambda b: (cost[b], b))
 
 
-def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame]:
+def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS, every: bool = False) -> tuple[DataFrame, DataFrame]:
     """(sets, edges) of docs (doc_id, text).
 
     sets: doc_id, n, rep, one row per row of docs; rep is the smallest doc_id with the same set, null for empty sets
-    and for rows without an id. edges: (a, b), links between representatives that join all linked ones: links that
-    follow from others by way of a component may be absent.
+    and for rows without an id. edges: (a, b), links between representatives that join all linked ones. Without every,
+    links that follow from others by way of a component may be absent, which is a step towards components and no
+    result; see all_links.
     """
     small_batches(docs.sparkSession)
     docs = docs.select("doc_id", "text")
@@ -207,7 +214,7 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tu
     subsets = F.expr("flatten(transform(two, (x, i) -> transform(slice(two, i + 2, size(two)), y -> xxhash64(x, y))))")
     light = sets.where(F.col("n") <= bound).select("rep", "n", "alone", F.explode(subsets).alias("bucket"))
     heavy = sets.where(100 * F.col("n") >= percent * (bound + 1)).select("rep", "n", "alone", F.explode("one").alias("bucket"))
-    edges = join_lists(light.unionAll(heavy).distinct(), sets, percent)
+    edges = (join_all if every else join_lists)(light.unionAll(heavy).distinct(), sets, percent)
     discard(sets)
     same = splittable(reps.select("same1", "same2", "rep"), "same", rows.count())
     out = rows.select("doc_id", "n", "same1", "same2").join(same, ["same1", "same2"], "left")
@@ -252,6 +259,56 @@ def join_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return edges
 
 
+def join_all(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """All links (a, b) among the sets that share a list; lists and sets as in join_lists.
+
+    Sets that lists connect form a group. Each group is compared block by block or, where it is thin, list by list.
+    """
+    several = lists.groupBy("bucket").agg((F.min("rep") < F.max("rep")).alias("some")).where("some").select("bucket")
+    lists = written(lists.join(several, "bucket"), "lists")
+    heads = written(lists.groupBy("bucket").agg(F.min("rep").alias("head"), F.count("*").alias("all")), "heads")
+    groups = connected_components(lists.join(heads, "bucket").select(F.col("rep").alias("a"), F.col("head").alias("b")))
+    groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("group"))
+    in_lists = heads.join(groups, F.col("head") == F.col("rep")).groupBy("group").agg(F.sum(F.expr("all * (all - 1) / 2D")).alias("in_lists"))
+    members = written(sets.select("rep", "n", "tokens", F.col("rep").alias("component")).join(groups, "rep"), "members")
+    by_group = members.groupBy("group").agg(F.count("*").alias("sets")).join(in_lists, "group")
+    by_group = by_group.select("group", "sets", (F.expr("sets * (sets - 1) / 2D") <= DENSE * F.col("in_lists")).alias("dense"))
+    found = _in_blocks(members.join(by_group.where("dense"), "group"), percent, every=True)
+    thin = lists.join(groups.join(by_group.where("NOT dense"), "group").select("rep"), "rep")
+    other = thin.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"))
+    pairs = thin.join(other, "bucket").where("rep < b").where(_near_size(F.col("n"), F.col("m"), percent)).select(F.col("rep").alias("a"), "b").distinct()
+    edges = written(found.unionAll(_verified(pairs, sets, percent)).distinct(), "links")
+    discard(lists, heads, members)
+    return edges
+
+
+def all_links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame]:
+    """(members, edges): the whole join of docs (doc_id, text).
+
+    members: doc_id, n, rep, one row per row of docs; rows with equal sets have the same rep and link with one another.
+    rep is the hash of a text, not a doc_id, so rows of different texts are apart also where they share a doc_id; it is
+    null for empty sets and for rows without an id, which link with nothing. edges: (a, b) with a < b, every pair of
+    different sets that link, once.
+    """
+    key = F.when(F.col("doc_id").isNotNull(), F.xxhash64("text"))
+    sets, edges = links(docs.select(key.alias("doc_id"), "text"), percent, k, every=True)
+    sets = sets.select(F.col("doc_id").alias("key"), "n", "rep")
+    counted = written(sets.where("key IS NOT NULL").distinct(), "counted")
+    rows = docs.where("doc_id IS NOT NULL").select("doc_id", key.alias("key")).join(counted, "key").select("doc_id", "n", "rep")
+    alone = sets.where("key IS NULL").select(F.lit(None).cast("bigint").alias("doc_id"), "n", "rep")
+    return rows.unionAll(alone), edges
+
+
+def link_counts(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> DataFrame:
+    """One row per row of docs (doc_id, text): doc_id, n_shingles, n_links, the number of other rows that link with it."""
+    members, edges = all_links(docs, percent, k)
+    copies = written(members.where("rep IS NOT NULL").groupBy("rep").agg(F.count("*").alias("copies")), "copies")
+    both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
+    others = both.join(copies, F.col("b") == F.col("rep")).groupBy(F.col("a").alias("rep")).agg(F.sum("copies").alias("others"))
+    counts = copies.join(others, "rep", "left").select("rep", (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"))
+    return members.join(counts, "rep", "left").select("doc_id", F.col("n").alias("n_shingles"), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"))
+
+
 def components(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> DataFrame:
     """One row per row of docs (doc_id, text): doc_id, n_shingles, component_id.
 

@@ -170,6 +170,33 @@ def test_jaccard_components_of_crowded_groups(spark, monkeypatch, block, dense):
     assert got == brute_components(docs)
 
 
+@pytest.mark.parametrize("block, dense", [(4, 128), (128, 128), (128, 0)])
+def test_jaccard_gives_every_link(spark, monkeypatch, block, dense):
+    """Near copies of one another link in pairs, and not only as a chain; rows may repeat or share an id."""
+    monkeypatch.setattr(jaccard_join, "BLOCK", block)
+    monkeypatch.setattr(jaccard_join, "DENSE", dense)
+    rng = random.Random(6)
+    word = lambda: "".join(rng.choices("abcdefg", k=4))
+    rows = [(None, "one two three four five"), (900, "one two three four five"), (901, None), (902, "")]
+    for size in (30, 60, 90):
+        base = [word() for _ in range(size)]
+        for i in range(12):
+            w = list(base)
+            for _ in range(i % 4):
+                w[rng.randrange(size)] = word()
+            rows.append((len(rows), " ".join(w)))
+    rows += [(5, rows[30][1]), rows[7]]
+    cut = lambda w: {tuple(w[i : i + 4]) for i in range(len(w) - 3)} if len(w) >= 4 else ({tuple(w)} if w else set())
+    sets = [frozenset(cut(WORD.findall((t or "").translate(LOW)))) if d is not None else frozenset() for d, t in rows]
+    linked = [(x, y) for x, y in itertools.combinations(range(len(rows)), 2) if sets[x] and 100 * len(sets[x] & sets[y]) >= 85 * len(sets[x] | sets[y])]
+    n = Counter(i for p in linked for i in p)
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    got = Counter((r.doc_id, r.n_links) for r in jaccard_join.link_counts(docs).collect())
+    assert got == Counter((d, n[i]) for i, (d, _) in enumerate(rows))
+    edges = [(r.a, r.b) for r in jaccard_join.all_links(docs)[1].collect()]
+    assert len(edges) == len(set(edges)) == len({frozenset((sets[x], sets[y])) for x, y in linked if sets[x] != sets[y]})
+
+
 def luhn(d):
     return sum(sum(divmod(int(c) * (1 + i % 2), 10)) for i, c in enumerate(reversed(d))) % 10 == 0
 
