@@ -66,8 +66,11 @@ def to_coordinates(row: Column, col: Column, a: float, b: float, c: float, d: fl
     return F.struct((F.lit(a) * col + F.lit(b) * row + F.lit(c)).alias("x"), (F.lit(d) * col + F.lit(e) * row + F.lit(f)).alias("y"))
 
 
-def resample(cells: DataFrame, targets: DataFrame, source_row: Column, source_col: Column) -> DataFrame:
-    """targets with the nearest cell's value: source_row and source_col map a target to its source cell; null outside."""
+def resample(cells: DataFrame, targets: DataFrame, source_row: Column, source_col: Column, keys: tuple[str, ...] = ()) -> DataFrame:
+    """targets with the nearest cell's value: source_row and source_col map a target to its source cell; null outside.
+
+    keys name the columns that tell rasters apart, in cells and in targets; without them cells is one raster.
+    """
     mapped = targets.withColumn("_r", F.floor(source_row).cast("int")).withColumn("_c", F.floor(source_col).cast("int"))
-    source = cells.select(F.col("row").alias("_r"), F.col("col").alias("_c"), "value")
-    return mapped.join(source, ["_r", "_c"], "left").drop("_r", "_c")
+    source = cells.select(F.col("row").alias("_r"), F.col("col").alias("_c"), *keys, "value")
+    return mapped.join(source, [*keys, "_r", "_c"], "left").drop("_r", "_c")

@@ -13,6 +13,12 @@ from envflow.registry import query, table
 from envflow.streaming import pipeline as P
 
 
+#: Files of the events table in a micro-batch.
+FILES_PER_BATCH = 1000
+_STORE = "spark.sql.streaming.stateStore.providerClass"
+_ON_DISK = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
 def work_dir(spark: SparkSession) -> str:
     """A new folder in the cluster's shared one; a temporary one where the session names none."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
@@ -25,7 +31,7 @@ def work_dir(spark: SparkSession) -> str:
 def _events(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The events as a stream; its time is a zoned one, which watermarks ask for."""
     schema = table(spark, sf_dir, "events").schema
-    stream = P.file_source(spark, f"{sf_dir}/events.parquet*", schema, files_per_batch=1000, recursiveFileLookup="true")
+    stream = P.file_source(spark, f"{sf_dir}/events.parquet*", schema, files_per_batch=FILES_PER_BATCH, recursiveFileLookup="true")
     return stream.withColumn("event_time", F.col("ts").cast("timestamp"))
 
 
@@ -54,10 +60,16 @@ def partitioned_roundtrip(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("SELECT event_id, user_id, event_type FROM events")
 def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every event is sent twice; one of each key is stored."""
+    """Every event is sent twice; one of each key is stored, whatever the order of the files."""
     out, stream = work_dir(spark), _events(spark, sf_dir)
     twice = stream.select("event_id", "user_id", "event_type", "event_time", F.explode(F.array(F.lit(1), F.lit(2))).alias("copy")).drop("copy")
-    P.run(twice, [P.unique_within("event_id", "event_time", "1 hour")], f"{out}/data", f"{out}/checkpoint", []).awaitTermination()
+    store = spark.conf.get(_STORE)
+    spark.conf.set(_STORE, _ON_DISK)
+    try:
+        run = P.run(twice, [P.unique("event_id")], f"{out}/data", f"{out}/checkpoint", [])
+    finally:
+        spark.conf.set(_STORE, store)
+    run.awaitTermination()
     return spark.read.parquet(f"{out}/data").select("event_id", "user_id", "event_type")
 
 

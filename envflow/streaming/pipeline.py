@@ -50,6 +50,14 @@ def unique_within(key: str, time: str, delay: str) -> Step:
     return lambda df: df.withWatermark(time, delay).dropDuplicatesWithinWatermark([key])
 
 
+def unique(key: str) -> Step:
+    """Drops events whose key has been seen, however late they come: for backfills, whose files are in no order of time.
+
+    Nothing is dropped for its time. The state holds every key, so run it with a state store that is on disk.
+    """
+    return lambda df: df.dropDuplicates([key])
+
+
 def split_bad(df: DataFrame, time: str) -> tuple[DataFrame, DataFrame]:
     """(good, bad): bad rows have no time or could not be parsed; they go to a folder of their own, not among the good."""
     bad = F.col(time).isNull()

@@ -139,3 +139,10 @@ def test_spatial_join(spark):
     got = geo.spatial_join(spark.createDataFrame([*a, (900, None), (901, [])], schema), spark.createDataFrame(b, schema), "ring", "ring", 12.0)
     assert got.columns == ["id_left", "ring_left", "id_right", "ring_right"]
     assert sorted((r.id_left, r.id_right) for r in got.collect()) == want and want
+
+
+def test_resample_tells_rasters_apart(spark):
+    cells = spark.createDataFrame([(k, r, c, 100.0 * k + 10 * r + c) for k in (1, 2) for r in range(2) for c in range(2)], "k int, row int, col int, value double")
+    targets = spark.createDataFrame([(k, x, y) for k in (1, 2, 3) for x in range(5) for y in range(4)], "k int, x int, y int")
+    got = {(r.k, r.x, r.y): r.value for r in R.resample(cells, targets, F.col("y") * 0.5, F.col("x") * 0.5, ("k",)).collect()}
+    assert got == {(k, x, y): 100.0 * k + 10 * (y // 2) + x // 2 if k < 3 and x < 4 else None for k in (1, 2, 3) for x in range(5) for y in range(4)}

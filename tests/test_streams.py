@@ -1,9 +1,12 @@
 """Streams equal batches; restarts and bad rows."""
 
+import datetime as dt
 import json
+import os
 
 from pyspark.sql import functions as F
 
+from envflow.plans import stream_queries as Q
 from envflow.streaming import pipeline as P
 
 SCHEMA = "id BIGINT, time STRING, value DOUBLE"
@@ -46,3 +49,17 @@ def test_to_messages(spark):
 def test_end_offsets():
     assert P.end_offsets({"sources": [{"endOffset": '{"a":{"0":5,"1":7}}'}, {"endOffset": {"b": {"0": 1}}}, {"endOffset": None}]}) == 13
     assert P.end_offsets(None) == 0
+
+
+def test_late_files_of_a_backfill_are_kept(spark, tmp_path, monkeypatch):
+    """Several batches, the latest events first."""
+    monkeypatch.setattr(Q, "FILES_PER_BATCH", 1)
+    path = f"{tmp_path}/events.parquet"
+    for i, day in enumerate((9, 5, 1)):
+        rows = [(10 * day + j, j, "view", 1.0 * j, dt.datetime(2024, 1, day, j)) for j in range(4)] + [(90, 0, "view", 0.0, dt.datetime(2024, 1, 9, 0))]
+        spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, value double, ts timestamp_ntz").coalesce(1).write.mode("append").parquet(path)
+        for f in tmp_path.glob("events.parquet/*.parquet"):
+            if f.stat().st_mtime > 1_600_000_100:
+                os.utime(f, (1_600_000_000 + i, 1_600_000_000 + i))
+    got = sorted(r.event_id for r in Q.stream_dedup(spark, str(tmp_path)).collect())
+    assert got == sorted(10 * day + j for day in (9, 5, 1) for j in range(4))
