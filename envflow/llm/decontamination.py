@@ -1,8 +1,10 @@
 """Benchmark decontamination by SimHash over item-sized windows.
 
 Words are lower-cased (A-Z). An item of n words is compared with windows of n consecutive words of a document (the whole
-document where it is shorter). Shingles are five words, or all words of a shorter item. A shingle's weight is one over
-the number of items that hold it, and 1 where no item does.
+document where it is shorter). Shingles are five words, or all words of a shorter item. They are weighed in two ways:
+all alike, and by rarity, one over the number of different texts of items that hold it, and 1 where none does. The
+similarity is the larger of both: alike, a passage that items share counts as much as other words; by rarity, an item's
+own question counts more than the passage. Where no items share a shingle both are the same and one is computed.
 
 1. A window without any shingle of an item has similarity 0 with it, so only windows around a shared shingle are
    considered; every such window is, for every item length found there.
@@ -76,18 +78,20 @@ class Item(NamedTuple):
     id: object
     words: int
     shingles: np.ndarray
-    seen: list[int]  # how many items hold each shingle, of all items and not of the pass
+    seen: list[int]  # how many different items hold each shingle, of all items and not of the pass
 
 
 class Items:
-    """The items of one pass that have shingles of k words."""
+    """The items of one pass that have shingles of k words, weighed by rarity or all alike."""
 
-    def __init__(self, k: int, items: list[Item]):
-        self.k, self.ids, sets = k, [x.id for x in items], [x.shingles for x in items]
+    def __init__(self, k: int, items: list[Item], rarity: bool = True):
+        self.k, self.ids, self.rarity, sets = k, [x.id for x in items], rarity, [x.shingles for x in items]
         self.words = np.array([x.words for x in items])
         seen = {s: n for x in items for s, n in zip(x.shingles.tolist(), x.seen, strict=True)}
         self.keys = np.array(sorted(seen), dtype=np.uint64)
-        self.weights = np.array([1 / seen[s] for s in self.keys.tolist()])
+        self.weights = np.array([1 / seen[s] if rarity else 1.0 for s in self.keys.tolist()])
+        # shingles of items with a shared one: a document without them has the same similarities in both ways
+        self.differs = np.isin(self.keys, np.concatenate([x.shingles for x in items if max(x.seen) > 1] or [self.keys[:0]]))
         self.counts = [dict(Counter(x.tolist())) for x in sets]
         self.prints = np.array([fingerprint(spread(x, self.weight(x)).sum(axis=0)) for x in sets], dtype=np.uint64)
         lengths = defaultdict(set)
@@ -161,7 +165,7 @@ def _passes(benchmark: DataFrame, size: int) -> Iterator[list[Item]]:
 
     kind = benchmark.schema["item_id"].dataType.simpleString()
     items = benchmark.select("item_id", "text").mapInArrow(run, f"item_id {kind}, words bigint, shingles array<bigint>").where("words > 0").distinct()
-    seen = items.select(F.explode(F.array_distinct("shingles")).alias("s")).groupBy("s").agg(F.count("*").alias("n"))
+    seen = items.select("shingles").distinct().select(F.explode(F.array_distinct("shingles")).alias("s")).groupBy("s").agg(F.count("*").alias("n"))
     each = items.select("*", F.posexplode("shingles").alias("at", "s")).join(seen, "s").groupBy("item_id", "words", "shingles").agg(F.sort_array(F.collect_list(F.struct("at", "n"))).alias("seen"))
     held, words = [], 0
     for row in each.orderBy("item_id", "shingles").toLocalIterator():
@@ -174,6 +178,11 @@ def _passes(benchmark: DataFrame, size: int) -> Iterator[list[Item]]:
         yield held
 
 
+def _both(k: int, items: list[Item]) -> list[Items]:
+    """The items weighed alike and, where that differs, by rarity: two indexes of the same items in the same order."""
+    return [Items(k, items, rarity) for rarity in ((False, True) if any(n > 1 for x in items for n in x.seen) else (False,))]
+
+
 def _indexes(spark, benchmark: DataFrame, pass_words: int) -> Iterator:
     """Each pass's index, sent to the executors: at most pass_words words, or one item."""
     with np.errstate(over="ignore"):
@@ -181,26 +190,32 @@ def _indexes(spark, benchmark: DataFrame, pass_words: int) -> Iterator:
             groups = defaultdict(list)
             for item in items:
                 groups[min(SHINGLE_WORDS, item.words)].append(item)
-            yield spark.sparkContext.broadcast([Items(k, group) for k, group in sorted(groups.items())])
+            yield spark.sparkContext.broadcast([index for k, group in sorted(groups.items()) for index in _both(k, group)])
 
 
 def _found(column: pa.Array, index: list[Items], threshold: float) -> Iterator[tuple[int, object, int, int, float]]:
     """(row, item id, first word, words, similarity) of the texts of a column."""
     with np.errstate(over="ignore"):
         for words in words_of(column, lower=True):
+            best: dict[tuple[int, int, int], tuple[float, int, int]] = {}  # (row, k, item) -> (similarity, first word, words)
+            names = {}
             for items in index:
-                shingles = shingle_hashes(words.hashes, items.k)
-                if not len(shingles):
-                    continue
-                places, which = items.hits(shingles)
-                row = np.searchsorted(words.bounds, places, "right") - 1
-                inside = places + items.k <= words.bounds[row + 1]
-                places, which, row = places[inside], which[inside], row[inside]
-                for r in np.unique(row).tolist():
+                if not items.rarity:  # the index by rarity follows that of the same items weighed alike
+                    shingles = shingle_hashes(words.hashes, items.k)
+                    places, which = items.hits(shingles) if len(shingles) else (np.empty(0, dtype=np.int64), np.empty(0, dtype=np.int64))
+                    row = np.searchsorted(words.bounds, places, "right") - 1
+                    inside = places + items.k <= words.bounds[row + 1]
+                    places, which, row = places[inside], which[inside], row[inside]
+                for r in np.unique(row[items.differs[which]] if items.rarity else row).tolist():
                     a, b = words.bounds[r : r + 2]
                     mine = row == r
-                    for i, (near, first, n) in sorted(matches(items, shingles[a : b - items.k + 1], places[mine] - a, which[mine], int(b - a), threshold).items()):
-                        yield words.lo + r, items.ids[i], first, n, near
+                    for i, (near, first, n) in matches(items, shingles[a : b - items.k + 1], places[mine] - a, which[mine], int(b - a), threshold).items():
+                        at = (words.lo + r, items.k, i)
+                        names[at] = items.ids[i]
+                        if at not in best or (near, -first) > (best[at][0], -best[at][1]):
+                            best[at] = (near, first, n)
+            for at, (near, first, n) in sorted(best.items()):
+                yield at[0], names[at], first, n, near
 
 
 def find(docs: DataFrame, benchmark: DataFrame, threshold: float = THRESHOLD, pass_words: int = PASS_WORDS) -> DataFrame:

@@ -331,6 +331,22 @@ def test_leaks(spark):
     assert kept == set(docs) - {d for d, _ in want}
 
 
+def test_leaks_of_items_that_share_text(spark):
+    """A passage under ten questions, an item under four ids, and a question that a short document holds alone."""
+    passage, own = [f"p{i}" for i in range(300)], lambda q, n: [f"q{q}w{i}" for i in range(n)]
+    items = [(q, " ".join(passage + own(q, 15))) for q in range(10)] + [(20 + i, " ".join(own(50, 100))) for i in range(4)]
+    items += [(30 + q, " ".join([*(f"s{i}" for i in range(50)), *own(70 + q, 40)])) for q in range(10)]
+    changed = own(50, 100)
+    changed[50] = "other"
+    docs = [(1, " ".join([*own(90, 40), *passage, *own(91, 40)])), (2, " ".join([*own(92, 9), *changed, *own(93, 9)])), (3, " ".join(own(94, 400))), (4, " ".join(own(73, 40)))]
+    rows, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontamination.find(rows, bench).collect()
+    assert Counter((r.doc_id, r.item_id) for r in found) == Counter([(1, q) for q in range(10)] + [(2, 20 + i) for i in range(4)] + [(4, 33)])
+    plain = {1: 296 / 326, 2: 91 / 101}
+    assert all(abs(r.similarity - plain[r.doc_id]) < 1e-6 for r in found if r.doc_id in plain)
+    assert [r.doc_id for r in decontamination.clean(rows, bench).collect()] == [3]
+
+
 @settings(max_examples=30, deadline=None)
 @given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=40), st.lists(st.integers(0, 63), max_size=20))
 def test_multi_index_misses_nothing_within_the_radius(prints, flips):
