@@ -11,6 +11,7 @@ the rests of each length without gathering them, and every task looks its rests
 from __future__ import annotations
 
 import base64
+import json
 import zlib
 from collections import defaultdict, deque
 from collections.abc import Iterator
@@ -31,14 +32,17 @@ SHARES = 64
 def tokenizer(name: str = "byte_bpe_50k.tiktoken"):
     """text -> ids. The file is the rank form of byte_bpe_50k.json: the same ids, several times as fast.
 
-    Strings of special tokens in a text are ordinary text.
+    Strings of the tokens that the JSON adds to the vocabulary are those tokens, as they are for the JSON's own reader.
     """
     import public_tokenizers
     import tiktoken
 
     with open(public_tokenizers.path(name), "rb") as lines:
         ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
-    return tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens={}).encode_ordinary
+    with open(public_tokenizers.path(name.replace(".tiktoken", ".json")), encoding="utf-8") as file:
+        added = {t["content"]: t["id"] for t in json.load(file)["added_tokens"]}
+    encoding = tiktoken.Encoding(name, pat_str=public_tokenizers.PATTERN, mergeable_ranks=ranks, special_tokens=added)
+    return lambda text: encoding.encode(text, allowed_special="all")
 
 
 class CapacityTree:

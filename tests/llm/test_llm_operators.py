@@ -415,6 +415,18 @@ def test_tokens_are_those_of_the_json_vocabulary():
         assert slow.encode(text, add_special_tokens=False).ids == fast(text)
 
 
+def test_added_tokens_are_those_of_the_json_vocabulary():
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    slow, fast = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json")), packing.tokenizer()
+    assert fast("a<|endoftext|>b") == [64, 50256, 65]
+    rng = random.Random(8)
+    for _ in range(300):
+        text = "".join(rng.choices(["<|endoftext|>", "<|", "|>", "endoftext", " ", "a", "é", "\n", "'s"], k=rng.randrange(12)))
+        assert slow.encode(text, add_special_tokens=False).ids == fast(text)
+
+
 def test_warc_round_trip_and_damage(spark, tmp_path):
     pages = spark.createDataFrame([(i, f"http://a.org/{i}", "x" * (i % 3) * 200 + "é") for i in range(12)], "page_id bigint, url string, html string")
     got = {r.page_id: r for r in warc.round_trip(pages, f"file://{tmp_path}/a", with_payload=True).collect()}
