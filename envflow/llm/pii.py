@@ -26,8 +26,9 @@ _ALNUM = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ01234567
 _LOCAL = _ALNUM | frozenset("._%+-")
 _LABEL = _ALNUM | frozenset("-")
 _PHONE = _DIGITS | frozenset(" ().-")
+_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _URL_END = frozenset(" \t\n\r\v\f/?#\"'<>")
-#: Cues of an account number, in lower case.
+#: Cues of an account number, in lower case; a text may have them in any.
 CUES = ("account number", "account no", "account:", "acct no", "acct:", "a/c no", "routing number", "member id", "customer id", "iban")
 #: Words that may stand between a cue and its number.
 _BETWEEN = frozenset(" :#.=")
@@ -41,12 +42,16 @@ def anchors():
     for sign in ("@", "://", "+", *sorted(_DIGITS)):
         found.add_word(sign, ("digit" if sign in _DIGITS else sign, len(sign)))
     for cue in CUES:
-        for form in (cue, cue.capitalize(), cue.upper()):
-            found.add_word(form, ("cue", len(form)))
+        found.add_word(cue, ("cue", len(cue)))
     found.make_automaton()
     return found
 
 
+def lowered(text: str) -> str:
+    """text with A-Z in lower case, of the same length."""
+    return text.lower() if text.isascii() else text.translate(_LOWER)
+
+
 def _run(text: str, at: int, allowed: frozenset) -> int:
     """The end of the run of allowed characters that begins at at."""
     n = len(text)
@@ -156,7 +161,7 @@ def account_at(text: str, at: int) -> tuple[str, int, int] | None:
 def find(text: str, automaton) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then by kind as listed."""
     spans, past = [], dict.fromkeys((*BASE, "account"), 0)
-    for last, (sign, width) in automaton.iter(text):
+    for last, (sign, width) in automaton.iter(lowered(text)):
         at = last - width + 1
         if sign == "digit":
             if at >= past["card"]:

@@ -28,7 +28,7 @@ WINDOW = 20
 THRESHOLDS = {"hexadecimal": 2.9, "alphanumeric": 3.5, "base64": 3.6}
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
 #: What a candidate may hold and yet be no secret.
-ALLOW = r"(?i)example|sample|dummy|placeholder|redacted|changeme|your[_-]|xxxx|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^[-_=+/]*$|^(.)\1+$|//|^sha(1|256|512)-"
+ALLOW = r"(?i)example|sample|dummy|placeholder|redacted|changeme|your[_-]|xxxx|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^[-_=+/]*$|^(.)\1+$|^//|^sha(1|256|512)-"
 
 
 def _placed(text: Column, pattern: str, kind: str, hint: Column, value: int = 0) -> Column:

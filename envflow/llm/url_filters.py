@@ -10,6 +10,8 @@ allow anywhere in the class takes precedence over a block; with neither, it is a
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -26,6 +28,9 @@ LINKS = (
     r"""(?i)<meta\b[^>]*\bproperty\s*=\s*["']?og:url\b[^>]*?\bcontent\s*=\s*["']?([^"'\s>]+)""",
     r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*?\burl\s*=\s*([^"'\s>]+)""",
 )
+#: Tags that may declare an address, quoted values whole; of each the attributes are read in any order.
+TAGS = r"""(?i)<(?:link|meta)\b(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>"""
+BASE = r"""(?i)<base\b(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>"""
 
 
 def after_scheme(url: Column) -> Column:
@@ -60,11 +65,64 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
+def attribute(tag: Column, name: str) -> Column:
+    """The value of a tag's attribute, quoted or not; empty where it has none."""
+    pattern = rf"""(?i)[\s"']{name}\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
+    return F.trim(F.concat(*(F.regexp_extract(tag, pattern, i) for i in (1, 2, 3))))
+
+
+def declared(tag: Column) -> Column:
+    """The address that a tag declares: canonical, og:url or refresh; empty for other tags."""
+    named = F.lower(F.concat_ws(" ", attribute(tag, "property"), attribute(tag, "name")))
+    refresh = r"""(?i)^\s*+[0-9.]*+\s*+[;,]?+\s*+(?:url\s*+=\s*+)?+["']?+\s*+([^"'\s]+)"""
+    link = F.when(attribute(tag, "rel").rlike(r"(?i)(^|\s)canonical(\s|$)"), attribute(tag, "href"))
+    meta = F.when(named.rlike(r"(^|\s)og:url(\s|$)"), attribute(tag, "content"))
+    meta = meta.when(F.lower(attribute(tag, "http-equiv")) == "refresh", F.regexp_extract(attribute(tag, "content"), refresh, 1))
+    return F.coalesce(F.when(tag.rlike("(?i)^<link"), link).otherwise(meta), F.lit(""))
+
+
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with value as a variable: it is in the expression once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def without_dots(path: Column) -> Column:
+    """A path without the segments ``.`` and ``..``."""
+
+    def step(kept: Column, part: Column) -> Column:
+        up = F.when(F.size(kept) > 1, F.slice(kept, F.lit(1), F.size(kept) - 1)).otherwise(kept)
+        return F.when(part == "..", up).when(part == ".", kept).otherwise(F.concat(kept, F.array(part)))
+
+    def short(p: Column) -> Column:
+        parts = F.aggregate(F.split(p, "/"), F.expr("CAST(array() AS array<string>)"), step)
+        return F.when(p.rlike(r"(^|/)\.\.?(/|$)"), F.array_join(parts, "/")).otherwise(p)
+
+    return let(path, short)
+
+
+def resolved(to: Column, base: Column) -> Column:
+    """The address that to means on a page at base; null for other schemes, fragments and pages without a host."""
+    return let(to, lambda t: let(base, lambda b: _resolved(t, b)))
+
+
+def _resolved(to: Column, base: Column) -> Column:
+    scheme, rest = F.regexp_extract(base, "^([^:/?#]*):", 1), after_scheme(base)
+    host, path = F.regexp_extract(rest, "^([^/?#]*)", 1), F.regexp_extract(rest, "^[^/?#]*([^?#]*)", 1)
+    own, query = F.regexp_extract(to, "^([^?#]*)", 1), F.regexp_extract(to, r"^[^?#]*(\?.*)?$", 1)
+    folder = F.concat(F.regexp_replace(path, "[^/]*$", ""), F.when(path == "", "/").otherwise(""))
+    target = F.when(own == "", path).otherwise(without_dots(F.when(own.startswith("/"), own).otherwise(F.concat(folder, own))))
+    inside = F.when(host != "", F.concat(scheme, F.lit("://"), host, target, query))
+    return F.when(to.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), to).when(to.startswith("//"), F.concat(scheme, F.lit(":"), to)).when(to.rlike("^([A-Za-z][A-Za-z0-9+.-]*:|#|$)"), F.lit(None)).otherwise(inside)
+
+
 def link_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): every page's alias and the alias it declares. Only absolute addresses count."""
-    found = F.concat(*(F.regexp_extract_all("html", F.lit(p), 1) for p in LINKS))
+    """(a, b): every page's alias and the alias it declares. Relative addresses are those of the page, or of its base."""
+    found = F.concat(*(F.regexp_extract_all("html", F.lit(p), 1) for p in LINKS), F.transform(F.regexp_extract_all("html", F.lit(TAGS), 0), declared))
+    base = attribute(F.regexp_extract("html", BASE, 0), "href")
     marked = pages.where(F.col("html").rlike("(?i)canonical|og:url|http-equiv"))
-    return marked.select(alias_of(F.col("url")).alias("a"), F.explode(found).alias("to")).select("a", alias_of(F.col("to")).alias("b")).where("a <> b")
+    marked = marked.select("url", F.coalesce(resolved(base, F.col("url")), F.col("url")).alias("base"), F.explode(F.array_distinct(found)).alias("to"))
+    edge = F.struct(alias_of(F.col("url")).alias("a"), let(resolved(F.col("to"), F.col("base")), alias_of).alias("b"))
+    return marked.select(F.explode(F.array(edge)).alias("edge")).select("edge.a", "edge.b").where("a <> b")
 
 
 def judge(pages: DataFrame, rules=RULES, links: DataFrame | None = None) -> DataFrame:

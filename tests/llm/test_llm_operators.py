@@ -274,6 +274,35 @@ def test_entropy_spans_allow_list_and_redaction(spark):
     assert clean[1] == ("key [SECRET] end", 16) and clean[3][0] == docs[2][1] and clean[4][0] == "[SECRET], then [SECRET]" and clean[5] == (None, None)
 
 
+def test_url_links_in_any_form(spark):
+    forms = [
+        '<link rel="canonical" href="/x/a">', '<link href=//bad.com/de/a rel=canonical>', '<meta http-equiv="refresh" content="0; url=/x/a">', """<meta http-equiv="refresh" content="0; url='https://bad.com/de/a'">""",
+        '<meta content="0; url=https://bad.com/de/a" http-equiv=refresh>', '<meta content="https://bad.com/de/a" property="og:url">', '<link rel="canonical" href="../x/./a">', '<base href="https://bad.com/de/"><link rel=canonical href="a">',
+        "<META CONTENT='5;URL=https://bad.com/de/a' HTTP-EQUIV='Refresh'>", '<meta http-equiv="refresh" content="5">', '<link rel="canonical" href="#top">', '<link rel="stylesheet" href="https://bad.com/de/a"><i>canonical</i>', '<link rel="canonical" href="mailto:a@bad.com">',
+    ]
+    rows = [(i, f"http://m{i}.net/d/p?q=1", f) for i, f in enumerate(forms)]
+    got = {r.a: r.b for r in url_filters.link_edges(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    there = {i: f"m{i}.net/x/a" if i in (0, 2, 6) else "bad.com/de/a" for i in range(9)}
+    assert got == {f"m{i}.net/d/p?q=1": b for i, b in there.items()}
+    rows += [(100, "http://m0.net/x/a", '<link rel=canonical href="https://bad.com/de/a">')]
+    verdicts = {r.page_id: r.verdict for r in url_filters.judge(spark.createDataFrame(rows, "page_id bigint, url string, html string")).collect()}
+    assert {i for i, v in verdicts.items() if v == "block"} == {0, 1, 3, 4, 5, 7, 8, 100}
+
+
+def test_cues_in_any_case():
+    for cue in pii.CUES[:-1]:
+        for form in (cue, cue.upper(), cue.title(), cue.capitalize(), cue.swapcase(), "İ " + cue.title()):
+            text = f"{form} 12345678"
+            assert pii.find(text, AUTOMATON) == [("account", len(form) + 1, len(text))]
+
+
+def test_secrets_with_slashes_inside(spark):
+    key = "q8Hs0zRwtYp3//Lm9Nb6VcXe4Kd"
+    docs = [(1, f"key {key} end"), (2, "see https://q8Hs0zRwtYp3Lm9Nb6VcXe4Kd")]
+    got = {r.doc_id: [(s.kind, s.start, s.stop) for s in r.found] for r in secrets.scan(spark.createDataFrame(docs, "doc_id bigint, text string")).collect()}
+    assert got == {1: [("entropy", 4, 4 + len(key))], 2: []}
+
+
 def test_quality_on_the_held_out_fold(spark):
     data = DATA.replace("sf0.001", "sf0.01")
     got = queries.op6_quality_classifier(spark, data).join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").collect()
