@@ -138,7 +138,8 @@ def _chars(docs: DataFrame) -> Column:
 def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, held_in=None) -> Machine:
     """Fits on the rows of docs that labels (doc_id, quality) mark and held_in, a condition on doc_id, admits.
 
-    A document that is marked more than once counts as marked by the least mark; null marks don't count.
+    A document that is marked more than once counts as marked by the least mark; null marks don't count. Of rows that
+    share a doc_id one counts, that with the least hash of its text: each task keeps its least, Spark the least of those.
     """
     small_batches(docs.sparkSession)
     marks = labels.where("doc_id IS NOT NULL AND quality IS NOT NULL")
@@ -146,17 +147,25 @@ def train(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, held_in=None
     chosen = marks.groupBy("doc_id").agg(F.min("quality").alias("quality")).orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        least: dict[int, tuple[int, int]] = {}  # doc_id -> (hash, n_chars) of its row, at most sample of them
         for batch in batches:
+            better = {}
+            for i, (doc, *mark) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "hash", "n_chars")), strict=True)):
+                if doc not in least or tuple(mark) < least[doc]:
+                    least[doc], better[doc] = tuple(mark), i
+            batch = batch.take(pa.array(sorted(better.values()), pa.int64()))
             chars = batch.column("n_chars").to_numpy()
             for words in words_of(batch.column("text"), lower=True):
                 at, bucket, value, stats = features(words, chars[words.lo : words.hi])
                 bounds = np.searchsorted(at, np.arange(words.hi - words.lo + 1))
                 part = batch.slice(words.lo, words.hi - words.lo)
                 floats = lambda x, b: pa.ListArray.from_arrays(pa.array(b, pa.int32()), pa.array(x, pa.float32()))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("quality"), long_lists(bucket, bounds), floats(value, bounds), floats(stats.ravel(), np.arange(len(part) + 1) * stats.shape[1])], names=["doc_id", "quality", "bucket", "value", "stats"])
+                yield pa.RecordBatch.from_arrays([*(part.column(c) for c in ("doc_id", "quality", "hash", "n_chars")), long_lists(bucket, bounds), floats(value, bounds), floats(stats.ravel(), np.arange(len(part) + 1) * stats.shape[1])], names=["doc_id", "quality", "hash", "n_chars", "bucket", "value", "stats"])
 
-    rows = docs.select("doc_id", "text", _chars(docs).alias("n_chars")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "n_chars", F.col("quality").cast("int").alias("quality"))
-    found = rows.mapInArrow(run, "doc_id bigint, quality int, bucket array<bigint>, value array<float>, stats array<float>").toArrow().sort_by("doc_id")  # at most sample rows
+    rows = docs.select("doc_id", "text", _chars(docs).alias("n_chars")).join(F.broadcast(chosen), "doc_id").select("doc_id", "text", "n_chars", F.col("quality").cast("int").alias("quality"), F.xxhash64("text").alias("hash"))
+    each = rows.mapInArrow(run, "doc_id bigint, quality int, hash bigint, n_chars bigint, bucket array<bigint>, value array<float>, stats array<float>")
+    one = each.groupBy("doc_id").agg(F.min_by(F.struct("quality", "bucket", "value", "stats"), F.struct("hash", "n_chars")).alias("row"))
+    found = one.select("doc_id", "row.*").toArrow().sort_by("doc_id")  # at most sample rows
     flat = lambda c: found.column(c).combine_chunks().flatten().to_numpy() if len(found) else np.empty(0)
     sizes = np.array([len(x) for x in found.column("bucket")], dtype=np.int64)
     at = np.repeat(np.arange(len(found)), sizes)

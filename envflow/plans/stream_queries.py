@@ -75,9 +75,11 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("""SELECT date_trunc('hour', ts) AS hour_start, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS total FROM events GROUP BY ALL""")
 def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly windows in complete mode, which has the open windows too."""
-    name = f"tumbling_{uuid.uuid4().hex}"
+    """Hourly windows in complete mode, which has the open windows too. Each batch writes all windows anew."""
+    out = work_dir(spark)
     windows = _events(spark, sf_dir).groupBy(F.window("event_time", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), exact_sum(F.col("value")).alias("total"))
     flat = windows.select(F.col("w.start").cast("timestamp_ntz").alias("hour_start"), "event_type", "n", "total")
-    flat.writeStream.format("memory").queryName(name).outputMode("complete").option("checkpointLocation", work_dir(spark)).trigger(availableNow=True).start().awaitTermination()
-    return spark.table(name)
+    write = lambda rows, _=None: rows.write.mode("overwrite").parquet(f"{out}/data")
+    write(spark.createDataFrame([], flat.schema))
+    flat.writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    return spark.read.parquet(f"{out}/data")

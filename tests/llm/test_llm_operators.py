@@ -312,6 +312,19 @@ def test_quality_on_the_held_out_fold(spark):
     assert np.mean([a > b for a in good for b in bad]) > 0.97 and np.mean([r.predicted == r.quality for r in held]) > 0.93
 
 
+def test_training_takes_one_row_of_each_id(spark, monkeypatch):
+    fitted = []
+    monkeypatch.setattr(quality, "fit", lambda at, bucket, value, stats, label: fitted.append((at, stats, label)))
+    docs = spark.createDataFrame([(i, f"text of document {i}") for i in range(20)] + [(3, f"hot row {i % 50} " * (1 + i % 7)) for i in range(500)], "doc_id bigint, text string")
+    labels = spark.createDataFrame([(i, i % 2) for i in range(20)], "doc_id bigint, quality int")
+    for parts in (1, 7):
+        quality.train(docs.repartition(parts), labels, sample=20)
+    quality.train(docs.where("doc_id <> 3"), labels)
+    assert [len(label) for _, _, label in fitted] == [20, 20, 19]
+    assert all(np.array_equal(x, y) for x, y in zip(fitted[0], fitted[1], strict=True))
+    assert np.array_equal(fitted[2][2], [i % 2 for i in range(20) if i != 3])
+
+
 def test_pairwise_sum_in_linear_time():
     rng = np.random.default_rng(0)
     width = quality.BUCKETS + len(quality.STATISTICS)

@@ -63,3 +63,14 @@ def test_late_files_of_a_backfill_are_kept(spark, tmp_path, monkeypatch):
                 os.utime(f, (1_600_000_000 + i, 1_600_000_000 + i))
     got = sorted(r.event_id for r in Q.stream_dedup(spark, str(tmp_path)).collect())
     assert got == sorted(10 * day + j for day in (9, 5, 1) for j in range(4))
+
+
+def test_windows_are_not_held_by_the_driver(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(Q, "FILES_PER_BATCH", 1)
+    path = f"{tmp_path}/events.parquet"
+    for hour in (5, 3, 5):
+        rows = [(j, j, "view", 1.5, dt.datetime(2024, 1, 1, hour, j)) for j in range(4)]
+        spark.createDataFrame(rows, "event_id bigint, user_id bigint, event_type string, value double, ts timestamp_ntz").coalesce(1).write.mode("append").parquet(path)
+    got = Q.stream_tumbling(spark, str(tmp_path))
+    assert all(f.endswith(".parquet") for f in got.inputFiles()) and got.inputFiles()
+    assert sorted((r.hour_start.hour, r.n, r.total) for r in got.collect()) == [(3, 4, 6.0), (5, 8, 12.0)]
