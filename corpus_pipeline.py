@@ -18,9 +18,13 @@ def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
     return quality.keep_good(docs, quality.train(docs, labels, held_in=~quality.held_out()))
 
 
+#: The stage's similarity, in percent of shingles of so many words; 85 percent of four is the contract of the query op4.
+PERCENT, SHINGLE_WORDS = 80, 5
+
+
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Of each component of near duplicates the document with the smallest id stays; so do rows without an id."""
-    heads = jaccard_join.components(docs).where("doc_id = component_id").select("doc_id").distinct()
+    heads = jaccard_join.components(docs, PERCENT, SHINGLE_WORDS).where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.where("doc_id IS NOT NULL").join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
     return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 

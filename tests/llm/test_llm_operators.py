@@ -504,3 +504,12 @@ def test_pipeline_equals_brute_force(spark):
     assert all(d.columns == docs.columns for d in (good, single, clean, safe)) and safe.count() == clean.count()
     assert not any(base_spans(r.text or "", SECRETS) for r in safe.collect())
     assert {r.doc_id for r in P.run(spark, DATA).select("doc_id").collect()} == {r.doc_id for r in safe.collect()}
+
+
+def test_pipeline_finds_copies_with_a_fifth_added(spark):
+    import corpus_pipeline as P
+
+    base = [f"w{i}" for i in range(104)]
+    rows = [(1, " ".join(base)), (2, " ".join(base + [f"x{i}" for i in range(21)])), (3, " ".join(base + [f"y{i}" for i in range(40)]))]
+    docs = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id bigint, text string")
+    assert sorted(str(r.doc_id) for r in P.one_of_each(spark, docs, DATA).collect()) == ["1", "3", "None"]
