@@ -10,6 +10,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -19,37 +20,58 @@ from pyspark.sql import functions as F
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
 #: Texts are hashed in pieces of about so many bytes (whole documents), which bounds a task's memory.
 CHUNK_BYTES = 1 << 20
-FILES_PER_CORE = 2
 #: Input rows from which on a hot key matters: a third of fewer rows is still a fair task.
 SPLIT_ROWS = 50_000_000
 _MASK = (1 << 64) - 1
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that the driver and all executors share; a temporary one only where the session names none."""
+    """The folder that the driver and all executors share. Where the session names none, a temporary one in local mode; a cluster must name one."""
     found = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not found:
-        found = tempfile.mkdtemp(prefix="envflow-")
-        spark.sparkContext.setCheckpointDir(found)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="envflow-"))
         found = spark.sparkContext.getCheckpointDir()
     return found.rstrip("/")
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+_SCRATCH: list[list[DataFrame]] = []
+
+
+@contextmanager
+def scratch() -> Iterator[list[DataFrame]]:
+    """Tables written inside are deleted at the end, but for those that the caller takes out of the list."""
+    made: list[DataFrame] = []
+    _SCRATCH.append(made)
+    try:
+        yield made
+    finally:
+        _SCRATCH.pop()
+        discard(*made)
+
+
 def written(df: DataFrame, name: str, rows: int | None = None) -> DataFrame:
     """df written once as Parquet to the shared folder and read again: cuts lineage and survives lost executors.
 
-    At most FILES_PER_CORE files for each core of the cluster (or a file for eight shuffle partitions, if that is
-    more), and one for each core where few rows are expected: a small result over many shuffle partitions would
-    otherwise be as many tiny files. Partitions that share a file are worked on one after another.
+    Every task of df's last stage writes its own file, so the work stays dealt out as Spark dealt it. Where no more than
+    so many rows are known to come, they are written into a file for each core, or for 500,000 rows if that is more. The shuffle files of df are
+    deleted when it has been written, as nothing reads them again.
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
-    cores = spark.sparkContext.defaultParallelism
-    files = max(FILES_PER_CORE * cores, n_partitions(spark) // 8)
-    files = files if rows is None else min(files, max(cores, rows // 500_000))
-    df.coalesce(files).write.parquet(path)
+    out = df if rows is None else df.coalesce(max(spark.sparkContext.defaultParallelism, rows // 500_000))
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        out.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     out = spark.read.schema(df.schema).parquet(path)
     out.written_to = path
+    if _SCRATCH:
+        _SCRATCH[-1].append(out)
     return out
 
 
@@ -62,15 +84,6 @@ def splittable(aggregate: DataFrame, name: str, rows: int) -> DataFrame:
     return written(aggregate, name) if rows >= SPLIT_ROWS else aggregate
 
 
-def release(spark: SparkSession) -> None:
-    """Lets the shuffle files of finished steps go.
-
-    They go when the driver's garbage collector finds their plans gone; it is asked to look now, as otherwise the files
-    of many steps stand on the disks at once.
-    """
-    spark.sparkContext._jvm.System.gc()
-
-
 def discard(*tables: DataFrame) -> None:
     """Deletes written tables (others stay) that nothing reads any more: what was made of them has been written since."""
     for table in tables:
@@ -78,7 +91,6 @@ def discard(*tables: DataFrame) -> None:
             context = table.sparkSession.sparkContext
             path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
             path.getFileSystem(context._jsc.hadoopConfiguration()).delete(path, True)
-    release(tables[0].sparkSession)
 
 
 def few(table: DataFrame, rows: int = 2_000_000) -> DataFrame:
