@@ -1,8 +1,10 @@
 """N-gram Jaccard join: a size-aware heavy-light similarity join over sets of word shingles, and its components.
 
-Two sets link when 100 * intersection >= percent * union. Then each shares at least ``o(n) = ceil(percent * n / 100)``
-shingles with the other, n being its own size; so under any common order of the shingles the first j common ones are
-among the first ``n - o(n) + j`` of either set.
+Two sets of sizes n <= m link when 100 * intersection >= percent * union. Then the smaller shares at least
+``i(n) = ceil(2 * percent * n / (100 + percent))`` shingles and the larger at least ``o(m) = ceil(percent * m / 100)``;
+so under any common order of the shingles the first j common ones are among the first ``n - i(n) + j`` of the smaller,
+which index it, and among the first ``m - o(m) + j`` of the larger, which probe. A set is in both roles, as it may be
+the smaller of one pair and the larger of another.
 
 1. Equal sets are one representative with its members; copies cost nothing after that.
 2. Screen, in the order of hashes: a set sends its first ``n - o(n) + j(n)`` shingles, j(n) being half of the plain
@@ -10,12 +12,15 @@ among the first ``n - o(n) + j`` of either set.
 3. The sets that stay are ordered by frequency, rare shingles first. Light sets, up to a boundary size, list all
    two-shingle subsets of their prefix; heavy sets, and light ones near the boundary, are in the inverted list of each
    prefix shingle. The boundary is the power of two with the least cost: subsets listed, against rows in lists and
-   comparisons of blocks.
+   comparisons of blocks. A list that indexes nothing, such as that of a common line in documents that have
+   enough words of their own, holds no pair and is dropped.
 4. A list of n sets isn't n * n pairs. First its pivot, the set with the smallest share of shingles of its own, is
-   verified against the other members; sets that are in one component by then need no more comparisons. Components
-   that still meet in a list form a group, which is compared block by block, each pair of blocks in a task that returns
-   no more links than join its components. Where a group is so thin that its lists hold far fewer pairs than that, the
-   pairs of its lists are verified one by one. No link between components is lost.
+   verified against the other members; sets that are in one component by then need no more comparisons. Lists with sets of
+   several components stay open. Where few sets of an open list index it, these are paired with its members, and parity
+   bitmaps, which bound the intersection from above, drop most pairs before any shingles are sent. Crowded lists are
+   compared by blocks of sets as products of matrices; blocks of one component don't meet each other. Components that meet in
+   crowded lists form a group that is compared once, unless its lists hold far fewer pairs than the group; then each
+   list is. No link between components is lost.
 """
 
 from __future__ import annotations
@@ -32,10 +37,12 @@ from envflow.llm.components import connected_components
 
 SHINGLE_WORDS = 4
 PERCENT = 85
-#: A block of sets that is compared with another block at once.
-BLOCK = 128
+#: A block of sets that is compared with another block at once; every WEIGHT shingles count as a set more.
+BLOCK, WEIGHT = 1024, 256
 #: Columns of the matrices that the comparison multiplies.
-COLUMNS = 1 << 14
+COLUMNS = 1 << 12
+#: A list is crowded if more sets than this index it.
+CROWDED = 64
 #: A group is compared whole if it has at most so many pairs for each pair in its lists: a pair in a block costs far less.
 DENSE = 128
 _WHICH = stream(52, 1)[0]
@@ -108,70 +115,90 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 
 
 def _block_links(percent: int, every: bool):
+    """Links between two blocks of sets, side 0 and side 1, or within one that is on side 0 alone."""
+
     def run(table: pa.Table) -> pa.Table:
         table = table.combine_chunks()
-        rep, n, component = (table.column(c).to_numpy() for c in ("rep", "n", "component"))
+        side, rep, n, component = (table.column(c).to_numpy() for c in ("side", "rep", "n", "component"))
         tokens = table.column("tokens").combine_chunks()
         row = np.repeat(np.arange(len(rep)), np.diff(tokens.offsets.to_numpy()))
         _, column, times = np.unique(tokens.flatten().to_numpy(), return_inverse=True, return_counts=True)
         again = times[column] > 1
         row, column = row[again], column[again]
         column = np.unique(column, return_inverse=True)[1]
-        common = np.zeros((len(rep), len(rep)), dtype=np.float32)
+        x, y = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        within = not len(y)
+        y = x if within else y
+        place = np.empty(len(rep), dtype=np.int64)
+        place[x], place[y] = np.arange(len(x)), np.arange(len(y))
+        common = np.zeros((len(x), len(y)), dtype=np.float32)
         order = np.argsort(column, kind="stable")
         row, column = row[order], column[order]
         for at in range(0, int(column[-1]) + 1 if len(column) else 0, COLUMNS):
             a, b = np.searchsorted(column, (at, at + COLUMNS))
-            part = np.zeros((len(rep), COLUMNS), dtype=np.float32)
-            part[row[a:b], column[a:b] - at] = 1
-            common += part @ part.T
-        both = common.astype(np.int64)
-        linked = (100 * both >= percent * (n[:, None] + n[None, :] - both)) & (component[:, None] != component[None, :])
-        if every:
-            i, j = np.nonzero(np.triu(linked, 1))
-            return pa.table({"a": pa.array(np.minimum(rep[i], rep[j]), pa.int64()), "b": pa.array(np.maximum(rep[i], rep[j]), pa.int64())})
-        root = {c: c for c in component.tolist()}
-
-        def find(x: int) -> int:
-            while root[x] != x:
-                root[x] = x = root[root[x]]
-            return x
-
-        pairs = []
-        for i, j in zip(*np.nonzero(np.triu(linked, 1)), strict=True):
-            x, y = find(int(component[i])), find(int(component[j]))
-            if x != y:
-                root[x] = y
-                pairs.append((min(int(rep[i]), int(rep[j])), max(int(rep[i]), int(rep[j]))))
-        return pa.table({"a": pa.array([p[0] for p in pairs], pa.int64()), "b": pa.array([p[1] for p in pairs], pa.int64())})
+            left, right = np.zeros((len(x), COLUMNS), dtype=np.float32), np.zeros((len(y), COLUMNS), dtype=np.float32)
+            part, cell = row[a:b], column[a:b] - at
+            mine = side[part] == 0
+            left[place[part[mine]], cell[mine]] = 1
+            theirs = mine if within else ~mine
+            right[place[part[theirs]], cell[theirs]] = 1
+            common += left @ right.T
+        linked = ((100 + percent) * common.astype(np.int64) >= percent * (n[x][:, None] + n[y][None, :])) & (component[x][:, None] != component[y][None, :])
+        i, j = np.nonzero(np.triu(linked, 1) if within else linked)
+        i, j = x[i], y[j]
+        if not every:
+            root = {c: c for c in component.tolist()}
+
+            def find(c: int) -> int:
+                while root[c] != c:
+                    root[c] = c = root[root[c]]
+                return c
+
+            new = np.zeros(len(i), dtype=bool)
+            for k, (p, q) in enumerate(zip(component[i].tolist(), component[j].tolist(), strict=True)):
+                p, q = find(p), find(q)
+                root[p], new[k] = q, p != q
+            i, j = i[new], j[new]
+        return pa.table({"a": pa.array(np.minimum(rep[i], rep[j]), pa.int64()), "b": pa.array(np.maximum(rep[i], rep[j]), pa.int64())})
 
     return run
 
 
-def _in_blocks(members: DataFrame, percent: int, every: bool = False) -> DataFrame:
-    """Links (a, b) between components in each group of members (group, rep, n, component, sets, tokens).
+def _in_blocks(members: DataFrame, sets: DataFrame, percent: int, every: bool = False) -> DataFrame:
+    """Links (a, b) between components in each unit of members (unit, rep, n, component), a written table.
 
-    Enough of them to join the components, or every one, then also more than once.
+    Enough of them to join the components, or every one, then also more than once. A component of more than a
+    block has blocks of its own, which don't meet each other; small ones share blocks. Pairs of blocks are made of ids
+    alone; a set is sent once for each block that its own meets.
     """
-    blocks = F.greatest(F.lit(1), F.ceil(F.col("sets") / BLOCK)).cast("int")
-    own = members.withColumn("own", F.pmod(F.xxhash64("rep"), blocks).cast("int"))
-    dealt = own.select("group", "rep", "n", "component", "tokens", "own", F.explode(F.sequence(F.lit(0), blocks - 1)).alias("other"))
-    dealt = dealt.withColumn("first", F.least("own", "other")).withColumn("second", F.greatest("own", "other")).drop("own", "other")
-    return dealt.groupBy("group", "first", "second").applyInArrow(_block_links(percent, every), "a bigint, b bigint")
-
-
-def _near_size(x: Column, y: Column, percent: int) -> Column:
-    return (100 * F.least(x, y)) >= (percent * F.greatest(x, y))
-
-
-def _boundary(sets: DataFrame) -> int:
-    """Sets of up to so many shingles are light: the power of two with the least cost."""
+    weight = 1 + F.floor(F.col("n") / WEIGHT)
+    sizes = members.groupBy("unit", "component").agg(F.sum(weight).alias("size")).withColumn("big", F.col("size") > BLOCK)
+    shared = sizes.where("NOT big").groupBy("unit").agg(F.sum("size").alias("all")).select("unit", F.ceil(F.col("all") / BLOCK).alias("shared"))
+    sizes = sizes.join(shared, "unit", "left").select("unit", "component", "big", F.when(F.col("big"), F.ceil(F.col("size") / BLOCK)).otherwise(F.col("shared")).alias("blocks"))
+    number = F.pmod(F.xxhash64(F.when(F.col("big"), F.col("rep")).otherwise(F.col("component"))), F.col("blocks")).cast("int")
+    own = F.when(F.col("big"), F.col("component")).otherwise(F.lit(0)).alias("own")
+    placed = written(members.join(splittable(sizes, "sizes", members.count()), ["unit", "component"]).select("unit", "rep", "n", "component", F.struct("big", own, number.alias("number")).alias("block")), "placed")
+    blocks = placed.select("unit", "block").distinct()
+    other = blocks.withColumnRenamed("block", "second")
+    pairs = blocks.withColumnRenamed("block", "first").join(other, "unit").where("first <= second AND NOT (first.big AND second.big AND first.own = second.own)")
+    pairs = written(pairs.select("unit", F.xxhash64("unit", "first", "second").alias("pair"), "first", "second"), "block_pairs")
+    sides = pairs.select("unit", "pair", F.col("first").alias("block"), F.lit(0).alias("side")).unionAll(pairs.where("first <> second").select("unit", "pair", F.col("second").alias("block"), F.lit(1)))
+    dealt = placed.join(sides, ["unit", "block"]).select("pair", "side", "rep", "n", "component").join(sets.select("rep", "n", "tokens"), ["rep", "n"])
+    return dealt.groupBy("pair").applyInArrow(_block_links(percent, every), "a bigint, b bigint")
+
+
+def _boundary(sets: DataFrame, percent: int) -> int:
+    """Sets of up to so many shingles are light: the power of two with the least cost. One job over partial sums by size."""
+    if percent <= 50:  # then sets may link by a single shingle, which no subset of two holds
+        return 0
     level = F.floor(F.log2("n")).cast("int")
-    by_level = {r.level: r.cost for r in sets.groupBy(level.alias("level")).agg(F.sum(F.expr("size(two) * (size(two) - 1) / 2D")).alias("cost")).collect()}
-    lists = sets.select(level.alias("level"), F.explode("one").alias("token")).groupBy("level", "token").count()
-    lists = {r.level: r.cost for r in lists.groupBy("level").agg(F.sum(F.expr(f"count + count * (count - 1) / {2 * BLOCK}D")).alias("cost")).collect()}
-    levels = sorted(by_level.keys() | lists.keys())
-    cost = {b: sum(by_level.get(x, 0) for x in levels if x < b) + sum(lists.get(x, 0) for x in levels if x >= b) for b in range(1 + max(levels, default=0) + 1)}
+    subsets = sets.groupBy(level.alias("level")).agg(F.sum(F.expr("size(two) * (size(two) - 1) / 2D")).alias("cost"))
+    lists = sets.select(level.alias("level"), F.explode("one").alias("token")).groupBy("level", "token").agg(F.count("*").alias("n"))
+    lists = lists.groupBy("level").agg(F.sum(F.expr(f"n + n * (n - 1) / {2 * BLOCK}D")).alias("cost"))
+    rows = subsets.withColumn("light", F.lit(True)).unionByName(lists.withColumn("light", F.lit(False))).collect()
+    light, heavy = ({r.level: r.cost or 0 for r in rows if r.light == kind} for kind in (True, False))
+    levels = sorted(light.keys() | heavy.keys())
+    cost = {b: sum(light.get(x, 0) for x in levels if x < b) + sum(heavy.get(x, 0) for x in levels if x >= b) for b in range(1 + max(levels, default=0) + 1)}
     return 1 << min(cost, key=lambda b: (cost[b], b))
 
 
@@ -205,83 +232,102 @@ def links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS, every
     often = splittable(tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1"), "often", full.agg(F.sum(F.size("shingles"))).first()[0] or 0)
     sets = tokens.join(often, "token").groupBy("rep", "which", "n").agg(F.sort_array(F.collect_list(F.struct("df", "token"))).alias("order"))
     own = F.col("n") - F.size("order")
-    prefix = lambda j: F.slice("order", F.lit(1), F.greatest(F.lit(0), F.col("n") - F.ceil(F.lit(percent) * F.col("n") / 100) + j - own).cast("int"))["token"]
-    sets = sets.select("rep", "n", (own / F.col("n")).alias("alone"), F.sort_array("order.token").alias("tokens"), prefix(1).alias("one"), prefix(2).alias("two"))
-    sets = written(sets.where(F.size("tokens") >= F.ceil(F.lit(percent) * F.col("n") / 100)), "prefixes")
+    probe, index = F.ceil(F.lit(percent) * F.col("n") / 100), F.ceil(F.lit(2 * percent) * F.col("n") / (100 + percent))
+    size = lambda least, j: F.greatest(F.lit(0), F.col("n") - least + j - own).cast("int")
+    prefix = lambda j: F.slice("order", F.lit(1), size(probe, j))["token"]
+    tokens = F.sort_array("order.token").alias("tokens")
+    sets = sets.select("rep", "n", own.alias("own"), tokens, prefix(1).alias("one"), prefix(2).alias("two"), size(index, 1).alias("one_index"), size(index, 2).alias("two_index"))
+    sets = written(sets.where(F.size("tokens") >= probe).withColumn("bits", parity("tokens")), "prefixes")
     discard(full, often)
 
-    bound = _boundary(sets)
-    subsets = F.expr("flatten(transform(two, (x, i) -> transform(slice(two, i + 2, size(two)), y -> xxhash64(x, y))))")
-    light = sets.where(F.col("n") <= bound).select("rep", "n", "alone", F.explode(subsets).alias("bucket"))
-    heavy = sets.where(100 * F.col("n") >= percent * (bound + 1)).select("rep", "n", "alone", F.explode("one").alias("bucket"))
-    edges = (join_all if every else join_lists)(light.unionAll(heavy).distinct(), sets, percent)
+    bound = _boundary(sets, percent)
+    subsets = F.expr("flatten(transform(two, (x, i) -> transform(slice(two, i + 2, size(two)), (y, k) -> struct(xxhash64(x, y) AS bucket, i + 1 + k < two_index AS index))))")
+    single = F.expr("transform(one, (x, i) -> struct(x AS bucket, i < one_index AS index))")
+    row = ["rep", "n", "own", "bits"]
+    light = sets.where(F.col("n") <= bound).select(*row, F.explode(subsets).alias("entry")).select(*row, "entry.*")
+    heavy = sets.where(100 * F.col("n") >= percent * (bound + 1)).select(*row, F.explode(single).alias("entry")).select(*row, "entry.*")
+    edges = join_lists(light.unionAll(heavy), sets, percent, every)
     discard(sets)
-    same = splittable(reps.select("same1", "same2", "rep"), "same", rows.count())
+    same = written(reps.select("same1", "same2", "rep"), "same")
     out = rows.select("doc_id", "n", "same1", "same2").join(same, ["same1", "same2"], "left")
     return out.select("doc_id", "n", F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("rep")).alias("rep")), edges
 
 
-def join_lists(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Links (a, b) among the sets that share a list: enough of them to join all that link (see step 4 above).
+def parity(tokens: str) -> Column:
+    """64 bits, each the parity of the number of tokens that it stands for."""
+    return F.expr(f"aggregate({tokens}, 0L, (bits, t) -> bits ^ shiftleft(1L, CAST(t & 63 AS INT)))")
 
-    lists: (bucket, rep, n, alone), distinct; alone orders the candidates for a pivot. sets: (rep, n, tokens), n being the size
-    of the set and tokens those that another set may hold too.
+
+def may_link(x: str, y: str, percent: int) -> Column:
+    """Whether the sets of structs x and y (n, own, bits) may link, by their sizes and the parities of their tokens.
+
+    Tokens that only one of them holds change its parity bit, so the bits that differ are at most as many.
     """
-    several = lists.groupBy("bucket").agg((F.min("rep") < F.max("rep")).alias("some")).where("some").select("bucket")
-    lists = written(lists.join(several, "bucket"), "lists")
-
-    # one round of pivots: each list's most central set against its other members
-    pivots = splittable(lists.groupBy("bucket").agg(F.min(F.struct("alone", "rep", "n")).alias("p")), "pivots", lists.count())
-    met = lists.join(pivots, "bucket").where("rep <> p.rep").where(_near_size(F.col("n"), F.col("p.n"), percent))
-    met = written(met.select(F.least("rep", "p.rep").alias("a"), F.greatest("rep", "p.rep").alias("b")).distinct(), "pairs")
-    firm = written(_verified(met, sets, percent), "links")
-
-    # components that meet in a list are compared as one group, whole
-    now = connected_components(firm).withColumnRenamed("node", "rep")
-    placed = sets.select("rep", "n", "tokens").join(now, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    lists = lists.join(now, "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    meet = lists.groupBy("bucket", "component").agg(F.count("*").alias("size"))
-    heads = meet.groupBy("bucket").agg(F.min("component").alias("head"), F.count("*").alias("components"), F.sum("size").alias("all")).where("components > 1")
-    meet = written(meet.select("bucket", "component").join(heads, "bucket"), "meet")
-    groups = connected_components(meet.select(F.col("component").alias("a"), F.col("head").alias("b"))).select(F.col("node").alias("component"), F.col("component").alias("group"))
-    in_lists = meet.where("component = head").join(groups, "component").groupBy("group").agg(F.sum(F.expr("all * (all - 1) / 2D")).alias("in_lists"))
-    members = written(placed.join(groups, "component"), "members")
-    by_group = members.groupBy("group").agg(F.count("*").alias("sets")).join(in_lists, "group")
-    by_group = by_group.select("group", "sets", (F.expr("sets * (sets - 1) / 2D") <= DENSE * F.col("in_lists")).alias("dense"))
-    found = _in_blocks(members.join(by_group.where("dense"), "group"), percent)
-    thin = groups.join(by_group.where("NOT dense"), "group").select("component", "group")
-    thin = lists.join(thin, "component").join(meet.select("bucket", "component"), ["bucket", "component"])
-    other = thin.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"), F.col("component").alias("other"))
-    pairs = thin.join(other, "bucket").where("rep < b AND component <> other").where(_near_size(F.col("n"), F.col("m"), percent))
-    pairs = pairs.select(F.col("rep").alias("a"), "b").distinct().join(met, ["a", "b"], "left_anti")
-    edges = written(firm.unionAll(found).unionAll(_verified(pairs, sets, percent)), "links")
-    discard(lists, pivots, met, firm, meet, members)
-    return edges
+    most = f"({x}.n - {x}.own + {y}.n - {y}.own - bit_count({x}.bits ^ {y}.bits)) / 2"
+    return F.expr(f"100 * least({x}.n, {y}.n) >= {percent} * greatest({x}.n, {y}.n) AND {100 + percent} * {most} >= {percent} * ({x}.n + {y}.n)")
 
 
-def join_all(lists: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """All links (a, b) among the sets that share a list; lists and sets as in join_lists.
+def join_lists(lists: DataFrame, sets: DataFrame, percent: int, every: bool = False) -> DataFrame:
+    """Links (a, b) among the sets that share a list: enough of them to join all that link (see step 4 above), or every one, once.
 
-    Sets that lists connect form a group. Each group is compared block by block or, where it is thin, list by list.
+    lists: (bucket, index, rep, n, own, bits). sets: (rep, n, tokens), tokens being those that another set may hold too; n is the size of
+    the set, own how many of it tokens leaves out. The smaller of two sets that link indexes a list that the larger is in.
     """
-    several = lists.groupBy("bucket").agg((F.min("rep") < F.max("rep")).alias("some")).where("some").select("bucket")
-    lists = written(lists.join(several, "bucket"), "lists")
-    heads = written(lists.groupBy("bucket").agg(F.min("rep").alias("head"), F.count("*").alias("all")), "heads")
-    groups = connected_components(lists.join(heads, "bucket").select(F.col("rep").alias("a"), F.col("head").alias("b")))
-    groups = groups.select(F.col("node").alias("rep"), F.col("component").alias("group"))
-    in_lists = heads.join(groups, F.col("head") == F.col("rep")).groupBy("group").agg(F.sum(F.expr("all * (all - 1) / 2D")).alias("in_lists"))
-    members = written(sets.select("rep", "n", "tokens", F.col("rep").alias("component")).join(groups, "rep"), "members")
-    by_group = members.groupBy("group").agg(F.count("*").alias("sets")).join(in_lists, "group")
-    by_group = by_group.select("group", "sets", (F.expr("sets * (sets - 1) / 2D") <= DENSE * F.col("in_lists")).alias("dense"))
-    found = _in_blocks(members.join(by_group.where("dense"), "group"), percent, every=True)
-    thin = lists.join(groups.join(by_group.where("NOT dense"), "group").select("rep"), "rep")
-    other = thin.select("bucket", F.col("rep").alias("b"), F.col("n").alias("m"))
-    pairs = thin.join(other, "bucket").where("rep < b").where(_near_size(F.col("n"), F.col("m"), percent)).select(F.col("rep").alias("a"), "b").distinct()
-    edges = written(found.unionAll(_verified(pairs, sets, percent)).distinct(), "links")
-    discard(lists, heads, members)
+    x = F.struct("rep", "n", "own", "bits")
+    lists = lists.select("bucket", "index", x.alias("x"))
+    pivot = F.min(F.struct((F.col("x.own") / F.col("x.n")).alias("alone"), F.col("x.rep").alias("rep"), F.col("x.n").alias("n"), F.col("x.own").alias("own"), F.col("x.bits").alias("bits"))).alias("p")
+    heads = lists.groupBy("bucket").agg(pivot, F.sum(F.col("index").cast("int")).alias("indexing"), F.count("*").alias("all")).where("indexing > 0 AND all > 1")
+    heads = written(heads, "heads")
+    lists = written(lists.join(heads, "bucket"), "lists")
+
+    if every:
+        open_ = lists.withColumn("component", F.col("x.rep"))
+        firm = met = now = None
+    else:
+        # one round of pivots: each list's most central set against its other members
+        met = lists.where(F.col("x.rep") != F.col("p.rep")).where(may_link("x", "p", percent))
+        met = written(met.select(F.least("x.rep", "p.rep").alias("a"), F.greatest("x.rep", "p.rep").alias("b")).distinct(), "pairs")
+        firm = written(_verified(met, sets, percent), "links")
+        now = connected_components(firm).withColumnRenamed("node", "rep")
+        open_ = lists.withColumn("rep", F.col("x.rep")).join(now, "rep", "left").withColumn("component", F.coalesce("component", "rep")).drop("rep")
+        several = open_.groupBy("bucket").agg(F.min("component").alias("head"), F.max("component").alias("last")).where("head < last").select("bucket")
+        open_ = written(open_.join(written(several, "several"), "bucket"), "open")
+
+    # lists that few sets index: these against all members
+    few_index = open_.where(F.col("indexing") <= CROWDED)
+    smaller = few_index.where("index").select("bucket", "x", "component")
+    larger = few_index.select("bucket", F.col("x").alias("y"), F.col("component").alias("other"))
+    pairs = smaller.join(larger, "bucket").where("component <> other AND x.n <= y.n").where(may_link("x", "y", percent))
+    pairs = pairs.select(F.least("x.rep", "y.rep").alias("a"), F.greatest("x.rep", "y.rep").alias("b")).distinct()
+    found = _verified(pairs if every else pairs.join(met, ["a", "b"], "left_anti"), sets, percent)
+
+    # lists that many sets index, by blocks
+    crowded = open_.where(F.col("indexing") > CROWDED)
+    if not crowded.isEmpty():
+        found = found.unionAll(_crowded(crowded, sets, percent, every))
+    if every:
+        return written(found.distinct(), "links")
+    edges = written(firm.unionAll(found), "links")
+    discard(lists, heads, met, firm, open_)
     return edges
 
 
+def _crowded(lists: DataFrame, sets: DataFrame, percent: int, every: bool) -> DataFrame:
+    """Links between components in lists (bucket, x, component, indexing, all): by groups of components that meet, or by lists."""
+    pairs = F.expr("CAST(indexing AS DOUBLE) * all")
+    meet = written(lists.groupBy("bucket").agg(F.min("component").alias("head"), F.max(pairs).alias("pairs")), "meet")
+    groups = connected_components(lists.join(meet, "bucket").select(F.col("component").alias("a"), F.col("head").alias("b")))
+    groups = written(groups.select(F.col("node").alias("component"), F.col("component").alias("group")), "groups")
+    in_lists = meet.join(groups, F.col("head") == F.col("component")).groupBy("group").agg(F.sum("pairs").alias("in_lists"))
+    members = lists.select("component", F.col("x.rep").alias("rep"), F.col("x.n").alias("n")).distinct().join(groups, "component")
+    dense = members.groupBy("group").agg(F.count("*").alias("sets")).join(in_lists, "group").where(F.expr("CAST(sets AS DOUBLE) * (sets - 1) / 2") <= DENSE * F.col("in_lists")).select("group")
+    dense = written(dense, "dense")
+    whole = members.join(dense, "group").select(F.col("group").alias("unit"), "rep", "n", "component")
+    apart = groups.join(dense, "group", "left_anti").select("component")
+    single = lists.join(apart, "component").select(F.xxhash64(F.lit(1), "bucket").alias("unit"), F.col("x.rep").alias("rep"), F.col("x.n").alias("n"), "component")
+    return _in_blocks(written(whole.unionAll(single), "members"), sets, percent, every)
+
+
 def all_links(docs: DataFrame, percent: int = PERCENT, k: int = SHINGLE_WORDS) -> tuple[DataFrame, DataFrame]:
     """(members, edges): the whole join of docs (doc_id, text).
 
