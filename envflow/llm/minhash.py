@@ -1,8 +1,9 @@
 """Document fingerprints by MinHash.
 
 A document's set is its five-word shingles; a text of one to four words has its whole sequence as its only shingle.
-A fingerprint holds, for each of ``N_HASHES`` universal hash functions ``(a * x + b) mod 2**64`` with odd a, the
-upper 16 bits of the smallest value over the set, as four hexadecimal digits. Texts without words have the
+A fingerprint holds, for each of ``N_HASHES`` universal hash functions ``(a * x + b) mod 2**64`` with odd a, 16 bits
+of the smallest value over the set, as four hexadecimal digits. The smallest value is mixed first: its own upper bits
+are nearly all zero for large sets, so they would agree for sets that have nothing in common. Texts without words have the
 fingerprint of their white space (the empty text: of nothing). Equal texts have equal fingerprints.
 
 ``fingerprints`` adds the fingerprint. ``with_neighbours`` pairs every document with the next one by descending id.
@@ -20,14 +21,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import long_lists, mix, n_partitions, sequence_hash, shingle_hashes, small_batches, stream, words_of, written
+from envflow.llm.common import discard, few, long_lists, mix, n_partitions, sequence_hash, shingle_hashes, small_batches, stream, words_of, written
 from envflow.llm.components import connected_components
-from envflow.llm.jaccard_join import join_lists
+from envflow.llm.jaccard_join import join_lists, parity
 
 SHINGLE_WORDS = 5
 N_HASHES = 128
-#: Bands of so many hashes: at similarity 0.8, 32 bands of 4 miss a pair with probability (1 - 0.8**4)**32 < 1e-7.
-BAND_HASHES = 4
+#: Bands of so many hashes: at similarity 0.8, 21 bands of 6 miss a pair with probability (1 - 0.8**6)**21 < 0.002.
+BAND_HASHES = 6
 #: Shingles of a document that are hashed at a time, which bounds memory for very long texts.
 BLOCK = 4096
 _A, _B = stream(41, N_HASHES), stream(42, N_HASHES)
@@ -40,7 +41,7 @@ def signature(shingles: np.ndarray) -> np.ndarray:
         values = shingles[at : at + BLOCK][None, :] * _A[:, None]
         values += _B[:, None]
         np.minimum(least, values.min(axis=1), out=least)
-    return (least >> np.uint64(48)).astype(np.uint16)
+    return (mix(least) & np.uint64(0xFFFF)).astype(np.uint16)
 
 
 def shingle_sets(words, k: int = SHINGLE_WORDS) -> Iterator[np.ndarray]:
@@ -159,6 +160,13 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
     return sent.select("part", "doc_id", "text").mapInArrow(_pairs, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
 
 
+def _bands(sets: list[np.ndarray]) -> np.ndarray:
+    """A row of hashes for each set: one for every band of BAND_HASHES of its signature."""
+    n = N_HASHES // BAND_HASHES
+    values = np.array([signature(s)[: n * BAND_HASHES] for s in sets], dtype=np.uint64).reshape(len(sets), n, BAND_HASHES)
+    return mix((values * stream(43, n * BAND_HASHES).reshape(n, BAND_HASHES)[None]).sum(axis=2, dtype=np.uint64))
+
+
 def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     """(doc_id, class_id) for every row of docs (doc_id, text) that has an id: classes of near duplicates.
 
@@ -168,29 +176,43 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8) -> DataFrame:
     reachable. Texts without words are alone, each its own class. Only what shares no band is missed (see BAND_HASHES).
     """
     small_batches(docs.sparkSession)
+    docs = docs.where("doc_id IS NOT NULL").select("doc_id", "text")
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def cut(words) -> list[np.ndarray]:
+        return [np.unique(s) if b > a else s[:0] for s, a, b in zip(shingle_sets(words), words.bounds[:-1], words.bounds[1:], strict=True)]
+
+    def banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(over="ignore"):
+            for batch in batches:
+                for words in words_of(batch.column("text")):
+                    sets = cut(words)
+                    keys = _bands(sets)
+                    bounds = np.cumsum([0, *(keys.shape[1] if len(s) else 0 for s in sets)])
+                    keys = keys[np.array([len(s) > 0 for s in sets])]
+                    same = pa.array([sequence_hash(s) - (1 << 63) if len(s) else None for s in sets], pa.int64())
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(words.lo, len(sets)), same, long_lists(keys.ravel(), bounds)], names=["doc_id", "same", "bands"])
+
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
             for batch in batches:
-                ids = batch.column("doc_id")
                 for words in words_of(batch.column("text")):
-                    sets = [np.unique(s) if b > a else s[:0] for s, a, b in zip(shingle_sets(words), words.bounds[:-1], words.bounds[1:], strict=True)]
-                    bands = np.array([signature(s).reshape(-1, BAND_HASHES).view(np.uint64).ravel() if len(s) else np.zeros(N_HASHES // BAND_HASHES, np.uint64) for s in sets])
-                    keys = mix(bands ^ stream(43, bands.shape[1])[None, :])
-                    bounds = np.arange(len(sets) + 1) * bands.shape[1]
-                    yield pa.RecordBatch.from_arrays(
-                        [ids.slice(words.lo, words.hi - words.lo), pa.array([sequence_hash(s) - (1 << 63) for s in sets], pa.int64()), long_lists(np.concatenate(sets), np.cumsum([0, *map(len, sets)])), long_lists(keys.ravel(), bounds)],
-                        names=["doc_id", "same", "shingles", "bands"],
-                    )
-
-    spec = "doc_id bigint, same bigint, shingles array<bigint>, bands array<bigint>"
-    sets = written(docs.where("doc_id IS NOT NULL").select("doc_id", "text").mapInArrow(run, spec), "minhash")
-    some = sets.where(F.size("shingles") > 0)
-    members = some.groupBy("same").agg(F.min("doc_id").alias("rep"))
-    reps = some.join(members, (some.same == members.same) & (some.doc_id == members.rep)).select("rep", "shingles", "bands").dropDuplicates(["rep"])
-    tokens = written(reps.select("rep", F.size("shingles").cast("bigint").alias("n"), F.col("shingles").alias("tokens")), "tokens")
-    lists = reps.select(F.explode(F.array_distinct("bands")).alias("bucket"), "rep", F.size("shingles").cast("bigint").alias("n"), F.lit(0.0).alias("alone"))
-    links = join_lists(lists, tokens, round(100 * threshold))
+                    sets = cut(words)
+                    same = pa.array([sequence_hash(s) - (1 << 63) for s in sets], pa.int64())
+                    yield pa.RecordBatch.from_arrays([batch.column("rep").slice(words.lo, len(sets)), same, pa.array([len(s) for s in sets], pa.int64()), long_lists(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))], names=["rep", "same", "n", "tokens"])
+
+    rows = written(docs.mapInArrow(banded, "doc_id bigint, same bigint, bands array<bigint>"), "minhash")
+    members = written(rows.where("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("bands").alias("bands")), "members")
+    entries = members.select("rep", F.explode(F.array_distinct("bands")).alias("bucket"))
+    several = entries.groupBy("bucket").agg((F.min("rep") < F.max("rep")).alias("some")).where("some").select("bucket")
+    entries = written(entries.join(written(several, "several"), "bucket"), "entries")
+    # texts of the representatives that share a band; a row that shares its id with another text is not taken for it
+    some = few(written(entries.select("rep").distinct(), "reps"))
+    sets = docs.join(some, docs.doc_id == some.rep).select("rep", "text").mapInArrow(whole, "rep bigint, same bigint, n bigint, tokens array<bigint>")
+    sets = sets.join(members.select("rep", "same"), ["rep", "same"], "left_semi").dropDuplicates(["rep", "same"])
+    sets = written(sets.withColumn("own", F.lit(0)).withColumn("bits", parity("tokens")), "tokens")
+    lists = entries.join(sets.select("rep", "n", "own", "bits"), "rep").withColumn("index", F.lit(True))
+    links = join_lists(lists, sets, round(100 * threshold))
     classes = connected_components(links).select(F.col("node").alias("rep"), "component")
-    class_of = members.join(classes, "rep", "left").select("same", F.coalesce("component", "rep").alias("class_id"))
-    return sets.select("doc_id", "same", (F.size("shingles") > 0).alias("some")).join(class_of, "same", "left").select("doc_id", F.when(F.col("some"), F.col("class_id")).otherwise(F.col("doc_id")).alias("class_id"))
+    class_of = written(members.select("rep", "same").join(classes, "rep", "left").select("same", F.coalesce("component", "rep").alias("class_id")), "classes")
+    discard(entries, sets)
+    return rows.select("doc_id", "same").join(class_of, "same", "left").select("doc_id", F.coalesce("class_id", "doc_id").alias("class_id"))
