@@ -18,6 +18,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -92,17 +93,32 @@ def _edited(text: str, following: str) -> str:
     return text[: len(text) - n] + put
 
 
+_NEIGHBOURS = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, class_id bigint"
+
+
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows come by part and then by descending id; the last row of a part is the first of the next part, as a ghost."""
-    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-    held = None  # the last row seen: part, id, text, signature
+    """Rows come by part and then by descending id; the last row of a part is the first of the next part, as a ghost.
+
+    Before the rows of an id there may be a row of kind 0 that tells their class_id.
+    """
+    names = [x.split()[0] for x in _NEIGHBOURS.split(", ")]
+    held = None  # the last row seen: part, id, text, signature, class
+    named = (None, None)  # the last id whose class was told, and the class
     for batch in batches:
+        classes = []
+        for kind, doc, told in zip(*(batch.column(c).to_pylist() for c in ("kind", "doc_id", "class_id")), strict=True):
+            if kind:
+                classes.append(named[1] if named[0] == doc and doc is not None else None)
+            else:
+                named = (doc, told)
+        batch = batch.filter(pc.not_equal(batch.column("kind"), 0))
         if not len(batch):
             continue
         texts = batch.column("text").fill_null("")
         values = signatures(texts)
         parts, ids, texts = batch.column("part").to_pylist(), batch.column("doc_id").to_pylist(), texts.to_pylist()
-        rows = [held, *zip(parts, ids, texts, values, strict=True)] if held else list(zip(parts, ids, texts, values, strict=True))
+        rows = list(zip(parts, ids, texts, values, classes, strict=True))
+        rows = [held, *rows] if held else rows
         pairs = [(x, y) for x, y in zip(rows[:-1], rows[1:], strict=True) if x[0] == y[0]]
         held = rows[-1]
         if not pairs:
@@ -118,14 +134,17 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 pa.array(hexadecimal(theirs), pa.string()),
                 pa.array(likeness(own, theirs)),
                 pa.array(likeness(own, after)),
+                pa.array([x[4] for x, _ in pairs], pa.int64()),
             ],
             names=names,
         )
 
 
-def with_neighbours(docs: DataFrame) -> DataFrame:
+def with_neighbours(docs: DataFrame, classes: DataFrame | None = None) -> DataFrame:
     """One row per row of docs (doc_id, text), compared with its edited text and with the next document.
 
+    classes (doc_id, class_id), one row per id, is carried along as class_id by the same exchange; it is null for ids without one.
+
     Next is by descending doc_id, after the last the first; rows with equal ids (repeated rows) are ordered by text,
     and rows without an id come last. A single row is its own next. An empty table gives an empty result.
 
@@ -149,15 +168,17 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
     dealt = docs.withColumn("part", part)
     first = dealt.groupBy("part").agg(F.max("doc_id").alias("head")).orderBy("part").collect()  # a row for each part
     if not first:
-        empty = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
-        return spark.createDataFrame([], empty)
+        return spark.createDataFrame([], _NEIGHBOURS)
     before = {row.part: first[i - 1].part for i, row in enumerate(first)}
     heads = spark.createDataFrame([(r.part, r["head"], before[r.part]) for r in first], "part int, head bigint, before int")
     ghosts = dealt.join(F.broadcast(heads), (dealt.part == heads.part) & dealt.doc_id.eqNullSafe(heads["head"])).select("doc_id", "text", heads.before.alias("part"))
     ghosts = ghosts.groupBy("part", "doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
-    rows = dealt.select("part", "doc_id", "text", F.lit(0).alias("ghost")).unionByName(ghosts.withColumn("ghost", F.lit(1)))
-    sent = rows.repartition(n, "part").sortWithinPartitions("part", "ghost", F.col("doc_id").desc_nulls_last(), F.coalesce("text", F.lit("")))
-    return sent.select("part", "doc_id", "text").mapInArrow(_pairs, "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double")
+    none = F.lit(None).cast("bigint").alias("class_id")
+    rows = dealt.select("part", "doc_id", "text", F.lit(0).alias("ghost"), F.lit(1).alias("kind"), none).unionByName(ghosts.select("*", F.lit(1).alias("ghost"), F.lit(1).alias("kind"), none))
+    if classes is not None:
+        rows = rows.unionByName(classes.where("doc_id IS NOT NULL").select(part.alias("part"), "doc_id", F.lit(None).cast("string").alias("text"), F.lit(0).alias("ghost"), F.lit(0).alias("kind"), "class_id"))
+    sent = rows.repartition(n, "part").sortWithinPartitions("part", "ghost", F.col("doc_id").desc_nulls_last(), "kind", F.coalesce("text", F.lit("")))
+    return sent.select("part", "doc_id", "text", "kind", "class_id").mapInArrow(_pairs, _NEIGHBOURS)
 
 
 def _bands(sets: list[np.ndarray]) -> np.ndarray:

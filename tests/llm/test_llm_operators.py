@@ -94,23 +94,54 @@ def test_oracles(spark, name):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, found.fetchall()))
 
 
+def five_words(t):
+    w = WORD.findall(t)
+    return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
+
+
 def test_neighbours(spark):
     docs = texts(spark)
     got = {r.doc_id: r for r in queries.op3_document_fingerprints(spark, DATA).collect()}
-    ids, errors = sorted(docs, reverse=True), []
-
-    def shingles(t):
-        w = WORD.findall(t)
-        return {tuple(w[i : i + 5]) for i in range(len(w) - 4)} or {tuple(w)}
-
+    classes = {r.doc_id: r.class_id for r in minhash.near_duplicates(spark.read.parquet(f"{DATA}/documents.parquet")).collect()}
+    alone = {r.doc_id: r.fingerprint for r in minhash.fingerprints(spark.read.parquet(f"{DATA}/documents.parquet")).collect()}
+    ids, errors = sorted(docs, reverse=True), {"near_edited": [], "near_next": []}
     for i, d in enumerate(ids):
         own, after = docs[d], docs[ids[(i + 1) % len(ids)]]
         n = len(own) // 2
         edited = own[: len(own) - n] + after[:n]
         assert (got[d].n_chars, got[d].edited_sha256) == (len(own), hashlib.sha256(edited.encode()).hexdigest())
-        a, b = shingles(own), shingles(edited)
-        errors.append(abs(got[d].near_edited - len(a & b) / len(a | b)))
-    assert len(got) == len(docs) and np.mean(errors) < 0.06
+        assert got[d].class_id == classes[d] and got[d].fingerprint == alone[d]
+        for name, other in (("near_edited", edited), ("near_next", after)):
+            a, b = five_words(own), five_words(other)
+            errors[name].append(abs(got[d][name] - len(a & b) / len(a | b)))
+    assert len(got) == len(docs) and np.mean(errors["near_edited"]) < 0.04 and np.mean(errors["near_next"]) < 0.01 and max(errors["near_next"]) < 0.2
+
+
+@pytest.mark.parametrize("size", [100, 2000, 20_000, 100_000])
+def test_signatures_of_any_size_are_unbiased(size):
+    rng = np.random.default_rng(size)
+    with np.errstate(over="ignore"):
+        for share in (0.0, 0.5, 0.8):
+            near = []
+            for _ in range(3):
+                x = rng.integers(0, 2**64, 2 * size, dtype=np.uint64)
+                both = round(size * 2 * share / (1 + share))
+                near.append(minhash.likeness(minhash.signature(x[:size])[None], minhash.signature(np.concatenate((x[:both], x[size : 2 * size - both])))[None])[0])
+            assert abs(np.mean(near) - share) < (0.02 if share == 0 else 0.1)
+
+
+def test_near_copies_of_long_texts(spark):
+    """Long near copies are found and long texts with nothing in common are not."""
+    rng = random.Random(9)
+    base = [[f"w{rng.randrange(10**6)}" for _ in range(12_000)] for _ in range(6)]
+    rows = [(i, " ".join(w)) for i, w in enumerate(base)]
+    for i, w in enumerate(base):
+        w = list(w)
+        for at in rng.sample(range(len(w)), 150):
+            w[at] = "other"
+        rows.append((10 + i, " ".join(w)))
+    got = {r.doc_id: r.class_id for r in minhash.near_duplicates(spark.createDataFrame(rows, "doc_id bigint, text string")).collect()}
+    assert got == {d: d % 10 for d, _ in rows}
 
 
 def test_minhash_classes_against_brute_force(spark):
