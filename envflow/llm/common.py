@@ -9,12 +9,12 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 SEPARATORS = (0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D)
@@ -98,6 +98,28 @@ def few(table: DataFrame, rows: int = 2_000_000) -> DataFrame:
     return F.broadcast(table) if table.count() <= rows else table
 
 
+def let(value: Column, f: Callable[[Column], Column]) -> Column:
+    """f(value) with value as a variable: it is in the expression once, however often f uses it."""
+    return F.get(F.transform(F.array(value), f), F.lit(0))
+
+
+def prefixes(values: Column, combine: Callable[[Column, Column], Column]) -> Column:
+    """combine over the first i + 1 values, for every i of an array, native: each round combines over twice as many values.
+
+    Appending to an array in a fold would copy it for every value; this takes as many passes as its length has binary digits.
+    """
+
+    def over(every: Column) -> Column:
+        rounds = F.when(F.size(every) > 1, F.sequence(F.lit(0), F.ceil(F.log2(F.size(every))).cast("int") - 1)).otherwise(F.expr("CAST(array() AS array<int>)"))
+
+        def one(now: Column, k: Column) -> Column:
+            return let(F.call_function("shiftleft", F.lit(1), k), lambda back: F.transform(now, lambda x, i: F.when(i >= back, combine(F.get(now, i - back), x)).otherwise(x)))
+
+        return F.aggregate(rounds, every, one)
+
+    return let(values, over)
+
+
 def n_partitions(spark: SparkSession, least: int = 1) -> int:
     return max(least, int(spark.conf.get("spark.sql.shuffle.partitions")))
 

@@ -12,9 +12,13 @@ Spans are in code points, with an exclusive end.
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from envflow.llm.common import let, prefixes
+
 BASE = ("assign", "access", "hex")
 #: Fixed patterns. Each is searched leftmost without overlaps; what fails a length check is dropped.
 ASSIGN = r"""(?i:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)"""
@@ -27,24 +31,42 @@ WINDOW = 20
 #: Bits per character that a window of WINDOW must reach, by class: random text has about 3.3, 4.0 and 4.1.
 THRESHOLDS = {"hexadecimal": 2.9, "alphanumeric": 3.5, "base64": 3.6}
 SYMBOLS = "ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_=-"
-#: What a candidate may hold and yet be no secret.
-ALLOW = r"(?i)example|sample|dummy|placeholder|redacted|changeme|your[_-]|xxxx|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^[-_=+/]*$|^(.)\1+$|^//|^sha(1|256|512)-"
+#: What a candidate may be and yet no secret: words of examples at its ends, a UUID, signs, one character, an address, a checksum.
+ALLOW = r"(?i)^(example|sample|dummy|placeholder|redacted|changeme|your[_-]|x{4})|(example|dummy|placeholder|changeme|x{8})(key)?$|^[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}$|^[-_=+/]*$|^(.)\4+$|^//|^sha(1|256|512)-"
+
+
+
+#: Characters of a long text, or of a long candidate, that are worked on at a time.
+SEGMENT, PART = 2048, 256
+_SPAN = "struct<kind:string,start:int,stop:int,match:string,value:string>"
 
 
 def _placed(text: Column, pattern: str, kind: str, hint: Column, value: int = 0) -> Column:
     """array<struct<kind, start, stop, match, value>> of the matches of pattern, placed by the lengths of what lies between."""
     every = F.regexp_extract_all(text, F.lit(pattern), 0)
     parts = F.arrays_zip(F.split(text, pattern, -1).alias("gap"), every.alias("match"), F.regexp_extract_all(text, F.lit(pattern), value).alias("value"))
-    none = F.from_json(F.lit("[]"), "array<struct<kind:string,start:int,stop:int,match:string,value:string>>")
 
-    def step(state: Column, part: Column) -> Column:
-        start = state["at"] + F.length(part["gap"])
-        stop = start + F.coalesce(F.length(part["match"]), F.lit(0))
-        item = F.struct(F.lit(kind).alias("kind"), start.alias("start"), stop.alias("stop"), part["match"].alias("match"), part["value"].alias("value"))
-        return F.struct(stop.alias("at"), F.when(part["match"].isNull(), state["out"]).otherwise(F.concat(state["out"], F.array(item))).alias("out"))
+    def place(parts: Column) -> Column:
+        stops = prefixes(F.transform(parts, lambda p: F.length(p["gap"]) + F.coalesce(F.length(p["match"]), F.lit(0))), lambda x, y: x + y)
+        span = lambda p, stop: F.struct(F.lit(kind).alias("kind"), (stop - F.length(p["match"])).alias("start"), stop.alias("stop"), p["match"].alias("match"), p["value"].alias("value"))
+        spans = let(stops, lambda every: F.transform(parts, lambda p, i: span(p, F.get(every, i))))
+        return F.filter(spans, lambda s: s["match"].isNotNull())
+
+    return F.when(hint, let(parts, place)).otherwise(F.from_json(F.lit("[]"), f"array<{_SPAN}>"))
+
+
+def _uncovered(candidates: Column, base: Column) -> Column:
+    """The candidates that lie in no base span: no base span that starts before their end is past it by their start."""
+    row = lambda last, none: lambda s: F.struct(s["start"].alias("start"), F.lit(last).alias("last"), s["stop"].alias("stop"), (F.lit(None).cast("string") if none else s["match"]).alias("match"))
+    every = F.sort_array(F.concat(F.transform(base, row(0, True)), F.transform(candidates, row(1, False))))
 
-    found = F.aggregate(parts, F.struct(F.lit(0).alias("at"), none.alias("out")), step, lambda state: state["out"])
-    return F.when(hint, found).otherwise(none)
+    def left(every: Column) -> Column:
+        reach = prefixes(F.transform(every, lambda s: F.when(s["last"] == 0, s["stop"]).otherwise(0)), F.greatest)
+        span = lambda s: F.struct(F.lit("entropy").alias("kind"), s["start"].alias("start"), s["stop"].alias("stop"), s["match"].alias("match"), F.lit(None).cast("string").alias("value"))
+        spans = let(reach, lambda r: F.transform(every, lambda s, i: F.when((s["last"] == 1) & (F.get(r, i) < s["stop"]), span(s))))
+        return F.filter(spans, lambda s: s.isNotNull())
+
+    return let(every, left)
 
 
 def _gain(n: Column) -> Column:
@@ -52,27 +74,66 @@ def _gain(n: Column) -> Column:
     return F.when(n > 1, n * F.log2(n)).otherwise(F.lit(0.0))
 
 
+def segments(text: Column, size: int) -> Column:
+    """text in pieces of so many characters."""
+    return F.regexp_extract_all(text, F.lit(f"(?s).{{1,{size}}}"), 0)
+
+
+def _overlapping(value: Column, window: int) -> Column:
+    """value in segments that overlap by window - 1 characters, so that each window lies in one."""
+    return let(segments(value, PART), lambda every: F.transform(every, lambda s, i: F.concat(s, F.coalesce(F.substring(F.get(every, i + 1), 1, window - 1), F.lit("")))))
+
+
+def _entropy(part: Column, window: int) -> Column:
+    """The largest entropy of the windows of a short text; null where it is shorter than a window.
+
+    State: a count for each symbol, several packed in a long, and the sum s of n * log2(n); a window's entropy is
+    log2(window) - s / window. A step adds one to the count of the character that enters and takes one from that of
+    the one that leaves.
+    """
+    width = window.bit_length()  # bits of a count
+    each = 63 // width  # counts in a long
+    longs = -(-(len(SYMBOLS) + 1) // each)
+    one, zero = F.lit(1).cast("bigint"), F.lit(0).cast("bigint")
+
+    def place(code: Column) -> Column:
+        return F.struct(F.floor(code / each).cast("int").alias("at"), (F.pmod(code, F.lit(each)) * width).cast("int").alias("shift"))
+
+    def count(counts: Column, p: Column) -> Column:
+        return F.call_function("shiftrightunsigned", F.get(counts, p["at"]), p["shift"]).bitwiseAND(F.lit((1 << width) - 1))
+
+    def step(state: Column, s: Column) -> Column:
+        enters, leaves, counts = s["enters"], s["leaves"], state["counts"]
+        put = lambda p, j: F.when(p["at"] == j, F.call_function("shiftleft", one, p["shift"])).otherwise(zero)
+        moved = F.transform(counts, lambda c, j: c + put(enters, j) - F.when(leaves.isNotNull(), put(leaves, j)).otherwise(zero))
+        n_in, n_out = count(counts, enters), F.coalesce(count(counts, leaves), F.lit(1))
+        change = F.when(leaves.isNotNull() & (enters == leaves), 0.0).otherwise(_gain(n_in + 1) - _gain(n_in) + _gain(n_out - 1) - _gain(n_out))
+        total = state["total"] + change
+        full = state["seen"] + 1 >= window
+        return F.struct(moved.alias("counts"), total.alias("total"), (state["seen"] + 1).alias("seen"), F.when(full, F.least(state["least"], total)).otherwise(state["least"]).alias("least"))
+
+    codes = F.transform(_characters(part), lambda c: place(F.instr(F.lit(SYMBOLS), c)))
+    steps = let(codes, lambda c: F.arrays_zip(c.alias("enters"), F.slice(F.concat(F.array_repeat(F.lit(None).cast("struct<at:int,shift:int>"), window), c), F.lit(1), F.size(c)).alias("leaves")))
+    begin = F.struct(F.array_repeat(zero, longs).alias("counts"), F.lit(0.0).alias("total"), F.lit(0).alias("seen"), F.lit(1e9).alias("least"))
+    least = F.aggregate(steps, begin, step, lambda state: state["least"])
+    return F.when(F.length(part) >= window, F.log2(F.lit(float(window))) - least / window)
+
+
+def _characters(part: Column) -> Column:
+    return F.regexp_extract_all(part, F.lit("(?s)."), 0)
+
+
 def largest_entropy(value: Column, window: int = WINDOW) -> Column:
     """The largest Shannon entropy, in bits per character, of the windows of value; null where it is shorter.
 
-    State: a count for each symbol, and the sum s of n * log2(n); a window's entropy is log2(window) - s / window.
-    Each step changes the counts of the character that enters and of the one that leaves.
+    A long value is cut into segments, so time is linear.
     """
-    at = F.sequence(F.lit(1), F.length(value))
+    return F.array_max(F.transform(_overlapping(value, window), lambda s: _entropy(s, window)))
 
-    def step(state: Column, i: Column) -> Column:
-        enters = F.instr(F.lit(SYMBOLS), F.substring(value, i, F.lit(1)))
-        leaves = F.when(i > window, F.instr(F.lit(SYMBOLS), F.substring(value, i - window, F.lit(1)))).otherwise(F.lit(0))
-        counts = F.transform(state["counts"], lambda n, j: n + F.when(j + 1 == enters, 1).otherwise(0) - F.when(j + 1 == leaves, 1).otherwise(0))
-        n_in = F.element_at(state["counts"], enters)
-        n_out = F.when(leaves > 0, F.element_at(state["counts"], F.greatest(leaves, F.lit(1)))).otherwise(F.lit(1))
-        moved = F.when(enters == leaves, 0.0).otherwise(_gain(n_in + 1) - _gain(n_in) + _gain(n_out - 1) - _gain(n_out))
-        total = state["total"] + moved
-        return F.struct(counts.alias("counts"), total.alias("total"), F.when(i >= window, F.least(state["least"], total)).otherwise(state["least"]).alias("least"))
 
-    begin = F.struct(F.array_repeat(F.lit(0), len(SYMBOLS)).alias("counts"), F.lit(0.0).alias("total"), F.lit(1e9).alias("least"))
-    least = F.aggregate(at, begin, step, lambda state: state["least"])
-    return F.when(F.length(value) >= window, F.log2(F.lit(float(window))) - least / window)
+def reaches(value: Column, bits: Column, window: int = WINDOW) -> Column:
+    """Whether largest_entropy(value) is bits or more; a segment with too few different characters for it isn't looked at."""
+    return F.exists(_overlapping(value, window), lambda s: (F.log2(F.size(F.array_distinct(_characters(s)))) >= bits - 1e-9) & F.coalesce(_entropy(s, window) >= bits, F.lit(False)))
 
 
 def class_of(value: Column) -> Column:
@@ -93,15 +154,14 @@ def scan(docs: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
     base = base.withColumn("_assign", F.filter("_assign", lambda x: F.length(x["value"]) >= 6))
     base = base.withColumn("_candidate", _placed(t, CANDIDATE, "entropy", t.rlike("[A-Za-z0-9+/_=-]{20}")))
     base = base.drop("_text").withColumn("_base", F.concat("_assign", "_access", "_hex"))
-    open_ = F.filter(
-        "_candidate",
-        lambda c: c["match"].rlike("[0-9]") & c["match"].rlike("[A-Za-z]") & ~c["match"].rlike(ALLOW) & ~F.exists("_base", lambda b: (b["start"] <= c["start"]) & (c["stop"] <= b["stop"])),
-    )
-    base = base.withColumn("_open", open_)
+    likely = F.filter("_candidate", lambda c: c["match"].rlike("[0-9]") & c["match"].rlike("[A-Za-z]") & ~c["match"].rlike(ALLOW))
+    base = base.withColumn("_likely", likely)
+    base = base.withColumn("_open", F.when(F.size("_likely") > 0, _uncovered(F.col("_likely"), F.col("_base"))).otherwise(F.col("_likely")))
+
     def passes(c: Column) -> Column:
         kind = class_of(c["match"])
         bits = F.when(kind == "hexadecimal", THRESHOLDS["hexadecimal"]).when(kind == "alphanumeric", THRESHOLDS["alphanumeric"]).otherwise(THRESHOLDS["base64"])
-        return largest_entropy(c["match"]) >= bits
+        return let(bits, lambda b: reaches(c["match"], b))  # the class is told once, not for each segment
 
     base = base.withColumn("_high", F.filter("_open", passes))
     every = F.concat("_base", "_high")
@@ -133,16 +193,25 @@ def redact(docs: DataFrame, mark: str = "[SECRET]") -> DataFrame:
     found = scan(docs.select("doc_id", "text", F.struct("*").alias("_row")), ("_row",))
     text = F.col("_row")["text"]
 
-    def step(state: Column, s: Column) -> Column:
-        gap = F.substring(text, state["at"] + F.lit(1), F.greatest(F.lit(0), s["start"] - state["at"]))
-        put = F.when(s["start"] >= state["at"], F.concat(state["out"], gap, F.lit(mark))).otherwise(state["out"])
-        return F.struct(F.greatest(state["at"], s["stop"]).alias("at"), put.alias("out"))
+    some = F.size("found") > 0
 
-    def whole(state: Column) -> Column:
-        return F.concat(state["out"], F.substring(text, state["at"] + F.lit(1), F.length(text)))
+    def between(spans: Column) -> Column:
+        """The gaps before the spans that begin outside those before them, and the gap after the last."""
+        reach = prefixes(F.transform(spans, lambda s: s["stop"]), F.greatest)
+        gap = lambda at, s: F.when(s["start"] >= at, F.struct(at.alias("start"), s["start"].alias("stop")))
+        return F.filter(let(reach, lambda r: F.transform(spans, lambda s, i: gap(F.coalesce(F.get(r, i - 1), F.lit(0)), s))), lambda g: g.isNotNull())
 
-    some = F.size("found") > 0
-    found = found.withColumn("_clean", F.when(some, F.aggregate("found", F.struct(F.lit(0).alias("at"), F.lit("").alias("out")), step, whole)))
+    def cut(every: Column) -> Callable[[Column], Column]:
+        def text_of(g: Column) -> Column:
+            inside = F.transform(F.sequence(F.floor(g["start"] / SEGMENT).cast("int"), F.floor(g["stop"] / SEGMENT).cast("int")), lambda i: F.substring(F.coalesce(F.get(every, i), F.lit("")), F.greatest(g["start"] - i * SEGMENT, F.lit(0)) + F.lit(1), g["stop"] - F.greatest(g["start"], i * SEGMENT)))
+            return F.array_join(inside, "")
+
+        return text_of
+
+    end = F.struct(F.length(text).alias("start"), F.length(text).alias("stop"))
+    gaps = let(F.concat(F.transform("found", lambda s: F.struct(s["start"].alias("start"), s["stop"].alias("stop"))), F.array(end)), between)
+    clean = let(segments(text, SEGMENT), lambda every: F.array_join(F.transform(gaps, cut(every)), mark))
+    found = found.withColumn("_clean", F.when(some, clean))
     new = {"text": F.when(some, F.col("_clean")).otherwise(text)}
     if "n_chars" in docs.columns:
         new["n_chars"] = F.when(some, F.length("_clean")).otherwise(F.col("_row")["n_chars"])

@@ -10,13 +10,11 @@ allow anywhere in the class takes precedence over a block; with neither, it is a
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from envflow.llm.components import connected_components
-from envflow.llm.common import written
+from envflow.llm.common import let, written
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (host and path prefix, verdict)
@@ -28,9 +26,12 @@ LINKS = (
     r"""(?i)<meta\b[^>]*\bproperty\s*=\s*["']?og:url\b[^>]*?\bcontent\s*=\s*["']?([^"'\s>]+)""",
     r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*?\burl\s*=\s*([^"'\s>]+)""",
 )
+#: They are searched within so many characters between their parts and within one tag, so that tags that never end cost little.
+WITHIN = 1024
+_PART = r"""(?:[^"'<>]{1,8192}+|"[^"]{0,8192}+"|'[^']{0,8192}+'){0,64}+>"""
 #: Tags that may declare an address, quoted values whole; of each the attributes are read in any order.
-TAGS = r"""(?i)<(?:link|meta)\b(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>"""
-BASE = r"""(?i)<base\b(?:[^"'>]++|"[^"]*+"|'[^']*+')*+>"""
+TAGS = rf"(?i)<(?:link|meta)\b{_PART}"
+BASE = rf"(?i)<base\b{_PART}"
 
 
 def after_scheme(url: Column) -> Column:
@@ -81,11 +82,6 @@ def declared(tag: Column) -> Column:
     return F.coalesce(F.when(tag.rlike("(?i)^<link"), link).otherwise(meta), F.lit(""))
 
 
-def let(value: Column, f: Callable[[Column], Column]) -> Column:
-    """f(value) with value as a variable: it is in the expression once, however often f uses it."""
-    return F.get(F.transform(F.array(value), f), F.lit(0))
-
-
 def without_dots(path: Column) -> Column:
     """A path without the segments ``.`` and ``..``."""
 
@@ -117,7 +113,7 @@ def _resolved(to: Column, base: Column) -> Column:
 
 def link_edges(pages: DataFrame) -> DataFrame:
     """(a, b): every page's alias and the alias it declares. Relative addresses are those of the page, or of its base."""
-    found = F.concat(*(F.regexp_extract_all("html", F.lit(p), 1) for p in LINKS), F.transform(F.regexp_extract_all("html", F.lit(TAGS), 0), declared))
+    found = F.concat(*(F.regexp_extract_all("html", F.lit(p.replace("[^>]*", f"[^<>]{{0,{WITHIN}}}")), 1) for p in LINKS), F.transform(F.regexp_extract_all("html", F.lit(TAGS), 0), declared))
     base = attribute(F.regexp_extract("html", BASE, 0), "href")
     marked = pages.where(F.col("html").rlike("(?i)canonical|og:url|http-equiv"))
     marked = marked.select("url", F.coalesce(resolved(base, F.col("url")), F.col("url")).alias("base"), F.explode(F.array_distinct(found)).alias("to"))

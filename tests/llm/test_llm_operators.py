@@ -320,6 +320,12 @@ def test_url_links_in_any_form(spark):
     assert {i for i, v in verdicts.items() if v == "block"} == {0, 1, 3, 4, 5, 7, 8, 100}
 
 
+def test_url_links_of_pages_with_many_unclosed_tags(spark):
+    rows = [(i, f"http://m{i}.net/", f"canonical {tag * 60_000}<p><link rel=canonical href='/there'>") for i, tag in enumerate(("<link ", "<link '", '<meta ">', "<link rel=canonical "))]
+    got = {r.a: r.b for r in url_filters.link_edges(spark.createDataFrame(rows, "page_id bigint, url string, html string").repartition(4)).collect()}
+    assert all(got[f"m{i}.net"] == f"m{i}.net/there" for i in (0, 1, 3))
+
+
 def test_cues_in_any_case():
     for cue in pii.CUES[:-1]:
         for form in (cue, cue.upper(), cue.title(), cue.capitalize(), cue.swapcase(), "İ " + cue.title()):
@@ -334,6 +340,33 @@ def test_secrets_with_slashes_inside(spark):
     assert got == {1: [("entropy", 4, 4 + len(key))], 2: []}
 
 
+def test_secrets_of_very_long_texts(spark):
+    """A key of a million characters, a hundred thousand matches and a thousand keys in one text: in linear time, redaction included."""
+    rng = random.Random(3)
+    key = lambda n: "".join(rng.choices("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    docs = [(1, key(1_000_000)), (2, " ".join(f"token=abcdef{i}" for i in range(100_000))), (3, " ".join(key(24) for _ in range(1000))), (4, "zb1" * 300_000)]
+    df = spark.createDataFrame(docs, "doc_id bigint, text string").repartition(4)
+    got = {r.doc_id: r for r in secrets.digests(secrets.scan(df)).collect()}
+    found = got[1].spans == "entropy:0:1000000", got[2].n_assign, got[3].spans.count("entropy"), len(got[4].spans)
+    assert found[0] and found[1] == 100_000 and found[2] > 950 and found[3] == 0
+    spans = base_spans(docs[1][1], SECRETS)
+    assert got[2].base_sha256 == hashlib.sha256(",".join(f"{k}:{a}:{b}" for k, a, b in spans).encode()).hexdigest()
+    clean = {r.doc_id: r.text for r in secrets.redact(df).collect()}
+    want, at = [], 0
+    for span in got[3].spans.split(","):
+        _, a, b = span.split(":")
+        want.append(docs[2][1][at : int(a)] + "[SECRET]")
+        at = int(b)
+    same = [clean[1] == "[SECRET]", clean[2] == " ".join(["[SECRET]"] * 100_000), clean[3] == "".join(want) + docs[2][1][at:], clean[4] == docs[3][1]]
+    assert all(same), [len(t) for t in clean.values()]  # a difference of texts this long is not worth printing
+
+
+def test_the_allow_list_is_anchored(spark):
+    keys = ["q8Hs0zRwxxxxtYp3Lm9Nb6VcXe4Kd", "q8Hs0zRwSampletYp3Lm9Nb6VcXe4Kd", "exampleq8Hs0zRwtYp3Lm9Nb6VcXe4Kd", "wJalrXUtnFEMI7K7MDENGbPxRfiCYEXAMPLEKEY", "xxxxxxxxxxxxxxxxxxxxxxxx1a2b3c4d"]
+    got = {r.doc_id: len(r.found) for r in secrets.scan(spark.createDataFrame([(i, f"key {k} end") for i, k in enumerate(keys)], "doc_id bigint, text string")).collect()}
+    assert got == {0: 1, 1: 1, 2: 0, 3: 0, 4: 0}
+
+
 def test_quality_on_the_held_out_fold(spark):
     data = DATA.replace("sf0.001", "sf0.01")
     got = queries.op6_quality_classifier(spark, data).join(spark.read.parquet(f"{data}/labels.parquet"), "doc_id").collect()
