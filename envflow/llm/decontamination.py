@@ -8,8 +8,10 @@ own question counts more than the passage. Where no items share a shingle both a
 
 1. A window without any shingle of an item has similarity 0 with it, so only windows around a shared shingle are
    considered; every such window is, for every item length found there.
-2. The window's 64-bit SimHash is looked up in a multi-index: fingerprints are cut into ``RADIUS + 1`` blocks, and two
-   that differ in at most RADIUS bits agree in a block, so no fingerprint within the radius is missed.
+2. The window's 128-bit SimHash is looked up in a multi-index: fingerprints are cut into blocks of 16 bits, and two that
+   differ in at most ``RADIUS`` bits differ, in some block, in no more bits than that block's bound, where the bounds add up to
+   RADIUS less the number of blocks, plus one. All keys within a block's bound are probed, so no fingerprint within the
+   radius is missed.
 3. A candidate counts if its exact weighted similarity, sum of minima over sum of maxima of weighted counts, reaches
    ``THRESHOLD``.
 
@@ -29,49 +31,70 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import long_lists, shingle_hashes, small_batches, words_of
+from envflow.llm.common import long_lists, mix, shingle_hashes, small_batches, stream, words_of
 
 SHINGLE_WORDS = 5
 THRESHOLD = 0.8
-#: Bits that may differ. Two windows at similarity 0.8 differ in 10 on average, in over 20 once in thousands of cases.
-RADIUS = 20
+#: Bits that may differ, of BITS. Two windows at similarity 0.8 differ in 19 on average, in over 31 once in hundreds of cases.
+RADIUS, BITS, BLOCK_BITS = 31, 128, 16
 PASS_WORDS = 1 << 20
 #: Window starts of a document that are worked on at once.
 STARTS = 4096
+_OTHER = stream(61, 1)[0]
 _BITS = np.uint64(1) << np.arange(64, dtype=np.uint64)
 
 
 def spread(shingles: np.ndarray, weights: np.ndarray) -> np.ndarray:
-    """A row of 64 signed weights for each shingle."""
-    return np.where(shingles[:, None] & _BITS, weights[:, None], -weights[:, None])
+    """A row of BITS signed weights for each shingle."""
+    with np.errstate(over="ignore"):
+        wide = np.concatenate((shingles[:, None] & _BITS, mix(shingles ^ _OTHER)[:, None] & _BITS), axis=1)
+    return np.where(wide, weights[:, None], -weights[:, None])
 
 
 def fingerprint(total: np.ndarray) -> np.ndarray:
-    """The SimHash of each row of summed signed weights."""
-    return ((total > 0) * _BITS).sum(axis=-1, dtype=np.uint64)
+    """The SimHash of each row of summed signed weights, as two numbers."""
+    return np.stack([((total[..., :64] > 0) * _BITS).sum(axis=-1, dtype=np.uint64), ((total[..., 64:] > 0) * _BITS).sum(axis=-1, dtype=np.uint64)], axis=-1)
+
+
+def _masks(bits: int) -> np.ndarray:
+    """All keys of a block with at most so many bits set."""
+    every = np.arange(1 << BLOCK_BITS, dtype=np.uint16)
+    return every[np.bitwise_count(every) <= bits]
 
 
 class MultiIndex:
-    """Fingerprints by block: two within radius agree in one of radius + 1 blocks."""
+    """Fingerprints (n, 2) by block: those within radius of a value are near it in some block."""
 
     def __init__(self, prints: np.ndarray, radius: int = RADIUS):
         self.prints, self.radius = prints, radius
-        cuts = np.linspace(0, 64, radius + 2).astype(int)
-        self.blocks = [(np.uint64(a), np.uint64((1 << int(b - a)) - 1)) for a, b in zip(cuts[:-1], cuts[1:], strict=True)]
-        self.tables = []
-        for shift, mask in self.blocks:
-            table: dict[int, list[int]] = defaultdict(list)
-            for i, key in enumerate(((prints >> shift) & mask).tolist()):
-                table[key].append(i)
-            self.tables.append({k: np.array(v) for k, v in table.items()})
-
-    def within(self, value: np.uint64) -> np.ndarray:
+        self.keys = np.ascontiguousarray(prints).view(np.uint16).reshape(len(prints), BITS // BLOCK_BITS)
+        blocks = self.keys.shape[1]
+        least, more = divmod(radius - blocks + 1, blocks)  # were each block past its bound, more than radius bits would differ
+        self.bounds = np.array([least + (i < more) for i in range(blocks)])
+        self.masks = [_masks(int(b)) if b >= 0 else np.empty(0, dtype=np.uint16) for b in self.bounds]
+        self.order = np.argsort(self.keys, axis=0, kind="stable")
+        self.sorted = np.take_along_axis(self.keys, self.order, axis=0)
+
+    def candidates(self, value: np.ndarray) -> np.ndarray:
+        """All indices that are within the bound of a block of value: by probing its keys, or all keys where they are fewer."""
+        own = np.ascontiguousarray(value).view(np.uint16)
+        if len(self.prints) <= len(self.masks[0]):
+            return np.flatnonzero((np.bitwise_count(self.keys ^ own) <= self.bounds).any(axis=1))
+        found = []
+        for block, masks in enumerate(self.masks):
+            probes = masks ^ own[block]
+            column = self.sorted[:, block]
+            first, last = np.searchsorted(column, probes, "left"), np.searchsorted(column, probes, "right")
+            some = last > first
+            first, n = first[some], (last - first)[some]
+            at = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+            found.append(self.order[at, block])
+        return np.unique(np.concatenate(found))
+
+    def within(self, value: np.ndarray) -> np.ndarray:
         """All indices whose fingerprints differ from value in at most radius bits."""
-        found = [t[k] for (shift, mask), t in zip(self.blocks, self.tables, strict=True) if (k := int((value >> shift) & mask)) in t]
-        if not found:
-            return np.empty(0, dtype=np.int64)
-        some = np.unique(np.concatenate(found))
-        return some[np.bitwise_count(self.prints[some] ^ value) <= self.radius]
+        some = self.candidates(value)
+        return some[np.bitwise_count(self.prints[some] ^ value).sum(axis=1) <= self.radius]
 
 
 class Item(NamedTuple):
@@ -93,7 +116,7 @@ class Items:
         # shingles of items with a shared one: a document without them has the same similarities in both ways
         self.differs = np.isin(self.keys, np.concatenate([x.shingles for x in items if max(x.seen) > 1] or [self.keys[:0]]))
         self.counts = [dict(Counter(x.tolist())) for x in sets]
-        self.prints = np.array([fingerprint(spread(x, self.weight(x)).sum(axis=0)) for x in sets], dtype=np.uint64)
+        self.prints = np.array([fingerprint(spread(x, self.weight(x)).sum(axis=0)) for x in sets], dtype=np.uint64).reshape(-1, 2)
         lengths = defaultdict(set)
         for n, x in zip(self.words.tolist(), sets, strict=True):
             for s in x.tolist():
@@ -141,7 +164,7 @@ def matches(items: Items, shingles: np.ndarray, hits: np.ndarray, which: np.ndar
             a = int(part[0])
             local = shingles[a : int(part[-1]) + size]
             weights = items.weight(local)
-            sums = np.zeros((len(local) + 1, 64))
+            sums = np.zeros((len(local) + 1, BITS))
             np.cumsum(spread(local, weights), axis=0, out=sums[1:])
             prints = fingerprint(np.round(sums[part - a + size] - sums[part - a], 9))
             for start, value in zip((part - a).tolist(), prints, strict=True):

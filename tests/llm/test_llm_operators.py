@@ -453,15 +453,35 @@ def test_leaks_of_items_that_share_text(spark):
     assert [r.doc_id for r in decontamination.clean(rows, bench).collect()] == [3]
 
 
+def prints_of(values):
+    return np.array([[v & (1 << 64) - 1, v >> 64] for v in values], dtype=np.uint64).reshape(-1, 2)
+
+
+@pytest.mark.parametrize("scan", [True, False])
 @settings(max_examples=30, deadline=None)
-@given(st.lists(st.integers(0, 2**64 - 1), min_size=1, max_size=40), st.lists(st.integers(0, 63), max_size=20))
-def test_multi_index_misses_nothing_within_the_radius(prints, flips):
-    index = decontamination.MultiIndex(np.array(prints, dtype=np.uint64))
+@given(st.lists(st.integers(0, 2**128 - 1), min_size=1, max_size=40), st.lists(st.integers(0, 127), max_size=40))
+def test_multi_index_misses_nothing_within_the_radius(scan, prints, flips):
+    index = decontamination.MultiIndex(prints_of(prints * (1 if scan else 60)))
     value = prints[0]
     for f in set(flips):
         value ^= 1 << f
-    want = [i for i, p in enumerate(prints) if (p ^ value).bit_count() <= decontamination.RADIUS]
-    assert index.within(np.uint64(value)).tolist() == want
+    want = [i for i, p in enumerate(prints * (1 if scan else 60)) if (p ^ value).bit_count() <= decontamination.RADIUS]
+    assert index.within(prints_of([value])[0]).tolist() == want
+
+
+def test_multi_index_prunes():
+    """Of a hundred thousand items of one length under a tenth are looked at, and all near ones are found."""
+    rng = np.random.default_rng(1)
+    prints = rng.integers(0, 2**64, (100_000, 2), dtype=np.uint64)
+    index, shares = decontamination.MultiIndex(prints), []
+    for i in range(20):
+        value = int(prints[i, 0]) | int(prints[i, 1]) << 64
+        for f in rng.choice(128, decontamination.RADIUS, replace=False).tolist():
+            value ^= 1 << f
+        value = prints_of([value])[0]
+        shares.append(len(index.candidates(value)) / len(prints))
+        assert index.within(value).tolist() == [i]
+    assert np.mean(shares) < 0.1
 
 
 @settings(max_examples=200, deadline=None)
