@@ -18,7 +18,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from envflow.llm import common, components, decontamination, jaccard_join, minhash, packing, pii, quality, queries, secrets, url_filters, warc
+from envflow.llm import common, components, decontamination, jaccard_join, minhash, packing, pii, quality, queries, secrets, substring_dedup, url_filters, warc
 
 DATA = os.environ.get("ENVFLOW_TEST_DATA", "/root/testdata/sf0.001")
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -167,6 +167,30 @@ def brute_components(docs):
     return {d: (len(sets[d]), root[d]) for d in docs}
 
 
+def test_factors_have_sources(spark):
+    """Each factor is the words of its source, at another place; a long copied passage is one factor."""
+    rng = random.Random(12)
+    word = lambda: f"w{rng.randrange(10**6)}"
+    passage, other = [word() for _ in range(300)], [word() for _ in range(60)]
+    rows = [(1, [word() for _ in range(50)] + passage), (2, passage + [word() for _ in range(40)]), (3, other + passage[100:200] + other), (4, [word() for _ in range(80)]), (4, other[:40] * 3)]
+    docs = spark.createDataFrame([(d, " ".join(w)) for d, w in rows], "doc_id bigint, text string")
+    got = substring_dedup.remove_repeats(docs, 20).collect()
+    texts_of = defaultdict(list)
+    for d, w in rows:
+        texts_of[d].append(w)
+    for r in got:
+        text = next(w for w in texts_of[r.doc_id] if len(w) == r.n_words)
+        gone = set()
+        for s in r.spans:
+            words = text[s.first : s.first + s.n]
+            assert s.n >= 20 and (s.source, s.source_first) != (r.doc_id, s.first) and any(w[s.source_first : s.source_first + s.n] == words for w in texts_of[s.source])
+            gone |= set(range(s.first, s.first + s.n))
+        starts = Counter(tuple(w[i : i + 20]) for w in (w for _, w in rows) for i in range(len(w) - 19))
+        assert gone == {i + k for i in range(len(text) - 19) if starts[tuple(text[i : i + 20])] > 1 for k in range(20)} and r.n_removed == len(gone)
+        assert r.kept_text == " ".join(w for i, w in enumerate(text) if i not in gone)
+    assert any(s.n == 300 for r in got if r.doc_id == 2 for s in r.spans)
+
+
 def test_repeats_of_a_very_large_input(spark, monkeypatch):
     monkeypatch.setattr(common, "SPLIT_ROWS", 0)
     test_oracles(spark, "op2_substring_dedup")
