@@ -7,9 +7,10 @@ Each stage but the last returns the columns of documents; the last returns one r
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from envflow.llm import decontamination, jaccard_join, packing, quality, secrets
-from envflow.llm.common import written
+from envflow.llm.common import discard, scratch, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,9 +24,13 @@ PERCENT, SHINGLE_WORDS = 80, 5
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each component of near duplicates the document with the smallest id stays; so do rows without an id."""
+    """Of each component of near duplicates the document with the smallest id stays; so do rows without an id.
+
+    Of rows that share that id one stays, that with the smallest hash of its text and then of all its columns.
+    """
     heads = jaccard_join.components(docs, PERCENT, SHINGLE_WORDS).where("doc_id = component_id").select("doc_id").distinct()
-    kept = docs.where("doc_id IS NOT NULL").join(heads, "doc_id", "left_semi").dropDuplicates(["doc_id"])
+    kept = docs.where("doc_id IS NOT NULL").join(heads, "doc_id", "left_semi")
+    kept = kept.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), F.xxhash64(*docs.columns))).alias("row")).select("row.*")
     return kept.unionByName(docs.where("doc_id IS NULL")).select(*docs.columns)
 
 
@@ -50,8 +55,17 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The last stage's rows over documents. Each other stage's rows are written to the shared folder and read again."""
+    """The last stage's rows over documents. Each other stage's rows are written to the shared folder and read again.
+
+    What a stage wrote on its way is deleted when its rows are written, and its input when it has been read. A null
+    text is an empty one and stays null; rows without an id are judged by their texts alone and stay apart; repeated
+    rows are one document; an empty table gives an empty result.
+    """
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), name)
+        with scratch() as made:
+            after = written(stage(spark, docs, sf_dir), name)
+            made.remove(after)
+        discard(docs)
+        docs = after
     return STAGES[-1][1](spark, docs, sf_dir)
