@@ -621,3 +621,19 @@ def test_pipeline_finds_copies_with_a_fifth_added(spark):
     rows = [(1, " ".join(base)), (2, " ".join(base + [f"x{i}" for i in range(21)])), (3, " ".join(base + [f"y{i}" for i in range(40)]))]
     docs = spark.createDataFrame([*rows, (None, rows[0][1])], "doc_id bigint, text string")
     assert sorted(str(r.doc_id) for r in P.one_of_each(spark, docs, DATA).collect()) == ["1", "3", "None"]
+
+
+def test_pipeline_of_odd_rows(spark, tmp_path):
+    """Rows that share an id, rows without one, null and empty texts; and an empty table."""
+    import corpus_pipeline as P
+
+    long_ = lambda c: " ".join(f"{c}{i}" for i in range(40))
+    rows = [(1, long_("a")), (1, long_("b")), (1, long_("b")), (2, long_("a")), (None, long_("c")), (None, long_("c")), (3, None), (4, ""), (5, "one")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    kept = {tuple(sorted(map(str, P.one_of_each(spark, docs.repartition(n), DATA).collect()))) for n in (1, 3)}
+    ids = Counter(r.doc_id for r in P.one_of_each(spark, docs, DATA).collect())
+    assert len(kept) == 1 and ids == {1: 1, None: 2, 3: 1, 4: 1, 5: 1}
+    for name in ("labels", "benchmark"):
+        spark.read.parquet(f"{DATA}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
+    spark.read.parquet(f"{DATA}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
+    assert P.run(spark, str(tmp_path)).collect() == []
