@@ -159,13 +159,20 @@ class Sources:
         self.matched = np.zeros(windows, dtype=bool)
         self.doc, self.first = np.zeros((2, windows), dtype=np.int64), np.zeros((2, windows), dtype=np.int64)
 
-    def put(self, at: int, n: int, mask: int, places: tuple[int, int, int, int]) -> None:
-        """The windows of a block at window at, of n, that mask has; places are those of the block's window 0."""
-        j = np.arange(n)
-        j = j[(mask >> j) & 1 == 1]
-        self.matched[at + j] = True
+    def put(self, first: np.ndarray, n: np.ndarray, block: np.ndarray, mask: np.ndarray, places: list[np.ndarray]) -> None:
+        """Runs of blocks: block tells each run's block, of n windows from window first on, and mask which of them are in the run.
+
+        places are those of the block's window 0: the documents and first words of both sources.
+        """
+        n = n[block]
+        run = np.repeat(np.arange(len(block)), n)
+        j = np.arange(len(run)) - np.repeat(np.cumsum(n) - n, n)
+        some = (mask[run] >> j) & 1 == 1
+        run, j = run[some], j[some]
+        at = first[block[run]] + j
+        self.matched[at] = True
         for role in (0, 1):
-            self.doc[role, at + j], self.first[role, at + j] = places[2 * role], places[2 * role + 1] + j
+            self.doc[role, at], self.first[role, at] = places[2 * role][run], places[2 * role + 1][run] + j
 
 
 def factors(own: int, sources: Sources, min_words: int) -> list[tuple[int, int, int, int]]:
@@ -212,11 +219,10 @@ def _parse(min_words: int, with_text: bool):
                         fit[fit] = signed(ranges(first[fit], (first + n + min_words - 1)[fit])) == block[fit]
                         runs, sources = flat.field("runs"), Sources(max(0, b - a - min_words + 1))
                         bounds = runs.offsets.to_numpy()
-                        runs = runs.values
-                        cols = [runs.field(f).to_pylist() for f in ("mask", "lo_doc", "lo", "hi_doc", "hi")]
-                        for x in np.flatnonzero(fit).tolist():
-                            for y in range(bounds[x], bounds[x + 1]):
-                                sources.put(int(first[x] - a), int(n[x]), cols[0][y], tuple(c[y] for c in cols[1:]))
+                        owner = np.repeat(np.arange(len(first)), np.diff(bounds))
+                        runs = runs.values.slice(bounds[0], bounds[-1] - bounds[0])
+                        mask, *places = (runs.field(f).to_numpy()[fit[owner]] for f in ("mask", "lo_doc", "lo", "hi_doc", "hi"))
+                        sources.put(first - a, n, owner[fit[owner]], mask, places)
                         found[int(chosen[r])] = factors(docs[int(chosen[r])], sources, min_words)
             for i in range(len(batch)):
                 words = (texts[i].as_py() or "").encode().split()
