@@ -29,8 +29,8 @@ def weather(files: DataFrame, source: str = "file") -> DataFrame:
 
 
 def weather_bodies(answers: DataFrame) -> DataFrame:
-    """Answers of a weather service (tag, body), the tag being the place asked for, in the shape of day files."""
-    return answers.select("tag", F.from_json("body", schemas.WEATHER_FILE).alias("b")).select("b.location", "b.forecast", F.concat("tag", F.lit("/api")).alias("source_file"))
+    """Answers of a weather service (tag, body), the tag being the place asked for, in the shape of day files; errors are left out."""
+    return answers.where("body IS NOT NULL").select("tag", F.from_json("body", schemas.WEATHER_FILE).alias("b")).select("b.location", "b.forecast", F.concat("tag", F.lit("/api")).alias("source_file"))
 
 
 def weather_times(events: DataFrame) -> DataFrame:

@@ -23,6 +23,8 @@ def work_dir(spark: SparkSession) -> str:
     """A new folder in the cluster's shared one; a temporary one where the session names none."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="envflow-"))
         root = spark.sparkContext.getCheckpointDir()
     return f"{root.rstrip('/')}/stream-{uuid.uuid4().hex}"
@@ -73,13 +75,48 @@ def stream_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/data").select("event_id", "user_id", "event_type")
 
 
-@query("""SELECT date_trunc('hour', ts) AS hour_start, event_type, count(*) AS n, CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS total FROM events GROUP BY ALL""")
-def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Hourly windows in complete mode, which has the open windows too. Each batch writes all windows anew."""
+def _complete(spark: SparkSession, windows: DataFrame) -> DataFrame:
+    """All windows of an aggregate over a stream, the open ones too. Each batch writes all of them anew; none is held by the driver."""
     out = work_dir(spark)
-    windows = _events(spark, sf_dir).groupBy(F.window("event_time", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), exact_sum(F.col("value")).alias("total"))
-    flat = windows.select(F.col("w.start").cast("timestamp_ntz").alias("hour_start"), "event_type", "n", "total")
     write = lambda rows, _=None: rows.write.mode("overwrite").parquet(f"{out}/data")
-    write(spark.createDataFrame([], flat.schema))
-    flat.writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
+    write(spark.createDataFrame([], windows.schema))
+    windows.writeStream.foreachBatch(write).outputMode("complete").option("checkpointLocation", f"{out}/checkpoint").trigger(availableNow=True).start().awaitTermination()
     return spark.read.parquet(f"{out}/data")
+
+
+_TOTAL = "CAST(sum(CAST(value AS DECIMAL(28,6))) AS DOUBLE) AS total"
+
+
+@query(f"""SELECT date_trunc('hour', ts) AS hour_start, event_type, count(*) AS n, {_TOTAL} FROM events GROUP BY ALL""")
+def stream_tumbling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hourly windows in complete mode."""
+    windows = _events(spark, sf_dir).groupBy(F.window("event_time", "1 hour").alias("w"), "event_type").agg(F.count("*").alias("n"), exact_sum(F.col("value")).alias("total"))
+    return _complete(spark, windows.select(F.col("w.start").cast("timestamp_ntz").alias("hour_start"), "event_type", "n", "total"))
+
+
+@query(f"""SELECT s AS window_start, event_type, count(*) AS n, {_TOTAL}
+FROM (SELECT *, unnest([time_bucket(INTERVAL 30 MINUTE, ts), time_bucket(INTERVAL 30 MINUTE, ts) - INTERVAL 30 MINUTE]) AS s FROM events) GROUP BY ALL""")
+def stream_sliding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Windows of an hour that begin every half hour."""
+    windows = _events(spark, sf_dir).groupBy(F.window("event_time", "1 hour", "30 minutes").alias("w"), "event_type").agg(F.count("*").alias("n"), exact_sum(F.col("value")).alias("total"))
+    return _complete(spark, windows.select(F.col("w.start").cast("timestamp_ntz").alias("window_start"), "event_type", "n", "total"))
+
+
+@query("""WITH o AS (SELECT user_id, ts, coalesce(ts - lag(ts) OVER w > INTERVAL 2 HOUR, TRUE) AS new FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id)),
+s AS (SELECT user_id, ts, sum(CAST(new AS INTEGER)) OVER (PARTITION BY user_id ORDER BY ts ROWS UNBOUNDED PRECEDING) AS k FROM o)
+SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 2 HOUR AS session_end, count(*) AS n FROM s GROUP BY user_id, k""")
+def stream_session(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Sessions of each user: events no more than two hours apart."""
+    windows = _events(spark, sf_dir).groupBy(F.session_window("event_time", "2 hours").alias("w"), "user_id").agg(F.count("*").alias("n"))
+    return _complete(spark, windows.select("user_id", F.col("w.start").cast("timestamp_ntz").alias("session_start"), F.col("w.end").cast("timestamp_ntz").alias("session_end"), "n"))
+
+
+@query("SELECT CAST(day(ts) AS INTEGER) AS day, CAST(1 AS BIGINT) AS files, TRUE AS has_bytes FROM events GROUP BY 1")
+def table_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of a table that is written by day, a file for each: found by a listing, counted by folder and with their bytes."""
+    from envflow.sources.files import list_files
+
+    out = work_dir(spark)
+    P.time_parts("ts", "day")(table(spark, sf_dir, "events")).repartition("day").write.partitionBy("day").parquet(out)
+    files = list_files(spark, out, "*.parquet").withColumn("day", F.regexp_extract("path", "/day=([0-9]+)/", 1).cast("int"))
+    return files.groupBy("day").agg(F.count("*").alias("files"), (F.sum("length") > 0).alias("has_bytes"))

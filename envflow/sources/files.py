@@ -41,11 +41,10 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path).select("path", "length", "modificationTime")
 
 
-def read_rasters(spark: SparkSession, path: str, decode: Callable[[str, bytes], Iterator[pd.DataFrame]], glob: str | None = None) -> DataFrame:
-    """Cells of raster files. decode(path, content) gives frames of CELLS; a file that it can't read gives no cell.
+Decoder = Callable[[str, bytes], Iterator[pd.DataFrame]]
 
-    The libraries that formats like NetCDF and HDF need are the caller's: decode imports them in the task.
-    """
+
+def _decoded(spark: SparkSession, path: str, decode: Decoder, glob: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     reader = reader.option("pathGlobFilter", glob) if glob else reader
     names = schemas.CELLS.fieldNames()
@@ -53,10 +52,28 @@ def read_rasters(spark: SparkSession, path: str, decode: Callable[[str, bytes],
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for frame in frames:
             for name, content in zip(frame["path"], frame["content"], strict=True):
+                error = None
                 try:
-                    parts = [part[names] for part in decode(name, content)]
-                except (ValueError, KeyError, OSError):
-                    continue
-                yield from parts
+                    for part in decode(name, content):
+                        yield part[names].assign(path=name, error=None)
+                except (ValueError, KeyError, OSError, ImportError) as e:
+                    error = f"{type(e).__name__}: {e}"
+                yield pd.DataFrame({c: [None] for c in names}).assign(path=name, error=error or "")
+
+    fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schemas.CELLS.fields)
+    return reader.load(path).select("path", "content").mapInPandas(run, f"{fields}, path string, error string")
+
+
+def read_rasters(spark: SparkSession, path: str, decode: Decoder, glob: str | None = None) -> DataFrame:
+    """Cells of raster files. decode(path, content) gives frames of CELLS; what a file gives before it fails is kept.
+
+    The libraries that formats like NetCDF and HDF need are the caller's: decode imports them in the task. Files that
+    fail are told by raster_report.
+    """
+    return _decoded(spark, path, decode, glob).where("error IS NULL").select(*schemas.CELLS.fieldNames())
+
 
-    return reader.load(path).select("path", "content").mapInPandas(run, schemas.CELLS)
+def raster_report(spark: SparkSession, path: str, decode: Decoder, glob: str | None = None) -> DataFrame:
+    """(path, cells, error) for every raster file; error is null for those that can be read. Spark skips files without bytes."""
+    each = _decoded(spark, path, decode, glob).groupBy("path").agg(F.count_if(F.col("error").isNull()).alias("cells"), F.max("error").alias("error"))
+    return each.select("path", "cells", F.nullif("error", F.lit("")).alias("error"))

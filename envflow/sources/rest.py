@@ -7,11 +7,14 @@ the caller, who takes them from the environment; nothing here has a default for
 from __future__ import annotations
 
 import json
+import random
 import re
 import time
 import uuid
 from collections.abc import Callable, Iterator, Sequence
+from dataclasses import dataclass
 from datetime import date, timedelta
+from typing import NamedTuple
 from urllib import error, parse, request
 
 from pyspark import cloudpickle
@@ -30,41 +33,107 @@ def http_get(url: str, params: dict, timeout: float = 30.0) -> tuple[int, dict,
         return e.code, dict(e.headers or {}), None
 
 
-def get_with_retry(get: Transport, url: str, params: dict, tries: int = 4, wait: Callable[[float], None] = time.sleep) -> object | None:
-    """The body; None for 404. Too many requests are waited for longer than other failures; the last one raises."""
-    for turn in range(1, tries + 1):
+class Refused(OSError):
+    """An answer that another try would not change."""
+
+
+@dataclass(frozen=True)
+class Policy:
+    """How long a request is tried: pauses double up to a bound, with jitter, unless the server names one, until a deadline."""
+
+    tries: int = 5
+    first: float = 1.0
+    longest: float = 60.0
+    deadline: float = 300.0
+    wait: Callable[[float], None] = time.sleep
+    clock: Callable[[], float] = time.monotonic
+    jitter: Callable[[], float] = random.random
+
+    def pause(self, turn: int, headers: dict) -> float:
+        named = {k.lower(): v for k, v in headers.items()}.get("retry-after", "")
+        return float(named) if str(named).isdigit() else min(self.longest, self.first * 2**turn) * (0.5 + self.jitter() / 2)
+
+
+#: Answers that tell of a passing trouble, beside those from 500 on; and those that tell that there is nothing.
+PASSING, ABSENT = {408, 425, 429}, {404, 410}
+
+
+def ask(get: Transport, url: str, params: dict, policy: Policy = Policy()) -> object | None:
+    """The body of an answer, or None where there is nothing at the address. Raises Refused, or OSError when the policy ends."""
+    began, last = policy.clock(), "no try"
+    for turn in range(policy.tries):
+        headers: dict = {}
         try:
-            status, _, body = get(url, params)
-        except OSError:
-            status, body = 0, None
-        if status == 404:
-            return None
-        if 200 <= status < 300:
-            return body
-        if turn < tries:
-            wait((15 if status == 429 else 5) * turn)
-    raise OSError(f"{url}: no answer in {tries} tries, last status {status}")
-
-
-def pages(get: Transport, url: str, params: dict, size: int = 1000, **retry) -> Iterator[dict]:
-    """Results page by page: ends with an empty page, at the announced total, or with a short page where there is none."""
-    page, seen = 1, 0
-    while True:
-        body = get_with_retry(get, url, params | {"page": page, "limit": size}, **retry)
-        rows = (body or {}).get("results") or []
+            status, headers, body = get(url, params)
+        except OSError as e:
+            last = str(e) or type(e).__name__
+        else:
+            if 200 <= status < 300:
+                return body
+            if status in ABSENT:
+                return None
+            if status not in PASSING and status < 500:
+                raise Refused(f"{url}: status {status}")
+            last = f"status {status}"
+        pause = policy.pause(turn, headers or {})
+        if turn + 1 == policy.tries or policy.clock() - began + pause > policy.deadline:
+            break
+        policy.wait(pause)
+    raise OSError(f"{url}: {last}")
+
+
+class Scan(NamedTuple):
+    """The state of a paged scan: the page to ask for and the results seen before it; page None is the end."""
+
+    page: int | None = 1
+    seen: int = 0
+
+    def after(self, rows: int, total: object, size: int) -> Scan:
+        """The next state. A total that is no positive number is unknown; then a page that isn't full is the last."""
+        known = int(total) if str(total).isdigit() and int(total) > 0 else None
+        seen = self.seen + rows
+        more = rows > 0 and (seen < known if known is not None else rows >= size)
+        return Scan(self.page + 1 if more else None, seen)
+
+
+def pages(get: Transport, url: str, params: dict, size: int = 1000, policy: Policy = Policy()) -> Iterator[dict]:
+    """The results of all pages, in order."""
+    state = Scan()
+    while state.page is not None:
+        body = ask(get, url, {**params, "page": state.page, "limit": size}, policy) or {}
+        rows = body.get("results") or []
         yield from rows
-        seen += len(rows)
-        found = ((body or {}).get("meta") or {}).get("found")
-        if not rows or (isinstance(found, int) and seen >= found) or (not isinstance(found, int) and len(rows) < size):
+        state = state.after(len(rows), (body.get("meta") or {}).get("found"), size)
+
+
+def dependent(get: Transport, follow: Sequence[tuple[str, Callable[[dict], Iterator[tuple[str, dict]]]]], size: int = 1000, policy: Policy = Policy()) -> Callable[[str, dict], Iterator[dict]]:
+    """A walk whose results lead to further requests: (name, requests) for each level below the first.
+
+    requests gives the addresses and parameters that a result leads to, from the results so far by their names ("root" is the
+    first). A row of the walk holds one result of every level. A level that has no results gives no row.
+    """
+
+    def below(so_far: dict, levels) -> Iterator[dict]:
+        if not levels:
+            yield so_far
             return
-        page += 1
+        (name, requests), *rest = levels
+        for url, params in requests(so_far):
+            for row in pages(get, url, params, size, policy):
+                yield from below({**so_far, name: row}, rest)
+
+    def walk(url: str, params: dict) -> Iterator[dict]:
+        for row in pages(get, url, params, size, policy):
+            yield from below({"root": row}, list(follow))
+
+    return walk
 
 
-def linked(get: Transport, url: str, params: dict, most: int, **retry) -> Iterator[dict]:
+def linked(get: Transport, url: str, params: dict, most: int, policy: Policy = Policy()) -> Iterator[dict]:
     """Results of a catalogue that gives the next page's address, most of them at most."""
     seen = 0
     while url and seen < most:
-        body = get_with_retry(get, url, params, **retry) or {}
+        body = ask(get, url, params, policy) or {}
         for row in (body.get("value") or [])[: most - seen]:
             seen += 1
             yield row
@@ -89,23 +158,33 @@ def day_targets(url: str, places: Sequence[str], first: str, last: str, key: str
     return every[:most] if most else every
 
 
-def one_body(get: Transport, **retry) -> Callable[[str, dict], Iterator[dict]]:
-    """A walk over a single answer. A target that can't be had gives no row, so one bad day doesn't end the scan."""
+def one_body(get: Transport, policy: Policy = Policy()) -> Callable[[str, dict], Iterator[dict]]:
+    """A walk over a single answer; none where there is nothing at the address."""
 
     def walk(url: str, params: dict) -> Iterator[dict]:
-        try:
-            body = get_with_retry(get, url, params, **retry)
-        except OSError:
-            body = None
+        body = ask(get, url, params, policy)
         if body:
             yield body
 
     return walk
 
 
-def password_token(post: Callable[[str, dict], dict], url: str, client: str, user: str, password: str) -> str:
-    """A token by password grant; the caller takes the credentials from the environment."""
-    return post(url, {"client_id": client, "grant_type": "password", "username": user, "password": password})["access_token"]
+class Token:
+    """A token by password grant, asked for when it is first needed and again shortly before it ends.
+
+    The caller takes the credentials from the environment.
+    """
+
+    def __init__(self, post: Callable[[str, dict], dict], url: str, client: str, user: str, password: str, margin: float = 30.0, clock: Callable[[], float] = time.monotonic):
+        self.post, self.url, self.margin, self.clock = post, url, margin, clock
+        self.form = {"client_id": client, "grant_type": "password", "username": user, "password": password}
+        self.value, self.ends = None, 0.0
+
+    def __call__(self) -> str:
+        if self.value is None or self.clock() >= self.ends - self.margin:
+            answer = self.post(self.url, self.form)
+            self.value, self.ends = answer["access_token"], self.clock() + float(answer.get("expires_in") or 300)
+        return self.value
 
 
 REPORT = "id STRING, name STRING, product_type STRING, status STRING, file_path STRING, error STRING"
@@ -158,7 +237,10 @@ class Store:
         from pyarrow import fs
 
         parts = parse.urlsplit(uri)
-        return (fs.LocalFileSystem(), parts.path) if parts.scheme in ("", "file") else fs.FileSystem.from_uri(uri)
+        if parts.scheme in ("", "file"):
+            return fs.LocalFileSystem(), parts.path
+        known = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "gcs": "gs"}.get(parts.scheme, parts.scheme)
+        return fs.FileSystem.from_uri(uri.replace(f"{parts.scheme}:", f"{known}:", 1))
 
     def exists(self, uri: str) -> bool:
         from pyarrow import fs
@@ -190,20 +272,23 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[Target]:
         return [Target(*t) for t in self.targets]
 
-    def read(self, partition: Target) -> Iterator[tuple[str, str]]:
-        for row in self.walk(partition.url, partition.params):
-            yield partition.tag, json.dumps(row, ensure_ascii=False)
+    def read(self, partition: Target) -> Iterator[tuple]:
+        try:
+            for row in self.walk(partition.url, partition.params):
+                yield partition.tag, json.dumps(row, ensure_ascii=False), None
+        except OSError as e:  # the target's last row, so that what is missing can be told from what is empty
+            yield partition.tag, None, str(e) or type(e).__name__
 
 
 class RestSource(DataSource):
-    """(tag, body): each result as JSON text, to be parsed with a schema."""
+    """(tag, body, error): each result as JSON text, to be parsed with a schema; a target that failed ends with an error."""
 
     @classmethod
     def name(cls) -> str:
         return "envflow_rest"
 
     def schema(self) -> str:
-        return "tag STRING, body STRING"
+        return "tag STRING, body STRING, error STRING"
 
     def reader(self, schema) -> DataSourceReader:
         return _Reader(self.options)

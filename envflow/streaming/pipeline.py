@@ -20,11 +20,14 @@ def file_source(spark: SparkSession, path: str, schema: T.StructType, fmt: str =
     return reader.load(path)
 
 
+def kafka_options(servers: str, topic: str, offsets_per_batch: int | None = None) -> dict[str, str]:
+    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest", "failOnDataLoss": "false"}
+    return options | ({"maxOffsetsPerTrigger": str(offsets_per_batch)} if offsets_per_batch else {})
+
+
 def kafka_source(spark: SparkSession, servers: str, topic: str, offsets_per_batch: int | None = None) -> DataFrame:
     """A topic from its beginning; lost offsets don't end the stream. Needs the Kafka connector on the class path."""
-    options = {"kafka.bootstrap.servers": servers, "subscribe": topic, "startingOffsets": "earliest", "failOnDataLoss": "false"}
-    options |= {"maxOffsetsPerTrigger": str(offsets_per_batch)} if offsets_per_batch else {}
-    return spark.readStream.format("kafka").options(**options).load()
+    return spark.readStream.format("kafka").options(**kafka_options(servers, topic, offsets_per_batch)).load()
 
 
 def parse_messages(df: DataFrame, schema: T.StructType) -> DataFrame:
@@ -84,7 +87,7 @@ def compact(spark: SparkSession, path: str, to: str, parts: Sequence[str], mb: i
     """Rewrites a partitioned table of many small files: each partition's rows together, in files of about mb megabytes."""
     rows = max(1, mb) * 10_000
     table = spark.read.parquet(path)
-    table.repartition(*parts, F.pmod(F.xxhash64(*table.columns), F.lit(8))).sortWithinPartitions(*parts).write.option("maxRecordsPerFile", rows).partitionBy(*parts).parquet(to)
+    table.hint("rebalance", *map(F.col, parts)).sortWithinPartitions(*parts).write.option("maxRecordsPerFile", rows).partitionBy(*parts).parquet(to)
 
 
 def end_offsets(progress: dict | None) -> int:

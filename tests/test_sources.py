@@ -94,7 +94,8 @@ def test_weather_by_rest(spark):
 
     targets = rest.day_targets("u", ["Ha Noi", "Hue"], "2025-01-01", "2025-01-02", "key")
     assert len(targets) == 4 and len(rest.day_targets("u", ["a"], "2025-01-01", "2025-01-05", "key", 2)) == 2
-    answers = rest.read_rest(spark, targets, rest.one_body(fake, tries=1))
+    answers = rest.read_rest(spark, targets, rest.one_body(fake, rest.Policy(tries=1)))
+    assert [(r.tag, r.body, "500" in r.error) for r in answers.where("error IS NOT NULL").collect()] == [("Hue", None, True)]
     got = sorted((r.event_id, r.temp_c) for r in N.weather(N.weather_bodies(answers), "api").collect())
     assert got == [("Ha Noi_2025-01-01 00:00", 20.5), ("Ha Noi_2025-01-02 00:00", 20.5), ("Hue_2025-01-01 00:00", 20.5)]
 
@@ -115,13 +116,68 @@ def test_download(spark, tmp_path):
     assert report()["1"] == ("skipped_exists", None)
 
 
-def test_retries():
-    answers, waits = [(429, {}, None), (500, {}, None), (200, {}, {"results": []})], []
-    assert rest.get_with_retry(lambda u, p: answers.pop(0), "u", {}, wait=waits.append) == {"results": []}
-    assert waits == [15, 10]
-    assert rest.get_with_retry(lambda u, p: (404, {}, None), "u", {}) is None
+def test_policy_of_tries():
+    waits = []
+    policy = rest.Policy(tries=4, first=2.0, longest=5.0, wait=waits.append, clock=lambda: sum(waits), jitter=lambda: 1.0)
+    answers = [(429, {"Retry-After": "7"}, None), (503, {}, None), (500, {}, None), (200, {}, {"results": []})]
+    assert rest.ask(lambda u, p: answers.pop(0), "u", {}, policy) == {"results": []} and waits == [7.0, 4.0, 5.0]
+    assert rest.ask(lambda u, p: (404, {}, None), "u", {}, policy) is None
+    tried = []
+    with pytest.raises(rest.Refused):
+        rest.ask(lambda u, p: tried.append(u) or (403, {}, None), "u", {}, policy)
+    assert tried == ["u"]
+    waits.clear()
     with pytest.raises(OSError):
-        rest.get_with_retry(lambda u, p: (503, {}, None), "u", {}, wait=waits.append)
+        rest.ask(lambda u, p: (503, {}, None), "u", {}, rest.Policy(deadline=5.0, wait=waits.append, clock=lambda: sum(waits), jitter=lambda: 1.0))
+    assert waits == [1.0, 2.0]
+
+
+@pytest.mark.parametrize("found", [0, -1, None, ">5", "5", 5, 50])
+def test_pages_end_where_the_results_do(found):
+    asked = []
+
+    def fake(url, params):
+        asked.append(params["page"])
+        return 200, {}, {"results": list(range(5))[(params["page"] - 1) * 2 : params["page"] * 2], "meta": {"found": found}}
+
+    assert list(rest.pages(fake, "u", {}, size=2)) == [0, 1, 2, 3, 4] and asked[:3] == [1, 2, 3] and len(asked) <= 4
+
+
+def test_dependent_scan(spark):
+    """Locations lead to sensors and sensors to hours; a location without sensors gives no row."""
+    answers = {"locations": [{"id": 1}, {"id": 2}, {"id": 3}], "locations/1/sensors": [{"id": 10}, {"id": 11}], "locations/3/sensors": [{"id": 30}], "sensors/10/hours": [{"v": 1}, {"v": 2}, {"v": 3}], "sensors/30/hours": [{"v": 4}]}
+
+    def fake(url, params):
+        rows = answers.get(url)
+        return (404, {}, None) if rows is None else (200, {}, {"results": rows[(params["page"] - 1) * 2 : params["page"] * 2]})
+
+    walk = rest.dependent(fake, [("sensor", lambda x: [(f"locations/{x['root']['id']}/sensors", {})]), ("hour", lambda x: [(f"sensors/{x['sensor']['id']}/hours", {})])], size=2)
+    got = rest.read_rest(spark, [("locations", {}, "t")], walk).select(*(F.get_json_object("body", p).cast("int").alias(n) for n, p in (("l", "$.root.id"), ("s", "$.sensor.id"), ("v", "$.hour.v"))))
+    assert sorted(map(tuple, got.collect())) == [(1, 10, 1), (1, 10, 2), (1, 10, 3), (3, 30, 4)]
+
+
+def test_token_is_renewed():
+    now, asked = [0.0], []
+    token = rest.Token(lambda u, f: asked.append(f["username"]) or {"access_token": f"t{len(asked)}", "expires_in": 100}, "u", "c", "me", "pw", clock=lambda: now[0])
+    assert [token(), token()] == ["t1", "t1"]
+    now[0] = 71.0
+    assert token() == "t2" and asked == ["me", "me"]
+
+
+def test_kafka_options():
+    from envflow.streaming import pipeline
+
+    assert pipeline.kafka_options("h:1", "t", 10) == {"kafka.bootstrap.servers": "h:1", "subscribe": "t", "startingOffsets": "earliest", "failOnDataLoss": "false", "maxOffsetsPerTrigger": "10"}
+    assert "maxOffsetsPerTrigger" not in pipeline.kafka_options("h:1", "t") and sinks.kafka_options("h:1", "t") == {"kafka.bootstrap.servers": "h:1", "topic": "t", "kafka.acks": "all", "kafka.retries": "3"}
+
+
+def test_documents_and_marks(spark, tmp_path):
+    df = spark.createDataFrame([("Ha Noi", "2025-01-01", 2), ("Ha Noi", "2025-01-01", 1), ("Hue", "2025-01-02", 3)], "province string, day string, v int")
+    sinks.write_documents(df, f"{tmp_path}/d", ["province", "day"])
+    files_ = {str(f.relative_to(tmp_path / "d").parent): json.loads(f.read_text()) for f in (tmp_path / "d").glob("*/*/*.txt")}
+    assert [[x["v"] for x in v] for _, v in sorted(files_.items())] == [[1, 2], [3]]
+    sinks.write_csv_with_mark(df.coalesce(1), f"{tmp_path}/c", ["province", "v"])
+    assert next((tmp_path / "c").glob("*.csv")).read_bytes().startswith(b"\xef\xbb\xbfprovince,v")
 
 
 def test_linked_and_modes():
@@ -148,14 +204,16 @@ def test_files_and_sinks(spark, tmp_path):
 
 def test_rasters(spark, tmp_path):
     (tmp_path / "a.bin").write_bytes(b"\x01\x02")
-    (tmp_path / "b.bin").write_bytes(b"")
+    (tmp_path / "b.bin").write_bytes(b"!")
 
     def decode(name, content):
         import pandas as pd
 
-        if not content:
-            raise ValueError("empty")
+        if content == b"!":
+            raise ValueError("no raster")
         yield pd.DataFrame({"product": "p", "row": 0, "col": range(len(content)), "value": [float(b) for b in content], "qa": 1.0})
 
     got = files.read_rasters(spark, str(tmp_path), decode, "*.bin").orderBy("col").collect()
     assert [(r.col, r.value) for r in got] == [(0, 1.0), (1, 2.0)]
+    report = {r.path[-5:]: (r.cells, r.error) for r in files.raster_report(spark, str(tmp_path), decode, "*.bin").collect()}
+    assert report == {"a.bin": (2, None), "b.bin": (0, "ValueError: no raster")}
