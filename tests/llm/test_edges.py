@@ -86,3 +86,26 @@ def test_pages(spark):
     back = sorted((str(r.page_id), r.payload_bytes, r.record_type, r.refers_to) for r in warc.round_trip(pages).collect())
     assert back == [("1", 200, "response", None), ("1", 200, "response", None), ("2", 0, "response", None), ("3", 200, "revisit", 1), ("4", 20, "response", None), ("None", 200, "revisit", 1)]
     assert url_filters.judge(pages.limit(0)).collect() == [] and warc.round_trip(pages.limit(0)).collect() == []
+
+
+def test_packing_results(docs):
+    """Each row's pieces are its ids and the end id: of null and empty texts the end id alone, of a very long text several windows."""
+    import zlib
+    from collections import Counter
+
+    import numpy as np
+    import public_tokenizers
+    from tokenizers import Tokenizer
+
+    encode = Tokenizer.from_file(public_tokenizers.path("byte_bpe_50k.json"))
+    want = Counter()
+    for doc, text in ROWS:
+        ids = np.array([*encode.encode(text or "", add_special_tokens=False).ids, packing.END_ID], dtype="<u4")
+        want.update((doc, at, len(ids[at : at + packing.SIZE]), zlib.crc32(ids[at : at + packing.SIZE].tobytes()), len(ids)) for at in range(0, len(ids), packing.SIZE))
+    got = packing.pack(docs).collect()
+    assert Counter((r.doc_id, r.start, r.length, r.ids_crc32, r.doc_tokens) for r in got) == want
+    used = Counter()
+    for r in sorted(got, key=lambda r: (r.sequence_id, r.offset)):
+        assert r.offset == used[r.sequence_id]
+        used[r.sequence_id] += r.length
+    assert max(used.values()) <= packing.SIZE and sorted(used) == list(range(len(used)))
