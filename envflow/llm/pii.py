@@ -1,12 +1,13 @@
 """Personal data by anchor expansion.
 
 An Aho-Corasick automaton finds anchors in one pass over a text: at-signs, ``://``, plus signs, digits, and cues of
-identifiers. From each anchor a small deterministic parser expands to both sides and validates what it finds. Spans
+identifiers and of postal addresses. From each anchor a small deterministic parser expands to both sides and validates what it finds. Spans
 are in code points, with an exclusive end.
 
 Base kinds, each as the leftmost matches of its pattern that don't overlap, failing ones dropped without another try:
 email, ip (parts at most 255), card (12 to 19 digits that pass Luhn), phone (9 to 15 digits).
-Further kinds: login (user and password in a URL), iban (checked mod 97), account (digits after a cue).
+Further kinds: login (user and password in a URL), iban (checked mod 97), account (digits after a cue), address (after
+a cue, a house number, one to six words and a word for a street, each with a capital letter).
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ from pyspark.sql import DataFrame
 from envflow.llm.common import small_batches
 
 BASE = ("email", "ip", "card", "phone")
-MORE = ("login", "iban", "account")
+MORE = ("login", "iban", "account", "address")
 _DIGITS = frozenset("0123456789")
 _ALNUM = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ0123456789")
 _LOCAL = _ALNUM | frozenset("._%+-")
@@ -30,6 +31,9 @@ _LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz
 _URL_END = frozenset(" \t\n\r\v\f/?#\"'<>")
 #: Cues of an account number, in lower case; a text may have them in any.
 CUES = ("account number", "account no", "account:", "acct no", "acct:", "a/c no", "routing number", "member id", "customer id", "iban")
+#: Cues of a postal address, and the words that end its street, in lower case.
+PLACES = ("address:", "address is", "lives at", "living at", "resides at", "ship to", "deliver to")
+STREETS = frozenset(("street", "st", "avenue", "ave", "road", "rd", "lane", "ln", "boulevard", "blvd", "drive", "dr", "court", "ct", "square", "place", "way", "terrace"))
 #: Words that may stand between a cue and its number.
 _BETWEEN = frozenset(" :#.=")
 
@@ -43,6 +47,8 @@ def anchors():
         found.add_word(sign, ("digit" if sign in _DIGITS else sign, len(sign)))
     for cue in CUES:
         found.add_word(cue, ("cue", len(cue)))
+    for cue in PLACES:
+        found.add_word(cue, ("place", len(cue)))
     found.make_automaton()
     return found
 
@@ -158,9 +164,30 @@ def account_at(text: str, at: int) -> tuple[str, int, int] | None:
     return None
 
 
+def address_at(text: str, at: int) -> tuple[int, int] | None:
+    """The house number, words and street after a cue that ends at at: one to six words before the word for a street, all capitalised."""
+    start = at
+    while start < len(text) and start - at < 4 and text[start] in _BETWEEN:
+        start += 1
+    end = _run(text, start, _DIGITS)
+    if not 1 <= end - start <= 6:
+        return None
+    if end < len(text) and text[end] in _ALNUM:
+        end += 1  # a house number may have a letter
+    for turn in range(7):
+        if end + 1 >= len(text) or text[end] != " " or not text[end + 1].isupper():
+            return None
+        word, end = end + 1, end + 2
+        while end < len(text) and end - word < 40 and (text[end].isalpha() or text[end] in "'-"):
+            end += 1
+        if turn and lowered(text[word:end]) in STREETS and (end == len(text) or not text[end].isalnum()):
+            return start, end
+    return None
+
+
 def find(text: str, automaton) -> list[tuple[str, int, int]]:
     """(kind, start, end) by start, then by kind as listed."""
-    spans, past = [], dict.fromkeys((*BASE, "account"), 0)
+    spans, past = [], dict.fromkeys((*BASE, "account", "address"), 0)
     for last, (sign, width) in automaton.iter(lowered(text)):
         at = last - width + 1
         if sign == "digit":
@@ -187,6 +214,10 @@ def find(text: str, automaton) -> list[tuple[str, int, int]]:
         elif sign == "://":
             if found := login_at(text, last + 1):
                 spans.append(("login", *found))
+        elif sign == "place":
+            if at >= past["address"] and (found := address_at(text, last + 1)):
+                past["address"] = found[1]
+                spans.append(("address", *found))
         elif at >= past["account"] and (found := account_at(text, last + 1)):
             past["account"] = found[2]
             spans.append(found)

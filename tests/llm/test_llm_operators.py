@@ -291,6 +291,24 @@ def test_pii_more():
     assert found["login"] == "joe:pw1" and found["iban"] == "DE89 3704 0044 0532 0130 00" and found["account"] == "12345-678"
 
 
+def test_pii_addresses():
+    cases = {
+        "Address: 221B Baker Street, London": "221B Baker Street",
+        "she lives at 12 St James Ave.": "12 St James Ave",
+        "SHIP TO: 9 Old Mill-End Rd": "9 Old Mill-End Rd",
+        "address: 4 A B C D E F Lane": "4 A B C D E F Lane",
+        "deliver to 3 people on the way": None,
+        "address: 4 A B C D E F G Lane": None,
+        "address: 7 Street": None,
+        "address: 1234567 Main Street": None,
+        "address: 5 Main Streets": None,
+        "lives at 12": None,
+        "address: ": None,
+    }
+    for text, address in cases.items():
+        assert [text[a:b] for k, a, b in pii.find(text, AUTOMATON) if k == "address"] == ([address] if address else [])
+
+
 def test_pii_and_secret_queries(spark):
     docs = texts(spark)
     for rows, patterns in ((queries.op5_pii(spark, DATA), PII), (queries.op10_secret_scans(spark, DATA), SECRETS)):
