@@ -27,7 +27,6 @@ _ALNUM = frozenset("abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ01234567
 _LOCAL = _ALNUM | frozenset("._%+-")
 _LABEL = _ALNUM | frozenset("-")
 _PHONE = _DIGITS | frozenset(" ().-")
-_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 _URL_END = frozenset(" \t\n\r\v\f/?#\"'<>")
 #: Cues of an account number, in lower case; a text may have them in any.
 CUES = ("account number", "account no", "account:", "acct no", "acct:", "a/c no", "routing number", "member id", "customer id", "iban")
@@ -54,8 +53,8 @@ def anchors():
 
 
 def lowered(text: str) -> str:
-    """text with A-Z in lower case, of the same length."""
-    return text.lower() if text.isascii() else text.translate(_LOWER)
+    """text with A-Z in lower case, of the same length: bytes know no other letters."""
+    return text.encode("utf-8", "surrogatepass").lower().decode("utf-8", "surrogatepass")
 
 
 def _run(text: str, at: int, allowed: frozenset) -> int:
