@@ -58,33 +58,32 @@ def healthy(files: Column, live_nodes: Column) -> Column:
     return (F.coalesce(files, F.lit(0)) > 0) & (F.coalesce(live_nodes, F.lit(0)) > 0)
 
 
-def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str = "percentile", buckets: int = 200) -> DataFrame:
-    """(keys, name): the interpolated q-th percentile of each group's valid values, exact and without holding a group.
+def percentile_by(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str = "percentile", buckets: int = 1000) -> DataFrame:
+    """(keys, name): the interpolated q-th percentile of each group's valid values, null where there are none; exact.
 
-    A sketch gives each group's bucket bounds; counts by bucket tell which bucket the wanted ranks are in; only that
-    bucket's distinct values are then put in order. A very common value is one row by then. Groups without a valid
-    value have no row.
+    A sketch, whose ranks are off by one in buckets at most, gives a value below the wanted ranks and one above them.
+    What lies below is counted, what lies between is put in order, a common value as one row. So of a group of more than
+    buckets values only 8 in buckets are in one task; smaller ones are there whole.
     """
-    good = df.where(finite(F.col(value))).select(*keys, F.col(value).cast("double").alias("_v"))
-    steps = F.array(*(F.lit(i / buckets) for i in range(1, buckets)))
-    cuts = good.groupBy(*keys).agg(F.percentile_approx("_v", steps, F.lit(10 * buckets)).alias("_cuts"), F.count("*").alias("_n"))
-
-    def same(a: DataFrame, b: DataFrame, on: Sequence[str]) -> DataFrame:
-        b = b.withColumnsRenamed({k: f"_r_{k}" for k in on})
-        met = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in on), F.lit(True))
-        return a.join(b, met).drop(*(f"_r_{k}" for k in on))
-
-    bucket = F.size(F.filter("_cuts", lambda c: c <= F.col("_v"))).alias("_b")
-    placed = same(good, cuts.select(*keys, "_cuts"), keys).select(*keys, "_v", bucket)
-    counts = same(placed.groupBy(*keys, "_b").agg(F.count("*").alias("_c")), cuts.select(*keys, "_n"), keys)
-    before = F.sum("_c").over(Window.partitionBy(*keys).orderBy("_b")) - F.col("_c")
-    at = F.lit(q) * (F.col("_n") - 1)
-    ranks = counts.select(*keys, "_b", "_c", before.alias("_before"), at.alias("_at"), F.floor(at).alias("_lo"), F.ceil(at).alias("_hi"))
-    holds = lambda start, n, rank: (F.col(start) <= F.col(rank)) & (F.col(rank) < F.col(start) + F.col(n))
-    wanted = ranks.where(holds("_before", "_c", "_lo") | holds("_before", "_c", "_hi")).drop("_c")
-    inside = same(placed, wanted, [*keys, "_b"]).groupBy(*keys, "_b", "_before", "_at", "_lo", "_hi", "_v").agg(F.count("*").alias("_c"))
-    start = F.sum("_c").over(Window.partitionBy(*keys, "_b").orderBy("_v")) - F.col("_c") + F.col("_before")
-    ends = inside.withColumn("_start", start).groupBy(*keys, "_at", "_lo").agg(
-        F.max(F.when(holds("_start", "_c", "_lo"), F.col("_v"))).alias("_low"), F.max(F.when(holds("_start", "_c", "_hi"), F.col("_v"))).alias("_high")
-    )
-    return ends.select(*keys, (F.col("_low") + (F.col("_high") - F.col("_low")) * (F.col("_at") - F.col("_lo"))).alias(name))
+    rows = df.select(*keys, F.when(finite(F.col(value)), F.col(value).cast("double")).alias("_v"))
+    margin = 4 / buckets
+    ends = F.percentile_approx("_v", F.array(F.lit(max(0.0, q - margin)), F.lit(min(1.0, q + margin))), F.lit(buckets))
+    cuts = rows.groupBy(*keys).agg(F.count("_v").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), ends.alias("_ends"))
+    few, at = F.col("_n") <= buckets, F.when(F.col("_n") > 0, F.lit(q) * (F.col("_n") - 1))
+    low = F.when(few | F.lit(q <= margin), F.col("_min")).otherwise(F.col("_ends")[0])
+    high = F.when(few | F.lit(q >= 1 - margin), F.col("_max")).otherwise(F.col("_ends")[1])
+    cuts = cuts.select(*(F.col(k).alias(f"_r_{k}") for k in keys), low.alias("_low"), high.alias("_high"), at.alias("_at"))
+    met = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_r_{k}")) for k in keys), F.lit(True))
+    near = rows.join(cuts, met).where(F.col("_v").isNull() | (F.col("_v") <= F.col("_high")))
+    counts = near.groupBy(*keys, "_at", F.when(F.col("_v") >= F.col("_low"), F.col("_v")).alias("_v")).agg(F.count(F.col("_v")).alias("_c"))
+    start = F.sum("_c").over(Window.partitionBy(*keys).orderBy(F.col("_v").asc_nulls_first())) - F.col("_c")
+    holds = lambda rank: (F.col("_start") <= rank) & (rank < F.col("_start") + F.col("_c"))
+    found = lambda rank: F.max(F.when(holds(rank(F.col("_at"))), F.col("_v")))
+    out = counts.withColumn("_start", start).groupBy(*keys, "_at").agg(found(F.floor).alias("_lo"), found(F.ceil).alias("_hi"))
+    exact = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at"))
+    return out.select(*keys, F.when(F.col("_at").isNull(), F.lit(None)).when(exact.isNull(), F.raise_error(F.lit("the sketch missed the rank"))).otherwise(exact).alias(name))
+
+
+def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str = "percentile", buckets: int = 1000) -> DataFrame:
+    """percentile_by; groups without a valid value have no row."""
+    return percentile_by(df, keys, value, q, name, buckets).where(F.col(name).isNotNull())

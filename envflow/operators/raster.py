@@ -3,13 +3,12 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from envflow.functions import clamp, finite, masked
-from envflow.operators.aggregates import exact_mean, exact_percentile
+from envflow.operators.aggregates import exact_mean, percentile_by
 
 
 def cells_of(df: DataFrame, key: str, array: str, columns: int) -> DataFrame:
@@ -46,9 +45,7 @@ def aerosol(raw: Column, fill=None, scale=None, offset=None) -> Column:
 
 def display_limits(cells: DataFrame, keys: Sequence[str], value: str) -> DataFrame:
     """(keys, upper_limit): the 98th percentile, interpolated, within 0.3..2.5; 1.5 for groups without a valid value."""
-    high = exact_percentile(cells, keys, value, 0.98, "_high").withColumnsRenamed({k: f"_k_{k}" for k in keys})
-    met = reduce(lambda a, b: a & b, (F.col(k).eqNullSafe(F.col(f"_k_{k}")) for k in keys), F.lit(True))
-    return cells.select(*keys).distinct().join(high, met, "left").select(*keys, clamp(F.col("_high"), 0.3, 2.5, 1.5).alias("upper_limit"))
+    return percentile_by(cells, keys, value, 0.98, "_high").select(*keys, clamp(F.col("_high"), 0.3, 2.5, 1.5).alias("upper_limit"))
 
 
 def mosaic(cells: DataFrame, order: str, value: str = "value") -> DataFrame:

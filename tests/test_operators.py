@@ -99,6 +99,10 @@ def test_exact_percentile(spark):
     want = {r.k: r.p for r in df.where("NOT isnan(v)").groupBy("k").agg(F.percentile("v", F.lit(0.98)).alias("p")).where("p IS NOT NULL").collect()}
     got = {r.k: r.p for r in A.exact_percentile(df, ["k"], "v", 0.98, "p", buckets=20).collect()}
     assert got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-9 for k in want)
+    for q, buckets in ((0.0, 20), (0.5, 50), (0.5, 1000), (1.0, 20)):
+        want = {r.k: r.p for r in df.where("NOT isnan(v)").groupBy("k").agg(F.percentile("v", F.lit(q)).alias("p")).collect()}
+        got = {r.k: r.p for r in A.percentile_by(df, ["k"], "v", q, "p", buckets).collect()}
+        assert got.keys() == want.keys() and got["bad"] is None and all(got[k] == want[k] or abs(got[k] - want[k]) < 1e-9 for k in want)
 
 
 def test_time_range_prunes_partitions(spark, tmp_path):
