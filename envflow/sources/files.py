@@ -3,14 +3,19 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envflow import schemas
 
 
+#: Endings of file names and the readers' formats.
+KINDS = {"parquet": "parquet", "json": "json", "geojson": "json", "csv": "csv", "txt": "text", "nc": "raster", "hdf": "raster", "tif": "raster"}
+
+
 def read_weather(spark: SparkSession, *paths: str) -> DataFrame:
     """Day files, one JSON document each, with source_file. What can't be parsed is kept in _corrupt_record."""
     reader = spark.read.schema(schemas.WEATHER_FILE).option("multiLine", True).option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", "_corrupt_record")
@@ -41,6 +46,18 @@ def list_files(spark: SparkSession, path: str, glob: str | None = None) -> DataF
     return reader.load(path).select("path", "length", "modificationTime")
 
 
+def files_in_order(spark: SparkSession, path: str, glob: str | None = None, most: int = 0) -> DataFrame:
+    """list_files by path; the first most of them, or all for 0."""
+    every = list_files(spark, path, glob).orderBy("path")
+    return every.limit(most) if most else every
+
+
+def kind_of(path: Column, kinds: dict[str, str] = KINDS) -> Column:
+    """What reads a file, by its ending in any case (gz is looked through); null for other endings."""
+    end = F.regexp_extract(F.lower(path), r"\.([a-z0-9]+)(?:\.gz)?$", 1)
+    return reduce(lambda out, k: out.when(end == k, F.lit(kinds[k])), list(kinds)[1:], F.when(end == next(iter(kinds)), F.lit(next(iter(kinds.values())))))
+
+
 Decoder = Callable[[str, bytes], Iterator[pd.DataFrame]]
 
 

@@ -140,6 +140,34 @@ def linked(get: Transport, url: str, params: dict, most: int, policy: Policy = P
         url, params = body.get("@odata.nextLink"), {}
 
 
+def granule_query(collection: str, version: str, box: Sequence[float], start: str, end: str) -> dict:
+    """The parameters of a search for granules of a collection in a period that meet a box (west, south, east, north)."""
+    check_period(start, end)
+    return {"short_name": collection, "version": version, "temporal": f"{start},{end}", "bounding_box": ",".join(map(str, box))}
+
+
+def granules(get: Transport, size: int = 2000, policy: Policy = Policy()) -> Callable[[str, dict], Iterator[dict]]:
+    """A walk over all pages of a granule search (answers with feed.entry), as records that download takes, with href.
+
+    href is the address of a granule's data; one that has none is not online. No answer, or one without entries, is no granule.
+    """
+
+    def record(entry: dict) -> dict:
+        data = [x["href"] for x in entry.get("links") or [] if str(x.get("rel", "")).endswith("/data#") and not x.get("inherited") and x.get("href")]
+        name = data[0].rpartition("/")[2] if data else entry.get("title")
+        return {"id": entry.get("id"), "name": name, "product_type": entry.get("dataset_id"), "start_time_utc": entry.get("time_start"), "end_time_utc": entry.get("time_end"), "online": bool(data), "href": data[0] if data else None}
+
+    def walk(url: str, params: dict) -> Iterator[dict]:
+        state = Scan()
+        while state.page is not None:
+            body = ask(get, url, {**params, "page_num": state.page, "page_size": size}, policy) or {}
+            rows = (body.get("feed") or {}).get("entry") or []
+            yield from map(record, rows)
+            state = state.after(len(rows), None, size)
+
+    return walk
+
+
 def catalogue_filter(collection: str, name_part: str | None, box: Sequence[float], start: str, end: str) -> str:
     """The filter text of a catalogue search: collection, part of the name, area and period."""
     x0, y0, x1, y1 = box

@@ -217,3 +217,40 @@ def test_rasters(spark, tmp_path):
     assert [(r.col, r.value) for r in got] == [(0, 1.0), (1, 2.0)]
     report = {r.path[-5:]: (r.cells, r.error) for r in files.raster_report(spark, str(tmp_path), decode, "*.bin").collect()}
     assert report == {"a.bin": (2, None), "b.bin": (0, "ValueError: no raster")}
+
+
+def test_granules(spark, tmp_path):
+    link = {"rel": "http://esipfed.org/ns/fedsearch/1.1/data#", "href": "https://a.org/x/tile-1.hdf"}
+    entries = [
+        {"id": "G1", "title": "t1", "dataset_id": "D", "time_start": "2025-01-01T00:00:00Z", "time_end": "2025-01-02T00:00:00Z", "links": [{"rel": "browse#", "href": "https://a.org/p.png"}, link]},
+        {"id": "G2", "title": "t2", "dataset_id": "D", "links": [{**link, "inherited": True}]},
+        {"id": "G3", "title": "t3"},
+    ]
+    asked = []
+
+    def get(url, params):
+        asked.append(params["page_num"])
+        at = (params["page_num"] - 1) * params["page_size"]
+        return (200, {}, {"feed": {"entry": entries[at : at + params["page_size"]]}}) if params["short_name"] == "MCD19A2" else (404, {}, None)
+
+    params = rest.granule_query("MCD19A2", "061", (102.1, 8.4, 109.5, 23.4), "2025-01-01", "2025-01-08")
+    assert params == {"short_name": "MCD19A2", "version": "061", "temporal": "2025-01-01,2025-01-08", "bounding_box": "102.1,8.4,109.5,23.4"}
+    found = list(rest.granules(get, 2)("u", params))
+    assert [(g["id"], g["name"], g["online"]) for g in found] == [("G1", "tile-1.hdf", True), ("G2", "t2", False), ("G3", "t3", False)] and asked == [1, 2]
+    assert list(rest.granules(get, 2)("u", {"short_name": "none"})) == []
+    with pytest.raises(ValueError):
+        rest.granule_query("c", "1", (0, 0, 1, 1), "2025-01-08", "2025-01-01")
+    body = rest.read_rest(spark, [("u", params, "aod")], rest.granules(get, 2))
+    records = body.select(F.from_json("body", "id STRING, name STRING, product_type STRING, online BOOLEAN").alias("g")).select("g.*")
+    report = rest.download(records, lambda base, key: f"{base}{key}".encode(), ["b:"], str(tmp_path)).collect()
+    assert sorted((r.id, r.status) for r in report) == [("G1", "downloaded"), ("G2", "skipped_offline"), ("G3", "skipped_offline")]
+    assert (tmp_path / "tile-1.hdf").read_bytes() == b"b:G1"
+
+
+def test_files_in_order_and_kinds(spark, tmp_path):
+    for name in ("b/2.json", "a/9.nc", "a/10.CSV", "c.json.gz", "d"):
+        (tmp_path / name).parent.mkdir(exist_ok=True)
+        (tmp_path / name).write_text("x")
+    every = files.files_in_order(spark, str(tmp_path)).select("path", files.kind_of(F.col("path")).alias("kind")).collect()
+    assert [(r.path.removeprefix(f"file:{tmp_path}/"), r.kind) for r in every] == [("a/10.CSV", "csv"), ("a/9.nc", "raster"), ("b/2.json", "json"), ("c.json.gz", "json"), ("d", None)]
+    assert [r.path[-4:] for r in files.files_in_order(spark, str(tmp_path), "*.json", 1).collect()] == ["json"]
