@@ -129,9 +129,12 @@ def read_records(source) -> Iterator[tuple[dict[str, str], dict[str, str], bytes
 
 
 def _open(uri: str) -> tuple[pafs.FileSystem, str]:
-    """A folder or file of the shared store, for tasks: local paths and whatever pyarrow's file systems reach."""
+    """A folder or file of the shared store, for tasks: local paths and whatever pyarrow's file systems reach, by the names that Spark has for them too."""
     parts = urlsplit(uri)
-    return (pafs.LocalFileSystem(), parts.path) if parts.scheme in ("", "file") else pafs.FileSystem.from_uri(uri)
+    if parts.scheme in ("", "file"):
+        return pafs.LocalFileSystem(), parts.path
+    known = {"s3a": "s3", "s3n": "s3", "abfss": "abfs", "gcs": "gs"}.get(parts.scheme, parts.scheme)
+    return pafs.FileSystem.from_uri(uri.replace(f"{parts.scheme}:", f"{known}:", 1))
 
 
 def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
@@ -151,8 +154,9 @@ def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
 def write_archives(pages: DataFrame, folder: str) -> DataFrame:
     """Writes pages (page_id, url, html, digest, refers_to) as .warc.gz files in folder; (file), their addresses.
 
-    A file gets its name only when it is whole, under the name of its task and not of the attempt: a task that runs
-    again after its executor is lost puts the same file in place, and nothing is there twice.
+    A file gets its name only when it is whole, under the name of its task and of the attempt, as the rows of another
+    attempt may come in another order. The rows returned are those of the attempts that Spark took, so no page is there
+    twice or missing, also where a task ran again or beside itself; files of other attempts may lie in folder, unlisted.
     """
     small_batches(pages.sparkSession, 256)
 
@@ -161,12 +165,14 @@ def write_archives(pages: DataFrame, folder: str) -> DataFrame:
 
         store, root = _open(folder)
         store.create_dir(root, recursive=True)
-        part, done, out, part_name = TaskContext.get().partitionId(), [], None, ""
+        task, done, out, part_name = TaskContext.get(), [], None, ""
+        part = f"part-{task.partitionId():06d}-{task.taskAttemptId():08d}"
 
         def close() -> None:
             out.close()
-            store.move(part_name, f"{root}/part-{part:06d}-{len(done):04d}.warc.gz")
-            done.append(f"part-{part:06d}-{len(done):04d}.warc.gz")
+            name = f"{part}-{len(done):04d}.warc.gz"
+            store.move(part_name, f"{root}/{name}")
+            done.append(name)
 
         for batch in batches:
             for row in batch.to_pylist():

@@ -655,3 +655,12 @@ def test_pipeline_of_odd_rows(spark, tmp_path):
         spark.read.parquet(f"{DATA}/{name}.parquet").write.parquet(f"{tmp_path}/{name}.parquet")
     spark.read.parquet(f"{DATA}/documents.parquet").limit(0).write.parquet(f"{tmp_path}/documents.parquet")
     assert P.run(spark, str(tmp_path)).collect() == []
+
+
+def test_warc_attempts_do_not_share_files(spark, tmp_path):
+    pages = spark.createDataFrame([(i, f"http://h/{i}", "x" * 200 + str(i % 30)) for i in range(60)], "page_id bigint, url string, html string")
+    lists = [warc.write_archives(warc.with_revisits(pages), f"file://{tmp_path}/a") for _ in range(2)]
+    names = [{r.file for r in found.collect()} for found in lists]
+    assert not names[0] & names[1] and len(list(tmp_path.glob("a/*.warc.gz"))) == len(names[0] | names[1])
+    for found in lists:
+        assert sorted(r.page_id for r in warc.read_archives(found).collect()) == list(range(60))
