@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envflow.llm import common, decontamination, jaccard_join, minhash, packing, pii, quality, secrets, substring_dedup, url_filters, warc
+from envflow.llm import common, content_sort, decontamination, importance, jaccard_join, minhash, packing, pii, quality, secrets, spelling, substring_dedup, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -151,3 +151,66 @@ def op6_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query
 def op7_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontamination.find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op11_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return content_sort.exact_duplicates(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op11_exact_dedup"] = r"""
+WITH n AS (SELECT doc_id, regexp_replace(coalesce(text, ''), '[\x20\x09-\x0D]+', ' ', 'g') AS t FROM documents)
+SELECT doc_id, min(doc_id) OVER (PARTITION BY t) AS keep_id, count(*) OVER (PARTITION BY t) AS group_size,
+doc_id = min(doc_id) OVER (PARTITION BY t) AS kept, sha256(t) AS text_sha256 FROM n"""
+
+
+def _sql_crc32(text: str, table: str) -> str:
+    """The unsigned crc32 of a text's UTF-8 bytes: a fold over its bytes with a table of 256 entries."""
+    byte = f"list_transform(range(0, strlen({text})), lambda i: CAST('0x' || substr(hex(encode({text})), 2 * i + 1, 2) AS BIGINT))"
+    return f"xor(list_reduce(list_prepend(4294967295, {byte}), lambda c, b: xor(c >> 8, {table}[(xor(c, b) & 255) + 1])), 4294967295)"
+
+
+#: A row with the table k of crc32: eight steps of the reflected polynomial for each byte.
+_SQL_CRC_TABLE = "SELECT list_transform(range(256), lambda b: list_reduce(list_prepend(b, range(8)), lambda c, i: CASE WHEN (c & 1) = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)) AS k"
+
+
+@query
+def op12_importance_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+ORACLES["op12_importance_resampling"] = rf"""
+WITH crc AS MATERIALIZED ({_SQL_CRC_TABLE}),
+d AS MATERIALIZED (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), '{importance.UPPER}', '{importance.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
+b AS MATERIALIZED (SELECT regexp_extract_all(translate(coalesce(text, ''), '{importance.UPPER}', '{importance.LOWER}'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
+known AS MATERIALIZED (SELECT w, {_sql_crc32('w', 'k')} % 10000 AS bucket FROM (SELECT DISTINCT w FROM (SELECT unnest(w) AS w FROM d UNION ALL SELECT unnest(w) FROM b)), crc),
+f AS MATERIALIZED (SELECT doc_id, bucket FROM (SELECT doc_id, unnest(w) AS w FROM d) JOIN known USING (w)),
+s AS (SELECT bucket, count(*) AS s FROM f GROUP BY 1),
+t AS (SELECT bucket, count(*) AS t FROM (SELECT unnest(w) AS w FROM b) JOIN known USING (w) GROUP BY 1),
+g AS (SELECT bucket, CAST(floor(1000 * ln((coalesce(t, 0) + 1.0::DOUBLE) * ((SELECT coalesce(sum(s), 0) FROM s) + 10000)::DOUBLE / ((s + 1.0::DOUBLE) * ((SELECT coalesce(sum(t), 0) FROM t) + 10000)::DOUBLE))) AS BIGINT) AS gain FROM s LEFT JOIN t USING (bucket)),
+m AS (SELECT doc_id, CAST(sum(gain) AS BIGINT) AS weight FROM f JOIN g USING (bucket) GROUP BY 1),
+x AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n_features, coalesce(weight, 0) AS weight,
+      coalesce(weight, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || left(sha256('2024:' || doc_id), 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score FROM d LEFT JOIN m USING (doc_id)),
+r AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS n FROM x WHERE n_features >= 20)
+SELECT doc_id, n_features, weight, score, CASE WHEN r <= 10 * n // 100 THEN r END AS rank FROM x LEFT JOIN r USING (doc_id)"""
+
+
+@query
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spelling.variants(table(spark, sf_dir, "documents"))
+
+
+ORACLES["op13_spelling_variants"] = rf"""
+WITH RECURSIVE crc AS MATERIALIZED ({_SQL_CRC_TABLE}),
+u AS MATERIALIZED (SELECT doc_id, r, count(*) AS n FROM (SELECT doc_id, unnest(regexp_extract_all(translate(text, '{spelling.UPPER}', '{spelling.LOWER}'), '[A-Za-z\x{{C0}}-\x{{FF}}]+')) AS r FROM documents WHERE text IS NOT NULL) WHERE length(r) >= 5 GROUP BY ALL),
+h AS (SELECT r, n, {_sql_crc32("(doc_id || ':' || r)", 'k')} AS h FROM u, crc),
+o AS (SELECT CASE WHEN h % 97 = 0 THEN substr(r, 1, CAST(h % length(r) AS INTEGER)) || substr(r, CAST(h % length(r) AS INTEGER) + 2) ELSE r END AS word, n FROM h),
+w AS MATERIALIZED (SELECT word, CAST(sum(n) AS BIGINT) AS n FROM o WHERE length(word) >= 5 GROUP BY 1 HAVING sum(n) >= 3),
+c AS MATERIALIZED (SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS cut FROM (SELECT word, n, CAST(unnest(range(1, length(word) + 1)) AS INTEGER) AS i FROM w)),
+p AS (SELECT x.word AS a, y.word AS b FROM c x JOIN c y ON x.cut = y.cut AND x.i = y.i AND x.word <> y.word AND length(x.word) = length(y.word)
+      UNION SELECT c.word, w.word FROM c JOIN w ON c.cut = w.word UNION SELECT w.word, c.word FROM c JOIN w ON c.cut = w.word),
+q AS (SELECT a, b, y.n AS bn, row_number() OVER (PARTITION BY a ORDER BY y.n DESC, b) AS r, count(*) OVER (PARTITION BY a) AS k FROM p JOIN w y ON y.word = b),
+f AS MATERIALIZED (SELECT word, n, coalesce(k, 0) AS n_near, CASE WHEN bn >= 2 * n THEN b END AS form, CASE WHEN bn >= 2 * n THEN bn END AS form_n FROM w LEFT JOIN q ON a = word AND r = 1),
+walk AS (SELECT word, word AS root FROM f UNION ALL SELECT walk.word, f.form FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NOT NULL),
+ends AS (SELECT walk.word, root FROM walk JOIN f ON f.word = walk.root WHERE f.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM f JOIN ends USING (word)"""
