@@ -45,15 +45,42 @@ def _sql_url(url: str) -> dict[str, str]:
     return {"host": host, "path": path, "alias": alias}
 
 
+def _sql_attribute(tag: str, name: str) -> str:
+    pattern = url_filters.attribute_pattern(name).replace("'", "''")
+    return "trim(" + " || ".join(f"regexp_extract({tag}, '{pattern}', {i})" for i in (1, 2, 3)) + ", ' ')"
+
+
+def _sql_resolved(to: str, base: str) -> str:
+    """The address that to means on a page at base, as resolved() has it."""
+    rest = f"CASE WHEN strpos({base}, '://') > 0 THEN substr({base}, strpos({base}, '://') + 3) ELSE '' END"
+    scheme, host, path = f"regexp_extract({base}, '^([^:/?#]*):', 1)", f"regexp_extract({rest}, '^([^/?#]*)', 1)", f"regexp_extract({rest}, '^[^/?#]*([^?#]*)', 1)"
+    own, asked = f"regexp_extract({to}, '^([^?#]*)', 1)", rf"regexp_extract({to}, '^[^?#]*(\?.*)?$', 1)"
+    folder = f"regexp_replace({path}, '[^/]*$', '') || CASE WHEN {path} = '' THEN '/' ELSE '' END"
+    joined = f"CASE WHEN starts_with({own}, '/') THEN {own} ELSE {folder} || {own} END"
+    step = "CASE WHEN b[1] = '..' THEN CASE WHEN len(a) > 1 THEN a[1:len(a) - 1] ELSE a END WHEN b[1] = '.' THEN a ELSE a || b END"
+    short = f"CASE WHEN regexp_matches({joined}, '(^|/)\\.\\.?(/|$)') THEN array_to_string(list_reduce(list_transform(string_split({joined}, '/'), lambda x: [x]), lambda a, b: {step}), '/') ELSE {joined} END"
+    inside = f"CASE WHEN {host} <> '' THEN {scheme} || '://' || {host} || CASE WHEN {own} = '' THEN {path} ELSE {short} END || {asked} END"
+    return f"CASE WHEN regexp_matches({to}, '^[A-Za-z][A-Za-z0-9+.-]*://') THEN {to} WHEN starts_with({to}, '//') THEN {scheme} || ':' || {to} WHEN regexp_matches({to}, '^([A-Za-z][A-Za-z0-9+.-]*:|#|$)') THEN NULL ELSE {inside} END"
+
+
 def _op1_sql() -> str:
+    """The links by the operator's own patterns, without their possessive marks, which this engine needs not and has not."""
+    plain = lambda pattern: pattern.replace("++", "+").replace("*+", "*").replace("'", "''")
     u, to = _sql_url("url"), _sql_url("t")
-    quoted = [p.replace("'", "''") for p in url_filters.LINKS]
-    found = " || ".join(f"regexp_extract_all(html, '{p}', 1)" for p in quoted)
+    tag = lambda name: _sql_attribute("tag", name)
+    link = f"CASE WHEN regexp_matches({tag('rel')}, '{url_filters.REL}') THEN {tag('href')} END"
+    named = f"regexp_matches(lower({tag('property')} || ' ' || {tag('name')}), '(^|{url_filters.SPACE})og:url({url_filters.SPACE}|$)')"
+    refresh = f"regexp_extract(regexp_replace({tag('content')}, '{plain(url_filters.DELAY)}', ''), '{plain(url_filters.FIRST)}', 1)"
+    meta = f"CASE WHEN {named} THEN {tag('content')} WHEN lower({tag('http-equiv')}) = 'refresh' THEN {refresh} END"
     node = ("regexp_extract(b, '^([^/?#]*)', 1)", "regexp_extract(b, '^[^/?#]*([^?#]*)', 1)")
+    based = _sql_attribute(f"regexp_extract(html, '{plain(url_filters.BASE)}')", "href")
     return f"""
-WITH RECURSIVE p AS (SELECT page_id, html, {u['host']} AS host, {u['path']} AS path, {u['alias']} AS alias FROM pages),
+WITH RECURSIVE p AS (SELECT page_id, url, html, {u['host']} AS host, {u['path']} AS path, {u['alias']} AS alias FROM pages),
 j AS (SELECT *, {_sql_rule('host', 'path', 0)} AS rule, {_sql_rule('host', 'path', 1)} AS own FROM p),
-t AS (SELECT alias, unnest({found}) AS t FROM p WHERE regexp_matches(html, '(?i)canonical|og:url|http-equiv')),
+m AS (SELECT alias, url, coalesce({based}, '') AS based, unnest(regexp_extract_all(html, '{plain(url_filters.TAGS)}')) AS tag FROM p WHERE regexp_matches(html, '{url_filters.MARKED}')),
+n AS (SELECT DISTINCT alias, url, based, coalesce(CASE WHEN regexp_matches(tag, '^<{url_filters.any_case('link')}') THEN {link} ELSE {meta} END, '') AS said FROM m),
+o AS (SELECT alias, said, coalesce({_sql_resolved('based', 'url')}, url) AS base FROM n),
+t AS (SELECT alias, {_sql_resolved('said', 'base')} AS t FROM o),
 d AS (SELECT DISTINCT alias AS a, {to['alias']} AS b FROM t),
 e AS (SELECT a, b FROM d WHERE a <> b UNION SELECT b, a FROM d WHERE a <> b),
 reach AS (SELECT DISTINCT alias AS a, alias AS b FROM j WHERE own IS NULL AND alias IS NOT NULL UNION SELECT r.a, e.b FROM reach r JOIN e ON r.b = e.a),

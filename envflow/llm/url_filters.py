@@ -19,19 +19,26 @@ from envflow.llm.common import let, written
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 #: (host and path prefix, verdict)
 RULES = (("org/", "allow"), ("example.org/es/", "block"), ("example.org/en/1", "block"), ("com/fr/", "allow"), ("com/de/", "block"))
-#: Declarations of another address, each with the address in group 1.
-LINKS = (
-    r"""(?i)<link\b[^>]*\brel\s*=\s*["']?canonical\b[^>]*?\bhref\s*=\s*["']?([^"'\s>]+)""",
-    r"""(?i)<link\b[^>]*\bhref\s*=\s*["']?([^"'\s>]+)[^>]*?\brel\s*=\s*["']?canonical\b""",
-    r"""(?i)<meta\b[^>]*\bproperty\s*=\s*["']?og:url\b[^>]*?\bcontent\s*=\s*["']?([^"'\s>]+)""",
-    r"""(?i)<meta\b[^>]*\bhttp-equiv\s*=\s*["']?refresh\b[^>]*?\burl\s*=\s*([^"'\s>]+)""",
-)
-#: They are searched within so many characters between their parts and within one tag, so that tags that never end cost little.
-WITHIN = 1024
-_PART = r"""(?:[^"'<>]{1,8192}+|"[^"]{0,8192}+"|'[^']{0,8192}+'){0,64}+>"""
-#: Tags that may declare an address, quoted values whole; of each the attributes are read in any order.
-TAGS = rf"(?i)<(?:link|meta)\b{_PART}"
-BASE = rf"(?i)<base\b{_PART}"
+SPACE = r"[ \t\n\f\r]"
+
+
+def any_case(word: str) -> str:
+    """A pattern of ASCII letters in either case."""
+    return "".join(f"[{c.lower()}{c.upper()}]" if c.isalpha() else c for c in word)
+
+
+#: A tag from its name on. Quoted values are taken whole, whatever they hold and however long they are; what they hold is no tag.
+#: Nothing is tried twice from one beginning, and of beginnings that quotes leave open at the same place only one goes on: a
+#: page takes time in proportion to its length (the three states of a quote are permuted by every quote, so each chain of quoted
+#: values that passes over another beginning of its state ends there).
+_PART = r"""(?:[^"'<>]++|"[^"]*+"|'[^']*+')*+>"""
+TAGS = rf"<(?:{any_case('link')}|{any_case('meta')})[ \t\n\f\r/]{_PART}"
+BASE = rf"<{any_case('base')}[ \t\n\f\r/]{_PART}"
+REL = rf"(^|{SPACE}){any_case('canonical')}({SPACE}|$)"
+#: What stands before the address in a refresh, and the address.
+DELAY = rf"""^{SPACE}*[0-9.]*{SPACE}*[;,]?{SPACE}*({any_case('url')}{SPACE}*={SPACE}*)?["']?{SPACE}*"""
+FIRST = r"""^([^"' \t\n\f\r]+)"""
+MARKED = "|".join(map(any_case, ("canonical", "og:url", "http-equiv")))
 
 
 def after_scheme(url: Column) -> Column:
@@ -66,20 +73,25 @@ def rule_of(host: Column, path: Column, rules=RULES) -> Column:
     return out
 
 
+def attribute_pattern(name: str) -> str:
+    """An attribute's value in group 1, 2 or 3: in either kind of quotes, or without."""
+    return rf"""[ \t\n\f\r"'/]{any_case(name)}{SPACE}*=(?:{SPACE}*"([^"]*)"|{SPACE}*'([^']*)'|{SPACE}*([^ \t\n\f\r"'>]+))"""
+
+
 def attribute(tag: Column, name: str) -> Column:
     """The value of a tag's attribute, quoted or not; empty where it has none."""
-    pattern = rf"""(?i)[\s"']{name}\s*+=\s*+(?:"([^"]*+)"|'([^']*+)'|([^\s"'>]++))"""
+    pattern = attribute_pattern(name)
     return F.trim(F.concat(*(F.regexp_extract(tag, pattern, i) for i in (1, 2, 3))))
 
 
 def declared(tag: Column) -> Column:
     """The address that a tag declares: canonical, og:url or refresh; empty for other tags."""
     named = F.lower(F.concat_ws(" ", attribute(tag, "property"), attribute(tag, "name")))
-    refresh = r"""(?i)^\s*+[0-9.]*+\s*+[;,]?+\s*+(?:url\s*+=\s*+)?+["']?+\s*+([^"'\s]+)"""
-    link = F.when(attribute(tag, "rel").rlike(r"(?i)(^|\s)canonical(\s|$)"), attribute(tag, "href"))
-    meta = F.when(named.rlike(r"(^|\s)og:url(\s|$)"), attribute(tag, "content"))
-    meta = meta.when(F.lower(attribute(tag, "http-equiv")) == "refresh", F.regexp_extract(attribute(tag, "content"), refresh, 1))
-    return F.coalesce(F.when(tag.rlike("(?i)^<link"), link).otherwise(meta), F.lit(""))
+    content = attribute(tag, "content")
+    link = F.when(attribute(tag, "rel").rlike(REL), attribute(tag, "href"))
+    meta = F.when(named.rlike(rf"(^|{SPACE})og:url({SPACE}|$)"), content)
+    meta = meta.when(F.lower(attribute(tag, "http-equiv")) == "refresh", F.regexp_extract(F.regexp_replace(content, DELAY, ""), FIRST, 1))
+    return F.coalesce(F.when(tag.rlike(rf"^<{any_case('link')}"), link).otherwise(meta), F.lit(""))
 
 
 def without_dots(path: Column) -> Column:
@@ -112,10 +124,13 @@ def _resolved(to: Column, base: Column) -> Column:
 
 
 def link_edges(pages: DataFrame) -> DataFrame:
-    """(a, b): every page's alias and the alias it declares. Relative addresses are those of the page, or of its base."""
-    found = F.concat(*(F.regexp_extract_all("html", F.lit(p.replace("[^>]*", f"[^<>]{{0,{WITHIN}}}")), 1) for p in LINKS), F.transform(F.regexp_extract_all("html", F.lit(TAGS), 0), declared))
+    """(a, b): every page's alias and the alias it declares. Relative addresses are those of the page, or of its base.
+
+    Tags and values may be of any length and number.
+    """
+    found = F.transform(F.regexp_extract_all("html", F.lit(TAGS), F.lit(0)), declared)
     base = attribute(F.regexp_extract("html", BASE, 0), "href")
-    marked = pages.where(F.col("html").rlike("(?i)canonical|og:url|http-equiv"))
+    marked = pages.where(F.col("html").rlike(MARKED))
     marked = marked.select("url", F.coalesce(resolved(base, F.col("url")), F.col("url")).alias("base"), F.explode(F.array_distinct(found)).alias("to"))
     edge = F.struct(alias_of(F.col("url")).alias("a"), let(resolved(F.col("to"), F.col("base")), alias_of).alias("b"))
     return marked.select(F.explode(F.array(edge)).alias("edge")).select("edge.a", "edge.b").where("a <> b")
