@@ -79,12 +79,12 @@ PLACE = 64
 
 
 def _cut(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple]:
-    """(ids, row, anchor, block, first, n) of the blocks of rows (doc, text)."""
+    """(docs, rows, anchor, block, first, n) of the blocks of rows (doc, row, text)."""
     k = gram_words(min_words)
     with np.errstate(over="ignore"):
         for batch in batches:
-            ids = batch.column(0).to_numpy(zero_copy_only=False)
-            for words in words_of(batch.column(1)):
+            docs, rows = (batch.column(c).to_numpy(zero_copy_only=False) for c in ("doc", "row"))
+            for words in words_of(batch.column("text")):
                 total = len(words.hashes)
                 if total < min_words:
                     continue
@@ -100,14 +100,14 @@ def _cut(batches: Iterator[pa.RecordBatch], min_words: int) -> Iterator[tuple]:
                     continue
                 count = np.add.reduceat(inside.astype(np.int64), start)  # windows outside a row count 0
                 row = row[start]
-                yield ids[words.lo + row], signed(grams[anchor[start]]), lambda ranges=ranges, start=start, count=count: signed(ranges(start, start + count + min_words - 1)), start - words.bounds[row], count
+                yield docs[words.lo + row], rows[words.lo + row], signed(grams[anchor[start]]), lambda ranges=ranges, start=start, count=count: signed(ranges(start, start + count + min_words - 1)), start - words.bounds[row], count
 
 
 def _anchor_counts(min_words: int):
     """(anchor, seen): the anchors of a piece of the documents, counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for _, anchor, _, _, _ in _cut(batches, min_words):
+        for _, _, anchor, _, _, _ in _cut(batches, min_words):
             values, seen = np.unique(anchor, return_counts=True)
             yield pa.RecordBatch.from_arrays([pa.array(values), pa.array(seen)], names=["anchor", "seen"])
 
@@ -116,8 +116,8 @@ def _anchor_counts(min_words: int):
 
 def _blocks(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for doc, anchor, block, first, n in _cut(batches, min_words):
-            yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(anchor), pa.array(block()), pa.array(first * PLACE + n)], names=["doc", "anchor", "block", "place"])
+        for doc, row, anchor, block, first, n in _cut(batches, min_words):
+            yield pa.RecordBatch.from_arrays([*map(pa.array, (doc, row, anchor, block(), first * PLACE + n))], names=["doc", "row", "anchor", "block", "place"])
 
     return run
 
@@ -126,11 +126,18 @@ _ASKED = ("anchor", "block", "copies", "lo_doc", "lo", "hi_doc", "hi")
 
 
 def _windows(min_words: int):
-    """_ASKED and windows: hashes of the windows of the blocks asked for."""
+    """_ASKED and windows: hashes of the windows of the blocks asked for. Of rows that repeat, a task answers for one."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        answered: set[int] = set()
         with np.errstate(over="ignore"):
             for batch in batches:
+                new = []
+                for i, row in enumerate(batch.column("row").to_pylist()):
+                    if row not in answered:
+                        answered.add(row)
+                        new.append(i)
+                batch = batch.take(pa.array(new, pa.int64()))
                 asked = batch.column("asked")
                 for words in words_of(batch.column("text")):
                     if not len(words.hashes):
@@ -250,30 +257,31 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, with_text: bool
     A word goes if a window of min_words consecutive words that covers it also starts anywhere else, in the same
     document or another one. Null and empty texts, and texts shorter than a window, keep all their words (none).
     A repeated row is another place where its windows start, so both rows lose them. Rows without an id are judged
-    too, by a hash of their text. Rows that share an id don't mix: a task takes a block only where the text has it.
+    too, by a hash of their text. What a row needs is collected by its id and text together, so rows that share an id don't mix and
+    are dealt out one by one; what rows that repeat have in common is collected once.
     Other columns are ignored. spans are the factors, in words of the input: first, n, source (the id of the document that
     has them too, or the hash of its text where it has none) and source_first, the word of source that they begin at.
     """
     spark = docs.sparkSession
     small_batches(spark)
-    docs = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("doc"), "text")
-    texts = docs.select("doc", "text").where("text IS NOT NULL")
+    docs = docs.select("doc_id", F.coalesce("doc_id", F.xxhash64("text")).alias("doc"), F.xxhash64("doc_id", "text").alias("row"), "text")
+    texts = docs.select("doc", "row", "text").where("text IS NOT NULL")
     often = texts.mapInArrow(_anchor_counts(min_words), "anchor bigint, seen bigint").groupBy("anchor").agg(F.sum("seen").alias("seen"))
     often = written(often.where("seen > 1").select("anchor"), "often")
-    blocks = texts.mapInArrow(_blocks(min_words), "doc bigint, anchor bigint, block bigint, place bigint")
+    blocks = texts.mapInArrow(_blocks(min_words), "doc bigint, row bigint, anchor bigint, block bigint, place bigint")
     again = written(blocks.join(often, "anchor"), "again")
     discard(often)
     # one example of each different block of an anchor, with its copies and the first and last of them; copies meet in partial sums
-    rows, place = again.count(), F.struct("doc", "place")
+    rows, place = again.count(), F.struct("doc", "place", "row")
     different = written(again.groupBy("anchor", "block").agg(F.count("*").alias("copies"), F.min(place).alias("lo"), F.max(place).alias("hi")), "different")
     alike = different.groupBy("anchor").agg((F.min("block") == F.max("block")).alias("alike"))
     first_of = lambda x: F.expr(f"{x}.place div {PLACE}").alias(x)
     flagged = different.join(splittable(alike, "alike", rows), "anchor")
-    flagged = written(flagged.select("anchor", "block", "copies", "alike", F.col("lo.place").alias("place"), F.col("lo.doc").alias("lo_doc"), first_of("lo"), F.col("hi.doc").alias("hi_doc"), first_of("hi")), "flagged")
+    flagged = written(flagged.select("anchor", "block", "copies", "alike", F.col("lo.place").alias("place"), F.col("lo.row").alias("row"), F.col("lo.doc").alias("lo_doc"), first_of("lo"), F.col("hi.doc").alias("hi_doc"), first_of("hi")), "flagged")
     discard(different)
-    asked = flagged.where("NOT alike").groupBy(F.col("lo_doc").alias("doc")).agg(F.collect_list(F.struct(*_ASKED, "place")).alias("asked"))
-    opened = texts.join(asked, "doc").mapInArrow(_windows(min_words), ", ".join(f"{c} bigint" for c in _ASKED) + ", windows array<bigint>")
-    opened = written(opened.dropDuplicates(["anchor", "block"]), "opened")  # rows that share an id answer twice
+    asked = written(flagged.where("NOT alike").groupBy("row").agg(F.collect_list(F.struct(*_ASKED, "place")).alias("asked")), "asked")
+    opened = texts.join(asked, "row").mapInArrow(_windows(min_words), ", ".join(f"{c} bigint" for c in _ASKED) + ", windows array<bigint>")
+    opened = written(opened.dropDuplicates(["anchor", "block"]), "opened")  # rows that repeat may answer in several tasks
     single = opened.select(*_ASKED, F.posexplode("windows").alias("j", "hash"))
     lo, hi = F.min(F.struct("lo_doc", (F.col("lo") + F.col("j")).alias("lo"))).alias("x"), F.max(F.struct("hi_doc", (F.col("hi") + F.col("j")).alias("hi"))).alias("y")
     twice = splittable(single.groupBy("anchor", "hash").agg(F.sum("copies").alias("seen"), lo, hi).where("seen > 1").drop("seen"), "twice", rows)
@@ -284,8 +292,9 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, with_text: bool
     run = F.struct("mask", "lo_doc", "lo", "hi_doc", "hi")
     whole = flagged.where("alike").withColumn("mask", F.lit(-1).cast("bigint")).select("anchor", "block", F.array(run).alias("runs"))
     sources = written(whole.unionAll(runs.groupBy("anchor", "block").agg(F.collect_list(run).alias("runs"))), "sources")
-    discard(flagged, opened)
-    hits = again.join(sources, ["anchor", "block"]).groupBy("doc").agg(F.collect_list(F.struct("block", "place", "runs")).alias("hits"))
+    discard(flagged, asked, opened)
+    # a set, as rows that repeat have the same blocks
+    hits = again.join(sources, ["anchor", "block"]).groupBy("row").agg(F.collect_set(F.struct("block", "place", "runs")).alias("hits"))
     hits = written(hits, "hits")
     discard(again, sources)
-    return docs.join(hits, "doc", "left").select("doc_id", "doc", "text", "hits").mapInArrow(_parse(min_words, with_text), _KEPT)
+    return docs.join(hits, "row", "left").select("doc_id", "doc", "text", "hits").mapInArrow(_parse(min_words, with_text), _KEPT)
