@@ -18,13 +18,15 @@ import pyarrow.fs as pafs
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from envflow.llm.common import n_partitions, shared_dir, small_batches, written
+from envflow.llm.common import few, n_partitions, shared_dir, small_batches, written
 
 #: Payloads shorter than this are always stored.
 LEAST_REVISIT = 100
 #: A task begins another file after about so many bytes.
 FILE_BYTES = 64 << 20
 PIECE = 1 << 16
+#: Repeated payloads whose digests are broadcast: 64 characters and a number each, about 50 MB.
+FEW = 500_000
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 _DATE = "2024-01-01T00:00:00Z"
 
@@ -140,12 +142,15 @@ def _open(uri: str) -> tuple[pafs.FileSystem, str]:
 def with_revisits(pages: DataFrame, least: int = LEAST_REVISIT) -> DataFrame:
     """pages (page_id, url, html) with digest and refers_to: the page that holds the same payload, for the others.
 
-    Only digests and ids are shuffled for this; a very common payload is a partial aggregate. A repeated row is stored
-    again: rows with the smallest id are all responses. Rows without an id refer to others but are referred to by none.
+    The first page of each repeated payload is found from digests and ids alone; a very common payload is a partial aggregate. Where
+    no more than FEW payloads repeat, their digests are broadcast and no payload is shuffled. Where more do, payloads are shuffled by
+    digest, once; both sides of that join are plain exchanges, so a payload that many pages hold is split over tasks. A repeated
+    row is stored again: rows with the smallest id are all responses. Rows without an id refer to others but are referred to by none.
     """
     body = F.coalesce("html", F.lit(""))
     marks = pages.select("page_id", F.sha2(body, 256).alias("digest"), F.octet_length(body).alias("bytes")).where(F.col("bytes") >= least)
     first = marks.groupBy("digest").agg(F.min("page_id").alias("first"), F.count("*").alias("n")).where("n > 1 AND first IS NOT NULL").select(F.col("digest").alias("known"), "first")
+    first = few(written(first, "first"), FEW)
     out = pages.select("page_id", "url", body.alias("html"), F.sha2(body, 256).alias("digest"))
     out = out.join(first, out.digest == first.known, "left")
     return out.select("page_id", "url", "html", "digest", F.when(~F.col("page_id").eqNullSafe(F.col("first")), F.col("first")).alias("refers_to"))
