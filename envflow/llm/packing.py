@@ -25,8 +25,9 @@ from envflow.llm.common import small_batches, written
 
 SIZE = 2048
 END_ID = 1
-#: Rests of a length are numbered in so many shares at least, so that a very common length is not one task's work.
-SHARES = 64
+#: The pieces of a length are numbered in shares of about so many, so that a very common length, such as that of full windows, is not
+#: one task's work; there are as many shares as the pieces of all lengths need, and one for each length besides.
+SHARE_ROWS = 100_000
 
 
 def tokenizer(name: str = "byte_bpe_50k.tiktoken"):
@@ -141,16 +142,20 @@ def pack(docs: DataFrame, size: int = SIZE, end_id: int = END_ID, load=tokenizer
     last. Every id lies in exactly one piece; the pieces of a sequence follow one another from offset 0.
     load is called once in each task and gives the function from text to ids.
     """
-    small_batches(docs.sparkSession)
+    spark = docs.sparkSession
+    small_batches(spark)
     pieces = docs.select("doc_id", "text").mapInArrow(_pieces(size, end_id, load), "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint")
-    share = F.pmod(F.xxhash64("doc_id", "start", "ids_crc32"), F.lit(SHARES)).cast("int")
-    pieces = written(pieces.withColumn("share", share), "pieces")
+    # written with the pieces, so that both jobs that number them see the same; rows that repeat are told apart by their number
+    spread = F.xxhash64("doc_id", "start", "ids_crc32", F.monotonically_increasing_id())
+    pieces = written(pieces.withColumn("spread", spread), "pieces")
 
-    # how many of each length come before a share: at most size * SHARES rows, whatever the input
-    counts = pieces.groupBy("length", "share").agg(F.count("*").alias("n"))
-    totals = {r.length: r.n for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
+    totals = {r.length: r.n for r in pieces.groupBy("length").agg(F.count("*").alias("n")).collect()}  # at most size rows
+    shares = spark.createDataFrame([(length, n // SHARE_ROWS + 1) for length, n in totals.items()], "length bigint, shares bigint")
     whole = totals.pop(size, 0)
     plan, windows = best_fit_decreasing(totals, size)
+    # how many of each length come before a share
+    pieces = pieces.join(F.broadcast(shares), "length").withColumn("share", F.pmod("spread", "shares")).drop("spread", "shares")
+    counts = pieces.groupBy("length", "share").agg(F.count("*").alias("n"))
     sums = "sum(n) OVER (PARTITION BY length ORDER BY share ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) - n"
     before = counts.withColumn("before", F.expr(sums)).select("length", "share", "before")
     # repeated rows are alike in every column, so their order does not matter
