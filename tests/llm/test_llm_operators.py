@@ -86,7 +86,7 @@ def test_oracles(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("documents", "pages"):
+    for t in ("documents", "pages", "benchmark"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM '{DATA}/{t}.parquet'")
     found = con.execute(queries.ORACLES[name])
     columns = [c[0] for c in found.description]
