@@ -9,8 +9,8 @@ from pyspark.sql import functions as F
 
 __all__ = [
     "air_key", "basename", "bbox_overlap", "bbox_wkt", "blank_to_null", "change_parts", "clamp", "clean", "coverage_pct", "date_range",
-    "decimal_comma", "default", "display_parameter", "finite", "human_bytes", "iso_utc", "list_items", "masked", "nan_to_null", "parent_folder", "parse_date",
-    "parse_time", "polygon_holds", "product_key", "rings_meet", "safe_bigint", "safe_double", "sanitized", "sinusoidal_to_lonlat", "stem", "weather_key",
+    "decimal_comma", "default", "display_parameter", "finite", "human_bytes", "iso_utc", "list_items", "lonlat_to_sinusoidal", "lonlat_to_utm", "masked", "nan_to_null", "parent_folder", "parse_date",
+    "parse_time", "polygon_holds", "product_key", "rings_meet", "safe_bigint", "safe_double", "sanitized", "sinusoidal_to_lonlat", "stem", "tile_address", "utm_to_lonlat", "weather_key",
 ]
 
 
@@ -196,5 +196,61 @@ def sinusoidal_to_lonlat(x: Column, y: Column, radius: float = 6371007.181) -> C
     return F.struct(F.degrees(x / (F.lit(radius) * F.cos(lat))).alias("lon"), F.degrees(lat).alias("lat"))
 
 
+def lonlat_to_sinusoidal(lon: Column, lat: Column, radius: float = 6371007.181) -> Column:
+    """struct(x, y): sinusoidal_to_lonlat the other way."""
+    phi = F.radians(lat)
+    return F.struct((F.lit(radius) * F.radians(lon) * F.cos(phi)).alias("x"), (F.lit(radius) * phi).alias("y"))
+
+
+#: Fixed values of the sinusoidal tile grid: 36 columns of 18 rows of tiles, each so many metres wide.
+TILE, TILES_X, TILES_Y = 1111950.5196666666, 36, 18
+
+
+def tile_address(lon: Column, lat: Column, cells: int) -> Column:
+    """struct(h, v, row, col): the tile of the sinusoidal grid that holds a position, and the cell of its cells x cells; null outside."""
+    at = lonlat_to_sinusoidal(lon, lat)
+    x, y = at["x"] / TILE + TILES_X / 2, F.lit(TILES_Y / 2) - at["y"] / TILE
+    h, v = F.floor(x), F.floor(y)
+    cell = lambda value, tile: F.floor((value - tile) * cells).cast("int")
+    inside = h.between(0, TILES_X - 1) & v.between(0, TILES_Y - 1)
+    return F.when(inside, F.struct(h.cast("int").alias("h"), v.cast("int").alias("v"), cell(y, v).alias("row"), cell(x, h).alias("col")))
+
+
+#: Fixed values of the WGS 84 ellipsoid and of the universal transverse Mercator projection.
+_AXIS, _FLATTENING, _SCALE, _EAST, _NORTH = 6378137.0, 1 / 298.257223563, 0.9996, 500000.0, 10000000.0
+_N = _FLATTENING / (2 - _FLATTENING)
+_RADIUS = _SCALE * _AXIS / (1 + _N) * (1 + _N**2 / 4 + _N**4 / 64)
+_ALPHA = (_N / 2 - 2 * _N**2 / 3 + 5 * _N**3 / 16, 13 * _N**2 / 48 - 3 * _N**3 / 5, 61 * _N**3 / 240)
+_BETA = (_N / 2 - 2 * _N**2 / 3 + 37 * _N**3 / 96, _N**2 / 48 + _N**3 / 15, 17 * _N**3 / 480)
+_DELTA = (2 * _N - 2 * _N**2 / 3 - 2 * _N**3, 7 * _N**2 / 3 - 8 * _N**3 / 5, 56 * _N**3 / 15)
+
+
+def _series(factors: tuple[float, ...], term) -> Column:
+    return reduce(lambda a, b: a + b, (F.lit(f) * term(2.0 * j) for j, f in enumerate(factors, 1)))
+
+
+def lonlat_to_utm(lon: Column, lat: Column, zone: Column | int) -> Column:
+    """struct(x, y) in metres of a transverse Mercator zone, by series in the third flattening; y of the south counts from 10,000 km."""
+    zone = zone if isinstance(zone, Column) else F.lit(zone)
+    phi, away = F.radians(lat), F.radians(lon - (zone * 6 - 183))
+    e = 2 * _N**0.5 / (1 + _N)
+    t = F.sinh(F.atanh(F.sin(phi)) - F.lit(e) * F.atanh(F.lit(e) * F.sin(phi)))
+    xi, eta = F.atan2(t, F.cos(away)), F.atanh(F.sin(away) / F.sqrt(1 + t * t))
+    x = F.lit(_EAST) + F.lit(_RADIUS) * (eta + _series(_ALPHA, lambda j: F.cos(xi * j) * F.sinh(eta * j)))
+    y = F.when(lat < 0, _NORTH).otherwise(0.0) + F.lit(_RADIUS) * (xi + _series(_ALPHA, lambda j: F.sin(xi * j) * F.cosh(eta * j)))
+    return F.struct(x.alias("x"), y.alias("y"))
+
+
+def utm_to_lonlat(x: Column, y: Column, zone: Column | int, south: Column | bool = False) -> Column:
+    """struct(lon, lat) in degrees: lonlat_to_utm the other way."""
+    zone, south = (c if isinstance(c, Column) else F.lit(c) for c in (zone, south))
+    xi, eta = (y - F.when(south, _NORTH).otherwise(0.0)) / _RADIUS, (x - _EAST) / _RADIUS
+    a = xi - _series(_BETA, lambda j: F.sin(xi * j) * F.cosh(eta * j))
+    b = eta - _series(_BETA, lambda j: F.cos(xi * j) * F.sinh(eta * j))
+    chi = F.asin(F.sin(a) / F.cosh(b))
+    phi = chi + _series(_DELTA, lambda j: F.sin(chi * j))
+    return F.struct((F.degrees(F.atan2(F.sinh(b), F.cos(a))) + (zone * 6 - 183)).alias("lon"), F.degrees(phi).alias("lat"))
+
+
 def any_of(conditions: list[Column]) -> Column:
     return reduce(lambda a, b: a | b, conditions)

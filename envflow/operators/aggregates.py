@@ -39,15 +39,6 @@ def hourly(df: DataFrame, time: str, key: str, value: str) -> DataFrame:
     )
 
 
-def counter_rate(df: DataFrame, keys: Sequence[str], time: str, total: str, tie: str) -> DataFrame:
-    """Adds rate: the growth of a cumulative counter per second since the sample before, 0 for the first and for falls."""
-    w = Window.partitionBy(*keys).orderBy(time, tie)
-    seconds = F.unix_micros(F.col(time).cast("timestamp")) / F.lit(1e6)
-    before, then = F.lag(total).over(w), F.lag(seconds).over(w)
-    rate = F.greatest((F.col(total) - before) / F.greatest(seconds - then, F.lit(1e-6)), F.lit(0.0))
-    return df.withColumn("rate", F.round(F.coalesce(rate, F.lit(0.0)), 3))
-
-
 def file_stats(files: DataFrame) -> DataFrame:
     """Of files (path, length, modificationTime): how many .parquet files, their bytes, and the latest change."""
     data = files.where(F.col("path").endswith(".parquet"))

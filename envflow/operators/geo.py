@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envflow.functions import bbox_overlap, rings_meet
+from envflow.functions import bbox_overlap, finite, rings_meet
 
 _POINT = "array<double>"
 
@@ -40,32 +42,55 @@ def bbox_by(df: DataFrame, keys: list[str], x: str, y: str) -> DataFrame:
     return df.groupBy(*keys).agg(F.min(x).alias("min_x"), F.min(y).alias("min_y"), F.max(x).alias("max_x"), F.max(y).alias("max_y"))
 
 
+#: Levels of grid cells: those of level l are cell * 2**l wide.
+TOP = 60
+
+
 def overlap_join(a: DataFrame, b: DataFrame, box_a: tuple[str, str, str, str], box_b: tuple[str, str, str, str], cell: float) -> DataFrame:
-    """Pairs of rows whose boxes have a point in common, found by an equi-join on grid cells.
+    """Pairs of rows whose boxes have a point in common, each once, found by an equi-join on grid cells of mixed levels.
 
-    Every box is in all cells it touches; a pair counts in the cell that holds the lower left corner of the overlap,
-    so it comes out once. Columns of a and b have different names. cell is about the size of a box: the number of
-    cells of a box is its size over cell.
+    A box is in the cells of the level that is as wide as it is, or of level 0, whose cells are cell wide: in four at most, whatever its
+    size. The smaller box of a pair is looked up at the level of the larger, so a side also has its cells, four at most, at each level that the
+    other side has; there are few levels, as each is twice as wide as the last. A pair counts in the cell of the larger box that holds the
+    lower left corner of the overlap. Columns of a and b have different names. Boxes that are null, inside out or not finite meet nothing.
     """
 
-    def gridded(df: DataFrame, box: tuple[str, str, str, str], name: str) -> DataFrame:
-        low, high = lambda c: F.floor(F.col(c) / cell), lambda c: F.floor(F.col(c) / cell)
-        df = df.where(" AND ".join(f"`{c}` IS NOT NULL" for c in box))
-        df = df.where((F.col(box[0]) <= F.col(box[2])) & (F.col(box[1]) <= F.col(box[3])))
-        return df.withColumn(f"{name}x", F.explode(F.sequence(low(box[0]), high(box[2])))).withColumn(f"{name}y", F.explode(F.sequence(low(box[1]), high(box[3]))))
+    def sized(df: DataFrame, box: tuple[str, str, str, str], name: str) -> DataFrame:
+        x0, y0, x1, y1 = (F.col(c).cast("double") for c in box)
+        whole = reduce(lambda s, t: s & t, (finite(c) for c in (x0, y0, x1, y1)))
+        width = F.greatest(x1 - x0, y1 - y0, F.lit(float(cell)))
+        level = F.least(F.lit(TOP), F.greatest(F.lit(0), F.ceil(F.log2(width / cell)).cast("int")))
+        return df.where(whole & (x0 <= x1) & (y0 <= y1)).withColumn(f"{name}level", level)
+
+    def placed(df: DataFrame, box: tuple[str, str, str, str], name: str, level: Column) -> DataFrame:
+        at = lambda c: F.floor(F.col(c) / (F.lit(float(cell)) * F.pow(F.lit(2.0), level)))
+        return df.withColumn(f"{name}x", F.explode(F.sequence(at(box[0]), at(box[2])))).withColumn(f"{name}y", F.explode(F.sequence(at(box[1]), at(box[3]))))
 
-    left, right = gridded(a, box_a, "_a"), gridded(b, box_b, "_b")
-    both = left.join(right, (F.col("_ax") == F.col("_bx")) & (F.col("_ay") == F.col("_by")))
+    def at_levels(df: DataFrame, box: tuple[str, str, str, str], name: str, levels: list[int], equal: bool) -> DataFrame:
+        own = F.col(f"{name}level")
+        above = F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), lambda at: (at >= own) if equal else (at > own))
+        return placed(df.withColumn(f"{name}at", F.explode(above)), box, name, F.col(f"{name}at"))
+
+    left, right = sized(a, box_a, "_a"), sized(b, box_b, "_b")
+    levels_a, levels_b = (sorted(r[0] for r in df.select(f"{name}level").distinct().collect()) for df, name in ((left, "_a"), (right, "_b")))
     overlap = bbox_overlap(tuple(map(F.col, box_a)), tuple(map(F.col, box_b)))
-    corner = lambda i: F.floor(F.greatest(F.col(box_a[i]), F.col(box_b[i])) / cell)
-    return both.where(overlap & (F.col("_ax") == corner(0)) & (F.col("_ay") == corner(1))).drop("_ax", "_ay", "_bx", "_by")
+
+    def met(large: DataFrame, small: DataFrame, box: tuple[str, str, str, str], big: str, little: str) -> DataFrame:
+        width = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col(f"{big}level"))
+        corner = lambda i: F.floor(F.greatest(F.col(box_a[i]), F.col(box_b[i])) / width)
+        both = placed(large, box, big, F.col(f"{big}level")).join(small, (F.col(f"{big}level") == F.col(f"{little}at")) & (F.col(f"{big}x") == F.col(f"{little}x")) & (F.col(f"{big}y") == F.col(f"{little}y")))
+        return both.where(overlap & (F.col(f"{big}x") == corner(0)) & (F.col(f"{big}y") == corner(1))).select(*a.columns, *b.columns)
+
+    in_a = met(left, at_levels(right, box_b, "_b", levels_a, True), box_a, "_a", "_b")
+    in_b = met(right, at_levels(left, box_a, "_a", levels_b, False), box_b, "_b", "_a")
+    return in_a.unionAll(in_b)
 
 
 def spatial_join(a: DataFrame, b: DataFrame, ring_a: str, ring_b: str, cell: float, suffixes: tuple[str, str] = ("_left", "_right")) -> DataFrame:
     """Pairs of rows whose polygons have a point in common; names that both sides have get a suffix.
 
     Boxes are joined on grid cells first (see overlap_join); the exact test runs on those pairs only. Null and empty
-    rings meet nothing.
+    rings meet nothing. Shapes with holes, of several parts or of many points are joined by polygons.polygon_join.
     """
     both = set(a.columns) & set(b.columns)
     a, b = (df.withColumnsRenamed({c: c + suffix for c in both}) for df, suffix in ((a, suffixes[0]), (b, suffixes[1])))

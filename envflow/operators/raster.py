@@ -7,7 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from envflow.functions import clamp, finite, masked
+from envflow.functions import clamp, finite, masked, tile_address
 from envflow.operators.aggregates import exact_mean, percentile_by
 
 
@@ -71,3 +71,24 @@ def resample(cells: DataFrame, targets: DataFrame, source_row: Column, source_co
     mapped = targets.withColumn("_r", F.floor(source_row).cast("int")).withColumn("_c", F.floor(source_col).cast("int"))
     source = cells.select(F.col("row").alias("_r"), F.col("col").alias("_c"), *keys, "value")
     return mapped.join(source, [*keys, "_r", "_c"], "left").drop("_r", "_c")
+
+
+def lookup(array: Column, row: Column, col: Column, rows: int, columns: int) -> Column:
+    """The cell (row, col) of an array in row-major order; null outside. The array stays whole, so nothing is shuffled for it."""
+    inside = row.between(0, rows - 1) & col.between(0, columns - 1)
+    return F.when(inside, F.get(array, (row * columns + col).cast("int"))).cast("double")
+
+
+def reproject(tiles: DataFrame, targets: DataFrame, array: str, cells: int, lon: str = "lon", lat: str = "lat") -> DataFrame:
+    """targets (lon, lat and whatever else) with the value of the sinusoidal cell that holds each, one row for every tile row of its tile.
+
+    tiles are rows (h, v, array of cells x cells values and whatever else, such as a day). Targets are mapped back to tile, row and
+    column, and meet whole tiles by an equi-join on the tile. Tiles that no target lies in are left out by a filter on h and v before
+    any array is read: their list has no more entries than the grid has tiles. Targets outside the grid, or in no tile, have no row.
+    """
+    aimed = targets.withColumn("_at", tile_address(F.col(lon), F.col(lat), cells)).where("_at IS NOT NULL")
+    wanted = sorted((r.h, r.v) for r in aimed.select("_at.h", "_at.v").distinct().collect())
+    asked = F.col("h").isin(sorted({h for h, _ in wanted})) & F.col("v").isin(sorted({v for _, v in wanted}))
+    met = tiles.where(asked).join(aimed, (F.col("h") == F.col("_at.h")) & (F.col("v") == F.col("_at.v")))
+    value = lookup(F.col(array), F.col("_at.row"), F.col("_at.col"), cells, cells)
+    return met.withColumn("value", value).drop("_at", array)

@@ -72,10 +72,11 @@ def valid_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query(f"""WITH {_CELLS_SQL}, t AS (SELECT vec_id, CAST(x AS INTEGER) AS x, CAST(y AS INTEGER) AS y FROM embeddings, range(13) a(x), range(13) b(y))
 SELECT t.vec_id, x, y, value FROM t LEFT JOIN c ON c.vec_id = t.vec_id AND row = CAST(floor((y + 0.5) * 0.7) AS INTEGER) AND col = CAST(floor((x + 0.5) * 0.7) AS INTEGER)""")
 def grid_resample(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Nearest source cell of each target cell of every raster, by an equi-join on the mapped row and column."""
+    """Nearest source cell of each target cell of every raster, looked up in the raster's own array: no shuffle."""
     n = F.sequence(F.lit(0), F.lit(12))
-    targets = table(spark, sf_dir, "embeddings").select("vec_id", F.explode(n).alias("x")).select("vec_id", "x", F.explode(n).alias("y"))
-    return R.resample(_cells(spark, sf_dir), targets, (F.col("y") + 0.5) * 0.7, (F.col("x") + 0.5) * 0.7, ("vec_id",)).select("vec_id", "x", "y", "value")
+    targets = table(spark, sf_dir, "embeddings").select("vec_id", "embedding", F.explode(n).alias("x")).select("vec_id", "embedding", "x", F.explode(n).alias("y"))
+    at = lambda c: F.floor((F.col(c) + 0.5) * 0.7)
+    return targets.select("vec_id", "x", "y", R.lookup(F.col("embedding"), at("y"), at("x"), 8, COLUMNS).alias("value"))
 
 
 @query("""SELECT c_custkey FROM customer WHERE c_custkey % 100 + 0.5 BETWEEN 10 AND 40 AND c_custkey % 70 + 0.5 BETWEEN 5 AND 30""")

@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from envflow.operators import aggregates as A
 from envflow.operators import geo
+from envflow.operators import ordered as O
 from envflow.operators import tables as T
 from envflow.registry import query, table
 
@@ -179,10 +180,18 @@ d AS (SELECT *, lag(total) OVER w AS pt, lag(ts) OVER w AS pts FROM c WINDOW w A
 SELECT event_id, user_id, round(coalesce(greatest((total - pt) / greatest(epoch_us(ts) / 1e6 - epoch_us(pts) / 1e6, 1e-6), 0.0), 0.0), 3) AS rate FROM d""")
 def counter_rate(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rates of a cumulative counter by user; the counter here is the number of the user's events so far."""
-    from pyspark.sql import Window
+    events = O.running_count(table(spark, sf_dir, "events").select("event_id", "user_id", "ts"), ["user_id"], ["ts", "event_id"], "total")
+    return O.counter_rate(events, ["user_id"], "ts", "total", "event_id").select("event_id", "user_id", "rate")
 
-    events = table(spark, sf_dir, "events").withColumn("total", F.row_number().over(Window.partitionBy("user_id").orderBy("ts", "event_id")))
-    return A.counter_rate(events, ["user_id"], "ts", "total", "event_id").select("event_id", "user_id", "rate")
+
+@query("""WITH e AS (SELECT *, CAST(epoch_us(ts) AS HUGEINT) * 4294967296 + event_id AS o FROM events)
+SELECT l.event_id, l.user_id, l.ts, r.event_id AS view_id, r.ts AS view_ts, r.value AS view_value FROM (SELECT * FROM e WHERE event_type = 'purchase') l ASOF LEFT JOIN (SELECT * FROM e WHERE event_type = 'view') r ON l.user_id = r.user_id AND l.o > r.o""")
+def asof_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Each purchase with the user's newest view before it."""
+    events = table(spark, sf_dir, "events")
+    left = events.where("event_type = 'purchase'").select("event_id", "user_id", "ts")
+    right = events.where("event_type = 'view'").select("user_id", F.col("event_id").alias("view_id"), F.col("ts").alias("view_ts"), F.col("value").alias("view_value"))
+    return O.asof_join(left, right, ["user_id"], "ts", "view_ts", "event_id", "view_id", allow_equal=False)
 
 
 @query("""SELECT event_type, event_id, user_id, ts FROM (SELECT *, row_number() OVER (PARTITION BY event_type ORDER BY ts DESC, event_id DESC) AS r FROM events) WHERE r = 1""")

@@ -14,13 +14,17 @@ import uuid
 from collections.abc import Callable, Iterator, Sequence
 from dataclasses import dataclass
 from datetime import date, timedelta
+from http.client import HTTPException
 from typing import NamedTuple
 from urllib import error, parse, request
 
 from pyspark import cloudpickle
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from envflow.shared import written
+
 Transport = Callable[[str, dict], tuple[int, dict, object]]
 
 
@@ -59,14 +63,17 @@ PASSING, ABSENT = {408, 425, 429}, {404, 410}
 
 
 def ask(get: Transport, url: str, params: dict, policy: Policy = Policy()) -> object | None:
-    """The body of an answer, or None where there is nothing at the address. Raises Refused, or OSError when the policy ends."""
+    """The body of an answer, or None where there is nothing at the address. Raises Refused, or OSError when the policy ends.
+
+    A transfer that breaks off and an answer that is no JSON are passing troubles, as servers under load give both.
+    """
     began, last = policy.clock(), "no try"
     for turn in range(policy.tries):
         headers: dict = {}
         try:
             status, headers, body = get(url, params)
-        except OSError as e:
-            last = str(e) or type(e).__name__
+        except (OSError, HTTPException, ValueError) as e:
+            last = f"{type(e).__name__}: {e}"
         else:
             if 200 <= status < 300:
                 return body
@@ -106,35 +113,12 @@ def pages(get: Transport, url: str, params: dict, size: int = 1000, policy: Poli
         state = state.after(len(rows), (body.get("meta") or {}).get("found"), size)
 
 
-def dependent(get: Transport, follow: Sequence[tuple[str, Callable[[dict], Iterator[tuple[str, dict]]]]], size: int = 1000, policy: Policy = Policy()) -> Callable[[str, dict], Iterator[dict]]:
-    """A walk whose results lead to further requests: (name, requests) for each level below the first.
-
-    requests gives the addresses and parameters that a result leads to, from the results so far by their names ("root" is the
-    first). A row of the walk holds one result of every level. A level that has no results gives no row.
-    """
-
-    def below(so_far: dict, levels) -> Iterator[dict]:
-        if not levels:
-            yield so_far
-            return
-        (name, requests), *rest = levels
-        for url, params in requests(so_far):
-            for row in pages(get, url, params, size, policy):
-                yield from below({**so_far, name: row}, rest)
-
-    def walk(url: str, params: dict) -> Iterator[dict]:
-        for row in pages(get, url, params, size, policy):
-            yield from below({"root": row}, list(follow))
-
-    return walk
-
-
-def linked(get: Transport, url: str, params: dict, most: int, policy: Policy = Policy()) -> Iterator[dict]:
-    """Results of a catalogue that gives the next page's address, most of them at most."""
+def linked(get: Transport, url: str, params: dict, most: int = 0, policy: Policy = Policy()) -> Iterator[dict]:
+    """Results of a catalogue that gives the next page's address, most of them at most, or all for 0."""
     seen = 0
-    while url and seen < most:
+    while url and (not most or seen < most):
         body = ask(get, url, params, policy) or {}
-        for row in (body.get("value") or [])[: most - seen]:
+        for row in (body.get("value") or [])[: most - seen if most else None]:
             seen += 1
             yield row
         url, params = body.get("@odata.nextLink"), {}
@@ -218,43 +202,101 @@ class Token:
 REPORT = "id STRING, name STRING, product_type STRING, status STRING, file_path STRING, error STRING"
 
 
-def download(records: DataFrame, fetch: Callable[[str, str], bytes], bases: Sequence[str], folder: str, tries: int = 3) -> DataFrame:
+#: Bytes of a download that are in memory at a time.
+PIECE = 1 << 20
+
+
+def http_pieces(url: str, headers: dict[str, str], timeout: float = 60.0, size: int = PIECE) -> Iterator[bytes]:
+    """The content at an address in pieces. Raises PermissionError for 401 and 403, and OSError for other trouble, a broken transfer too."""
+    try:
+        with request.urlopen(request.Request(url, headers=headers), timeout=timeout) as answer:
+            announced, got = answer.headers.get("Content-Length"), 0
+            while piece := answer.read(size):
+                got += len(piece)
+                yield piece
+            if announced and got != int(announced):  # reading by pieces, a transfer that is cut off just ends
+                raise OSError(f"{url}: {got} of {announced} bytes")
+    except error.HTTPError as e:
+        raise (PermissionError if e.code in (401, 403) else OSError)(f"{url}: status {e.code}") from e
+    except HTTPException as e:
+        raise OSError(f"{url}: {type(e).__name__}") from e
+
+
+def file_name(id_: str, name: str | None) -> str:
+    """A file's name from a product's id and name; products of one name have different files."""
+    clean = lambda text: re.sub(r"[^\w\-.]", "_", text)
+    return f"{clean(id_)}_{clean(name)}" if name else clean(id_)
+
+
+def download(records: DataFrame, fetch: Callable[[str, str], bytes | Iterator[bytes]], bases: Sequence[str], folder: str, policy: Policy = Policy(tries=3, first=2.0), most: int = 0) -> DataFrame:
     """A report (REPORT) on records (id, name, product_type, online), whose files are fetched by the tasks that hold them.
 
-    fetch(base, id) gives a file's content; it raises PermissionError where nothing else is worth a try, and OSError
-    where another try or the next base is. A file that is there is not fetched again, and a file gets its name only
-    when it is whole. folder is one that all executors share.
+    fetch(base, id) gives a file's content, whole or in pieces. Where it raises PermissionError the base refuses, and the next one is
+    asked; a base that refused isn't asked again for the file, and when all refuse the file has failed. Where it raises OSError the next base is asked,
+    and after a pause all of them again, as policy says. A file that is there is not fetched again, and a file gets its name only when it is
+    whole. folder is one that all executors share. With most, no more than so many files are downloaded, those with the smallest ids that succeed:
+    records are tried in waves of as many as are still wanted, each wave by many tasks, and records that no wave came to are not in the report.
     """
 
-    def one(store, row) -> tuple[str, str | None, str | None]:
-        if not row["id"]:
-            return "skipped_missing_id", None, None
-        if not row["online"]:
-            return "skipped_offline", None, None
-        name = re.sub(r"[^\w\-.]", "_", row["name"] or row["id"])
-        path, error = f"{folder}/{name}", None
-        if store.exists(path):
-            return "skipped_exists", path, None
-        for base in bases:
-            for _ in range(tries):
+    def attempt(store, path: str, id_: str) -> str | None:
+        """The last trouble, or None when the file is there."""
+        left, last, began = list(bases), "no base", policy.clock()
+        for turn in range(policy.tries):
+            for base in list(left):
                 try:
-                    store.put(path, fetch(base, row["id"]))
-                    return "downloaded", path, None
+                    store.put(path, fetch(base, id_))
+                    return None
                 except PermissionError as e:
-                    return "failed", None, str(e)
-                except OSError as e:
-                    error = str(e)
-        return "failed", None, error
-
-    def run(frames):
-        import pandas as pd
-
-        store = Store()
-        for frame in frames:
-            rows = frame.to_dict("records")
-            yield pd.DataFrame([(r["id"], r["name"], r["product_type"], *one(store, r)) for r in rows], columns=["id", "name", "product_type", "status", "file_path", "error"])
-
-    return records.select("id", "name", "product_type", "online").mapInPandas(run, REPORT)
+                    left.remove(base)
+                    last = str(e) or "refused"
+                except (OSError, HTTPException) as e:
+                    last = str(e) or type(e).__name__
+            pause = policy.pause(turn, {})
+            if not left or turn + 1 == policy.tries or policy.clock() - began + pause > policy.deadline:
+                break
+            policy.wait(pause)
+        return last
+
+    def known(store, row) -> tuple[str | None, str | None]:
+        """(status, path) of what needs no request; a status of None needs one."""
+        if not row["id"]:
+            return "skipped_missing_id", None
+        path = f"{folder}/{file_name(row['id'], row['name'])}"
+        if not row["online"]:
+            return "skipped_offline", None
+        return ("skipped_exists" if store.exists(path) else None), path
+
+    def reported(ask_: bool):
+        def run(frames):
+            import pandas as pd
+
+            store = Store()
+            for frame in frames:
+                out = []
+                for row in frame.to_dict("records"):
+                    status, path = known(store, row)
+                    trouble = None
+                    if status is None and ask_:
+                        trouble = attempt(store, path, row["id"])
+                        status, path = ("failed", None) if trouble is not None else ("downloaded", path)
+                    out.append((row["id"], row["name"], row["product_type"], status, path, trouble))
+                yield pd.DataFrame(out, columns=["id", "name", "product_type", "status", "file_path", "error"]).astype(object)
+
+        return run
+
+    wanted = records.select("id", "name", "product_type", "online")
+    if not most:
+        return wanted.mapInPandas(reported(True), REPORT)
+    first = written(wanted.mapInPandas(reported(False), REPORT), "download")
+    open_, done, left, last = first.where("status IS NULL").select("id", "name", "product_type", F.lit(True).alias("online")), first.where("status IS NOT NULL"), most, None
+    while left > 0:
+        wave = (open_ if last is None else open_.where(F.col("id") > last)).orderBy("id").limit(left)
+        wave = written(wave.repartition(max(1, min(left, records.sparkSession.sparkContext.defaultParallelism))).mapInPandas(reported(True), REPORT), "download")
+        n, got, last = wave.agg(F.count("*"), F.count_if(F.col("status") == "downloaded"), F.max("id")).first()
+        if not n:
+            break
+        done, left = done.unionByName(wave), left - got
+    return done
 
 
 class Store:
@@ -276,14 +318,28 @@ class Store:
         store, path = self._of(uri)
         return store.get_file_info(path).type == fs.FileType.File
 
-    def put(self, uri: str, content: bytes) -> None:
+    def put(self, uri: str, content: bytes | Iterator[bytes]) -> None:
+        """Writes a file whole or not at all; content may come in pieces, of which one is in memory at a time."""
         store, path = self._of(uri)
         store.create_dir(path.rpartition("/")[0], recursive=True)
         part = f"{path}.{uuid.uuid4().hex}"
-        with store.open_output_stream(part, compression=None) as out:
-            out.write(content)
+        try:
+            with store.open_output_stream(part, compression=None) as out:
+                for piece in [content] if isinstance(content, bytes) else content:
+                    out.write(piece)
+        except BaseException:
+            store.delete_file(part)
+            raise
         store.move(part, path)
 
+    def get(self, uri: str) -> bytes | None:
+        """A small file's content; None where there is none."""
+        if not self.exists(uri):
+            return None
+        store, path = self._of(uri)
+        with store.open_input_stream(path, compression=None) as file:
+            return file.read()
+
 
 class Target(InputPartition):
     """One request target: its address, parameters and a tag that its rows carry."""
@@ -300,12 +356,14 @@ class _Reader(DataSourceReader):
     def partitions(self) -> list[Target]:
         return [Target(*t) for t in self.targets]
 
-    def read(self, partition: Target) -> Iterator[tuple]:
+    def read(self, partition: Target | None) -> Iterator[tuple]:
+        if partition is None:  # Spark's stand-in for no targets
+            return
         try:
             for row in self.walk(partition.url, partition.params):
                 yield partition.tag, json.dumps(row, ensure_ascii=False), None
-        except OSError as e:  # the target's last row, so that what is missing can be told from what is empty
-            yield partition.tag, None, str(e) or type(e).__name__
+        except Exception as e:  # whatever it is, it is the target's last row: what is missing can be told from what is empty, and other targets go on
+            yield partition.tag, None, f"{type(e).__name__}: {e}"
 
 
 class RestSource(DataSource):
@@ -328,6 +386,61 @@ def read_rest(spark: SparkSession, targets: Sequence[tuple[str, dict, str]], wal
     return spark.read.format("envflow_rest").option("plan", cloudpickle.dumps((list(targets), walk)).hex()).load()
 
 
+def read_dependent(spark: SparkSession, targets: Sequence[tuple[str, dict, str]], follow: Sequence[tuple[str, Callable[[dict], Iterator[tuple[str, dict]]]]], get: Transport, size: int = 1000, policy: Policy = Policy()) -> DataFrame:
+    """(tag, body, error) of a scan whose results lead to further requests: (name, requests) for each level below the targets.
+
+    requests gives the addresses and parameters that a result leads to, from the results so far by their names ("root" is the first). A body
+    holds one result of every level; a level without results gives no row. Each level is a stage: its requests are dealt out over all tasks one
+    by one, so the sensors of one location don't wait for one another. A request that fails is one row with an error, and the body so far.
+    """
+    parts = max(spark.sparkContext.defaultParallelism, int(spark.conf.get("spark.sql.shuffle.partitions")))
+    found = read_rest(spark, targets, lambda url, params: ({"root": row} for row in pages(get, url, params, size, policy)))
+    failed = found.where("error IS NOT NULL")
+    found = found.where("error IS NULL").select("tag", "body")
+
+    def asked(requests):
+        def run(frames):
+            import pandas as pd
+
+            for frame in frames:
+                for tag, body in zip(frame["tag"], frame["body"], strict=True):
+                    out = [(tag, body, url, json.dumps(params)) for url, params in requests(json.loads(body))]
+                    if out:
+                        yield pd.DataFrame(out, columns=["tag", "body", "url", "params"])
+
+        return run
+
+    def answered(name):
+        def run(frames):
+            import pandas as pd
+
+            def frame_of(rows):
+                return pd.DataFrame(rows, columns=["tag", "body", "error"]).astype(object)
+
+            for frame in frames:
+                for tag, body, url, params in frame[["tag", "body", "url", "params"]].itertuples(index=False):
+                    rows, so_far = [], json.loads(body)
+                    try:
+                        for row in pages(get, url, json.loads(params), size, policy):
+                            rows.append((tag, json.dumps({**so_far, name: row}, ensure_ascii=False), None))
+                            if len(rows) >= 1000:
+                                yield frame_of(rows)
+                                rows = []
+                    except Exception as e:  # noqa: BLE001  as in _Reader.read
+                        rows.append((tag, body, f"{type(e).__name__}: {e}"))
+                    if rows:
+                        yield frame_of(rows)
+
+        return run
+
+    for name, requests in follow:
+        dealt = found.mapInPandas(asked(requests), "tag STRING, body STRING, url STRING, params STRING").repartition(parts, F.xxhash64("url", "params", "body"))
+        answers = written(dealt.mapInPandas(answered(name), "tag STRING, body STRING, error STRING"), "dependent")
+        failed = failed.unionByName(answers.where("error IS NOT NULL"))
+        found = answers.where("error IS NULL").select("tag", "body")
+    return found.withColumn("error", F.lit(None).cast("string")).unionByName(failed)
+
+
 def resolve_mode(mode: str, key: str | None, places: str | None, start: str | None, end: str | None) -> str:
     """local or api; auto is api only where the key, the places and both days are set."""
     if mode not in ("auto", "local", "api"):

@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import json
 from collections.abc import Callable, Sequence
+from datetime import timedelta
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
@@ -83,10 +84,76 @@ def run(source: DataFrame, steps: Sequence[Step], path: str, checkpoint: str, pa
     return append(source, path, checkpoint, parts, **options)
 
 
+def batch_folders(root: str) -> Callable[[DataFrame, int], None]:
+    """For foreachBatch: each micro-batch's rows in a folder of their own, below root. A batch that runs again writes its folder again; others stay."""
+    return lambda rows, batch: rows.write.mode("overwrite").parquet(f"{root}/batch={batch}")
+
+
+def complete_windows(spark: SparkSession, windows: DataFrame, root: str) -> DataFrame:
+    """All windows of an aggregate over what there is of a stream, those that are still open too; none is held by the driver.
+
+    Each batch writes all windows to its own folder, and the last one is read: a failure while it is written leaves the one before. For results that
+    end, see closed_windows.
+    """
+    query = windows.writeStream.foreachBatch(batch_folders(f"{root}/data")).outputMode("complete").option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+    query.awaitTermination()
+    last = max((p["batchId"] for p in query.recentProgress if p["numInputRows"]), default=None)
+    return spark.read.schema(windows.schema).parquet(f"{root}/data/batch={last}") if last is not None else spark.createDataFrame([], windows.schema)
+
+
+def closed_windows(stream: DataFrame, time: str, delay: str, window: Column, keys: Sequence[str], *aggregates: Column) -> DataFrame:
+    """Aggregates by window and keys, in append mode: each window once, when the newest time is delay past its end. Then its state goes.
+
+    Rows later than that are not in any window: set them aside with set_late_aside before. window is F.window or F.session_window on the time.
+    """
+    return stream.withWatermark(time, delay).groupBy(window.alias("window"), *keys).agg(*aggregates)
+
+
+def interval_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time_left: str, time_right: str, before: str, delay: str) -> DataFrame:
+    """Pairs of rows of two streams with equal keys whose right time is at most before earlier than the left one, or equal to it.
+
+    Both sides have a watermark of delay, so a row is kept only as long as a row of the other side can still meet it. Columns other than
+    keys have different names; before and delay are intervals such as 6 hours.
+    """
+    right = right.withColumnsRenamed({k: f"__{k}" for k in keys}).withWatermark(time_right, delay)
+    met = F.expr(f"`{time_right}` >= `{time_left}` - INTERVAL {before} AND `{time_right}` <= `{time_left}`")
+    for k in keys:
+        met = met & (F.col(k) == F.col(f"__{k}"))
+    return left.withWatermark(time_left, delay).join(right, met).drop(*(f"__{k}" for k in keys))
+
+
+def set_late_aside(stream: DataFrame, time: str, delay: timedelta, root: str) -> StreamingQuery:
+    """Starts to write a stream's rows to root/on_time or root/late, each batch to a folder of its own, over what is there now.
+
+    A row is late if it is more than delay older than the newest row of earlier batches, which is when a watermark of that delay has passed it and Spark would
+    drop it without a word. Each batch's newest time is kept beside its rows, so a batch that runs again decides as it did. Rows without a time are late.
+    """
+    spark = stream.sparkSession
+
+    def one(rows: DataFrame, batch: int) -> None:
+        newest = spark.read.schema("batch BIGINT, newest BIGINT").parquet(f"{root}/newest").where(F.col("batch") < batch).agg(F.max("newest")).first()[0] if batch else None
+        at = F.unix_micros(F.col(time).cast("timestamp"))
+        on_time = at.isNotNull() if newest is None else at.isNotNull() & (at >= newest - delay // timedelta(microseconds=1))
+        rows = rows.persist()
+        try:
+            batch_folders(f"{root}/on_time")(rows.where(on_time), batch)
+            batch_folders(f"{root}/late")(rows.where(~on_time), batch)
+            rows.agg(F.lit(batch).cast("bigint").alias("batch"), F.max(at).alias("newest")).write.mode("overwrite").parquet(f"{root}/newest/of={batch}")
+        finally:
+            rows.unpersist()
+
+    return stream.writeStream.foreachBatch(one).option("checkpointLocation", f"{root}/checkpoint").trigger(availableNow=True).start()
+
+
 def compact(spark: SparkSession, path: str, to: str, parts: Sequence[str], mb: int = 256) -> None:
-    """Rewrites a partitioned table of many small files: each partition's rows together, in files of about mb megabytes."""
-    rows = max(1, mb) * 10_000
+    """Rewrites a partitioned table of many small files: each partition's rows together, in files of about mb megabytes.
+
+    How many rows that is follows from the table itself: its files' bytes over its rows.
+    """
     table = spark.read.parquet(path)
+    files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", "*.parquet").load(path)
+    width = max(1.0, (files.agg(F.sum("length")).first()[0] or 0) / max(1, table.count()))
+    rows = max(1, int(mb * 2**20 / width))
     table.hint("rebalance", *map(F.col, parts)).sortWithinPartitions(*parts).write.option("maxRecordsPerFile", rows).partitionBy(*parts).parquet(to)
 
 

@@ -7,10 +7,28 @@ from pyspark.sql import functions as F
 
 from envflow.operators import aggregates as A
 from envflow.operators import geo
+from envflow.operators import ordered as O
 from envflow.operators import raster as R
 from envflow.operators import tables as T
 
 
+def test_boxes_of_any_size_have_few_cells(spark):
+    """A box around the world among villages: the same pairs as a nested loop, and four cells a level at most."""
+    rng = random.Random(4)
+
+    def box():
+        size = rng.choice((0.001, 0.5, 30.0, 360.0))
+        x, y = rng.uniform(-180, 180), rng.uniform(-90, 90)
+        return x, y, x + size * rng.random(), y + size * rng.random()
+
+    a, b = [(i, *box()) for i in range(150)] + [(900, -180.0, -90.0, 180.0, 90.0), (901, float("nan"), 0.0, 1.0, 1.0), (902, 0.0, 0.0, float("inf"), 1.0)], [(i, *box()) for i in range(160)] + [(900, -180.0, -90.0, 180.0, 90.0)]
+    want = sorted((p[0], q[0]) for p in a if p[0] < 901 for q in b if p[1] <= q[3] and q[1] <= p[3] and p[2] <= q[4] and q[2] <= p[4])
+    left, right = spark.createDataFrame(a, "i int, ax0 double, ay0 double, ax1 double, ay1 double"), spark.createDataFrame(b, "j int, bx0 double, by0 double, bx1 double, by1 double")
+    for cell in (0.001, 0.1, 50.0):
+        got = geo.overlap_join(left, right, ("ax0", "ay0", "ax1", "ay1"), ("bx0", "by0", "bx1", "by1"), cell)
+        assert rows(got.select("i", "j"), "i", "j") == want and got.columns == left.columns + right.columns
+
+
 def rows(df, *order):
     return [tuple(r) for r in (df.orderBy(*order) if order else df).collect()]
 
@@ -70,7 +88,7 @@ def test_strict_or_relaxed(spark):
 def test_counter_rate(spark):
     t = dt.datetime(2024, 1, 1)
     df = spark.createDataFrame([("a", t, 0, 10), ("a", t + dt.timedelta(seconds=5), 1, 20), ("a", t + dt.timedelta(seconds=6), 2, 3)], "k string, ts timestamp, id int, total bigint")
-    assert [r.rate for r in A.counter_rate(df, ["k"], "ts", "total", "id").orderBy("id").collect()] == [0.0, 2.0, 0.0]
+    assert [r.rate for r in O.counter_rate(df, ["k"], "ts", "total", "id").orderBy("id").collect()] == [0.0, 2.0, 0.0]
 
 
 def test_vertices(spark):

@@ -100,22 +100,138 @@ def test_weather_by_rest(spark):
     assert got == [("Ha Noi_2025-01-01 00:00", 20.5), ("Ha Noi_2025-01-02 00:00", 20.5), ("Hue_2025-01-01 00:00", 20.5)]
 
 
+QUICK = rest.Policy(tries=3, first=0.0, wait=lambda s: None)
+
+
 def test_download(spark, tmp_path):
     def fetch(base, id_):
-        if id_ == "no":
+        if id_ == "no" or id_ == "other" and base == "first":
             raise PermissionError("403")
-        if base == "first" or id_ == "bad":
+        if base == "first" and id_ != "cut" or id_ == "bad":
             raise OSError("timeout")
-        return f"{base}:{id_}".encode()
+        if id_ == "cut" and base == "first":
+            return (piece for piece in [b"half", None])  # a transfer that breaks off within the content
+        return iter([base.encode(), b":", id_.encode()])
 
-    rows = [("1", "a b.nc", "NO2", True), ("2", "c", "NO2", False), ("", "d", "NO2", True), ("no", "e", "CO", True), ("bad", "f", "CO", True), ("3", "g", "CO", None)]
+    rows = [("1", "a b.nc", "NO2", True), ("2", "c", "NO2", False), ("", "d", "NO2", True), ("no", "e", "CO", True), ("bad", "f", "CO", True), ("3", "g", "CO", None), ("4", "a b.nc", "NO2", True), ("other", "h", "CO", True)]
     records = spark.createDataFrame(rows, "id string, name string, product_type string, online boolean").coalesce(1)
-    report = lambda: {r.id: (r.status, r.error) for r in rest.download(records, fetch, ["first", "second"], f"file://{tmp_path}/d").collect()}
-    assert report() == {"1": ("downloaded", None), "2": ("skipped_offline", None), "": ("skipped_missing_id", None), "no": ("failed", "403"), "bad": ("failed", "timeout"), "3": ("skipped_offline", None)}
-    assert (tmp_path / "d/a_b.nc").read_bytes() == b"second:1"
+    report = lambda: {r.id: (r.status, r.error) for r in rest.download(records, fetch, ["first", "second"], f"file://{tmp_path}/d", QUICK).collect()}
+    want = {"1": ("downloaded", None), "2": ("skipped_offline", None), "": ("skipped_missing_id", None), "no": ("failed", "403"), "bad": ("failed", "timeout"), "3": ("skipped_offline", None), "4": ("downloaded", None), "other": ("downloaded", None)}
+    assert report() == want
+    # products of one name have files of their own, and nothing is left of what failed
+    assert {f.name: f.read_bytes() for f in (tmp_path / "d").iterdir()} == {"1_a_b.nc": b"second:1", "4_a_b.nc": b"second:4", "other_h": b"second:other"}
     assert report()["1"] == ("skipped_exists", None)
 
 
+def test_a_broken_transfer_leaves_no_file(spark, tmp_path):
+    def fetch(base, id_):
+        yield b"half"
+        if base == "first":
+            raise OSError("cut off")
+        yield b" and half"
+
+    records = spark.createDataFrame([("1", "a", "NO2", True)], "id string, name string, product_type string, online boolean")
+    assert [r.status for r in rest.download(records, fetch, ["first"], str(tmp_path / "x"), QUICK).collect()] == ["failed"]
+    assert list((tmp_path / "x").iterdir()) == []
+    assert [r.status for r in rest.download(records, fetch, ["first", "second"], str(tmp_path / "x"), QUICK).collect()] == ["downloaded"]
+    assert (tmp_path / "x/1_a").read_bytes() == b"half and half"
+
+
+def test_a_cap_on_downloads_counts_successes(spark, tmp_path):
+    asked = tmp_path / "asked"
+    asked.mkdir()
+
+    def fetch(base, id_):
+        (asked / id_).touch()
+        if int(id_) % 3 == 0:
+            raise PermissionError("403")
+        return b"x"
+
+    rows = [(f"{i:03d}", None, "NO2", i % 10 != 5) for i in range(60)] + [(None, "n", "NO2", True)]
+    records = spark.createDataFrame(rows, "id string, name string, product_type string, online boolean").repartition(4)
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d/001").write_bytes(b"there")
+    got = rest.download(records, fetch, ["b"], str(tmp_path / "d"), QUICK, most=8).collect()
+    status = {r.id: r.status for r in got}
+    assert sum(s == "downloaded" for s in status.values()) == 8 and status["001"] == "skipped_exists" and status[None] == "skipped_missing_id" and status["005"] == "skipped_offline"
+    tried = sorted(int(f.name) for f in asked.iterdir())
+    want, left = [], 8
+    for i in range(60):
+        if left and i % 10 != 5 and i != 1:
+            want.append(i)
+            left -= i % 3 != 0
+    assert tried == want and len(got) == len(want) + 6 + 2
+
+
+def test_answers_that_are_no_json_and_broken_transfers(spark):
+    import http.client
+    import json
+
+    seen = []
+
+    def odd(url, params):
+        seen.append(url)
+        turn = len(seen)
+        if turn == 1:
+            raise http.client.IncompleteRead(b"half")
+        if turn == 2:
+            json.loads("<html>busy</html>")
+        if turn == 3:
+            raise ConnectionResetError("reset")
+        return 200, {}, {"results": [1]}
+
+    assert rest.ask(odd, "u", {}, rest.Policy(tries=4, wait=lambda s: None)) == {"results": [1]} and len(seen) == 4
+
+    def by_target(url, params):
+        if url == "html":
+            json.loads("<html>")
+        if url == "cut":
+            raise http.client.IncompleteRead(b"")
+        if url == "odd":
+            return 200, {}, ["not", "an", "object"]
+        return 200, {}, {"results": [{"v": 1}], "meta": {"found": 1}}
+
+    policy = rest.Policy(tries=2, wait=lambda s: None)
+    walk = lambda url, params: rest.pages(by_target, url, params, 10, policy)
+    got = {r.tag: (r.body, r.error) for r in rest.read_rest(spark, [(t, {}, t) for t in ("html", "cut", "odd", "good")], walk).collect()}
+    assert got["good"] == ('{"v": 1}', None) and all(got[t][0] is None and got[t][1] for t in ("html", "cut", "odd"))
+    assert "JSONDecodeError" in got["html"][1] and "IncompleteRead" in got["cut"][1] and "AttributeError" in got["odd"][1]
+
+
+def test_http_answers(tmp_path):
+    """The real transport against a server that answers with JSON, HTML, an error and half a file."""
+    import http.server
+    import threading
+
+    class Answers(http.server.BaseHTTPRequestHandler):
+        def do_GET(self):
+            status, body, length = {"/json": (200, b'{"a": 1}', 8), "/html": (200, b"<html>", 6), "/none": (404, b"", 0), "/no": (403, b"", 0), "/half": (200, b"x" * 10, 3_000_000), "/file": (200, b"y" * 3_000_000, 3_000_000)}[self.path.split("?")[0]]
+            self.send_response(status)
+            self.send_header("Content-Length", str(length))
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Answers)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    base = f"http://127.0.0.1:{server.server_port}"
+    once = rest.Policy(tries=1)
+    try:
+        assert rest.ask(rest.http_get, f"{base}/json", {"q": "1"}, once) == {"a": 1} and rest.ask(rest.http_get, f"{base}/none", {}, once) is None
+        for path, kind in (("html", OSError), ("no", rest.Refused)):
+            with pytest.raises(kind):
+                rest.ask(rest.http_get, f"{base}/{path}", {}, once)
+        pieces = list(rest.http_pieces(f"{base}/file", {}))
+        assert sum(map(len, pieces)) == 3_000_000 and max(map(len, pieces)) <= rest.PIECE
+        for path, kind in (("no", PermissionError), ("half", OSError), ("none", OSError)):
+            with pytest.raises(kind):
+                list(rest.http_pieces(f"{base}/{path}", {}))
+    finally:
+        server.shutdown()
+
+
 def test_policy_of_tries():
     waits = []
     policy = rest.Policy(tries=4, first=2.0, longest=5.0, wait=waits.append, clock=lambda: sum(waits), jitter=lambda: 1.0)
@@ -143,17 +259,34 @@ def test_pages_end_where_the_results_do(found):
     assert list(rest.pages(fake, "u", {}, size=2)) == [0, 1, 2, 3, 4] and asked[:3] == [1, 2, 3] and len(asked) <= 4
 
 
-def test_dependent_scan(spark):
-    """Locations lead to sensors and sensors to hours; a location without sensors gives no row."""
-    answers = {"locations": [{"id": 1}, {"id": 2}, {"id": 3}], "locations/1/sensors": [{"id": 10}, {"id": 11}], "locations/3/sensors": [{"id": 30}], "sensors/10/hours": [{"v": 1}, {"v": 2}, {"v": 3}], "sensors/30/hours": [{"v": 4}]}
+def test_dependent_scan(spark, tmp_path):
+    """Locations lead to sensors and sensors to hours, each level dealt out anew; a location without sensors gives no row, a failed one an error."""
+    from pyspark import TaskContext
+
+    answers = {"locations": [{"id": 1}, {"id": 2}, {"id": 3}, {"id": 4}], "locations/1/sensors": [{"id": 10 + i} for i in range(20)], "locations/3/sensors": [{"id": 30}], "sensors/30/hours": [{"v": 4}]}
+    answers |= {f"sensors/{10 + i}/hours": [{"v": 10 * i + j} for j in range(3)] for i in range(20)}
 
     def fake(url, params):
+        if url.startswith("sensors/") and TaskContext.get():
+            (tmp_path / f"{TaskContext.get().partitionId()}").touch()
+        if url in ("locations/4/sensors", "sensors/12/hours"):
+            return 500, {}, None
         rows = answers.get(url)
         return (404, {}, None) if rows is None else (200, {}, {"results": rows[(params["page"] - 1) * 2 : params["page"] * 2]})
 
-    walk = rest.dependent(fake, [("sensor", lambda x: [(f"locations/{x['root']['id']}/sensors", {})]), ("hour", lambda x: [(f"sensors/{x['sensor']['id']}/hours", {})])], size=2)
-    got = rest.read_rest(spark, [("locations", {}, "t")], walk).select(*(F.get_json_object("body", p).cast("int").alias(n) for n, p in (("l", "$.root.id"), ("s", "$.sensor.id"), ("v", "$.hour.v"))))
-    assert sorted(map(tuple, got.collect())) == [(1, 10, 1), (1, 10, 2), (1, 10, 3), (3, 30, 4)]
+    follow = [("sensor", lambda x: [(f"locations/{x['root']['id']}/sensors", {})]), ("hour", lambda x: [(f"sensors/{x['sensor']['id']}/hours", {})])]
+    got = rest.read_dependent(spark, [("locations", {}, "t"), ("nothing", {}, "e")], follow, fake, size=2, policy=rest.Policy(tries=1))
+    paths = (("l", "$.root.id"), ("s", "$.sensor.id"), ("v", "$.hour.v"))
+    rows = got.select("tag", "error", *(F.get_json_object("body", p).cast("int").alias(n) for n, p in paths)).collect()
+    want = [(1, 10 + i, 10 * i + j) for i in range(20) if i != 2 for j in range(3)] + [(3, 30, 4)]
+    assert sorted((r.l, r.s, r.v) for r in rows if r.error is None) == want
+    assert sorted(((r.l, r.s or 0) for r in rows if r.error)) == [(1, 12), (4, 0)]
+    assert len(list(tmp_path.iterdir())) >= 3  # sensors of one location were asked by several tasks
+
+
+def test_no_targets(spark):
+    assert rest.read_rest(spark, [], rest.one_body(lambda u, p: (200, {}, {}))).collect() == []
+    assert rest.read_dependent(spark, [], [("x", lambda r: [("u", {})])], lambda u, p: (200, {}, {})).collect() == []
 
 
 def test_token_is_renewed():
@@ -244,7 +377,7 @@ def test_granules(spark, tmp_path):
     records = body.select(F.from_json("body", "id STRING, name STRING, product_type STRING, online BOOLEAN").alias("g")).select("g.*")
     report = rest.download(records, lambda base, key: f"{base}{key}".encode(), ["b:"], str(tmp_path)).collect()
     assert sorted((r.id, r.status) for r in report) == [("G1", "downloaded"), ("G2", "skipped_offline"), ("G3", "skipped_offline")]
-    assert (tmp_path / "tile-1.hdf").read_bytes() == b"b:G1"
+    assert (tmp_path / "G1_tile-1.hdf").read_bytes() == b"b:G1"
 
 
 def test_files_in_order_and_kinds(spark, tmp_path):
