@@ -1,6 +1,6 @@
 """Spelling variant grouping by Levenshtein automata over trie shards.
 
-The words with their counts are put in order by ranges, and each task builds compact tries of its range, ``SHARD_WORDS`` words
+The words with their counts are put in order by ranges, and tasks build compact tries of neighbouring ranges, ``SHARD_WORDS`` words
 each at most. One shard at a time is broadcast: its bytes are bounded by ``SHARD_WORDS`` and ``SHARD_BYTES`` whatever the
 input, and the driver holds one. Every task walks the automaton of each of its words, which accepts what is exactly one
 edit away, depth-first over the shard; a branch that the automaton can't follow ends there. Of the accepting neighbours a task keeps
@@ -11,6 +11,8 @@ by one aggregate. A chain of forms at least doubles the count at each step, so t
 from __future__ import annotations
 
 import pickle
+import uuid
+from array import array
 from collections.abc import Iterator
 
 import numpy as np
@@ -27,7 +29,9 @@ LEAST_CHARS, LEAST_COUNT = 5, 3
 #: One run in so many is written with a letter missing, chosen by its hash.
 MISSING = 97
 #: Words of a trie shard and bytes of their letters, at most (a single word is a shard whatever its length).
-SHARD_WORDS, SHARD_BYTES = 200_000, 4 << 20
+SHARD_WORDS, SHARD_BYTES = 500_000, 8 << 20
+#: Words that a task looks up in a shard, about.
+ASKED = 5_000
 
 
 def observed(doc_id: Column, run: Column) -> Column:
@@ -50,10 +54,10 @@ class Trie:
     """A compact trie of sorted words: nodes numbered level by level, so that a node's children are neighbours.
 
     labels has each node's letter; children of node v are the nodes first[v]..first[v + 1] - 1; word[v] is the number of the word
-    that ends at v, or -1. Node 0 is the root.
+    that ends at v, or -1. Node 0 is the root. A node takes nine bytes, a word its letters and sixteen more.
     """
 
-    __slots__ = ("counts", "first", "labels", "word", "words")
+    __slots__ = ("at", "counts", "first", "labels", "letters", "word")
 
     def __init__(self, words: list[bytes], counts: list[int]):
         n = len(words)
@@ -75,16 +79,15 @@ class Trie:
             alive, parent = alive[~done], node[~done]
         self.labels = np.concatenate(labels).tobytes()
         children = np.bincount(np.concatenate(parents), minlength=nodes) if parents else np.zeros(nodes, dtype=np.int64)
-        self.first = np.concatenate(([0], np.cumsum(children))).astype(np.uint32) + 1
         word = np.full(nodes, -1, dtype=np.int32)
         for node, which in ends:
             word[node] = which
-        self.word, self.words, self.counts = word, words, counts
+        self.first = array("I", (np.concatenate(([0], np.cumsum(children))) + 1).astype(np.uint32).tobytes())
+        self.word, self.counts = array("i", word.tobytes()), array("q", counts)
+        self.letters, self.at = data.tobytes(), array("q", np.append(at, len(data)).astype(np.int64).tobytes())
 
-    def opened(self) -> Trie:
-        """With plain lists, which are faster to look up in one by one."""
-        self.first, self.word = (x if isinstance(x, list) else x.tolist() for x in (self.first, self.word))
-        return self
+    def text(self, which: int) -> bytes:
+        return self.letters[self.at[which] : self.at[which + 1]]
 
     def near(self, query: bytes) -> list[int]:
         """The numbers of the words that are exactly one inserted, deleted or replaced letter away, each once.
@@ -103,63 +106,120 @@ class Trie:
             if word[node] >= 0:
                 found.append(word[node])
 
-        stack = [(0, 0)]
+        stack, find = [(0, 0)], labels.find
         while stack:
             node, i = stack.pop()
             here = query[i] if i < n else -1
             for child in range(first[node], first[node + 1]):
                 if labels[child] == here:
                     stack.append((child, i + 1))
+                    continue
+                # inserted before here, or in its place: what must follow is looked up at once, as it seldom does. A letter that repeats
+                # the next one of query is inserted after it instead, so each word comes up once
+                low, high = first[child], first[child + 1]
+                if i + 1 < n:
+                    if low < high:
+                        if (at := find(here, low, high)) >= 0:
+                            rest(at, i + 1)
+                        if (at := find(query[i + 1], low, high)) >= 0:
+                            rest(at, i + 2)
                 else:
-                    # a letter that repeats the next one of query is inserted after it instead, so each word comes up once
-                    rest(child, i)
-                    if i < n:
-                        rest(child, i + 1)
+                    if i < n and low < high and (at := find(here, low, high)) >= 0:
+                        rest(at, i + 1)
+                    if word[child] >= 0:
+                        found.append(word[child])
             if i < n and (i + 1 == n or query[i + 1] != here):
                 rest(node, i + 1)
         return found
 
 
-def _shards(words: int, size: int):
-    """(shard): the pickled trie of each piece of a sorted range (word, n)."""
+def _pieces(words: int, size: int):
+    """(piece, words, bytes): a sorted range (word, n) in pieces of at most so many words and bytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, counts, held_bytes = [], [], 0
 
-        def shard() -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([pickle.dumps(Trie(held, counts))], pa.binary()), pa.array([len(held)], pa.int64())], names=["shard", "words"])
+        def piece() -> pa.RecordBatch:
+            values = (pickle.dumps((held, counts)), len(held), held_bytes)
+            return pa.RecordBatch.from_arrays([pa.array([v], t) for v, t in zip(values, (pa.binary(), pa.int64(), pa.int64()), strict=True)], names=["piece", "words", "bytes"])
 
         for batch in batches:
             for word, n in zip(batch.column("word").to_pylist(), batch.column("n").to_pylist(), strict=True):
                 letters = word.encode("latin-1")
                 if held and (len(held) >= words or held_bytes + len(letters) > size):
-                    yield shard()
+                    yield piece()
                     held, counts, held_bytes = [], [], 0
                 held.append(letters)
                 counts.append(n)
                 held_bytes += len(letters)
         if held:
-            yield shard()
+            yield piece()
 
     return run
 
 
+def _bundles(pieces: list[tuple[int, int, int]], words: int, size: int) -> list[tuple[int, int]]:
+    """(id, shard): neighbouring pieces (id, words, bytes) are one shard as long as it stays within words and size."""
+    out, shard, held, held_bytes = [], 0, 0, 0
+    for id_, n, length in sorted(pieces):
+        if held and (held + n > words or held_bytes + length > size):
+            shard, held, held_bytes = shard + 1, 0, 0
+        out.append((id_, shard))
+        held, held_bytes = held + n, held_bytes + length
+    return out
+
+
+def tries(words: DataFrame, shard_words: int = SHARD_WORDS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
+    """(shard, trie): the pickled tries of words (word, n), few rows however many ranges Spark has cut the words into.
+
+    The driver learns the sizes of pieces alone, a row for each range or shard; tasks put them together.
+    """
+    spark, total = words.sparkSession, words.count()
+    in_order = words.repartitionByRange(max(1, min(n_partitions(spark), total // shard_words + 1)), "word").sortWithinPartitions("word")
+    pieces = written(in_order.mapInArrow(_pieces(shard_words, shard_bytes), "piece binary, words bigint, bytes bigint").withColumn("id", F.monotonically_increasing_id()), "pieces")
+    bundles = _bundles([tuple(r) for r in pieces.select("id", "words", "bytes").collect()], shard_words, shard_bytes)
+
+    def build(frame):
+        import pandas as pd
+
+        letters, counts = [], []
+        for piece in frame.sort_values("id")["piece"]:
+            more, n = pickle.loads(piece)
+            letters, counts = letters + more, counts + n
+        return pd.DataFrame({"shard": frame["shard"].iloc[:1], "trie": [pickle.dumps(Trie(letters, counts))]})
+
+    of = spark.createDataFrame(bundles, "id bigint, shard int")
+    return written(pieces.join(F.broadcast(of), "id").groupBy("shard").applyInPandas(build, "shard int, trie binary"), "tries")
+
+
 _FOUND = "word string, n_near bigint, best_n bigint, best string"
 
 
-def _intersect(broadcast):
+_LOADED: dict[str, Trie] = {}
+
+
+def _loaded(key: str, broadcast) -> Trie:
+    """The trie of a broadcast shard, made once in a worker process; the one before it goes."""
+    if key not in _LOADED:
+        _LOADED.clear()
+        _LOADED[key] = pickle.loads(broadcast.value)
+    return _LOADED[key]
+
+
+def _intersect(key: str, broadcast):
     """_FOUND of the words that have neighbours in a shard: how many, and the most frequent, the first in code-point order of equals."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        trie = pickle.loads(broadcast.value).opened()
-        counts, words = trie.counts, trie.words
+        trie = _loaded(key, broadcast)
+        counts = trie.counts
         for batch in batches:
             out = []
             for word in batch.column("word").to_pylist():
                 found = trie.near(word.encode("latin-1"))
                 if found:
-                    best = min(found, key=lambda i: (-counts[i], words[i]))
-                    out.append((word, len(found), counts[best], words[best].decode("latin-1")))
+                    most = max(counts[i] for i in found)
+                    best = min(i for i in found if counts[i] == most)  # words are numbered in their order
+                    out.append((word, len(found), most, trie.text(best).decode("latin-1")))
             if out:
                 cols = zip(*out, strict=True)
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string()), strict=True)], names=[x.split()[0] for x in _FOUND.split(", ")])
@@ -169,14 +229,12 @@ def _intersect(broadcast):
 
 def near_words(words: DataFrame, shard_words: int = SHARD_WORDS, shard_bytes: int = SHARD_BYTES) -> DataFrame:
     """(word, n_near, best, best_n) of the words (word, n; each word once) that have a near word: every word meets every shard."""
-    spark, context = words.sparkSession, words.sparkSession.sparkContext
-    in_order = words.repartitionByRange(max(1, min(n_partitions(spark), words.count() // shard_words + 1)), "word").sortWithinPartitions("word")
-    shards = written(in_order.mapInArrow(_shards(shard_words, shard_bytes), "shard binary, words bigint").withColumn("id", F.monotonically_increasing_id()), "tries")
-    asked, parts = words.select("word").repartition(max(n_partitions(spark), context.defaultParallelism), "word"), []
-    asked = written(asked, "asked")
-    for row in shards.select("id").collect():
-        sent = context.broadcast(bytes(shards.where(F.col("id") == row.id).select("shard").first().shard))
-        parts.append(written(asked.mapInArrow(_intersect(sent), _FOUND), "near"))
+    spark, context, total = words.sparkSession, words.sparkSession.sparkContext, words.count()
+    shards = tries(words, shard_words, shard_bytes)
+    asked, parts = written(words.select("word").repartition(max(context.defaultParallelism, total // ASKED), "word"), "asked"), []
+    for row in shards.select("shard").collect():
+        sent = context.broadcast(bytes(shards.where(F.col("shard") == row.shard).first().trie))
+        parts.append(written(asked.mapInArrow(_intersect(uuid.uuid4().hex, sent), _FOUND), "near"))
         sent.destroy()
     found = parts[0] if parts else spark.createDataFrame([], _FOUND)
     for part in parts[1:]:

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import os
+import pickle
 import random
 import re
 import zlib
@@ -263,8 +264,15 @@ def test_roots_follow_long_chains(spark):
 
 def test_a_shard_is_bounded(spark):
     """Every trie holds so many words at most, also where a range of words is larger; a factor that would allow a circle is refused."""
-    words = spark.createDataFrame([(f"w{i:05d}", 3) for i in range(1000)], "word string, n bigint").coalesce(1).sortWithinPartitions("word")
-    shards = words.mapInArrow(spelling._shards(70, 1 << 20), "shard binary, words bigint").collect()
-    assert sum(r.words for r in shards) == 1000 and max(r.words for r in shards) <= 70
+    words = spark.createDataFrame([(f"w{i:05d}", 3) for i in range(1000)], "word string, n bigint").repartition(9)
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    try:
+        for parts in ("1", "30"):  # neighbouring ranges are one shard as long as it stays small
+            spark.conf.set("spark.sql.shuffle.partitions", parts)
+            for most, shards in ((2000, 1), (400, 3), (70, 15)):
+                sizes = [len(pickle.loads(r.trie).counts) for r in spelling.tries(words, most).collect()]
+                assert sum(sizes) == 1000 and max(sizes) <= most and shards <= len(sizes) <= 2 * shards
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", before)
     with pytest.raises(ValueError):
         spelling.variants(words, factor=1)
