@@ -9,6 +9,8 @@ from envflow import functions as X
 from envflow.operators import geo
 from envflow.operators import raster as R
 from envflow.registry import query, table
+from envflow.shared import work_dir, written
+from envflow.sources import netcdf
 
 #: Embeddings stand for rasters of 8 columns: cell (at // 8, at % 8).
 COLUMNS = 8
@@ -63,6 +65,16 @@ def mosaic_first(spark: SparkSession, sf_dir: str) -> DataFrame:
     return R.mosaic(cells, "place")
 
 
+@query(f"WITH {_CELLS_SQL} SELECT vec_id // 50 AS file, vec_id % 50 AS layer, CAST(row AS BIGINT) AS row, CAST(col AS BIGINT) AS col, round(floor(value / 0.001::DOUBLE + 0.5) * 0.001::DOUBLE, 6) AS value FROM c")
+def netcdf_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rasters in NetCDF files of fifty records, as scaled short integers, read by ranges of bytes."""
+    folder = work_dir(spark, "netcdf")
+    rasters = table(spark, sf_dir, "embeddings").select(F.floor(F.col("vec_id") / 50).alias("file"), (F.col("vec_id") % 50).alias("layer"), "embedding")
+    written(netcdf.write_netcdf(rasters, folder, "file", "layer", "embedding", 8, COLUMNS, "PRODUCT/value", -32768, 0.001), "files")
+    cells = netcdf.read_netcdf(spark, folder, "value", "PRODUCT")
+    return cells.select(F.regexp_extract("path", "([0-9]+)[.]nc$", 1).cast("bigint").alias("file"), "layer", "row", "col", F.round("value", 6).alias("value"))
+
+
 @query(f"WITH {_CELLS_SQL} SELECT vec_id, min(row) AS row0, max(row) AS row1, min(col) AS col0, max(col) AS col1 FROM c WHERE value > 0.2 GROUP BY 1")
 def valid_extent(spark: SparkSession, sf_dir: str) -> DataFrame:
     cells = _cells(spark, sf_dir).withColumn("value", F.when(F.col("value") > 0.2, F.col("value")))
