@@ -194,6 +194,12 @@ class Words:
         return self.data[a:b].tobytes()
 
 
+def word_hash(word: bytes) -> np.ndarray:
+    """The hash of one word, as an array of one, as Words has it."""
+    with np.errstate(over="ignore"):
+        return mix((_BYTE[np.frombuffer(word, dtype=np.uint8)] * places(len(word))[: len(word)]).sum(keepdims=True))
+
+
 def words_of(column: pa.Array, lower: bool = False, chunk: int = CHUNK_BYTES) -> Iterator[Words]:
     """The words of a string column, in pieces of whole rows of about chunk bytes."""
     if isinstance(column, pa.ChunkedArray):

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from envflow.llm import common, content_sort, decontamination, importance, jaccard_join, minhash, packing, pii, quality, secrets, spelling, substring_dedup, url_filters, warc
+from envflow.llm import content_sort, decontamination, importance, jaccard_join, minhash, packing, pii, quality, secrets, spelling, substring_dedup, url_filters, warc
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -114,11 +114,7 @@ FROM w LEFT JOIN kept USING (doc_id) LEFT JOIN cut USING (doc_id)"""
 
 @query
 def op3_document_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
-    with common.scratch() as made:
-        classes = common.written(minhash.near_duplicates(docs).groupBy("doc_id").agg(F.min("class_id").alias("class_id")), "class_ids")
-        made.remove(classes)
-    return minhash.with_neighbours(docs, classes)
+    return minhash.compared(table(spark, sf_dir, "documents"))
 
 
 @query
