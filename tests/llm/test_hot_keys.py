@@ -1,15 +1,18 @@
 """Rows that share an id, payloads and windows that are a third of a table, and links of any form: results and how they are dealt out."""
 
+import hashlib
 import random
 import re
 from collections import Counter, defaultdict
 from contextlib import contextmanager
 
 import duckdb
+import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from envflow.llm import packing, queries, substring_dedup, url_filters, warc
+from envflow.llm import common, minhash, packing, queries, substring_dedup, url_filters, warc
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -156,3 +159,55 @@ def test_tags_that_never_end_take_time_in_proportion(spark, tag):
     seconds(1000)
     taken, found = seconds(200_000)
     assert found == [("m.net", "m.net/there")] and taken < 5
+
+
+# fingerprints
+
+
+def test_an_edited_text_is_hashed_from_its_parts():
+    """The signature of an edited text, put together from minima of both documents, is that of the text; any cut, in words and in characters of several bytes."""
+    rng = random.Random(1)
+
+    def row(t):
+        for w in common.words_of(pa.array([t])):
+            return minhash._Row(0, 1, w, 0, common.shingle_hashes(w.hashes, minhash.SHINGLE_WORDS))
+
+    with np.errstate(over="ignore"):
+        for _ in range(1500):
+            k, alphabet = rng.choice([0, 3, 10, 40, 200]), rng.choice(["ab ", "a é\n", "ab      ", "漢字 x"])
+            x, y = ("".join(rng.choices(alphabet, k=rng.randrange(k + 1))) for _ in range(2))
+            first, after = row(x), row(y)
+            first.measure()
+            edit = minhash._Edit(first, after)
+            got = minhash.sealed(edit.minima(after.measure(*edit.shared())))
+            n = len(x) // 2
+            assert edit.text().decode() == x[: len(x) - n] + y[:n] and first.n_chars == len(x)
+            for found, text in ((got, x[: len(x) - n] + y[:n]), (minhash.sealed(first.own), x), (minhash.sealed(after.own), y)):
+                assert (found == minhash.signatures(pa.array([text]))[0]).all()
+
+
+@pytest.mark.parametrize("range_rows", [50_000, 20])
+def test_neighbours_of_rows_that_share_an_id(spark, monkeypatch, range_rows):
+    """A third of the rows has one id, a part none, and rows repeat: every row meets the next in order, whatever the ranges."""
+    monkeypatch.setattr(minhash, "RANGE_ROWS", range_rows)
+    rng = random.Random(2)
+    text = lambda: " ".join(rng.choices("abcdefghij", k=rng.randrange(12)))
+    rows = [(7, text()) for _ in range(200)] + [(i, text()) for i in range(300)] + [(None, text()) for _ in range(60)] + [(7, "the same row")] * 40 + [(3, None), (-5, "below zero")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(5)
+    hashes = [r.h for r in spark.createDataFrame([(i, t or "") for i, (_, t) in enumerate(rows)], "i int, t string").select("i", F.xxhash64("t").alias("h")).orderBy("i").collect()]
+    order = sorted(range(len(rows)), key=lambda i: (rows[i][0] is None, -(rows[i][0] or 0), hashes[i], rows[i][1] or ""))
+    want = Counter()
+    for i, j in zip(order, order[1:] + order[:1], strict=True):
+        x, y = rows[i][1] or "", rows[j][1] or ""
+        n = len(x) // 2
+        want[rows[i][0], len(x), hashlib.sha256((x[: len(x) - n] + y[:n]).encode()).hexdigest()] += 1
+    got = Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in minhash.with_neighbours(docs).collect())
+    assert got == want
+
+
+def test_a_shared_id_is_cut_into_ranges(spark):
+    docs = spark.createDataFrame([(7, f"text {i}") for i in range(2000)] + [(i, "x") for i in range(1000)], "doc_id bigint, text string").withColumn("key", minhash._key())
+    keys, ties = minhash._range_bounds(docs, 16)
+    assert len(keys) == len(ties) >= 12 and (keys == -8).sum() >= 6 and len(set(ties.tolist())) > 6
+    plain, none = minhash._range_bounds(docs.where("doc_id <> 7"), 16)
+    assert len(plain) == 15 and not none.any()
