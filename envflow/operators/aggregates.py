@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from envflow.functions import finite
+from envflow.shared import written
 
 
 def exact_sum(c: Column) -> Column:
@@ -49,16 +50,23 @@ def healthy(files: Column, live_nodes: Column) -> Column:
     return (F.coalesce(files, F.lit(0)) > 0) & (F.coalesce(live_nodes, F.lit(0)) > 0)
 
 
+#: Values of a group that one task puts in order for a percentile, about, and the most buckets of a sketch.
+MIDDLE, FINEST = 1_000_000, 1_000_000
+
+
 def percentile_by(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str = "percentile", buckets: int = 1000) -> DataFrame:
     """(keys, name): the interpolated q-th percentile of each group's valid values, null where there are none; exact.
 
-    A sketch, whose ranks are off by one in buckets at most, gives a value below the wanted ranks and one above them.
+    A sketch, whose ranks are off by one in buckets at most as a rule, gives a value below the wanted ranks and one above them.
     What lies below is counted, what lies between is put in order, a common value as one row. So of a group of more than
-    buckets values only 8 in buckets are in one task; smaller ones are there whole.
+    buckets values only 8 in buckets are in one task, and there are more buckets where the largest group is larger, so that MIDDLE values
+    are about the most; smaller groups are there whole. Groups whose ranks a sketch has missed are done again with a finer one.
     """
     rows = df.select(*keys, F.when(finite(F.col(value)), F.col(value).cast("double")).alias("_v"))
+    most = rows.groupBy(*keys).agg(F.count("_v").alias("_n")).agg(F.max("_n")).first()[0] or 0
+    buckets = max(buckets, min(FINEST, 8 * most // MIDDLE))
     margin = 4 / buckets
-    ends = F.percentile_approx("_v", F.array(F.lit(max(0.0, q - margin)), F.lit(min(1.0, q + margin))), F.lit(buckets))
+    ends = F.percentile_approx("_v", F.array(F.lit(max(0.0, q - margin)), F.lit(min(1.0, q + margin))), F.lit(min(buckets, FINEST)))
     cuts = rows.groupBy(*keys).agg(F.count("_v").alias("_n"), F.min("_v").alias("_min"), F.max("_v").alias("_max"), ends.alias("_ends"))
     few, at = F.col("_n") <= buckets, F.when(F.col("_n") > 0, F.lit(q) * (F.col("_n") - 1))
     low = F.when(few | F.lit(q <= margin), F.col("_min")).otherwise(F.col("_ends")[0])
@@ -72,7 +80,13 @@ def percentile_by(df: DataFrame, keys: Sequence[str], value: str, q: float, name
     found = lambda rank: F.max(F.when(holds(rank(F.col("_at"))), F.col("_v")))
     out = counts.withColumn("_start", start).groupBy(*keys, "_at").agg(found(F.floor).alias("_lo"), found(F.ceil).alias("_hi"))
     exact = F.col("_lo") + (F.col("_hi") - F.col("_lo")) * (F.col("_at") - F.floor("_at"))
-    return out.select(*keys, F.when(F.col("_at").isNull(), F.lit(None)).when(exact.isNull(), F.raise_error(F.lit("the sketch missed the rank"))).otherwise(exact).alias(name))
+    out = written(out.select(*keys, exact.alias(name), (F.col("_at").isNotNull() & exact.isNull()).alias("_missed")), "percentile")
+    missed = out.where("_missed").select(*(F.col(k).alias(f"_m_{k}") for k in keys))
+    if not missed.limit(1).count():
+        return out.drop("_missed")
+    same = reduce(lambda x, y: x & y, (F.col(k).eqNullSafe(F.col(f"_m_{k}")) for k in keys), F.lit(True))
+    again = percentile_by(df.join(missed, same, "left_semi"), keys, value, q, name, buckets * 10 if buckets < FINEST else 2**31 - 1)
+    return out.where("NOT _missed").drop("_missed").unionByName(again)
 
 
 def exact_percentile(df: DataFrame, keys: Sequence[str], value: str, q: float, name: str = "percentile", buckets: int = 1000) -> DataFrame:

@@ -168,6 +168,15 @@ def collect_by_day(spark: SparkSession, sf_dir: str) -> DataFrame:
     return files.withColumn("files", F.array_join("files", ","))
 
 
+@query("""SELECT day, CAST((r - 1) // 100 AS BIGINT) AS part, string_agg(CAST(event_id AS VARCHAR), ',' ORDER BY event_id) AS files
+FROM (SELECT event_id, CAST(ts AS DATE) AS day, row_number() OVER (PARTITION BY CAST(ts AS DATE) ORDER BY event_id) AS r FROM events) GROUP BY ALL""")
+def collect_by_day_in_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The files of each day, in order and in lists of a hundred at most, so that no row grows with a day and no day is one task's."""
+    files = O.running_count(table(spark, sf_dir, "events").select(F.col("ts").cast("date").alias("day"), "event_id"), ["day"], ["event_id"], "n")
+    lists = files.groupBy("day", F.floor((F.col("n") - 1) / 100).alias("part")).agg(F.sort_array(F.collect_list("event_id")).alias("files"))
+    return lists.withColumn("files", F.array_join("files", ","))
+
+
 @query("SELECT event_type AS topic, CAST(sum(last) AS BIGINT) AS total FROM (SELECT event_type, user_id % 3 AS p, max(event_id) AS last FROM events GROUP BY ALL) GROUP BY 1")
 def offsets_sum(spark: SparkSession, sf_dir: str) -> DataFrame:
     """End offsets summed over partitions."""

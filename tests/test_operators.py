@@ -168,3 +168,24 @@ def test_resample_tells_rasters_apart(spark):
     targets = spark.createDataFrame([(k, x, y) for k in (1, 2, 3) for x in range(5) for y in range(4)], "k int, x int, y int")
     got = {(r.k, r.x, r.y): r.value for r in R.resample(cells, targets, F.col("y") * 0.5, F.col("x") * 0.5, ("k",)).collect()}
     assert got == {(k, x, y): 100.0 * k + 10 * (y // 2) + x // 2 if k < 3 and x < 4 else None for k in (1, 2, 3) for x in range(5) for y in range(4)}
+
+
+def test_percentile_after_a_sketch_that_missed(spark, monkeypatch):
+    """A sketch far coarser than it says misses ranks; those groups are done again, and the result is exact."""
+    rng = random.Random(6)
+    values = [(k, rng.gauss(0, 1) ** 3) for k in ("a", "b", None) for _ in range(4000)] + [("c", 1.0), ("d", None)]
+    df = spark.createDataFrame(values, "k string, v double").repartition(6)
+    asked, original = [], F.percentile_approx
+
+    def coarse(c, ends, accuracy):
+        asked.append(accuracy)
+        return original(c, ends, F.lit(3)) if len(asked) == 1 else original(c, ends, accuracy)
+
+    monkeypatch.setattr(A.F, "percentile_approx", coarse)
+    got = {r.k: r.p for r in A.percentile_by(df, ["k"], "v", 0.98, "p").collect()}
+    for k in ("a", "b", None, "c", "d"):
+        own = sorted(v for key, v in values if key == k and v is not None)
+        at = 0.98 * (len(own) - 1)
+        want = own[int(at)] + (own[min(int(at) + 1, len(own) - 1)] - own[int(at)]) * (at - int(at)) if own else None
+        assert got[k] is None if want is None else abs(got[k] - want) < 1e-12
+    assert len(asked) >= 2 and len(got) == 5
