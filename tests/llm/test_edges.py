@@ -5,13 +5,13 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from envflow.llm import decontamination, jaccard_join, minhash, packing, pii, quality, secrets, substring_dedup, url_filters, warc
+from envflow.llm import content_sort, decontamination, jaccard_join, minhash, packing, pii, quality, secrets, substring_dedup, url_filters, warc
 
 LONG = " ".join(f"w{i}" for i in range(30_000))
 SENTENCE = "the quick brown fox jumps over the lazy dog and runs far away from here today"
 ROWS = [(1, SENTENCE), (1, SENTENCE), (2, None), (3, ""), (4, " \n\t"), (5, LONG), (6, SENTENCE), (None, SENTENCE), (7, "one"), (8, "é" * 50), (None, None)]
 #: Names that the operators use inside, beside the columns that they read.
-CLASHING = ("doc", "rep", "n", "part", "token", "found", "kept", "score", "rank", "anchor", "component", "digest", "alias", "bucket", "hits")
+CLASHING = ("doc", "rep", "n", "part", "token", "found", "kept", "score", "rank", "anchor", "component", "digest", "alias", "bucket", "hits", "_text", "_chars", "_row", "_assign", "key", "tie", "row", "ghost", "same")
 
 OPERATORS = {
     "substring": lambda d: substring_dedup.remove_repeats(d, 10),
@@ -52,6 +52,38 @@ def test_clashing_columns(docs, name):
     assert key(OPERATORS[name](more).collect()) == key(OPERATORS[name](docs).collect())
 
 
+def test_values_of_odd_rows(docs):
+    """Not only as many rows as given: what each odd row gets."""
+    empty = hashlib.sha256(b"").hexdigest()
+    prints = {(r.doc_id, r.text): r.fingerprint for r in minhash.fingerprints(docs).collect()}
+    assert prints[1, SENTENCE] == prints[6, SENTENCE] == prints[None, SENTENCE] and prints[2, None] == prints[3, ""] == prints[None, None]
+    assert len({prints[1, SENTENCE], prints[3, ""], prints[4, " \n\t"], prints[5, LONG], prints[7, "one"], prints[8, "é" * 50]}) == 6 and all(len(p) == 512 for p in prints.values())
+    near = {}
+    for r in minhash.with_neighbours(docs).collect():
+        near.setdefault(r.doc_id, []).append(r)
+    assert [len(near[d]) for d in (1, 2, 3, 4, 5, 6, 7, 8, None)] == [2, 1, 1, 1, 1, 1, 1, 1, 2]
+    assert near[2][0].n_chars == 0 and near[2][0].edited_sha256 == empty and near[2][0].near_edited == 1.0 and near[2][0].same is None
+    assert near[8][0].n_chars == 50 and near[8][0].edited_sha256 == hashlib.sha256(("é" * 25 + "one").encode()).hexdigest()  # the next is 7
+    assert near[1][0].near_next == 1.0 or near[1][1].near_next == 1.0  # the row that repeats is its own next
+    found = {r.doc_id: r for r in pii.scan(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"])).collect()}
+    hidden = {r.doc_id: r for r in secrets.digests(secrets.scan(docs.where("doc_id IS NOT NULL").dropDuplicates(["doc_id"]))).collect()}
+    for r in (*found.values(), *hidden.values()):
+        assert r.base_sha256 == empty and r.spans == "" and all(r[c] == 0 for c in r.asDict() if c.startswith("n_"))
+    leaks = decontamination.find(docs, docs.select(F.col("doc_id").alias("item_id"), "text").where("doc_id = 6")).collect()
+    assert sorted((str(r.doc_id), r.item_id, r.similarity) for r in leaks) == [("1", 6, 1.0), ("1", 6, 1.0), ("6", 6, 1.0), ("None", 6, 1.0)]
+    scores = {}
+    for r in OPERATORS["quality"](docs).collect():
+        scores.setdefault(r.doc_id, set()).add((r.score, r.predicted))
+    assert all(0 <= s <= 1 and p == (s >= 0.3) for v in scores.values() for s, p in v) and scores[2] == scores[3] and scores[1] == scores[6]
+
+
+def test_empty_tables_of_the_other_functions(spark, docs):
+    none = docs.limit(0)
+    files = spark.createDataFrame([], "file string")
+    assert warc.read_archives(files).collect() == [] and jaccard_join.link_counts(none).collect() == [] and all(t.collect() == [] for t in jaccard_join.all_links(none))
+    assert secrets.redact(none.withColumn("n_chars", F.lit(0).cast("bigint"))).collect() == [] and content_sort.deduplicate(none).collect() == []
+
+
 def test_substring_results(docs):
     got = {(r.doc_id, r.n_words, r.n_removed) for r in substring_dedup.remove_repeats(docs, 10).collect()}
     assert got == {(1, 16, 16), (2, 0, 0), (3, 0, 0), (4, 0, 0), (5, 30_000, 0), (6, 16, 16), (None, 16, 16), (7, 1, 0), (8, 1, 0), (None, 0, 0)}

@@ -153,17 +153,17 @@ def test_minhash_classes_against_brute_force(spark):
     assert sum(got[d] == want[d] for d in docs) >= 0.9 * len(docs) and all(want[d] == want[c] for d, c in got.items())
 
 
-def brute_components(docs):
+def brute_components(docs, percent=85, k=4):
     sets = {}
     for d, t in docs.items():
         w = WORD.findall(t.translate(LOW))
-        sets[d] = {tuple(w[i : i + 4]) for i in range(len(w) - 3)} if len(w) >= 4 else ({tuple(w)} if w else set())
+        sets[d] = {tuple(w[i : i + k]) for i in range(len(w) - k + 1)} if len(w) >= k else ({tuple(w)} if w else set())
     lists = defaultdict(list)
     for d, s in sets.items():
         for x in s:
             lists[x].append(d)
     common_ = Counter(p for v in lists.values() for p in itertools.combinations(sorted(v), 2))
-    root = roots([p for p, n in common_.items() if 100 * n >= 85 * (len(sets[p[0]]) + len(sets[p[1]]) - n)], sets)
+    root = roots([p for p, n in common_.items() if 100 * n >= percent * (len(sets[p[0]]) + len(sets[p[1]]) - n)], sets)
     return {d: (len(sets[d]), root[d]) for d in docs}
 
 
@@ -621,15 +621,50 @@ def test_pipeline_equals_brute_force(spark):
     kept = {r.doc_id for r in good.collect()}
     assert kept == {r.doc_id for r in quality.score(docs, machine).where("predicted = 1").collect()}
     single = common.written(P.one_of_each(spark, good, DATA), "single")
-    want = brute_components({d: every[d].text or "" for d in kept})
-    assert {r.doc_id for r in single.collect()} == {d for d, (_, c) in want.items() if c == d}
+    want = brute_components({d: every[d].text or "" for d in kept}, P.PERCENT, P.SHINGLE_WORDS)
+    assert (P.PERCENT, P.SHINGLE_WORDS) == (80, 5) and {r.doc_id for r in single.collect()} == {d for d, (_, c) in want.items() if c == d}
     clean = common.written(P.uncontaminated(spark, single, DATA), "clean")
     leaks = brute_leaks({r.doc_id: r.text or "" for r in single.collect()}, {r.item_id: r.text for r in spark.read.parquet(f"{DATA}/benchmark.parquet").collect()})
     assert {r.doc_id for r in clean.collect()} == {r.doc_id for r in single.collect()} - {d for d, _ in leaks}
     safe = common.written(P.without_secrets(spark, clean, DATA), "safe")
     assert all(d.columns == docs.columns for d in (good, single, clean, safe)) and safe.count() == clean.count()
     assert not any(base_spans(r.text or "", SECRETS) for r in safe.collect())
-    assert {r.doc_id for r in P.run(spark, DATA).select("doc_id").collect()} == {r.doc_id for r in safe.collect()}
+    encode, placed, used = packing.tokenizer(), defaultdict(list), Counter()
+    ids = {r.doc_id: [*encode(r.text or ""), packing.END_ID] for r in safe.collect()}
+    for r in sorted(P.run(spark, DATA).collect(), key=lambda r: (r.sequence_id, r.offset)):
+        part = np.array(ids[r.doc_id][r.start : r.start + r.length], dtype="<u4")
+        assert (zlib.crc32(part.tobytes()), len(part), r.doc_tokens, r.offset) == (r.ids_crc32, r.length, len(ids[r.doc_id]), used[r.sequence_id])
+        used[r.sequence_id] += r.length
+        placed[r.doc_id] += range(r.start, r.start + r.length)
+    assert {d: sorted(p) for d, p in placed.items()} == {d: list(range(len(x))) for d, x in ids.items()} and max(used.values()) <= packing.SIZE
+
+
+def quality_scores_by_pairs(machine, rows):
+    """Scores document by document: words counted one by one, and the product of every pair of inputs added up."""
+    out = {}
+    for doc, text in rows:
+        for words in common.words_of(pa.array([text or ""]), lower=True):
+            counts = Counter(int(h) & quality.BUCKETS - 1 for h in words.hashes)
+            x = np.log1p(np.array(list(counts.values()), dtype=float))
+            x = x / max(np.sqrt((x * x).sum()), 1e-9)
+            stats = quality.features(words, np.array([len(text or "")]))[3][0]
+        dense = np.clip((stats - machine.mean) / machine.scale, -4, 4)
+        index = np.array([*counts, *range(quality.BUCKETS, quality.BUCKETS + len(stats))])
+        value = np.concatenate((x, dense))
+        products = (machine.v[index] * value[:, None]) @ (machine.v[index] * value[:, None]).T
+        raw = machine.w0 + machine.w[index] @ value + np.triu(products, 1).sum()
+        out[doc] = 1 / (1 + np.exp(-np.clip(raw, -30, 30)))
+    return out
+
+
+def test_quality_scores_are_pairwise_sums(spark):
+    """Every score of the table against the sum over all pairs of features, computed the long way."""
+    docs, labels = spark.read.parquet(f"{DATA}/documents.parquet"), spark.read.parquet(f"{DATA}/labels.parquet")
+    machine = quality.train(docs, labels, held_in=~quality.held_out())
+    got = {r.doc_id: r.score for r in quality.score(docs, machine).collect()}
+    assert len(got) == docs.count() and all(0 <= s <= 1 for s in got.values())
+    mine = quality_scores_by_pairs(machine, [(r.doc_id, r.text) for r in docs.orderBy("doc_id").limit(60).collect()])
+    assert all(abs(got[d] - s) < 1e-6 for d, s in mine.items())
 
 
 def test_pipeline_finds_copies_with_a_fifth_added(spark):
