@@ -11,11 +11,13 @@ from __future__ import annotations
 from collections.abc import Iterator, Sequence
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from envflow.shared import written
 
@@ -148,9 +150,45 @@ def asof_join(left: DataFrame, right: DataFrame, keys: Sequence[str], time_left:
 def counter_rate(df: DataFrame, keys: Sequence[str], time: str, total: str, tie: str) -> DataFrame:
     """Adds rate: the growth of a cumulative counter per second since the sample before, 0 for the first and for falls."""
     back = look_back(df, keys, [time, tie], [time, total])
-    seconds = lambda c: F.unix_micros(F.col(c).cast("timestamp")) / F.lit(1e6)
-    rate = F.greatest((F.col(total) - F.col(f"before_{total}")) / F.greatest(seconds(time) - seconds(f"before_{time}"), F.lit(1e-6)), F.lit(0.0))
-    return back.select(*df.columns, F.round(F.coalesce(rate, F.lit(0.0)), 3).alias("rate"))
+    return back.select(*df.columns, _rate(time, total, _seconds(F.col(f"before_{time}")), F.col(f"before_{total}")).alias("rate"))
+
+
+def _seconds(time: Column) -> Column:
+    return F.unix_micros(time.cast("timestamp")) / F.lit(1e6)
+
+
+def _rate(time: str, total: str, seconds_before: Column, total_before: Column) -> Column:
+    rate = F.greatest((F.col(total) - total_before) / F.greatest(_seconds(F.col(time)) - seconds_before, F.lit(1e-6)), F.lit(0.0))
+    return F.round(F.coalesce(rate, F.lit(0.0)), 3)
+
+
+def stream_counter_rate(stream: DataFrame, key: str, time: str, total: str, tie: str, delay: str = "1 hour", keep_hours: int = 24) -> DataFrame:
+    """counter_rate of a stream: a key's last sample is its state, and goes keep_hours after it where no other has come.
+
+    time is a timestamp. A sample that is older than the state (and not so late that the watermark of delay drops it) has rate 0 and leaves the state as it is.
+    A task holds a key's samples of one micro-batch, so batches are kept small where a key is hot (files_per_batch).
+    """
+    columns = stream.columns
+    timed = stream.withWatermark(time, delay).withColumns({"__us": F.unix_micros(time), "__total": F.col(total).cast("double"), "__tie": F.col(tie)})
+
+    def run(_, frames, state: GroupState) -> Iterator[pd.DataFrame]:
+        if state.hasTimedOut:
+            state.remove()
+            return
+        frame = pd.concat(list(frames)).sort_values(["__us", "__tie"], kind="stable")
+        us, totals = frame["__us"].tolist(), frame["__total"].tolist()
+        last = state.get if state.exists else (None, None)
+        before = [(None, None)] * len(frame)
+        for i in range(len(frame)):
+            if last[0] is None or us[i] >= last[0]:
+                before[i], last = last, (us[i], None if pd.isna(totals[i]) else totals[i])
+        state.update(last)
+        state.setTimeoutTimestamp(max(last[0] // 1000 + keep_hours * 3_600_000, state.getCurrentWatermarkMs() + 1))
+        yield frame[columns].assign(__before_us=pd.Series([b[0] for b in before], index=frame.index, dtype=object), __before_total=pd.Series([b[1] for b in before], index=frame.index, dtype=object))
+
+    schema = T.StructType([*stream.schema.fields, T.StructField("__before_us", T.LongType()), T.StructField("__before_total", T.DoubleType())])
+    back = timed.groupBy(key).applyInPandasWithState(run, schema, "us BIGINT, total DOUBLE", "append", GroupStateTimeout.EventTimeTimeout)
+    return back.select(*columns, _rate(time, total, F.col("__before_us") / F.lit(1e6), F.col("__before_total")).alias("rate"))
 
 
 def running_count(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "n") -> DataFrame:

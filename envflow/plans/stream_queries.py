@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envflow.operators.aggregates import exact_sum
+from envflow.operators.ordered import running_count, stream_counter_rate
 from envflow.registry import query, table
 from envflow.shared import work_dir
 from envflow.streaming import pipeline as P
@@ -174,6 +175,22 @@ def stream_interval_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{out}/data")
 
 
+@query("""WITH c AS (SELECT event_id, user_id, ts, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS total FROM events),
+d AS (SELECT *, lag(total) OVER w AS pt, lag(ts) OVER w AS pts FROM c WINDOW w AS (PARTITION BY user_id ORDER BY ts, event_id))
+SELECT event_id, user_id, round(coalesce(greatest((total - pt) / greatest(epoch_us(ts) / 1e6 - epoch_us(pts) / 1e6, 1e-6), 0.0), 0.0), 3) AS rate FROM d""")
+def stream_rates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rates of a counter by user over events in order, in several runs: a user's last sample is carried from run to run as state."""
+    out = work_dir(spark)
+    events = running_count(_timed(spark, sf_dir).select("event_id", "user_id", "ts", "event_time"), ["user_id"], ["ts", "event_id"], "total")
+
+    def start(stream: DataFrame):
+        rates = stream_counter_rate(stream, "user_id", "event_time", "total", "event_id", DELAY, keep_hours=24 * 365)
+        return P.append(rates.select("event_id", "user_id", "rate"), f"{out}/data", f"{out}/checkpoint", [])
+
+    _replayed(spark, _chunks(events, RUNS), start)
+    return spark.read.parquet(f"{out}/data")
+
+
 @query("""WITH b AS (SELECT r, max(m) OVER (ORDER BY r ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) - INTERVAL 10 DAY AS bound FROM (SELECT event_id % 3 AS r, max(ts) AS m FROM events GROUP BY 1))
 SELECT event_id, coalesce(ts < bound, FALSE) AS late FROM events JOIN b ON event_id % 3 = r""")
 def stream_late_rows(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -152,3 +152,19 @@ def test_compact_cuts_files_by_bytes(spark, tmp_path):
     P.compact(spark, f"{tmp_path}/many", f"{tmp_path}/few", ["k"], mb=1)
     sizes = [f.stat().st_size for f in tmp_path.glob("few/k=1/*.parquet")]
     assert spark.read.parquet(f"{tmp_path}/few").count() == 400 and 2 <= len(sizes) <= 6 and max(sizes) < 2 * 2**20
+
+
+def test_rates_over_runs_and_state_that_goes(spark, tmp_path):
+    """A counter's growth over runs; an old sample changes nothing; a key that is silent for long begins anew."""
+    from envflow.operators import ordered as O
+
+    batches = [[(1, 1, "v", 0), (2, 1, "v", 10), (3, 2, "v", 5)], [(4, 1, "v", 30), (5, 1, "v", 20), (6, 2, "v", 3)], [(7, 3, "v", 60 * 40)], [(8, 2, "v", 60 * 41), (9, 1, "v", 60 * 41)]]
+
+    def start(stream):
+        rates = O.stream_counter_rate(stream.withColumn("total", F.col("event_id") * 60.0), "user_id", "event_time", "total", "event_id", "1 hour", keep_hours=24)
+        return P.append(rates.select("event_id", "rate"), f"{tmp_path}/out", f"{tmp_path}/check", [])
+
+    told = replay(spark, tmp_path, batches, start)
+    got = {r.event_id: r.rate for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {1: 0.0, 2: 0.1, 3: 0.0, 4: 0.0, 5: 0.3, 6: 0.0, 7: 0.0, 8: 0.0, 9: 0.0}  # 4 comes after 5 and counts less
+    assert told[1][0] == 2 and told[2][0] <= 3 and told[3][0] <= 3
