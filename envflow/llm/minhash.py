@@ -178,7 +178,16 @@ class _Edit:
         return np.minimum.reduce([x.prefix, of_y, least(rest)])
 
 
-_NEIGHBOURS = "doc_id bigint, n_chars bigint, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double, same bigint"
+#: Digests and fingerprints are bytes while they travel, which take half of what their digits do.
+_NEIGHBOURS = "doc_id bigint, n_chars bigint, edited_sha256 binary, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double, same bigint"
+
+
+def _in_digits(raw: DataFrame) -> DataFrame:
+    return raw.withColumns({c: F.lower(F.hex(c)) for c in ("edited_sha256", "fingerprint", "edited_fingerprint")})
+
+
+def packed(values: np.ndarray) -> list[bytes]:
+    return [row.tobytes() for row in values.astype(">u2")]
 
 
 def _same(shingles: np.ndarray, words: int) -> int | None:
@@ -189,7 +198,7 @@ def _same(shingles: np.ndarray, words: int) -> int | None:
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows come by part and in order; the last row of a part is the first of the next part, as a ghost."""
     names = [x.split()[0] for x in _NEIGHBOURS.split(", ")]
-    types = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64(), pa.int64()]
+    types = [pa.int64(), pa.int64(), pa.binary(), pa.binary(), pa.binary(), pa.float64(), pa.float64(), pa.int64()]
     held: _Row | None = None
     with np.errstate(over="ignore"):
         for batch in batches:
@@ -204,8 +213,8 @@ def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                         edit = _Edit(held, row)
                         edited = sealed(edit.minima(row.measure(*edit.shared())))
                         own, after = sealed(held.own), sealed(row.own)
-                        prints = hexadecimal(np.array([own, edited]))
-                        out.append((held.doc, held.n_chars, hashlib.sha256(edit.text()).hexdigest(), *prints, float((own == edited).mean()), float((own == after).mean()), _same(held.shingles, len(held.hashes))))
+                        prints = packed(np.array([own, edited]))
+                        out.append((held.doc, held.n_chars, hashlib.sha256(edit.text()).digest(), *prints, float((own == edited).mean()), float((own == after).mean()), _same(held.shingles, len(held.hashes))))
                     held = row
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(list(c), t) for c, t in zip(zip(*out, strict=True), types, strict=True)], names=names)
@@ -249,6 +258,11 @@ def with_neighbours(docs: DataFrame) -> DataFrame:
     every row meets its next one without a global sort. An id that very many rows share is several ranges. The driver holds only the ranges' bounds.
     A text is hashed once: of its edited text only the shingles around the seam are new.
     """
+    return _in_digits(_neighbours(docs))
+
+
+def _neighbours(docs: DataFrame) -> DataFrame:
+    """with_neighbours with digests and fingerprints in bytes."""
     spark = docs.sparkSession
     small_batches(spark)
     docs = docs.select("doc_id", "text", _key().alias("key"))
@@ -291,7 +305,7 @@ def _banded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(rep, bands) of rows (rep, fingerprint)."""
     with np.errstate(over="ignore"):
         for batch in batches:
-            raw = bytes.fromhex("".join(batch.column("fingerprint").to_pylist()))
+            raw = b"".join(batch.column("fingerprint").to_pylist())
             keys = _bands(np.frombuffer(raw, dtype=">u2").reshape(-1, N_HASHES))
             yield pa.RecordBatch.from_arrays([batch.column("rep"), long_lists(keys.ravel(), np.arange(len(keys) + 1) * keys.shape[1])], names=["rep", "bands"])
 
@@ -304,7 +318,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, prints: DataFrame |
     confirms links; pairs that one component holds already aren't compared again. class_id is the smallest doc_id
     reachable. Texts without words are alone, each its own class. Only what shares no band is missed (see BAND_HASHES).
 
-    prints (doc_id, same, fingerprint) are the signatures of the rows of docs, if they are there already; then of the texts only those that share a
+    prints (doc_id, same, fingerprint in bytes) are the signatures of the rows of docs, if they are there already; then of the texts only those that share a
     band with others are read.
     """
     spark = docs.sparkSession
@@ -320,8 +334,8 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, prints: DataFrame |
                 for words in words_of(batch.column("text")):
                     sets = cut(words)
                     same = pa.array([sequence_hash(s) - (1 << 63) if len(s) else None for s in sets], pa.int64())
-                    text = hexadecimal(np.array([signature(s) for s in sets]))
-                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(words.lo, len(sets)), same, pa.array(text, pa.string())], names=["doc_id", "same", "fingerprint"])
+                    prints_ = packed(np.array([signature(s) for s in sets]))
+                    yield pa.RecordBatch.from_arrays([batch.column("doc_id").slice(words.lo, len(sets)), same, pa.array(prints_, pa.binary())], names=["doc_id", "same", "fingerprint"])
 
     def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         with np.errstate(over="ignore"):
@@ -331,7 +345,7 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, prints: DataFrame |
                     same = pa.array([sequence_hash(s) - (1 << 63) for s in sets], pa.int64())
                     yield pa.RecordBatch.from_arrays([batch.column("rep").slice(words.lo, len(sets)), same, pa.array([len(s) for s in sets], pa.int64()), long_lists(np.concatenate(sets), np.cumsum([0, *map(len, sets)]))], names=["rep", "same", "n", "tokens"])
 
-    rows = prints.select("doc_id", "same", "fingerprint").where("doc_id IS NOT NULL") if prints is not None else written(docs.mapInArrow(printed, "doc_id bigint, same bigint, fingerprint string"), "minhash")
+    rows = prints.select("doc_id", "same", "fingerprint").where("doc_id IS NOT NULL") if prints is not None else written(docs.mapInArrow(printed, "doc_id bigint, same bigint, fingerprint binary"), "minhash")
     members = written(rows.where("same IS NOT NULL").groupBy("same").agg(F.min("doc_id").alias("rep"), F.first("fingerprint").alias("fingerprint")), "members")
     # copies of one set have one representative, but an id may be the representative of several sets
     entries = members.select("rep", "fingerprint").mapInArrow(_banded, "rep bigint, bands array<bigint>").select("rep", F.explode(F.array_distinct("bands")).alias("bucket"))
@@ -352,9 +366,9 @@ def near_duplicates(docs: DataFrame, threshold: float = 0.8, prints: DataFrame |
 
 def compared(docs: DataFrame) -> DataFrame:
     """with_neighbours, and class_id of near_duplicates (of rows that share an id the smallest; null for rows without one): texts are hashed once for both."""
-    pairs = written(with_neighbours(docs), "neighbours")
+    pairs = written(_neighbours(docs), "neighbours")
     with scratch() as made:
         found = near_duplicates(docs, prints=pairs).groupBy("doc_id").agg(F.min("class_id").alias("class_id"))
         classes = written(found, "class_ids")
         made.remove(classes)
-    return pairs.drop("same").join(few(classes), "doc_id", "left")
+    return _in_digits(pairs.drop("same")).join(few(classes), "doc_id", "left")
