@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from envflow import functions as X
 from envflow.operators import polygons as P
 from envflow.operators import raster as R
+from envflow.operators.blocks import blocks
 
 
 def inside(rings, x, y):
@@ -144,6 +145,18 @@ def test_intervals_are_cut_in_blocks(spark):
     assert "NestedLoop" not in plan and "Cartesian" not in plan
 
 
+def test_cells_of_a_place_meet_shapes_together(spark):
+    """Cells of one place and the shapes that hold it are lists until the end, of bounded length; no cell is lost."""
+    square = [[[0.0, 0.0], [3.0, 0.0], [3.0, 3.0], [0.0, 3.0]]]
+    zones = spark.createDataFrame([(k, square) for k in range(30)] + [(99, [[[9.0, 9.0], [10.0, 9.0], [10.0, 10.0]]])], f"k bigint, zone {KIND}")
+    cells = spark.range(2500).selectExpr("1 AS row", "if(id = 7, null, id % 2) AS col", "id")
+    got = P.clip(cells, zones, "k", "zone", (0.0, 0.0, 1.0, 1.0))
+    assert "explode(__cells" in got._jdf.queryExecution().toString()
+    assert got.columns == ["row", "col", "id", "k"] and got.distinct().count() == got.count() == 2499 * 30 and not got.where("k = 99").count()
+    lists = blocks(cells.where("col IS NOT NULL"), ["row", "col"], "l", 100).selectExpr("size(l) AS n").collect()
+    assert sum(r.n for r in lists) == 2499 and max(r.n for r in lists) < 200
+
+
 def test_projections_there_and_back(spark):
     rng = random.Random(2)
     rows = [(rng.uniform(-179.9, 179.9), rng.uniform(-80, 84)) for _ in range(500)] + [(0.0, 0.0), (3.0, 0.0), (-177.0, -45.0), (105.85, 21.03)]
