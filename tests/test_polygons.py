@@ -157,6 +157,17 @@ def test_cells_of_a_place_meet_shapes_together(spark):
     assert sum(r.n for r in lists) == 2499 and max(r.n for r in lists) < 200
 
 
+def test_equal_shapes_are_joined_once(spark, monkeypatch):
+    """Copies of a shape are one shape in the join, and all pairs of keys come back."""
+    square = lambda x: [[[x, 0.0], [x + 2.0, 0.0], [x + 2.0, 2.0], [x, 2.0]]]
+    a = spark.createDataFrame([(k, square(k % 2 * 10.0)) for k in range(60)], f"a bigint, zone {KIND}")
+    b = spark.createDataFrame([(k, square(k % 3 * 10.0 + 1)) for k in range(90)], f"b bigint, area {KIND}")
+    seen, covering = [], P.covering
+    monkeypatch.setattr(P, "covering", lambda shapes, *rest: seen.append(shapes.count()) or covering(shapes, *rest))
+    got = [tuple(r) for r in P.polygon_join(a, b, "a", "b", "zone", "area", finest=1.0).collect()]
+    assert seen == [2, 3] and len(got) == len(set(got)) and set(got) == {(i, j) for i in range(60) for j in range(90) if i % 2 == j % 3}
+
+
 def test_projections_there_and_back(spark):
     rng = random.Random(2)
     rows = [(rng.uniform(-179.9, 179.9), rng.uniform(-80, 84)) for _ in range(500)] + [(0.0, 0.0), (3.0, 0.0), (-177.0, -45.0), (105.85, 21.03)]
