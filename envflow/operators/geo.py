@@ -8,6 +8,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from envflow.functions import bbox_overlap, finite, rings_meet
+from envflow.operators.blocks import blocks, unpacked
+from envflow.shared import written
 
 _POINT = "array<double>"
 
@@ -53,6 +55,7 @@ def overlap_join(a: DataFrame, b: DataFrame, box_a: tuple[str, str, str, str], b
     size. The smaller box of a pair is looked up at the level of the larger, so a side also has its cells, four at most, at each level that the
     other side has; there are few levels, as each is twice as wide as the last. A pair counts in the cell of the larger box that holds the
     lower left corner of the overlap. Columns of a and b have different names. Boxes that are null, inside out or not finite meet nothing.
+    Rows of the very same box are one box in the join, with a list of the rest of their columns; pairs of lists are dealt out and unpacked in the end.
     """
 
     def sized(df: DataFrame, box: tuple[str, str, str, str], name: str) -> DataFrame:
@@ -71,19 +74,23 @@ def overlap_join(a: DataFrame, b: DataFrame, box_a: tuple[str, str, str, str], b
         above = F.filter(F.array(*map(F.lit, levels)).cast("array<int>"), lambda at: (at >= own) if equal else (at > own))
         return placed(df.withColumn(f"{name}at", F.explode(above)), box, name, F.col(f"{name}at"))
 
-    left, right = sized(a, box_a, "_a"), sized(b, box_b, "_b")
-    levels_a, levels_b = (sorted(r[0] for r in df.select(f"{name}level").distinct().collect()) for df, name in ((left, "_a"), (right, "_b")))
+    own = {name: [*dict.fromkeys(box)] for name, box in (("_a", box_a), ("_b", box_b))}
+    left, right = (written(blocks(sized(df, box, name), [*own[name], f"{name}level"], f"{name}rows"), "boxes") for df, box, name in ((a, box_a, "_a"), (b, box_b, "_b")))
+    lists = {name: df.groupBy(f"{name}level").agg(F.max(F.size(f"{name}rows"))).collect() for df, name in ((left, "_a"), (right, "_b"))}
+    levels_a, levels_b = (sorted(r[0] for r in lists[name]) for name in ("_a", "_b"))
+    most = max((r[1] for r in lists["_a"]), default=0) * max((r[1] for r in lists["_b"]), default=0)
     overlap = bbox_overlap(tuple(map(F.col, box_a)), tuple(map(F.col, box_b)))
 
     def met(large: DataFrame, small: DataFrame, box: tuple[str, str, str, str], big: str, little: str) -> DataFrame:
         width = F.lit(float(cell)) * F.pow(F.lit(2.0), F.col(f"{big}level"))
         corner = lambda i: F.floor(F.greatest(F.col(box_a[i]), F.col(box_b[i])) / width)
         both = placed(large, box, big, F.col(f"{big}level")).join(small, (F.col(f"{big}level") == F.col(f"{little}at")) & (F.col(f"{big}x") == F.col(f"{little}x")) & (F.col(f"{big}y") == F.col(f"{little}y")))
-        return both.where(overlap & (F.col(f"{big}x") == corner(0)) & (F.col(f"{big}y") == corner(1))).select(*a.columns, *b.columns)
+        return both.where(overlap & (F.col(f"{big}x") == corner(0)) & (F.col(f"{big}y") == corner(1))).select(*own["_a"], *own["_b"], "_arows", "_brows")
 
     in_a = met(left, at_levels(right, box_b, "_b", levels_a, True), box_a, "_a", "_b")
     in_b = met(right, at_levels(left, box_a, "_a", levels_b, False), box_b, "_b", "_a")
-    return in_a.unionAll(in_b)
+    rows = unpacked(in_a.unionAll(in_b), "_arows", "_brows", most, *own["_a"], *own["_b"])
+    return rows.select(*(c if c in own[name] else F.col(f"{name}rows").getField(c).alias(c) for df, name in ((a, "_a"), (b, "_b")) for c in df.columns))
 
 
 def spatial_join(a: DataFrame, b: DataFrame, ring_a: str, ring_b: str, cell: float, suffixes: tuple[str, str] = ("_left", "_right")) -> DataFrame:

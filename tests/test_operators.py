@@ -44,6 +44,16 @@ def test_overlap_join_equals_nested_loop(spark):
     assert rows(got, "i", "j") == want
 
 
+def test_equal_boxes_are_joined_once_and_dealt_out(spark):
+    """Many rows of one box are lists in the join; heavy pairs of lists are dealt out before they are unpacked."""
+    a, b = spark.range(300).selectExpr("id AS i", "0 AS ax0", "0 AS ay0", "1 AS ax1", "1 AS ay1", "map('k', id) AS m"), spark.range(400).selectExpr("id AS j", "1 AS bx0", "1 AS by0", "2 AS bx1", "2 AS by1")
+    got = geo.overlap_join(a, b, ("ax0", "ay0", "ax1", "ay1"), ("bx0", "by0", "bx1", "by1"), 4.0)
+    assert got.columns == a.columns + b.columns and got.select("i", "j").distinct().count() == got.count() == 300 * 400
+    sizes = [r[0] for r in got.groupBy(F.spark_partition_id()).count().select("count").collect()]
+    plan = got._jdf.queryExecution().toString()
+    assert "explode(_arows" in plan and "RepartitionByExpression" not in plan and "Repartition " in plan and sum(sizes) == 120000
+
+
 def test_until_n_successes(spark):
     df = spark.createDataFrame([(i, i % 3 == 0) for i in range(20)], "id int, ok boolean")
     for n, last in ((0, None), (1, 0), (3, 6), (99, 19)):
