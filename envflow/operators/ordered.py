@@ -166,6 +166,7 @@ def stream_counter_rate(stream: DataFrame, key: str, time: str, total: str, tie:
     """counter_rate of a stream: a key's last sample is its state, and goes keep_hours after it where no other has come.
 
     time is a timestamp. A sample that is older than the state (and not so late that the watermark of delay drops it) has rate 0 and leaves the state as it is.
+    A sample without a time has rate 0 and is no state. What is done for a key is done on arrays, as there may be very many keys of few samples.
     A task holds a key's samples of one micro-batch, so batches are kept small where a key is hot (files_per_batch).
     """
     columns = stream.columns
@@ -175,18 +176,33 @@ def stream_counter_rate(stream: DataFrame, key: str, time: str, total: str, tie:
         if state.hasTimedOut:
             state.remove()
             return
-        frame = pd.concat(list(frames)).sort_values(["__us", "__tie"], kind="stable")
-        us, totals = frame["__us"].tolist(), frame["__total"].tolist()
-        last = state.get if state.exists else (None, None)
-        before = [(None, None)] * len(frame)
-        for i in range(len(frame)):
-            if last[0] is None or us[i] >= last[0]:
-                before[i], last = last, (us[i], None if pd.isna(totals[i]) else totals[i])
-        state.update(last)
-        state.setTimeoutTimestamp(max(last[0] // 1000 + keep_hours * 3_600_000, state.getCurrentWatermarkMs() + 1))
-        yield frame[columns].assign(__before_us=pd.Series([b[0] for b in before], index=frame.index, dtype=object), __before_total=pd.Series([b[1] for b in before], index=frame.index, dtype=object))
-
-    schema = T.StructType([*stream.schema.fields, T.StructField("__before_us", T.LongType()), T.StructField("__before_total", T.DoubleType())])
+        frames = list(frames)
+        frame = frames[0] if len(frames) == 1 else pd.concat(frames)
+        us, ties = frame["__us"].to_numpy(), frame["__tie"].to_numpy()
+        if ties.dtype.kind not in "iuf":
+            frame = frame.sort_values(["__us", "__tie"], kind="stable")
+        elif ((order := np.lexsort((ties, us)))[1:] < order[:-1]).any():
+            frame = frame.iloc[order]
+        us, totals, n = frame["__us"].to_numpy(), frame["__total"].to_numpy(), len(frame)
+        n_timed = n - int(np.isnan(us).sum()) if us.dtype.kind == "f" else n  # rows without a time come last
+        last = state.get if state.exists else None
+        first = int(np.searchsorted(us[:n_timed], last[0])) if last else 0
+        before_us, before_total, none = np.zeros(n, dtype=np.int64), np.full(n, np.nan), np.ones(n, dtype=bool)
+        if first < n_timed:
+            later, earlier = slice(first + 1, n_timed), slice(first, n_timed - 1)
+            before_us[later], before_total[later], none[later] = us[earlier], totals[earlier], False
+            if last:
+                before_us[first], before_total[first], none[first] = last[0], np.nan if last[1] is None else last[1], False
+            total_now = float(totals[n_timed - 1])
+            last = (int(us[n_timed - 1]), None if np.isnan(total_now) else total_now)
+        if last:
+            state.update(last)
+            state.setTimeoutTimestamp(max(last[0] // 1000 + keep_hours * 3_600_000, state.getCurrentWatermarkMs() + 1))
+        frame = frame.copy(deep=False)
+        frame["__before_us"], frame["__before_total"] = pd.arrays.IntegerArray(before_us, none), before_total
+        yield frame
+
+    schema = T.StructType([*timed.schema.fields, T.StructField("__before_us", T.LongType()), T.StructField("__before_total", T.DoubleType())])
     back = timed.groupBy(key).applyInPandasWithState(run, schema, "us BIGINT, total DOUBLE", "append", GroupStateTimeout.EventTimeTimeout)
     return back.select(*columns, _rate(time, total, F.col("__before_us") / F.lit(1e6), F.col("__before_total")).alias("rate"))
 

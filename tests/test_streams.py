@@ -168,3 +168,17 @@ def test_rates_over_runs_and_state_that_goes(spark, tmp_path):
     got = {r.event_id: r.rate for r in spark.read.parquet(f"{tmp_path}/out").collect()}
     assert got == {1: 0.0, 2: 0.1, 3: 0.0, 4: 0.0, 5: 0.3, 6: 0.0, 7: 0.0, 8: 0.0, 9: 0.0}  # 4 comes after 5 and counts less
     assert told[1][0] == 2 and told[2][0] <= 3 and told[3][0] <= 3
+
+
+def test_rates_of_samples_without_a_time_and_in_any_order(spark, tmp_path):
+    """A sample without a time has rate 0 and is no state, also where its key has no other; samples of one moment go by their tie."""
+    from envflow.operators import ordered as O
+
+    kind = "id bigint, k bigint, t timestamp, total double, tie string"
+    at = lambda minute: dt.datetime(2024, 1, 1, 0, minute)
+    rows = [(1, 1, None, 5.0, "a"), (2, 2, at(2), 300.0, "b"), (3, 2, at(1), 60.0, "a"), (4, 2, None, 1.0, "c"), (5, 2, at(2), 180.0, "a"), (6, 3, at(1), None, "a"), (7, 3, at(2), 60.0, "a"), (8, 3, at(3), 180.0, "a")]
+    spark.createDataFrame(rows, kind).coalesce(1).write.parquet(f"{tmp_path}/in")
+    rates = O.stream_counter_rate(P.file_source(spark, f"{tmp_path}/in", spark.read.parquet(f"{tmp_path}/in").schema), "k", "t", "total", "tie")
+    P.append(rates, f"{tmp_path}/out", f"{tmp_path}/check", []).awaitTermination()
+    got = {r.id: r.rate for r in spark.read.parquet(f"{tmp_path}/out").collect()}
+    assert got == {1: 0.0, 2: 120000000.0, 3: 0.0, 4: 0.0, 5: 2.0, 6: 0.0, 7: 0.0, 8: 2.0}
