@@ -10,11 +10,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from envflow.llm import decontamination, jaccard_join, packing, quality, secrets
-from envflow.llm.common import discard, scratch, written
+from envflow.llm.common import discard, forget, scratch, written
 
 
 def good_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier rejects go. It is fitted on labels outside the held-out fold."""
+    forget(spark)
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
     return quality.keep_good(docs, quality.train(docs, labels, held_in=~quality.held_out()))
 
@@ -28,6 +29,7 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Of rows that share that id one stays, that with the smallest hash of its text and then of all its columns.
     """
+    forget(spark)
     heads = jaccard_join.components(docs, PERCENT, SHINGLE_WORDS).where("doc_id = component_id").select("doc_id").distinct()
     kept = docs.where("doc_id IS NOT NULL").join(heads, "doc_id", "left_semi")
     kept = kept.groupBy("doc_id").agg(F.min_by(F.struct(*docs.columns), F.struct(F.xxhash64("text"), F.xxhash64(*docs.columns))).alias("row")).select("row.*")
@@ -36,16 +38,19 @@ def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def uncontaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that hold a benchmark item go."""
+    forget(spark)
     return decontamination.clean(docs, spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
 def without_secrets(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Secrets are replaced in the texts; no document goes."""
+    forget(spark)
     return secrets.redact(docs)
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The pieces of the documents that stay, with their places in sequences."""
+    forget(spark)
     return packing.pack(docs)
 
 

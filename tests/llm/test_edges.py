@@ -141,3 +141,24 @@ def test_packing_results(docs):
         assert r.offset == used[r.sequence_id]
         used[r.sequence_id] += r.length
     assert max(used.values()) <= packing.SIZE and sorted(used) == list(range(len(used)))
+
+
+def test_the_driver_forgets_what_finished_stages_left(spark, monkeypatch):
+    """Each stage begins with a driver that has dropped what nothing names any more."""
+    import weakref
+
+    import corpus_pipeline
+    from envflow.llm import common
+
+    class Plan:
+        pass
+
+    plan = Plan()
+    plan.itself, gone = plan, weakref.ref(plan)
+    del plan
+    common.forget(spark)
+    assert gone() is None
+    asked = []
+    monkeypatch.setattr(corpus_pipeline, "forget", asked.append)
+    corpus_pipeline.without_secrets(spark, spark.createDataFrame([(1, "a")], "doc_id bigint, text string"), "")
+    assert asked == [spark]
