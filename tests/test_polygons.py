@@ -157,6 +157,37 @@ def test_cells_of_a_place_meet_shapes_together(spark):
     assert sum(r.n for r in lists) == 2499 and max(r.n for r in lists) < 200
 
 
+@pytest.mark.parametrize("inverted", [False, True])
+def test_nothing_of_a_clip_goes_by_the_driver(spark, tmp_path, monkeypatch, inverted):
+    """A small file of shapes gives very many intervals, and a place long lists: none of them is broadcast."""
+    spark.range(40).selectExpr("id AS k", "array(array(array(0D, 0D), array(900D + id, 0D), array(900D + id, 300D), array(0D, 300D))) AS zone").write.parquet(str(tmp_path / "zones"))
+    zones, cells = spark.read.parquet(str(tmp_path / "zones")), spark.range(500).selectExpr("id % 300 AS row", "id * 7 % 1000 AS col", "id")
+    plans, written = {}, P.written
+    monkeypatch.setattr(P, "written", lambda df, name: plans.update({name: df._jdf.queryExecution().executedPlan().toString()}) or written(df, name))
+    got = P.clip(cells, zones, "k", "zone", (0.0, 0.0, 1.0, 1.0), inverted)
+    plans["last"] = got._jdf.queryExecution().executedPlan().toString()
+    assert all("BroadcastHashJoin" not in plans[name] and "SortMergeJoin" in plans[name] for name in (["last"] if inverted else ["held", "last"]))
+    want = {(i, k) for i in range(500) for k in range(40) if inside([[[0, 0], [900 + k, 0], [900 + k, 300], [0, 300]]], i * 7 % 1000 + 0.5, i % 300 + 0.5)}
+    rows = [tuple(r) for r in got.select("id", *([] if inverted else ["k"])).collect()]
+    want = {(i,) for i in set(range(500)) - {i for i, _ in want}} if inverted else want
+    assert len(rows) == len(want) and set(rows) == want and len(want) > 20
+
+
+def test_equal_shapes_are_clipped_once(spark, monkeypatch):
+    """Copies of a shape are looked up once, in lists of bounded length; rows of one key are one shape, and a key may be null."""
+    square = lambda x: [[[x, 0.0], [x + 3.0, 0.0], [x + 3.0, 3.0], [x, 3.0]]]
+    zones = [(k, square(k % 2 * 10.0)) for k in range(3000)] + [(None, square(0.0)), (5000, square(0.0)), (5000, square(10.0)), (6000, square(0.0)), (6000, square(0.0)), (7000, [None, *square(0.0)]), (8000, None)]
+    lines, scan_lines, lists, gathered = [], P.scan_lines, [], P.gathered
+    monkeypatch.setattr(P, "scan_lines", lambda shapes, *rest: lines.append(shapes.count()) or scan_lines(shapes, *rest))
+    monkeypatch.setattr(P, "gathered", lambda *a: lists.append(gathered(*a)) or lists[-1])
+    cells = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (2, 12, 2), (2, 20, 3), (None, 1, 4)], "row int, col int, id int")
+    got = [tuple(r) for r in P.clip(cells, spark.createDataFrame(zones, f"k bigint, zone {KIND}"), "k", "zone", (0.0, 0.0, 1.0, 1.0)).select("id", "k").collect()]
+    even, odd = [*range(0, 3000, 2), None, 5000], [*range(1, 3000, 2), 5000]
+    assert len(got) == len(set(got)) and set(got) == {(i, k) for i, of in ((0, even), (1, even), (2, odd)) for k in of}
+    sizes = [r[0] for r in lists[0].selectExpr("size(__keys)").collect()]
+    assert lines[0] < 12 and max(sizes) < 2048 and sum(sizes) == len(even) + len(odd)
+
+
 def test_equal_shapes_are_joined_once(spark, monkeypatch):
     """Copies of a shape are one shape in the join, and all pairs of keys come back."""
     square = lambda x: [[[x, 0.0], [x + 2.0, 0.0], [x + 2.0, 2.0], [x, 2.0]]]
