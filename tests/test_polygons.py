@@ -173,19 +173,22 @@ def test_nothing_of_a_clip_goes_by_the_driver(spark, tmp_path, monkeypatch, inve
     assert len(rows) == len(want) and set(rows) == want and len(want) > 20
 
 
-def test_equal_shapes_are_clipped_once(spark, monkeypatch):
-    """Copies of a shape are looked up once, in lists of bounded length; rows of one key are one shape, and a key may be null."""
+@pytest.mark.parametrize("n", [3000, 4, 0])
+def test_equal_shapes_are_clipped_once(spark, monkeypatch, n):
+    """Copies of a shape are looked up once, if they are many, and lists of keys are bounded; rows of one key are one shape, and a key may be null."""
     square = lambda x: [[[x, 0.0], [x + 3.0, 0.0], [x + 3.0, 3.0], [x, 3.0]]]
-    zones = [(k, square(k % 2 * 10.0)) for k in range(3000)] + [(None, square(0.0)), (5000, square(0.0)), (5000, square(10.0)), (6000, square(0.0)), (6000, square(0.0)), (7000, [None, *square(0.0)]), (8000, None)]
-    lines, scan_lines, lists, gathered = [], P.scan_lines, [], P.gathered
+    odd_rows = [(None, square(0.0)), (5000, square(0.0)), (5000, square(10.0)), (6000, square(0.0)), (6000, square(0.0))]
+    zones = [(k, square(k % 2 * 10.0)) for k in range(n)] + odd_rows * (n > 0) + [(7000, [None, *square(0.0)]), (8000, None)]
+    lines, scan_lines, lists, blocks_, gathered = [], P.scan_lines, [], P.blocks, P.gathered
     monkeypatch.setattr(P, "scan_lines", lambda shapes, *rest: lines.append(shapes.count()) or scan_lines(shapes, *rest))
-    monkeypatch.setattr(P, "gathered", lambda *a: lists.append(gathered(*a)) or lists[-1])
+    for name, f in (("blocks", blocks_), ("gathered", gathered)):
+        monkeypatch.setattr(P, name, lambda *a, f=f: lists.append(f(*a)) or lists[-1])
     cells = spark.createDataFrame([(1, 1, 0), (1, 1, 1), (2, 12, 2), (2, 20, 3), (None, 1, 4)], "row int, col int, id int")
     got = [tuple(r) for r in P.clip(cells, spark.createDataFrame(zones, f"k bigint, zone {KIND}"), "k", "zone", (0.0, 0.0, 1.0, 1.0)).select("id", "k").collect()]
-    even, odd = [*range(0, 3000, 2), None, 5000], [*range(1, 3000, 2), 5000]
+    even, odd = ([*range(i, n, 2), *([None, 5000][i:] if n else [])] for i in (0, 1))
     assert len(got) == len(set(got)) and set(got) == {(i, k) for i, of in ((0, even), (1, even), (2, odd)) for k in of}
-    sizes = [r[0] for r in lists[0].selectExpr("size(__keys)").collect()]
-    assert lines[0] < 12 and max(sizes) < 2048 and sum(sizes) == len(even) + len(odd)
+    sizes = [r[0] for r in lists[-1].selectExpr("size(__keys)").collect()]
+    assert lines[0] < 12 and max(sizes, default=0) < 2048 and sum(sizes) == len(even) + len(odd)
 
 
 def test_equal_shapes_are_joined_once(spark, monkeypatch):
